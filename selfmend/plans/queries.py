@@ -3,8 +3,9 @@
 Every query reads the driver's tables (or landing files Spark writes from
 them under the shared scratch folder) over their whole extent. Computed
 columns carry the same aliases as the SQL oracles in ``plans/oracle.py``.
-Doubles that come out of sums/means are rounded to 6 places, model outputs to
-9, so engines that sum in a different order still agree.
+Means are rounded to ``MEAN_DIGITS`` (7) places, model outputs to 9, so
+engines that sum in a different order still agree (means of 2-decimal data
+over these row counts never sit on a 7-place rounding tie).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from selfmend.session import scratch_path
 from selfmend.sources import delimited as src
 
 Query = Callable[[SparkSession, str], DataFrame]
+MEAN_DIGITS = 7
 REGISTRY: dict[str, Query] = {}
 
 
@@ -186,7 +188,7 @@ def _lineitem_fill(spark, sf):
     return stats.fill_values(typed, rules.numeric, rules.categorical)
 
 
-def _round_numeric(df, cols, digits=6):
+def _round_numeric(df, cols, digits=MEAN_DIGITS):
     return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
@@ -506,7 +508,7 @@ def sink_csv_header(spark, sf):
     path = scratch_path(spark, "sink-csv")
     ev = S.events_frame(spark, sf)
     sinks.write_csv_header(ev, path)
-    return src.read_csv_strings(spark, path, ev.columns)
+    return spark.read.schema(_events_schema()).option("header", True).csv(path).na.fill("")
 
 
 @query("sink_parquet_time_cell")

@@ -92,9 +92,14 @@ ORDERS_RULES = RuleSet((
 ), id="o_orderkey")
 ORDERS_LABEL = "o_orderstatus"
 ORDERS_SPEC = ScoringSpec(ORDERS_RULES, ORDERS_LABEL)
-# Categorical-only variant: one unbagged tree, exactly checkable.
-ORDERS_EXACT_SPEC = ScoringSpec(RuleSet((ORDERS_RULES.rule("o_orderpriority"),), id="o_orderkey"),
-                                ORDERS_LABEL).exact(max_depth=6)
+# Exactly checkable variant: one binary category (rows outside the pair are
+# invalid and filled with the mode), validated training, one unbagged tree.
+# Spark merges sibling leaves that predict the same class, so with two groups
+# the leaves are either the two groups or one pooled leaf -- both computable
+# in SQL.
+ORDERS_EXACT_SPEC = ScoringSpec(
+    RuleSet((OneOf("o_orderpriority", ("1-URGENT", "4-NOT SPECIFIED")),), id="o_orderkey"),
+    ORDERS_LABEL, validate_training=True).exact(max_depth=2)
 ORDERS_TRAIN_STATUSES = ("F", "O")
 
 
@@ -150,8 +155,9 @@ EVENTS_RULES = RuleSet((
     OneOf("event_type", ("click", "view", "purchase", "signup")),
 ), id="event_id")
 EVENTS_LABEL = "value_band"
-EVENTS_EXACT_SPEC = ScoringSpec(RuleSet((EVENTS_RULES.rule("event_type"),), id="event_id"),
-                                EVENTS_LABEL).exact(max_depth=6)
+EVENTS_EXACT_SPEC = ScoringSpec(
+    RuleSet((OneOf("event_type", ("click", "purchase")),), id="event_id"),
+    EVENTS_LABEL, validate_training=True).exact(max_depth=2)
 SHORT_KIND = "view"      # files of this kind land without the ``event_type`` column
 EMPTY_KIND = "none"      # one header-only file
 
@@ -171,8 +177,10 @@ def events_text(events: DataFrame, extra=()) -> DataFrame:
 
 
 def value_band() -> Column:
-    """The events label: ``high`` when value > 50, else ``low``."""
-    return F.when(F.col("value") > 50, F.lit("high")).otherwise(F.lit("low")).alias(EVENTS_LABEL)
+    """The events label: ``high`` when the value exceeds its type's bar (20 for
+    click/view, 80 otherwise), else ``low``."""
+    bar = F.when(F.col("event_type").isin("click", "view"), F.lit(20)).otherwise(F.lit(80))
+    return F.when(F.col("value") > bar, F.lit("high")).otherwise(F.lit("low")).alias(EVENTS_LABEL)
 
 
 def events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
