@@ -16,11 +16,13 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexerModel
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selfmend.functions.rules import RuleSet
 from selfmend.operators import attach, features, model, quality, stats
+from selfmend.session import spread
 
 
 @dataclass(frozen=True)
@@ -88,14 +90,25 @@ def prepare_training(df: DataFrame, spec: ScoringSpec, keep=()) -> DataFrame:
 
 def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     """F8 + M2: fill values, then one Pipeline fit (vocabularies, min/max,
-    label index, forest). Rows without a label are not used for fitting."""
-    typed = prepare_training(train, spec)
-    fill = stats.fill_values(typed, spec.numeric, spec.categorical)
-    filled = quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
-    stages = features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)
-    stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,
-                               bootstrap=spec.bootstrap))
-    fitted = Pipeline(stages=stages).fit(filled)
+    label index, forest). Rows without a label are not used for fitting.
+
+    The typed training rows are persisted (memory, spilling to disk) for the
+    fill-value pass and the pipeline's passes, so the source is parsed once;
+    a lost executor's blocks are recomputed from lineage. A training set
+    read into fewer partitions than the cluster's parallelism (small files)
+    is spread first -- at scale the input already has many splits and this
+    is skipped.
+    """
+    typed = spread(prepare_training(train, spec)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fill = stats.fill_values(typed, spec.numeric, spec.categorical)
+        filled = quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
+        stages = features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)
+        stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,
+                                   bootstrap=spec.bootstrap))
+        fitted = Pipeline(stages=stages).fit(filled)
+    finally:
+        typed.unpersist()
     label_model = next(m for m in fitted.stages
                        if isinstance(m, StringIndexerModel) and m.getOutputCol() == features.LABEL)
     decoder = model.label_decoder(label_model.labelsArray[0])

@@ -65,3 +65,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared scratch folder."""
     return f"{shared_dir(spark)}/selfmend/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """Repartition ``df`` round-robin to the cluster's default parallelism
+    when it has fewer partitions than that (few files / one big row group),
+    so per-row work uses every core. Inputs that already have enough splits
+    -- the normal case at scale -- are returned unchanged (no shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
