@@ -30,6 +30,19 @@ def strict_double(col: Column | str, dtype=None) -> Column:
     return F.when(t.rlike(PLAIN_DECIMAL), t.try_cast("double"))
 
 
+def parse_then(col: Column | str, dtype, keep) -> Column:
+    """``strict_double`` fused with a predicate: the plain-decimal regex runs
+    once per value and the parsed double is returned where ``keep(x)`` holds,
+    else NULL. ``keep`` receives the parsed (non-NULL) value."""
+    c = F.col(col) if isinstance(col, str) else col
+    if isinstance(dtype, NumericType):
+        x = c.cast("double")
+        return F.when(~F.isnan(x) & keep(x), x)
+    t = F.trim(c.cast("string"))
+    x = t.try_cast("double")
+    return F.when(t.rlike(PLAIN_DECIMAL) & keep(x), x)
+
+
 def fixed2_text(col: Column | str) -> Column:
     """Render a non-negative amount with exactly two decimals (``1234.5`` ->
     ``1234.50``) from integer cents, so every engine prints the same text."""

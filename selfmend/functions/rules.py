@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
-from selfmend.functions.numeric import strict_double
+from selfmend.functions.numeric import parse_then
 
 
 def _col(c: Column | str) -> Column:
@@ -32,8 +32,8 @@ class Range:
     kind: str = field(default="numeric", init=False)
 
     def checked(self, dtype: DataType | None = None, source: Column | str | None = None) -> Column:
-        v = strict_double(_col(source if source is not None else self.column), dtype)
-        return F.when(v.between(self.lo, self.hi), v).alias(self.column)
+        src = _col(source if source is not None else self.column)
+        return parse_then(src, dtype, lambda x: x.between(self.lo, self.hi)).alias(self.column)
 
 
 @dataclass(frozen=True)

@@ -28,6 +28,7 @@ import time
 from collections import defaultdict
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, StructType,
@@ -106,12 +107,30 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
         line = first_line(spark, p)
         by_header[tuple(line.split(SEP)) if line else ()].append(p)
 
-    metrics = []
+    metrics, persisted = [], []
+    try:
+        _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, persisted)
+    finally:
+        for df in persisted:
+            df.unpersist()
+
+    elapsed = time.time() - started
+    rows = [m[:-1] + (elapsed,) for m in metrics]
+    (spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1)
+     .write.mode("overwrite").parquet(f"{cfg.metrics}/batch_id={batch_id}"))
+
+
+def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, persisted) -> None:
     for group, (header, files) in enumerate(sorted(by_header.items())):
         if not header:                      # zero-byte file: nothing to read
             metrics += [(_file_name(p), p, 0, quality.EMPTY, "", 0.0) for p in files]
             continue
-        df = read_csv_strings(spark, files, header).withColumn("source_path", F.col("_metadata.file_path"))
+        # one scan per header group, kept for the count and the write (blocks
+        # lost with an executor are re-read from the files)
+        df = (read_csv_strings(spark, files, header)
+              .withColumn("source_path", F.col("_metadata.file_path"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+        persisted.append(df)
         missing = quality.missing_columns(header, spec.rules)
         counts = {r["source_path"]: r["n"] for r in
                   df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -132,11 +151,6 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
                 cfg.output_format, sinks.write_json)
             writer(result, f"{cfg.output}/{part}", partition_by="source_file")
 
-    elapsed = time.time() - started
-    rows = [m[:-1] + (elapsed,) for m in metrics]
-    (spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1)
-     .write.mode("overwrite").parquet(f"{cfg.metrics}/batch_id={batch_id}"))
-
 
 def serve(spark: SparkSession, spec: ScoringSpec, fitted: Fitted, cfg: ServeConfig):
     """Start the streaming job; returns the ``StreamingQuery``.
