@@ -7,8 +7,8 @@ Two semantics:
   exactly its own result -- no join, no shuffle, no driver zip.
 * ``join_results`` (J1+J2, the reference's left outer join on the id): a
   duplicated id multiplies (k rows x k results), blank ids match each other,
-  no input row is lost. This is a shuffle join; AQE's skew handling splits a
-  hot id's partition. The pair output for a duplicated id is that operator's
+  no input row is lost. This is a sort-merge join; AQE's skew handling splits
+  a hot id's partition. The pair output for a duplicated id is that operator's
   defined result; the scoring path does not use it.
 """
 
@@ -36,8 +36,12 @@ def expand_row(df: DataFrame, extra: Sequence[str | Column] = RESULT_COLUMNS) ->
 def join_results(left: DataFrame, results: DataFrame, id_col: str,
                  result_columns: Sequence[str] = RESULT_COLUMNS) -> DataFrame:
     """J1 + J2: left outer equi-join on ``id_col``; all left columns in their
-    order plus the result columns, the key once."""
-    right = results.select(F.col(id_col), *[F.col(c) for c in result_columns])
+    order plus the result columns, the key once.
+
+    The result side is as large as the input, so it is never broadcast on a
+    size estimate: the join is pinned to sort-merge (both sides shuffled on
+    the id; AQE splits a skewed id's partition)."""
+    right = results.select(F.col(id_col), *[F.col(c) for c in result_columns]).hint("merge")
     joined = left.join(right, on=[id_col], how="left")
     return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(c) for c in result_columns])
 

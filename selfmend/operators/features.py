@@ -98,10 +98,12 @@ def labeled_rows(df: DataFrame) -> DataFrame:
     return df.select(LABEL, FEATURES)
 
 
-def vector_entries(df: DataFrame, id_col: str, vec_col: str, digits: int = 9) -> DataFrame:
-    """Sparse view of a vector column: (id, slot, value) for non-zero slots,
-    rounded -- the form in which vectors are compared with SQL."""
+def vector_entries(df: DataFrame, id_col: str, vec_col: str, digits: int = 9,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Sparse view of a vector column: (id, ``keep``..., slot, value) for
+    non-zero slots, rounded -- the form in which vectors are compared with SQL."""
     pos = F.posexplode(vector_to_array(F.col(vec_col))).alias("slot", "v")
-    return (df.select(F.col(id_col), pos)
+    cols = [F.col(id_col), *[F.col(c) for c in keep]]
+    return (df.select(*cols, pos)
             .where(F.col("v") != 0)
-            .select(F.col(id_col), F.col("slot"), F.round("v", digits).alias("value")))
+            .select(*cols, F.col("slot"), F.round("v", digits).alias("value")))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -352,8 +351,7 @@ def _orders_feature_fit(spark, sf):
 def feat_pipeline_fit(spark, sf):
     filled, _, m = _orders_feature_fit(spark, sf)
     out = features.apply_features(m, filled, keep=["o_orderkey"])
-    return features.vector_entries(out, "o_orderkey", features.FEATURES).join(
-        out.select("o_orderkey", features.LABEL), "o_orderkey")
+    return features.vector_entries(out, "o_orderkey", features.FEATURES, keep=[features.LABEL])
 
 
 @query("feat_pipeline_apply")
@@ -372,9 +370,7 @@ def feat_labeled_rows(spark, sf):
     li = S.lineitem_labelled(spark, sf)
     m = features.fit_features(li, spec.numeric, spec.categorical, spec.label)
     out = m.transform(li).select("l_orderkey", "l_linenumber", *features.labeled_rows(m.transform(li)).columns)
-    pos = F.posexplode(vector_to_array(features.FEATURES)).alias("slot", "v")
-    return out.select("l_orderkey", "l_linenumber", "label", pos).where(F.col("v") != 0) \
-        .select("l_orderkey", "l_linenumber", "label", "slot", F.round("v", 9).alias("value"))
+    return features.vector_entries(out, "l_orderkey", features.FEATURES, keep=["l_linenumber", features.LABEL])
 
 
 # ----------------------------------------------------------------- model ---

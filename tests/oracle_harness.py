@@ -48,6 +48,20 @@ def _rows(columns, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def type_mismatches(sdf, rel) -> list[str]:
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for name, t in sdf.dtypes:
+        want = _TYPES.get(t, t)
+        if duck_types.get(name) != want:
+            out.append(f"{name}: spark {t} vs duck {duck_types.get(name)}")
+    return out
+
+
 def compare(spark, con, key: str, sf_dir: str) -> tuple[bool, str]:
     from __spark_entry__ import oracle_sql, queries
     t0 = time.time()
@@ -63,6 +77,9 @@ def compare(spark, con, key: str, sf_dir: str) -> tuple[bool, str]:
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    bad_types = type_mismatches(sdf, rel)
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
