@@ -20,6 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from selfmend.functions.numeric import strict_double
 from selfmend.functions.rules import RuleSet
 from selfmend.operators import attach, features, model, quality, stats
 from selfmend.session import spread
@@ -79,7 +80,6 @@ def prepare_training(df: DataFrame, spec: ScoringSpec, keep=()) -> DataFrame:
     if spec.validate_training:
         cols = [r.checked(types[r.column]) for r in spec.rules.active()]
     else:
-        from selfmend.functions.numeric import strict_double
         cols = [strict_double(F.col(c), types[c]).alias(c) for c in spec.numeric]
         cols += [F.when(F.trim(F.col(c).cast("string")) != "", F.col(c).cast("string")).alias(c)
                  for c in spec.categorical]
@@ -115,22 +115,13 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     return Fitted(PipelineModel(stages=list(fitted.stages) + [decoder]), fill)
 
 
-def checked_and_filled(df: DataFrame, spec: ScoringSpec, fitted: Fitted):
-    """P7 + P8 expressions over ``df`` (used inside ``score``)."""
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    return [r.checked(types[r.column]) for r in spec.rules.active()]
-
-
 def score(df: DataFrame, spec: ScoringSpec, fitted: Fitted) -> DataFrame:
     """M7: input columns + ``prediction``, ``predictedLabel``, ``probability``
     (P of class index 1). One output row per input row; lazy."""
-    carried = attach.carry_row(df, checked_and_filled(df, spec, fitted))
-    filled = quality.fill_nulls(carried, fitted.fill)
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    checked = [r.checked(types[r.column]) for r in spec.rules.active()]     # P7
+    carried = attach.carry_row(df, checked)
+    filled = quality.fill_nulls(carried, fitted.fill)                        # P8
     scored = fitted.model.transform(filled)
     return attach.expand_row(scored, ["prediction", "predictedLabel",
                                       model.probability_of(1).alias("probability")])
-
-
-def score_status(df: DataFrame, spec: ScoringSpec) -> DataFrame:
-    """P4/P3 for a batch about to be scored (one aggregate)."""
-    return quality.batch_status(df, spec.rules)

@@ -58,13 +58,13 @@ class ServeConfig:
     checkpoint: str
     glob: str = "*.csv"
     archive_dir: str | None = None
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int | None = 1000    # bounds one micro-batch
     processing_time: str | None = "10 seconds"   # None -> availableNow (drain and stop)
     output_format: str = "json"
 
 
 def landing_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
-                   max_files_per_trigger: int | None = None,
+                   max_files_per_trigger: int | None = 1000    # bounds one micro-batch,
                    archive_dir: str | None = None) -> DataFrame:
     """New files under ``landing`` (recursive) whose name matches ``glob``."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
