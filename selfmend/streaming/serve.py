@@ -64,7 +64,7 @@ class ServeConfig:
 
 
 def landing_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
-                   max_files_per_trigger: int | None = 1000    # bounds one micro-batch,
+                   max_files_per_trigger: int | None = 1000,
                    archive_dir: str | None = None) -> DataFrame:
     """New files under ``landing`` (recursive) whose name matches ``glob``."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
