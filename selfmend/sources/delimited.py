@@ -105,17 +105,23 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
 
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
                      header: Sequence[str], sep: str = SEP,
-                     with_source: bool = False) -> DataFrame:
+                     with_source: bool = False, corrupt_column: str | None = None) -> DataFrame:
     """CSV reader with quoting off: every column string, blanks as ``''``.
 
     The header line of every file is skipped by the reader; columns are
-    named by ``header`` (all files of one call must share it).
+    named by ``header`` (all files of one call must share it). With
+    ``corrupt_column`` a row with too few or too many fields keeps its raw
+    line in that column (NULL for well-formed rows).
     """
-    schema = StructType([StructField(c, StringType(), True) for c in header])
+    fields = [StructField(c, StringType(), True) for c in header]
+    if corrupt_column:
+        fields.append(StructField(corrupt_column, StringType(), True))
+    schema = StructType(fields)
     df = (spark.read.schema(schema)
           .option("header", True).option("sep", sep)
           .option("quote", "").option("escape", "")
           .option("mode", "PERMISSIVE").option("enforceSchema", True)
+          .option("columnNameOfCorruptRecord", corrupt_column or "_corrupt_record")
           .csv(path))
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_name"))

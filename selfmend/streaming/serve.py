@@ -11,7 +11,8 @@ moved it away. Here:
       reads each file's header line through the Hadoop file system, groups
       files that share a header and reads each group with **one** CSV scan;
 * P4/P3 per file: no data rows -> status 1, required column missing ->
-      status 2; both are quarantined (T5) instead of scored;
+      status 2 (its rows are quarantined, T5); a row with too few or too many
+      fields is quarantined with status 3, the file's other rows are scored;
 * T2  the fitted model and fill values are closed over by the batch function;
 * T4  one metrics row per file (batch id, file, rows, status, seconds);
 * T3  ``cleanSource=archive`` moves processed files to an archive folder;
@@ -45,8 +46,10 @@ BINARY_FILE_SCHEMA = StructType([
     StructField("content", BinaryType(), True),
 ])
 
-METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, "
+METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, n_ragged long, "
                   "status int, missing string, elapsed_s double")
+RAGGED = 3          # row-level status: wrong number of fields, quarantined
+CORRUPT = "_corrupt_record"
 
 
 @dataclass(frozen=True)
@@ -123,30 +126,38 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
 def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, persisted) -> None:
     for group, (header, files) in enumerate(sorted(by_header.items())):
         if not header:                      # zero-byte file: nothing to read
-            metrics += [(_file_name(p), p, 0, quality.EMPTY, "", 0.0) for p in files]
+            metrics += [(_file_name(p), p, 0, 0, quality.EMPTY, "", 0.0) for p in files]
             continue
         # one scan per header group, kept for the count and the write (blocks
         # lost with an executor are re-read from the files)
-        df = (read_csv_strings(spark, files, header)
+        df = (read_csv_strings(spark, files, header, corrupt_column=CORRUPT)
               .withColumn("source_path", F.col("_metadata.file_path"))
               .persist(StorageLevel.MEMORY_AND_DISK))
         persisted.append(df)
         missing = quality.missing_columns(header, spec.rules)
-        counts = {r["source_path"]: r["n"] for r in
-                  df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n")).collect()}
-        any_ok = False
+        counts = {r["source_path"]: (r["n"], r["r"]) for r in
+                  df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n"),
+                                                F.count(CORRUPT).alias("r")).collect()}
+        any_ok = any_ragged = False
         for p in files:
-            n = counts.get(p, 0)
+            n, r = counts.get(p, (0, 0))
             code = quality.EMPTY if n == 0 else (quality.MISSING_COLUMNS if missing else quality.OK)
             any_ok |= code == quality.OK
-            metrics.append((_file_name(p), p, int(n), code, ",".join(missing), 0.0))
+            any_ragged |= r > 0
+            metrics.append((_file_name(p), p, int(n), int(r), code, ",".join(missing), 0.0))
         with_name = df.withColumn("source_file", F.regexp_extract("source_path", r"([^/]+)$", 1))
         part = f"batch_id={batch_id}/group={group}"
         if missing:
-            bad = with_name.drop("source_path").withColumn("status", F.lit(quality.MISSING_COLUMNS))
-            sinks.write_json(bad, f"{cfg.quarantine}/{part}", partition_by="source_file")
-        elif any_ok:
-            result = score(with_name.drop("source_path"), spec, fitted)
+            bad = with_name.drop("source_path", CORRUPT).withColumn("status", F.lit(quality.MISSING_COLUMNS))
+            sinks.write_json(bad, f"{cfg.quarantine}/{part}/reason=missing_columns", partition_by="source_file")
+            continue
+        if any_ragged:
+            ragged = (with_name.where(F.col(CORRUPT).isNotNull()).drop("source_path")
+                      .withColumn("status", F.lit(RAGGED)))
+            sinks.write_json(ragged, f"{cfg.quarantine}/{part}/reason=ragged", partition_by="source_file")
+        if any_ok:
+            good = with_name.where(F.col(CORRUPT).isNull()).drop("source_path", CORRUPT)
+            result = score(good, spec, fitted)
             writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(
                 cfg.output_format, sinks.write_json)
             writer(result, f"{cfg.output}/{part}", partition_by="source_file")

@@ -23,6 +23,15 @@ def _short(lines):
     return [",".join(v for i, v in enumerate(r) if i != drop) for r in rows]
 
 
+def _ragged(lines):
+    """Rows 1 and 2 cut short, row 3 with an extra field; the rest intact."""
+    out = list(lines)
+    out[1] = ",".join(out[1].split(",")[:10])
+    out[2] = ",".join(out[2].split(",")[:-1])
+    out[3] = out[3] + ",extra"
+    return out
+
+
 def test_stream_scores_checks_and_quarantines(spark, tmp_dir):
     lines = TF.ticket_lines()
     landing = f"{tmp_dir}/landing"
@@ -32,31 +41,36 @@ def test_stream_scores_checks_and_quarantines(spark, tmp_dir):
     write_lines(f"{landing}/d.csv", lines[:1])
     write_lines(f"{landing}/e.csv", [])
     write_lines(f"{landing}/notes.txt", ["not a ticket file"])
+    write_lines(f"{landing}/f.csv", _ragged(lines))
     fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
     cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
                       metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", archive_dir=f"{tmp_dir}/archive",
                       processing_time=None, max_files_per_trigger=2)
     serve(spark, T.SPEC, fitted, cfg).awaitTermination()
 
-    m = {r["source_file"]: (r["status"], r["n_rows"]) for r in spark.read.parquet(cfg.metrics).collect()}
+    m = {r["source_file"]: (r["status"], r["n_rows"], r["n_ragged"])
+         for r in spark.read.parquet(cfg.metrics).collect()}
     # the zero-byte file never reaches the file stream; nothing to score
-    assert m == {"a.csv": (0, 44), "b.csv": (0, 44), "c.csv": (2, 44), "d.csv": (1, 0)}
+    assert m == {"a.csv": (0, 44, 0), "b.csv": (0, 44, 0), "c.csv": (2, 44, 0), "d.csv": (1, 0, 0),
+                 "f.csv": (0, 44, 3)}
     out = spark.read.json(cfg.output)
-    assert out.count() == 88
+    assert out.count() == 88 + 41
     # a permuted header is read by name: same ids, same predictions for both files
-    by_file = out.groupBy("问题点编号").agg(F.count_distinct("prediction").alias("k"), F.count("*").alias("n"))
+    ab = out.where(F.col("source_file").isin("a.csv", "b.csv"))
+    by_file = ab.groupBy("问题点编号").agg(F.count_distinct("prediction").alias("k"), F.count("*").alias("n"))
     assert by_file.where((F.col("k") != 1) | (F.col("n") != 2)).count() == 0
     q = spark.read.json(cfg.quarantine)
-    assert q.count() == 44 and {r["status"] for r in q.select("status").distinct().collect()} == {2}
+    got = {(r["reason"], r["status"], r["n"]) for r in q.groupBy("reason", "status").agg(F.count("*").alias("n")).collect()}
+    assert got == {("missing_columns", 2, 44), ("ragged", 3, 3)}
     batches = spark.read.parquet(cfg.metrics).select("batch_id").distinct().count()
     assert batches >= 2  # at most two files per micro-batch
 
     # restart on the same checkpoint: nothing is processed twice
     serve(spark, T.SPEC, fitted, cfg).awaitTermination()
-    assert spark.read.parquet(cfg.metrics).count() == 4
+    assert spark.read.parquet(cfg.metrics).count() == 5
     # input is never deleted: every file is in the landing folder or the archive
     names = set()
     for root in (landing, cfg.archive_dir):
         for d, _, files in os.walk(root):
             names |= set(files)
-    assert {"a.csv", "b.csv", "c.csv", "d.csv", "e.csv"} <= names
+    assert {"a.csv", "b.csv", "c.csv", "d.csv", "e.csv", "f.csv"} <= names
