@@ -126,3 +126,30 @@ def test_sinks_roundtrip(spark, fitted, tickets, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/pq").columns == [T.TIME, T.CELL, "predictedLabel"]
     sinks.write_json(out.withColumn("source_file", F.lit("f1.csv")), f"{tmp_dir}/per", partition_by="source_file")
     assert spark.read.json(f"{tmp_dir}/per").select("source_file").distinct().count() == 1
+
+
+def test_forest_matches_tree_by_tree_brute_force(spark, fitted, tickets):
+    """The scored probability equals the normalised sum of every tree's leaf
+    class shares, recomputed per row in Python on a small fixture."""
+    from pyspark.ml import PipelineModel
+    stages = fitted.model.stages
+    rf = [s for s in stages if type(s).__name__ == "RandomForestClassificationModel"][0]
+    feats = PipelineModel(stages=[s for s in stages if s is not rf and type(s).__name__ != "IndexToString"])
+    types = dict((f.name, f.dataType) for f in tickets.schema.fields)
+    checked = tickets.select("问题点编号", *[r.checked(types[r.column]) for r in T.RULES.active()])
+    from selfmend.operators import quality
+    vecs = {r["问题点编号"]: r["features"] for r in
+            feats.transform(quality.fill_nulls(checked, fitted.fill)).select("问题点编号", "features").collect()}
+    scored = {r["问题点编号"]: (r["prediction"], r["probability"]) for r in
+              scoring.score(tickets, T.SPEC, fitted).collect()}
+    assert set(vecs) == set(scored)
+    for key, v in vecs.items():
+        votes = [0.0, 0.0]
+        for tree in rf.trees:
+            p = tree.predictProbability(v)
+            votes[0] += p[0]
+            votes[1] += p[1]
+        p1 = votes[1] / (votes[0] + votes[1])
+        pred, prob = scored[key]
+        assert abs(prob - p1) < 1e-12
+        assert pred == (1.0 if votes[1] > votes[0] else 0.0)
