@@ -34,7 +34,7 @@ ORDERS_TEXT = f"""orders_text AS (
          CASE WHEN o_orderkey % 5 = 0 THEN 'rush' ELSE '' END AS o_note,
          o_orderkey AS k
   FROM orders),
-n_files AS (SELECT CAST(ceil(count(*) / 500000.0) AS BIGINT) AS nf FROM orders),
+n_files AS (SELECT greatest(2, CAST(ceil(count(*) / 500000.0) AS BIGINT)) AS nf FROM orders),
 header_rows AS (SELECT unnest(range(nf)) AS i FROM n_files)"""
 ORDERS_LINE = ("o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',' || o_totalprice || ',' || "
                "o_orderdate || ',' || o_orderpriority || ',' || o_note")
@@ -209,7 +209,7 @@ spelled AS (
 SELECT o_orderkey, text, {_num('text')} AS number FROM spelled"""
 
 SQL["fn_source_file_name"] = """SELECT nf AS n_files, n + nf AS n_lines, 'csv' AS extension
-FROM (SELECT count(*) AS n, CAST(ceil(count(*) / 500000.0) AS BIGINT) AS nf FROM orders)"""
+FROM (SELECT count(*) AS n, greatest(2, CAST(ceil(count(*) / 500000.0) AS BIGINT)) AS nf FROM orders)"""
 
 # -------------------------------------------------------------- projections
 SQL["proj_required_columns"] = f"""WITH {LINEITEM_RAW}

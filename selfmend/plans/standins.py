@@ -7,8 +7,9 @@ tables, so they are injected by key (``key % 7 = 0`` etc.) -- every row is
 kept, only some values are blanked.
 
 Landing files are written under the session's shared scratch folder with one
-file per ``ROWS_PER_FILE`` rows (never fewer than one), the header on the
-first line of every file, no quoting.
+file per ``ROWS_PER_FILE`` rows (never fewer than two, so that reading the
+folder always meets repeated header lines), the header on the first line of
+every file, no quoting.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from selfmend.plans.scoring import ScoringSpec
 from selfmend.session import scratch_path
 
 ROWS_PER_FILE = 500_000
+MIN_FILES = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,7 +123,7 @@ def orders_text_columns(orders: DataFrame) -> list[Column]:
 
 
 def files_for(n_rows: int) -> int:
-    return max(1, math.ceil(n_rows / ROWS_PER_FILE))
+    return max(MIN_FILES, math.ceil(n_rows / ROWS_PER_FILE))
 
 
 def write_landing_csv(df: DataFrame, path: str, partition_by: str | None = None) -> str:
