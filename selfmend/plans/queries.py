@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from selfmend.functions.numeric import strict_double
 from selfmend.operators import attach, features, model, quality, sinks, stats
 from selfmend.plans import scoring, standins as S
-from selfmend.session import scratch_path
+from selfmend.session import path_exists, scratch_path
 from selfmend.sources import delimited as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,7 +528,7 @@ def sink_single_file(spark, sf):
 
 def _events_landing(spark, sf):
     key = ("events-landing", sf, spark.sparkContext.applicationId)
-    if key not in S._FIXTURES:
+    if key not in S._FIXTURES or not path_exists(spark, S._FIXTURES[key]):
         S._FIXTURES[key] = S.write_events_landing(spark, sf, scratch_path(spark, "events-landing"))
     return S._FIXTURES[key]
 
@@ -554,7 +554,7 @@ def _stream_run(spark, sf):
     once with the streaming job (availableNow) and return the output paths."""
     from selfmend.streaming import ServeConfig, serve
     key = (sf, spark.sparkContext.applicationId)
-    if key in _RUNS:
+    if key in _RUNS and path_exists(spark, _RUNS[key]["root"]):
         return _RUNS[key]
     root = scratch_path(spark, "stream")
     landing = S.write_events_landing(spark, sf, f"{root}/landing")
@@ -574,14 +574,7 @@ def _kind(col: str = "source_path"):
 
 
 def _existing(spark, paths):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        jp = jvm.org.apache.hadoop.fs.Path(p)
-        if jp.getFileSystem(conf).exists(jp):
-            out.append(p)
-    return out
+    return [p for p in paths if path_exists(spark, p)]
 
 
 @query("stream_landing_files")

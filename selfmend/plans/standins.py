@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from selfmend.functions.numeric import fixed2_text
 from selfmend.functions.rules import Free, OneOf, Range, RuleSet
 from selfmend.plans.scoring import ScoringSpec
-from selfmend.session import scratch_path
+from selfmend.session import path_exists, scratch_path
 
 ROWS_PER_FILE = 500_000
 MIN_FILES = 2
@@ -144,7 +144,7 @@ _FIXTURES: dict[tuple, str] = {}
 def orders_text_dir(spark: SparkSession, sf_dir: str) -> str:
     """Landing folder with ``orders`` as ticket-like CSV text (cached per run)."""
     key = ("orders", sf_dir, spark.sparkContext.applicationId)
-    if key not in _FIXTURES:
+    if key not in _FIXTURES or not path_exists(spark, _FIXTURES[key]):
         orders = table(spark, sf_dir, "orders").select(*orders_text_columns(table(spark, sf_dir, "orders")))
         _FIXTURES[key] = write_landing_csv(orders, scratch_path(spark, "orders-text"))
     return _FIXTURES[key]
