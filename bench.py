@@ -29,7 +29,7 @@ HEADLINE = {
     "q_feature_fit": "feat_pipeline_fit",        # F8: fill + scaler + indexers + one-hot
     "q_score_exact": "flow_score_batch",         # M7 end to end (fit + score, one tree)
     "q_score_forest": "flow_append_prediction",  # M7 with the reference forest (100 trees, depth 8)
-    "q_join_results": "join_left_outer_result",  # J1: left outer join on a duplicated id
+    "q_join_results": "join_left_outer_result",  # J1: attach results by id + row (duplicated ids)
     "q_sink_json": "sink_json",                  # K2 write + read back
     "q_stream": "stream_score_files",            # T1: land -> stream -> check -> score -> write
 }

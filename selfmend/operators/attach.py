@@ -5,11 +5,12 @@ Two semantics:
 * ``carry_row`` / ``expand_row`` (J3, the scoring path): the input row rides
   through the transformation as one struct column, so every input row gets
   exactly its own result -- no join, no shuffle, no driver zip.
-* ``join_results`` (J1+J2, the reference's left outer join on the id): a
-  duplicated id multiplies (k rows x k results), blank ids match each other,
-  no input row is lost. This is a sort-merge join; AQE's skew handling splits
-  a hot id's partition. The pair output for a duplicated id is that operator's
-  defined result; the scoring path does not use it.
+* ``join_results`` (J1+J2, attach by id): a left outer join of input rows
+  to results on the id **and the row's own values**, so every input row gets
+  exactly the result computed for it and no input row is lost; blank ids
+  match each other. The reference joined on the id alone, which for an id
+  held by k rows emits all k x k pairs of the id group -- quadratic for a hot
+  id. For unique ids (the reference's data) both give the same rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ("prediction", "predictedLabel", "probability")
 ROW = "_row"
+KEY = "_match_key"
 
 
 def carry_row(df: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
@@ -34,15 +36,41 @@ def expand_row(df: DataFrame, extra: Sequence[str | Column] = RESULT_COLUMNS) ->
 
 
 def join_results(left: DataFrame, results: DataFrame, id_col: str,
-                 result_columns: Sequence[str] = RESULT_COLUMNS) -> DataFrame:
-    """J1 + J2: left outer equi-join on ``id_col``; all left columns in their
-    order plus the result columns, the key once.
-
-    The result side is as large as the input, so it is never broadcast on a
-    size estimate: the join is pinned to sort-merge (both sides shuffled on
-    the id; AQE splits a skewed id's partition)."""
-    right = results.select(F.col(id_col), *[F.col(c) for c in result_columns]).hint("merge")
-    joined = left.join(right, on=[id_col], how="left")
+                 result_columns: Sequence[str] = RESULT_COLUMNS,
+                 match: Sequence[str] | None = None) -> DataFrame:
+    """J1 + J2: all left columns in their order plus the result columns.
+
+    Rows are matched on ``id_col`` and on ``match`` -- by default every other
+    column the two sides share, i.e. the input row the result was computed
+    from (``score`` carries it). Keys compare NULL-safe. The result side is
+    reduced to one row per key first: identical input rows have identical
+    results, and the reduction is a partial aggregate, so a key held by a
+    third of all rows is collapsed map-side before any shuffle. A hot key
+    then has one partner row, and AQE's skew-join splits its input-side
+    partition. The result side is as large as the input, so the join is
+    pinned to sort-merge rather than broadcast on a size estimate.
+    """
+    if match is None:
+        match = [c for c in left.columns
+                 if c != id_col and c in results.columns and c not in result_columns]
+    keys = [id_col, *match]
+    types = dict(left.dtypes)
+
+    def key_field(i: int, k: str, cast: bool) -> Column:
+        c = F.col(f"`{k}`").cast(types[k]) if cast else F.col(f"`{k}`")
+        # doubles compare by their exact text: the result carries a copy of
+        # its row's value, and a non-float key keeps the join on the
+        # reduction's partitioning (float keys get re-normalised, re-shuffled)
+        return (c.cast("string") if types[k] in ("double", "float") else c).alias(f"_k{i}")
+
+    # One struct key: struct equality compares NULL fields as equal, and the
+    # reduction's hash partitioning and sort order on it serve the join too.
+    lkey = F.struct(*[key_field(i, k, False) for i, k in enumerate(keys)]).alias(KEY)
+    rkey = F.struct(*[key_field(i, k, True) for i, k in enumerate(keys)]).alias(KEY)
+    right = (results.select(rkey, *[F.col(c) for c in result_columns])
+             .groupBy(KEY).agg(*[F.first(c).alias(c) for c in result_columns])
+             .hint("merge"))
+    joined = left.select(F.col("*"), lkey).join(right, on=KEY, how="left")
     return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(c) for c in result_columns])
 
 

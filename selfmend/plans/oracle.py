@@ -386,10 +386,22 @@ SELECT {ORDERS_COLS}, prediction, predictedLabel, probability FROM o_result"""
 
 SQL["join_project_result"] = SQL["flow_score_batch"]
 
-SQL["join_left_outer_result"] = f"""WITH {LINEITEM_RAW}, {LI_TREE}
+SQL["join_left_outer_result"] = f"""WITH {LINEITEM_RAW}, {LI_TREE},
+li_res AS (SELECT DISTINCT l.*, p.prediction, p.predictedLabel, round(p.p1, 9) AS probability
+           FROM lineitem_raw l JOIN lt_pred p ON l.l_linestatus = p.g)
 SELECT l.line_id, l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax,
        l.l_returnflag, l.l_linestatus, l.l_shipdate, r.prediction, r.predictedLabel, r.probability
-FROM lineitem_raw l LEFT JOIN li_scored r ON l.line_id = r.line_id"""
+FROM lineitem_raw l LEFT JOIN li_res r
+  ON l.line_id IS NOT DISTINCT FROM r.line_id
+  AND l.l_orderkey IS NOT DISTINCT FROM r.l_orderkey
+  AND l.l_linenumber IS NOT DISTINCT FROM r.l_linenumber
+  AND l.l_quantity IS NOT DISTINCT FROM r.l_quantity
+  AND l.l_extendedprice IS NOT DISTINCT FROM r.l_extendedprice
+  AND l.l_discount IS NOT DISTINCT FROM r.l_discount
+  AND l.l_tax IS NOT DISTINCT FROM r.l_tax
+  AND l.l_returnflag IS NOT DISTINCT FROM r.l_returnflag
+  AND l.l_linestatus IS NOT DISTINCT FROM r.l_linestatus
+  AND l.l_shipdate IS NOT DISTINCT FROM r.l_shipdate"""
 
 # -------------------------------------------------------------------- sinks
 _EV_COLS = "event_id, ts, user_id, event_type, value, props, value_band"

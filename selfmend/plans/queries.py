@@ -461,22 +461,22 @@ def limit_preview(spark, sf):
 
 
 # ----------------------------------------------------------------- joins ---
-def _results(spark, sf, key):
-    s = _scored_lineitem(spark, sf)
-    return s.select(key, "prediction", "predictedLabel", F.round("probability", 9).alias("probability"))
-
-
 @query("join_left_outer_result")
 def join_left_outer_result(spark, sf):
-    return attach.join_results(S.lineitem_raw(spark, sf), _results(spark, sf, "line_id"), "line_id")
+    """The lineitem rows (``line_id`` shared by up to 6 rows) get the
+    results scored from them, attached by id and row -- one output row per
+    input row, no pairs within an id."""
+    raw = S.lineitem_raw(spark, sf)
+    res = scoring.score(raw, S.LINEITEM_EXACT_SPEC, _lineitem_exact(spark, sf)) \
+        .withColumn("probability", F.round("probability", 9))
+    return attach.join_results(raw, res, "line_id")
 
 
 @query("join_project_result")
 def join_project_result(spark, sf):
     """J2 on a unique id: every order text row once, plus its three results."""
     text = src.read_delimited(spark, _orders_dir(spark, sf))
-    res = flow_score_batch(spark, sf).select("o_orderkey", *attach.RESULT_COLUMNS)
-    return attach.join_results(text, res, "o_orderkey")
+    return attach.join_results(text, flow_score_batch(spark, sf), "o_orderkey")
 
 
 # ----------------------------------------------------------------- sinks ---

@@ -51,7 +51,7 @@ LINEITEM_RULES = RuleSet((
 
 def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as it would arrive: ``line_id`` = ``orderkey-linenumber`` (not
-    unique in this data: the join shows duplicate ids multiplying), quantity
+    unique in this data: the id join must attach each row its own result), quantity
     as text with blanks, return flag with blanks."""
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")

@@ -93,16 +93,31 @@ def test_model_roundtrip(spark, fitted, tickets, tmp_dir):
     assert sorted(a) == sorted(b)
 
 
-def test_join_multiplies_duplicates_and_matches_blank_ids(spark):
-    left = spark.createDataFrame([("1", "x"), ("1", "y"), ("", "b1"), ("", "b2"), ("3", "z")], "id string, v string")
-    res = spark.createDataFrame([("1", 1.0, "A", 0.9), ("1", 0.0, "B", 0.1), ("", 1.0, "A", 0.7),
-                                 ("", 1.0, "A", 0.8)],
-                                "id string, prediction double, predictedLabel string, probability double")
+def test_join_attaches_each_row_its_own_result(spark):
+    """Duplicated and blank ids: one output row per input row, each with the
+    result computed from it; a row without a result keeps NULLs."""
+    left = spark.createDataFrame([("1", "x"), ("1", "y"), ("", "b1"), ("", "b2"), ("3", "z"), ("1", "x")],
+                                 "id string, v string")
+    res = spark.createDataFrame([("1", "x", 1.0, "A", 0.9), ("1", "y", 0.0, "B", 0.1), ("", "b1", 1.0, "A", 0.7),
+                                 ("", "b2", 1.0, "A", 0.8), ("1", "x", 1.0, "A", 0.9)],
+                                "id string, v string, prediction double, predictedLabel string, probability double")
     out = attach.join_results(left, res, "id")
     assert out.columns == ["id", "v", "prediction", "predictedLabel", "probability"]
-    rows = out.collect()
-    assert len(rows) == 2 * 2 + 2 * 2 + 1
-    assert [r for r in rows if r["id"] == "3"][0]["prediction"] is None
+    rows = sorted(out.collect(), key=lambda r: (r["id"], r["v"]))
+    assert [(r["id"], r["v"], r["probability"]) for r in rows] == [
+        ("", "b1", 0.7), ("", "b2", 0.8), ("1", "x", 0.9), ("1", "x", 0.9), ("1", "y", 0.1), ("3", "z", None)]
+
+
+def test_join_hot_id_stays_linear(spark):
+    """An id held by a third of all rows does not multiply."""
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("string").alias("v"))
+    res = left.select("k", "v", (F.col("v").cast("double") / 3000).alias("prediction"),
+                      F.lit("L").alias("predictedLabel"), F.lit(0.5).alias("probability"))
+    out = attach.join_results(left, res, "k")
+    assert out.count() == 3000
+    assert out.where(F.col("prediction") != F.col("v").cast("double") / 3000).count() == 0
 
 
 def test_carry_row_is_one_to_one(spark):
