@@ -420,8 +420,9 @@ SELECT ts, user_id, value_band FROM events_text"""
 SQL["sink_single_file"] = """SELECT 'event_type' AS field, event_type AS value, count(*) AS n, 1 AS n_files
 FROM events WHERE event_type IS NOT NULL GROUP BY event_type"""
 
-SQL["sink_per_source_file"] = """SELECT event_type AS source, CAST(event_id AS VARCHAR) AS event_id, event_type
-FROM events WHERE event_type <> 'view'"""
+SQL["sink_per_source_file"] = """SELECT event_type AS source, CAST(event_id AS VARCHAR) AS event_id,
+       CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS event_type
+FROM events"""
 
 # ---------------------------------------------------------------- streaming
 SQL["stream_landing_files"] = "SELECT DISTINCT event_type AS kind FROM events UNION SELECT 'none'"

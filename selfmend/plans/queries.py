@@ -535,14 +535,19 @@ def _events_landing(spark, sf):
 
 @query("sink_per_source_file")
 def sink_per_source_file(spark, sf):
+    """K6 over every landed file: each kind's files are read with their own
+    header -- ``view`` files land without ``event_type``, which reads as
+    blank -- and written with one output folder per source."""
     landing = _events_landing(spark, sf)
-    kinds = ",".join(k for k in ("click", "error", "purchase", "signup"))
-    df = src.read_csv_strings(spark, f"{landing}/kind={{{kinds}}}", S.EVENTS_COLUMNS) \
-        .withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), r"kind=([^/]+)/", 1))
+    full_kinds = [k for k in S.EVENT_KINDS if k != S.SHORT_KIND] + [S.EMPTY_KIND]
+    parts = [src.read_csv_strings(spark, S.kind_glob(landing, kinds), cols)
+             .withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), r"kind=([^/]+)/", 1))
+             for kinds, cols in ((full_kinds, S.EVENTS_COLUMNS), ([S.SHORT_KIND], S.SHORT_COLUMNS))]
+    df = parts[0].unionByName(parts[1], allowMissingColumns=True).na.fill("", ["event_type"])
     path = scratch_path(spark, "sink-per-source")
     sinks.write_json(df, path, partition_by="source")
     return spark.read.schema(_events_schema(("source",))).json(path) \
-        .select("source", "event_id", "event_type")
+        .select("source", "event_id", F.coalesce("event_type", F.lit("")).alias("event_type"))
 
 
 # ------------------------------------------------------------- streaming ---

@@ -162,6 +162,14 @@ EVENTS_EXACT_SPEC = ScoringSpec(
     EVENTS_LABEL, validate_training=True).exact(max_depth=2)
 SHORT_KIND = "view"      # files of this kind land without the ``event_type`` column
 EMPTY_KIND = "none"      # one header-only file
+# The event types of the driver's ``events`` table.
+EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
+SHORT_COLUMNS = tuple(c for c in EVENTS_COLUMNS if c != "event_type")
+
+
+def kind_glob(landing: str, kinds) -> str:
+    """Hadoop glob over the ``kind=`` sub-folders of a landing folder."""
+    return f"{landing}/kind={{{','.join(kinds)}}}"
 
 
 def events_text(events: DataFrame, extra=()) -> DataFrame:

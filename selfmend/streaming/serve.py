@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import time
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -50,6 +51,7 @@ METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, n_ragged
                   "status int, missing string, elapsed_s double")
 RAGGED = 3          # row-level status: wrong number of fields, quarantined
 CORRUPT = "_corrupt_record"
+HEADER_READERS = 32  # concurrent header reads per micro-batch (latency-bound opens)
 
 
 @dataclass(frozen=True)
@@ -105,9 +107,13 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
     paths = [r["path"] for r in batch.select("path").collect()]
     if not paths:
         return
+    # one line per file; opens on shared storage are latency-bound, so up to
+    # HEADER_READERS run at once (a micro-batch holds at most
+    # ``max_files_per_trigger`` paths)
+    with ThreadPoolExecutor(max_workers=min(HEADER_READERS, len(paths))) as pool:
+        lines = list(pool.map(lambda p: first_line(spark, p), paths))
     by_header: dict[tuple, list[str]] = defaultdict(list)
-    for p in paths:
-        line = first_line(spark, p)
+    for p, line in zip(paths, lines):
         by_header[tuple(line.split(SEP)) if line else ()].append(p)
 
     metrics, persisted = [], []
