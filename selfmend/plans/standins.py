@@ -207,10 +207,12 @@ def write_events_landing(spark: SparkSession, sf_dir: str, landing: str) -> str:
     """Events split into landing files, one sub-folder per kind: full files for
     most kinds, column-short files for ``SHORT_KIND``, one header-only file."""
     text = events_text(table(spark, sf_dir, "events"))
-    full = text.where(F.col("kind") != SHORT_KIND)
-    short = text.where(F.col("kind") == SHORT_KIND).drop("event_type")
-    for part in (full, short):
-        n_files = files_for(part.count())
+    is_short = F.col("kind") == SHORT_KIND
+    sizes = {r["s"]: r["n"] for r in text.groupBy(is_short.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    full = text.where(~is_short)
+    short = text.where(is_short).drop("event_type")
+    for part, n_rows in ((full, sizes.get(False, 0)), (short, sizes.get(True, 0))):
+        n_files = files_for(n_rows)
         (part.repartition(n_files).write.mode("append").partitionBy("kind")
          .option("header", True).option("quote", "").option("escape", "").option("emptyValue", "")
          .csv(landing))
