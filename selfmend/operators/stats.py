@@ -49,36 +49,54 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A4: (field, value, n) of each column's most frequent value; ties -> the
     lowest value. ``min_by`` over the (-n, value) key is a partial aggregate."""
+    return _modes_and_sizes(df, columns).drop("n_values")
+
+
+def _modes_and_sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A4 plus ``n_values``, the column's number of distinct values, from the
+    same aggregate (partial, so no column's values meet in one task)."""
     vc = value_counts(df, columns)
     best = F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("k"), F.col("value")))
-    return vc.groupBy("field").agg(best.alias("b")).select("field", "b.value", "b.n")
+    return (vc.groupBy("field").agg(best.alias("b"), F.count(F.lit(1)).alias("n_values"))
+            .select("field", "b.value", "b.n", "n_values"))
 
 
-def fill_values_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+def fill_values_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                      with_sizes: bool = False) -> DataFrame:
     """A5 as rows: (field, num_value, cat_value) -- means of numerics, modes of
-    categoricals, computed over the raw (unvalidated) values, NULLs excluded."""
-    means = numeric_means(df, numeric) if numeric else None
+    categoricals, computed over the raw (unvalidated) values, NULLs excluded.
+    ``with_sizes`` adds ``n_values`` (distinct values of a categorical)."""
     parts = []
-    if means is not None:
-        parts.append(means.select(F.explode(F.array(*[
+    if numeric:
+        parts.append(numeric_means(df, numeric).select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("field"), F.col(c).alias("num_value"),
-                     F.lit(None).cast("string").alias("cat_value")) for c in numeric])).alias("s"))
+                     F.lit(None).cast("string").alias("cat_value"),
+                     F.lit(None).cast("long").alias("n_values")) for c in numeric])).alias("s"))
             .select("s.*"))
     if categorical:
-        parts.append(modes(df, categorical).select(
-            "field", F.lit(None).cast("double").alias("num_value"), F.col("value").alias("cat_value")))
+        parts.append(_modes_and_sizes(df, categorical).select(
+            "field", F.lit(None).cast("double").alias("num_value"), F.col("value").alias("cat_value"),
+            "n_values"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out if with_sizes else out.drop("n_values")
 
 
 def fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
     """A5: {column: mean or mode}. One small row per column reaches the driver."""
-    fill = {}
-    for r in fill_values_frame(df, numeric, categorical).collect():
+    return fill_values_and_sizes(df, numeric, categorical)[0]
+
+
+def fill_values_and_sizes(df: DataFrame, numeric: Sequence[str],
+                          categorical: Sequence[str]) -> tuple[dict, dict]:
+    """A5 plus {categorical column: number of distinct values}, one job."""
+    fill, sizes = {}, {}
+    for r in fill_values_frame(df, numeric, categorical, with_sizes=True).collect():
         fill[r["field"]] = r["num_value"] if r["num_value"] is not None else r["cat_value"]
-    return fill
+        if r["n_values"] is not None:
+            sizes[r["field"]] = r["n_values"]
+    return fill, sizes
 
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -37,6 +37,7 @@ class ScoringSpec:
     bootstrap: bool = True
     handle_invalid: str = "error"     # unseen category: 'error' (reference) or 'keep'
     validate_training: bool = False   # the reference trained on unvalidated rows
+    max_categories: int = 10_000      # vocabulary bound per categorical (the model ships to every task)
 
     @property
     def numeric(self):
@@ -88,20 +89,36 @@ def prepare_training(df: DataFrame, spec: ScoringSpec, keep=()) -> DataFrame:
                      F.when(F.trim(label) != "", label).alias(spec.label))
 
 
+def check_vocabulary(sizes: dict, spec: ScoringSpec) -> None:
+    """The fitted pipeline -- vocabularies, one-hot widths, forest -- is sent
+    to every task that scores. The forest is bounded by its configuration;
+    a vocabulary grows with the distinct values of its column, so it is
+    bounded here, before anything is fitted."""
+    over = {c: n for c, n in sizes.items() if n > spec.max_categories}
+    if over:
+        raise ValueError(
+            f"categorical columns over max_categories={spec.max_categories}: {over}; "
+            "validate training rows (validate_training=True bounds each vocabulary by its "
+            "rule's values) or raise the bound")
+
+
 def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     """F8 + M2: fill values, then one Pipeline fit (vocabularies, min/max,
     label index, forest). Rows without a label are not used for fitting.
 
     The typed training rows are persisted (memory, spilling to disk) for the
     fill-value pass and the pipeline's passes, so the source is parsed once;
-    a lost executor's blocks are recomputed from lineage. A training set
+    a lost executor's blocks are recomputed from lineage. The same pass
+    counts each category column's distinct values, and a vocabulary above
+    ``spec.max_categories`` stops the fit (``check_vocabulary``). A training set
     read into fewer partitions than the cluster's parallelism (small files)
     is spread first -- at scale the input already has many splits and this
     is skipped.
     """
     typed = spread(prepare_training(train, spec)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fill = stats.fill_values(typed, spec.numeric, spec.categorical)
+        fill, sizes = stats.fill_values_and_sizes(typed, spec.numeric, spec.categorical)
+        check_vocabulary(sizes, spec)
         filled = quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
         stages = features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)
         stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,

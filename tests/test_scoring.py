@@ -31,6 +31,21 @@ def test_fitted_state(fitted):
     assert (rf.getNumTrees, rf.getMaxDepth(), rf.getFeatureSubsetStrategy()) == (100, 8, "onethird")
 
 
+def test_vocabulary_bound_stops_the_fit(spark):
+    """Category vocabularies ship with the model to every task: their size is
+    counted in the fill-value pass and bounded before anything is fitted."""
+    from dataclasses import replace
+    from selfmend.operators import stats
+    train = spark.createDataFrame([("a", 1.0, "y"), ("b", 2.0, "n"), ("b", None, "y"), (None, 4.0, "n")],
+                                  "c string, v double, lab string")
+    fill, sizes = stats.fill_values_and_sizes(train, ["v"], ["c"])
+    assert fill == {"v": 7.0 / 3, "c": "b"} and sizes == {"c": 2}
+    spec = scoring.ScoringSpec(RuleSet((Range("v", 0, 10), OneOf("c", ("a", "b")))), "lab").exact(max_depth=1)
+    with pytest.raises(ValueError, match="max_categories=1"):
+        scoring.fit(train, replace(spec, max_categories=1))
+    assert scoring.fit(train, replace(spec, max_categories=2)).fill == fill
+
+
 def test_score_keeps_every_input_row_and_column(spark, fitted, tickets):
     out = scoring.score(tickets, T.SPEC, fitted)
     assert out.columns == TF.HEADER + ["prediction", "predictedLabel", "probability"]
