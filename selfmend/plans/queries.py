@@ -353,10 +353,10 @@ def feat_assemble_all(spark, sf):
 def _orders_feature_fit(spark, sf):
     """F8 on the training rows: typed + filled, then fit (label included)."""
     spec = S.ORDERS_SPEC
-    train = scoring.prepare_training(_orders_training(spark, sf), spec, keep=["o_orderkey"])
-    fill = stats.fill_values(train, spec.numeric, spec.categorical)
-    filled = quality.fill_nulls(train, fill)
-    return filled, fill, features.fit_features(filled, spec.numeric, spec.categorical, spec.label)
+    train = _orders_training(spark, sf)
+    fill, m = scoring.fit_features(train, spec, keep=["o_orderkey"])
+    filled = quality.fill_nulls(scoring.prepare_training(train, spec, keep=["o_orderkey"]), fill)
+    return filled, fill, m
 
 
 @query("feat_pipeline_fit")

@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -102,30 +103,52 @@ def check_vocabulary(sizes: dict, spec: ScoringSpec) -> None:
             "rule's values) or raise the bound")
 
 
+@contextmanager
+def training_rows(train: DataFrame, spec: ScoringSpec, keep=()):
+    """The typed training rows, persisted (memory, spilling to disk) for the
+    fitting passes, so the source is parsed once; a lost executor's blocks
+    are recomputed from lineage. A training set read into fewer partitions
+    than the cluster's parallelism (small files) is spread first -- at scale
+    the input already has many splits and this is skipped."""
+    typed = spread(prepare_training(train, spec, keep)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield typed
+    finally:
+        typed.unpersist()
+
+
+def _filled(typed: DataFrame, spec: ScoringSpec) -> tuple[dict, DataFrame]:
+    """A5 + P8 on typed rows: fill values (vocabulary sizes checked in the same
+    pass), then the filled rows that have a label."""
+    fill, sizes = stats.fill_values_and_sizes(typed, spec.numeric, spec.categorical)
+    check_vocabulary(sizes, spec)
+    return fill, quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
+
+
+def fit_features(train: DataFrame, spec: ScoringSpec, keep=()) -> tuple[dict, PipelineModel]:
+    """F8 alone: fill values and the fitted feature pipeline (F1-F7 with the
+    label index), over the persisted training rows."""
+    with training_rows(train, spec, keep) as typed:
+        fill, filled = _filled(typed, spec)
+        return fill, features.fit_features(filled, spec.numeric, spec.categorical, spec.label,
+                                           spec.handle_invalid)
+
+
 def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     """F8 + M2: fill values, then one Pipeline fit (vocabularies, min/max,
     label index, forest). Rows without a label are not used for fitting.
 
-    The typed training rows are persisted (memory, spilling to disk) for the
-    fill-value pass and the pipeline's passes, so the source is parsed once;
-    a lost executor's blocks are recomputed from lineage. The same pass
-    counts each category column's distinct values, and a vocabulary above
-    ``spec.max_categories`` stops the fit (``check_vocabulary``). A training set
-    read into fewer partitions than the cluster's parallelism (small files)
-    is spread first -- at scale the input already has many splits and this
-    is skipped.
+    Runs over ``training_rows`` (persisted, spread when narrow). The
+    fill-value pass also counts each category column's distinct values; a
+    vocabulary above ``spec.max_categories`` stops the fit
+    (``check_vocabulary``).
     """
-    typed = spread(prepare_training(train, spec)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fill, sizes = stats.fill_values_and_sizes(typed, spec.numeric, spec.categorical)
-        check_vocabulary(sizes, spec)
-        filled = quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
+    with training_rows(train, spec) as typed:
+        fill, filled = _filled(typed, spec)
         stages = features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)
         stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,
                                    bootstrap=spec.bootstrap))
         fitted = Pipeline(stages=stages).fit(filled)
-    finally:
-        typed.unpersist()
     label_model = next(m for m in fitted.stages
                        if isinstance(m, StringIndexerModel) and m.getOutputCol() == features.LABEL)
     decoder = model.label_decoder(label_model.labelsArray[0])
