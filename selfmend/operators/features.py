@@ -12,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,18 +67,38 @@ def feature_assembler(numeric: Sequence[str], categorical: Sequence[str]) -> Vec
 
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str],
                    label: str | None = None, handle_invalid: str = "error") -> list:
-    """F8's stage list: F1, F2, F3, F5, F6, F7 (numeric / label parts optional)."""
+    """F8's stage list: F1, F2, F3, F5, F6, F7 (numeric / label parts optional).
+
+    With ``handle_invalid='error'`` the label is indexed by the categories'
+    multi-column indexer (same order rule, one counting pass for all); with
+    ``'keep'`` it keeps its own indexer, since 'keep' would give the label an
+    extra class."""
     stages = []
     if numeric:
         stages += [numeric_assembler(numeric), minmax_scaler()]
+    joint = bool(label and categorical and handle_invalid == "error")
     if categorical:
-        stages += [label_encoder(categorical, handle_invalid), one_hot_encoder(categorical, handle_invalid)]
-    if label:
+        indexer = label_encoder(categorical, handle_invalid)
+        if joint:
+            indexer.setInputCols(list(categorical) + [label]).setOutputCols(
+                [indexed(c) for c in categorical] + [LABEL])
+        stages += [indexer, one_hot_encoder(categorical, handle_invalid)]
+    if label and not joint:
         stages.append(label_indexer(label))
     stages.append(feature_assembler(numeric, categorical))
     return stages
 
 
+def label_labels(model: PipelineModel) -> list[str]:
+    """The label vocabulary (index order) of a fitted feature pipeline."""
+    for m in model.stages:
+        if isinstance(m, StringIndexerModel):
+            outs = m.getOutputCols() if m.isSet("outputCols") else [m.getOutputCol()]
+            if LABEL in outs:
+                return list(m.labelsArray[outs.index(LABEL)])
+    raise ValueError("no label index in the pipeline")
+
+
 def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                  label: str | None = None, handle_invalid: str = "error") -> PipelineModel:
     """F8: fit the feature pipeline (min/max + vocabularies in one pass each)."""

@@ -16,7 +16,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexerModel
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,9 +148,7 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
         stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,
                                    bootstrap=spec.bootstrap))
         fitted = Pipeline(stages=stages).fit(filled)
-    label_model = next(m for m in fitted.stages
-                       if isinstance(m, StringIndexerModel) and m.getOutputCol() == features.LABEL)
-    decoder = model.label_decoder(label_model.labelsArray[0])
+    decoder = model.label_decoder(features.label_labels(fitted))
     return Fitted(PipelineModel(stages=list(fitted.stages) + [decoder]), fill)
 
 

@@ -46,6 +46,24 @@ def test_vocabulary_bound_stops_the_fit(spark):
     assert scoring.fit(train, replace(spec, max_categories=2)).fill == fill
 
 
+def test_label_indexing_joint_or_separate(spark):
+    """'error': the label is indexed with the categories (one pass); 'keep':
+    it has its own indexer, so it still has exactly its two classes."""
+    from dataclasses import replace
+    from pyspark.ml.feature import StringIndexerModel
+    train = spark.createDataFrame([("a", 1.0, "y"), ("b", 2.0, "n"), ("b", 3.0, "y"), ("a", 4.0, "y")],
+                                  "c string, v double, lab string")
+    spec = scoring.ScoringSpec(RuleSet((Range("v", 0, 10), OneOf("c", ("a", "b")))), "lab").exact(max_depth=1)
+    for mode, n_indexers in (("error", 1), ("keep", 2)):
+        f = scoring.fit(train, replace(spec, handle_invalid=mode))
+        assert sum(isinstance(m, StringIndexerModel) for m in f.model.stages) == n_indexers
+        assert f.labels == ["y", "n"]
+        rf = [m for m in f.model.stages if type(m).__name__ == "RandomForestClassificationModel"][0]
+        assert rf.numClasses == 2
+        out = scoring.score(train.drop("lab"), spec, f).collect()
+        assert len(out) == 4 and all(0.0 <= r["probability"] <= 1.0 for r in out)
+
+
 def test_score_keeps_every_input_row_and_column(spark, fitted, tickets):
     out = scoring.score(tickets, T.SPEC, fitted)
     assert out.columns == TF.HEADER + ["prediction", "predictedLabel", "probability"]
