@@ -153,6 +153,16 @@ def test_join_hot_id_stays_linear(spark):
     assert out.where(F.col("prediction") != F.col("v").cast("double") / 3000).count() == 0
 
 
+def test_single_file_only_under_its_bound(spark, tmp_dir):
+    df = spark.range(0, 40, 1, 4).select(F.col("id").cast("string").alias("v"))
+    sinks.write_csv_header(df, f"{tmp_dir}/small", single_file=True, max_rows=40)
+    assert len(spark.read.option("header", True).csv(f"{tmp_dir}/small").inputFiles()) == 1
+    with pytest.warns(UserWarning, match="more than 39 rows"):
+        sinks.write_csv_header(df, f"{tmp_dir}/big", single_file=True, max_rows=39)
+    big = spark.read.option("header", True).csv(f"{tmp_dir}/big")
+    assert big.count() == 40 and len(big.inputFiles()) > 1
+
+
 def test_carry_row_is_one_to_one(spark):
     df = spark.createDataFrame([("1", "x"), ("1", "x")], "id string, v string")
     out = attach.expand_row(attach.carry_row(df, [F.lit(1.0).alias("prediction")]), ["prediction"])
