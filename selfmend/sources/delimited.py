@@ -58,6 +58,12 @@ def drop_repeated_headers(fields: DataFrame, header: Sequence[str]) -> DataFrame
     return fields.where(F.col("fields")[0] != F.lit(header[0]))
 
 
+def drop_repeated_header_lines(lines: DataFrame, header: Sequence[str], sep: str = SEP) -> DataFrame:
+    """S4 on whole lines, before splitting: the first field is the text up to
+    the first ``sep``, so each kept line is split only once, afterwards."""
+    return lines.where(F.substring_index(F.col("value"), sep, 1) != F.lit(header[0]))
+
+
 def all_string_table(fields: DataFrame, header: Sequence[str]) -> DataFrame:
     """Header-named, all-string table. Short rows give ``''`` for the
     missing trailing fields; extra fields are ignored."""
@@ -99,8 +105,8 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    header: Sequence[str] | None = None, sep: str = SEP) -> DataFrame:
     """S1+S2+S3+S4+S5: the whole text path to an all-string table."""
     header = list(header) if header is not None else header_names(spark, path, sep)
-    fields = split_fields(scan_text(spark, path), sep)
-    return all_string_table(drop_repeated_headers(fields, header), header)
+    lines = drop_repeated_header_lines(scan_text(spark, path), header, sep)
+    return all_string_table(split_fields(lines, sep), header)
 
 
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
