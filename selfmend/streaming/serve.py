@@ -25,6 +25,7 @@ its own partial output.
 
 from __future__ import annotations
 
+import re
 import time
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
@@ -100,6 +101,20 @@ def _file_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
+def _literal(path: str) -> str:
+    """A path passed to a reader as itself: glob characters escaped, so a
+    file named ``a[1].csv`` or ``b{2}.csv`` is read, not pattern-matched."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _stream_path() -> F.Column:
+    """``_metadata.file_path`` in the form the file stream reports paths:
+    the metadata path is URI-encoded (space -> %20, % -> %25), the stream's
+    is not. URI path encoding leaves ``+`` alone, so it is protected from
+    ``url_decode``."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: ScoringSpec,
                   fitted: Fitted, cfg: ServeConfig) -> None:
     """T1's body for one micro-batch."""
@@ -136,8 +151,8 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
             continue
         # one scan per header group, kept for the count and the write (blocks
         # lost with an executor are re-read from the files)
-        df = (read_csv_strings(spark, files, header, corrupt_column=CORRUPT)
-              .withColumn("source_path", F.col("_metadata.file_path"))
+        df = (read_csv_strings(spark, [_literal(p) for p in files], header, corrupt_column=CORRUPT)
+              .withColumn("source_path", _stream_path())
               .persist(StorageLevel.MEMORY_AND_DISK))
         persisted.append(df)
         missing = quality.missing_columns(header, spec.rules)

@@ -74,3 +74,39 @@ def test_stream_scores_checks_and_quarantines(spark, tmp_dir):
         for d, _, files in os.walk(root):
             names |= set(files)
     assert {"a.csv", "b.csv", "c.csv", "d.csv", "e.csv", "f.csv"} <= names
+
+
+def test_retried_batch_replaces_its_output(spark, tmp_dir):
+    """A micro-batch run again (e.g. after a failure before its commit)
+    overwrites its own outputs instead of adding to them."""
+    from selfmend.streaming.serve import process_batch
+    landing = f"{tmp_dir}/landing"
+    write_lines(f"{landing}/a.csv", TF.ticket_lines())
+    write_lines(f"{landing}/f.csv", _ragged(TF.ticket_lines()))
+    fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None)
+    batch = spark.createDataFrame([(f"file:{landing}/a.csv",), (f"file:{landing}/f.csv",)], "path string")
+    for _ in range(2):
+        process_batch(spark, batch, 7, T.SPEC, fitted, cfg)
+    assert spark.read.json(cfg.output).count() == 44 + 41
+    assert spark.read.json(cfg.quarantine).count() == 3
+    assert spark.read.parquet(cfg.metrics).count() == 2
+
+
+def test_file_names_with_spaces_percent_and_glob_characters(spark, tmp_dir):
+    """Metadata paths are URI-encoded and reader paths are globs: names with
+    a space, %, + or [ ] { } still get their rows counted and scored."""
+    landing = f"{tmp_dir}/landing"
+    names = ["工单 11.csv", "a+b [2].csv", "p%41{x}.csv"]
+    for name in names:
+        write_lines(f"{landing}/{name}", TF.ticket_lines())
+    fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None)
+    serve(spark, T.SPEC, fitted, cfg).awaitTermination()
+    m = {r["source_file"]: (r["status"], r["n_rows"]) for r in spark.read.parquet(cfg.metrics).collect()}
+    assert m == {n: (0, 44) for n in names}
+    out = spark.read.json(cfg.output)
+    assert {r["source_file"]: r["n"] for r in out.groupBy("source_file").agg(F.count("*").alias("n")).collect()} \
+        == {n: 44 for n in names}
