@@ -1,13 +1,24 @@
-"""Source-file lineage from the scan's hidden ``_metadata`` column."""
+"""Source-file lineage from the scan's hidden ``_metadata`` column.
+
+``_metadata.file_path`` and ``file_name`` are URI-encoded (a space is
+``%20``, ``%`` is ``%25``); these helpers decode them to the names the file
+system and the file stream use. URI path encoding leaves ``+`` alone, so it
+is protected from ``url_decode`` (which would read it as a space).
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _decoded(c: Column) -> Column:
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def source_file_path() -> Column:
-    return F.col("_metadata.file_path")
+    """Full path of the file a row was read from, as the file stream reports it."""
+    return _decoded(F.col("_metadata.file_path"))
 
 
 def source_file_name() -> Column:
     """Last path segment of the file a row was read from."""
-    return F.col("_metadata.file_name")
+    return _decoded(F.col("_metadata.file_name"))

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from selfmend.functions.files import source_file_name
 from selfmend.functions.numeric import strict_double
 from selfmend.operators import attach, features, model, quality, sinks, stats
 from selfmend.plans import scoring, standins as S
@@ -123,7 +124,7 @@ def fn_strict_numeric(spark, sf):
 
 @query("fn_source_file_name")
 def fn_source_file_name(spark, sf):
-    lines = src.scan_text(spark, _orders_dir(spark, sf)).select(F.col("_metadata.file_name").alias("f"))
+    lines = src.scan_text(spark, _orders_dir(spark, sf)).select(source_file_name().alias("f"))
     return lines.agg(F.count_distinct("f").alias("n_files"), F.count(F.lit(1)).alias("n_lines"),
                      F.min(F.regexp_extract("f", r"\.([a-z]+)$", 1)).alias("extension"))
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from selfmend.functions.files import source_file_name
 from selfmend.functions.numeric import strict_double
 
 SEP = ","
@@ -130,7 +131,7 @@ def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
           .option("columnNameOfCorruptRecord", corrupt_column or "_corrupt_record")
           .csv(path))
     if with_source:
-        df = df.withColumn("source_file", F.col("_metadata.file_name"))
+        df = df.withColumn("source_file", source_file_name())
     return df.na.fill("", list(header))
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from selfmend.functions.files import source_file_path
 from selfmend.operators import quality, sinks
 from selfmend.plans.scoring import Fitted, ScoringSpec, score
 from selfmend.sources.delimited import SEP, read_csv_strings
@@ -107,14 +108,6 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _stream_path() -> F.Column:
-    """``_metadata.file_path`` in the form the file stream reports paths:
-    the metadata path is URI-encoded (space -> %20, % -> %25), the stream's
-    is not. URI path encoding leaves ``+`` alone, so it is protected from
-    ``url_decode``."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-
-
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: ScoringSpec,
                   fitted: Fitted, cfg: ServeConfig) -> None:
     """T1's body for one micro-batch."""
@@ -152,7 +145,7 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
         # one scan per header group, kept for the count and the write (blocks
         # lost with an executor are re-read from the files)
         df = (read_csv_strings(spark, [_literal(p) for p in files], header, corrupt_column=CORRUPT)
-              .withColumn("source_path", _stream_path())
+              .withColumn("source_path", source_file_path())
               .persist(StorageLevel.MEMORY_AND_DISK))
         persisted.append(df)
         missing = quality.missing_columns(header, spec.rules)
