@@ -110,9 +110,22 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     return all_string_table(split_fields(lines, sep), header)
 
 
+# Charsets Spark's readers accept without the JDK-charset switch.
+STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
+
+
+def allow_charset(spark: SparkSession, encoding: str) -> None:
+    """Readers take only Unicode/Latin-1 charsets by default; a file in GBK
+    (or another JDK charset) needs ``spark.sql.legacy.javaCharsets``, which is
+    switched on only when such an encoding is asked for."""
+    if encoding.lower() not in STANDARD_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
                      header: Sequence[str], sep: str = SEP,
-                     with_source: bool = False, corrupt_column: str | None = None) -> DataFrame:
+                     with_source: bool = False, corrupt_column: str | None = None,
+                     encoding: str = "UTF-8") -> DataFrame:
     """CSV reader with quoting off: every column string, blanks as ``''``.
 
     The header line of every file is skipped by the reader; columns are
@@ -124,8 +137,9 @@ def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
     if corrupt_column:
         fields.append(StructField(corrupt_column, StringType(), True))
     schema = StructType(fields)
+    allow_charset(spark, encoding)
     df = (spark.read.schema(schema)
-          .option("header", True).option("sep", sep)
+          .option("header", True).option("sep", sep).option("encoding", encoding)
           .option("quote", "").option("escape", "")
           .option("mode", "PERMISSIVE").option("enforceSchema", True)
           .option("columnNameOfCorruptRecord", corrupt_column or "_corrupt_record")
@@ -139,5 +153,6 @@ def csv_inferred(spark: SparkSession, path: str | Sequence[str],
                  encoding: str = "UTF-8", sep: str = SEP) -> DataFrame:
     """CSV with header and type inference (extra pass over the data;
     prefer an explicit schema in production)."""
+    allow_charset(spark, encoding)
     return (spark.read.option("header", True).option("inferSchema", True)
             .option("encoding", encoding).option("sep", sep).csv(path))

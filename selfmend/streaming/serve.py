@@ -68,6 +68,7 @@ class ServeConfig:
     max_files_per_trigger: int | None = 1000    # bounds one micro-batch
     processing_time: str | None = "10 seconds"   # None -> availableNow (drain and stop)
     output_format: str = "json"
+    encoding: str = "UTF-8"                      # landing files' charset (e.g. GBK)
 
 
 def landing_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
@@ -83,7 +84,7 @@ def landing_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
     return reader.load(landing).select("path", "length")
 
 
-def first_line(spark: SparkSession, path: str) -> str:
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     """The first line of a file, read through the Hadoop file system (one
     line, on the driver) -- works for any scheme the cluster can read."""
     jvm = spark.sparkContext._jvm
@@ -91,7 +92,7 @@ def first_line(spark: SparkSession, path: str) -> str:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     stream = fs.open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
         line = reader.readLine()
     finally:
         stream.close()
@@ -119,7 +120,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
     # HEADER_READERS run at once (a micro-batch holds at most
     # ``max_files_per_trigger`` paths)
     with ThreadPoolExecutor(max_workers=min(HEADER_READERS, len(paths))) as pool:
-        lines = list(pool.map(lambda p: first_line(spark, p), paths))
+        lines = list(pool.map(lambda p: first_line(spark, p, cfg.encoding), paths))
     by_header: dict[tuple, list[str]] = defaultdict(list)
     for p, line in zip(paths, lines):
         by_header[tuple(line.split(SEP)) if line else ()].append(p)
@@ -144,7 +145,8 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
             continue
         # one scan per header group, kept for the count and the write (blocks
         # lost with an executor are re-read from the files)
-        df = (read_csv_strings(spark, [_literal(p) for p in files], header, corrupt_column=CORRUPT)
+        df = (read_csv_strings(spark, [_literal(p) for p in files], header, corrupt_column=CORRUPT,
+                               encoding=cfg.encoding)
               .withColumn("source_path", source_file_path())
               .persist(StorageLevel.MEMORY_AND_DISK))
         persisted.append(df)

@@ -133,3 +133,13 @@ def test_catalogue_shape():
     assert len(T.CATALOGUE) == 33
     assert sum(not r.enforced for r in T.CATALOGUE) == 15
     assert T.TRAINING_ORDER[12:14] == T.RULES.numeric
+
+
+def test_csv_inferred_reads_gbk(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/gbk")
+    with open(f"{tmp_dir}/gbk/a.csv", "wb") as f:
+        f.write("地市,告警触发次数\n杭州,3\n宁波,5\n".encode("gbk"))
+    df = src.csv_inferred(spark, f"{tmp_dir}/gbk", encoding="GBK")
+    assert df.columns == ["地市", "告警触发次数"]
+    assert sorted(tuple(r) for r in df.collect()) == [("宁波", 5), ("杭州", 3)]

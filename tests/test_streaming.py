@@ -110,3 +110,20 @@ def test_file_names_with_spaces_percent_and_glob_characters(spark, tmp_dir):
     out = spark.read.json(cfg.output)
     assert {r["source_file"]: r["n"] for r in out.groupBy("source_file").agg(F.count("*").alias("n")).collect()} \
         == {n: 44 for n in names}
+
+
+def test_gbk_landing_files(spark, tmp_dir):
+    """Landing files in GBK: header and rows decoded with the configured charset."""
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    with open(f"{landing}/g.csv", "wb") as f:
+        f.write(("\n".join(TF.ticket_lines()) + "\n").encode("gbk"))
+    fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None,
+                      encoding="GBK")
+    serve(spark, T.SPEC, fitted, cfg).awaitTermination()
+    assert [(r["status"], r["n_rows"]) for r in spark.read.parquet(cfg.metrics).collect()] == [(0, 44)]
+    out = spark.read.json(cfg.output)
+    want = sorted(line.split(",")[TF.HEADER.index("地市")] for line in TF.ticket_lines()[1:])
+    assert sorted(r["地市"] for r in out.collect()) == want
