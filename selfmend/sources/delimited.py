@@ -6,7 +6,7 @@ and the empty string (not NULL) means "missing". Two equivalent read paths:
 
 * text path  -- ``scan_text`` -> ``split_fields`` -> ``drop_repeated_headers``
   -> ``all_string_table``: tolerant of concatenated files with repeated
-  headers;
+  headers; empty lines are skipped, as the CSV reader skips them;
 * CSV path   -- ``read_csv_strings``: the CSV reader with quoting off, used by
   the streaming job (one header per file, columns taken by name).
 
@@ -106,7 +106,9 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
                    header: Sequence[str] | None = None, sep: str = SEP) -> DataFrame:
     """S1+S2+S3+S4+S5: the whole text path to an all-string table."""
     header = list(header) if header is not None else header_names(spark, path, sep)
-    lines = drop_repeated_header_lines(scan_text(spark, path), header, sep)
+    # an empty line holds no record (the CSV path skips it too)
+    lines = scan_text(spark, path).where(F.col("value") != "")
+    lines = drop_repeated_header_lines(lines, header, sep)
     return all_string_table(split_fields(lines, sep), header)
 
 

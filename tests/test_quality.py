@@ -99,7 +99,7 @@ def test_batch_status_codes(spark, tickets):
 
 
 def test_text_path_repeated_headers_trailing_blanks_short_rows(spark, tmp_dir):
-    lines = ["a,b,c", "1,x,", "a,b,c", "2,,", "3", "4,y,z,extra"]
+    lines = ["a,b,c", "1,x,", "", "a,b,c", "2,,", "3", "4,y,z,extra", ""]
     path = write_lines(f"{tmp_dir}/t.csv", lines)
     df = src.read_delimited(spark, path)
     assert [tuple(r) for r in df.collect()] == [("1", "x", ""), ("2", "", ""), ("3", "", ""), ("4", "y", "z")]
