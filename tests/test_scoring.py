@@ -141,6 +141,15 @@ def test_join_attaches_each_row_its_own_result(spark):
         ("", "b1", 0.7), ("", "b2", 0.8), ("1", "x", 0.9), ("1", "x", 0.9), ("1", "y", 0.1), ("3", "z", None)]
 
 
+def test_join_matches_null_key_fields(spark):
+    left = spark.createDataFrame([("1", None, 2.0), ("2", "x", None), (None, None, None)],
+                                 "id string, v string, d double")
+    res = left.select("*", F.lit(1.0).alias("prediction"), F.lit("A").alias("predictedLabel"),
+                      F.lit(0.5).alias("probability"))
+    out = attach.join_results(left, res, "id").collect()
+    assert len(out) == 3 and all(r["probability"] == 0.5 for r in out)
+
+
 def test_join_hot_id_stays_linear(spark):
     """An id held by a third of all rows does not multiply."""
     left = spark.range(3000).select(
