@@ -143,3 +143,16 @@ def test_csv_inferred_reads_gbk(spark, tmp_dir):
     df = src.csv_inferred(spark, f"{tmp_dir}/gbk", encoding="GBK")
     assert df.columns == ["地市", "告警触发次数"]
     assert sorted(tuple(r) for r in df.collect()) == [("宁波", 5), ("杭州", 3)]
+
+
+def test_crlf_lines_leave_no_carriage_return(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/crlf")
+    lines = TF.ticket_lines()
+    with open(f"{tmp_dir}/crlf/a.csv", "wb") as f:
+        f.write(("\r\n".join(lines) + "\r\n").encode("utf-8"))
+    header = lines[0].split(",")
+    for df in (src.read_delimited(spark, f"{tmp_dir}/crlf"),
+               src.read_csv_strings(spark, f"{tmp_dir}/crlf", header)):
+        assert df.columns[-1] == header[-1] and df.count() == TF.N
+        assert df.where(F.col(f"`{header[-1]}`").contains("\r")).count() == 0
