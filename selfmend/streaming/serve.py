@@ -15,6 +15,8 @@ moved it away. Here:
       fields is quarantined with status 3, the file's other rows are scored;
 * T2  the fitted model and fill values are closed over by the batch function;
 * T4  one metrics row per file (batch id, file, rows, status, seconds);
+      scored and quarantined rows keep ``source_path``, so files of the same
+      name in different sub-folders stay apart;
 * T3  ``cleanSource=archive`` moves processed files to an archive folder;
       input is never deleted.
 
@@ -164,15 +166,15 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
         with_name = df.withColumn("source_file", F.regexp_extract("source_path", r"([^/]+)$", 1))
         part = f"batch_id={batch_id}/group={group}"
         if missing:
-            bad = with_name.drop("source_path", CORRUPT).withColumn("status", F.lit(quality.MISSING_COLUMNS))
+            bad = with_name.drop(CORRUPT).withColumn("status", F.lit(quality.MISSING_COLUMNS))
             sinks.write_json(bad, f"{cfg.quarantine}/{part}/reason=missing_columns", partition_by="source_file")
             continue
         if any_ragged:
-            ragged = (with_name.where(F.col(CORRUPT).isNotNull()).drop("source_path")
+            ragged = (with_name.where(F.col(CORRUPT).isNotNull())
                       .withColumn("status", F.lit(RAGGED)))
             sinks.write_json(ragged, f"{cfg.quarantine}/{part}/reason=ragged", partition_by="source_file")
         if any_ok:
-            good = with_name.where(F.col(CORRUPT).isNull()).drop("source_path", CORRUPT)
+            good = with_name.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
             result = score(good, spec, fitted)
             writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(
                 cfg.output_format, sinks.write_json)

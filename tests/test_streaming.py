@@ -127,3 +127,17 @@ def test_gbk_landing_files(spark, tmp_dir):
     out = spark.read.json(cfg.output)
     want = sorted(line.split(",")[TF.HEADER.index("地市")] for line in TF.ticket_lines()[1:])
     assert sorted(r["地市"] for r in out.collect()) == want
+
+
+def test_same_file_name_in_two_folders_stays_apart(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    for day in ("day1", "day2"):
+        write_lines(f"{landing}/{day}/a.csv", TF.ticket_lines())
+    fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None)
+    serve(spark, T.SPEC, fitted, cfg).awaitTermination()
+    out = spark.read.json(cfg.output)
+    by_path = {r["source_path"].split("/landing/")[1]: r["n"]
+               for r in out.groupBy("source_path").agg(F.count("*").alias("n")).collect()}
+    assert by_path == {"day1/a.csv": 44, "day2/a.csv": 44}
