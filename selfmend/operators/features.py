@@ -89,6 +89,18 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str],
     return stages
 
 
+def vocabularies(model: PipelineModel) -> dict[str, list[str]]:
+    """Category column -> its fitted vocabulary (index order); the label's is
+    left out."""
+    out = {}
+    for m in model.stages:
+        if isinstance(m, StringIndexerModel):
+            ins = m.getInputCols() if m.isSet("inputCols") else [m.getInputCol()]
+            outs = m.getOutputCols() if m.isSet("outputCols") else [m.getOutputCol()]
+            out.update({c: list(v) for c, o, v in zip(ins, outs, m.labelsArray) if o != LABEL})
+    return out
+
+
 def label_labels(model: PipelineModel) -> list[str]:
     """The label vocabulary (index order) of a fitted feature pipeline."""
     for m in model.stages:

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selfmend.functions.numeric import strict_double
@@ -152,6 +152,22 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     return Fitted(PipelineModel(stages=list(fitted.stages) + [decoder]), fill)
 
 
+def unseen(df: DataFrame, spec: ScoringSpec, fitted: Fitted) -> Column:
+    """True for rows that ``score`` cannot encode under ``handle_invalid='error'``:
+    a category whose checked and filled value is outside the fitted
+    vocabulary (or still NULL). One ``InSet`` lookup per category; the
+    vocabularies are bounded by ``max_categories``."""
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    vocab = features.vocabularies(fitted.model)
+    out = F.lit(False)
+    for c in spec.categorical:
+        v = spec.rules.rule(c).checked(types[c])
+        if fitted.fill.get(c) is not None:
+            v = F.coalesce(v, F.lit(fitted.fill[c]))
+        out = out | v.isNull() | ~v.isin(vocab[c])
+    return out
+
+
 def score(df: DataFrame, spec: ScoringSpec, fitted: Fitted) -> DataFrame:
     """M7: input columns + ``prediction``, ``predictedLabel``, ``probability``
     (P of class index 1). One output row per input row; lazy."""

@@ -12,7 +12,9 @@ moved it away. Here:
       files that share a header and reads each group with **one** CSV scan;
 * P4/P3 per file: no data rows -> status 1, required column missing ->
       status 2 (its rows are quarantined, T5); a row with too few or too many
-      fields is quarantined with status 3, the file's other rows are scored;
+      fields is quarantined with status 3, a row with a category outside the
+      fitted vocabulary (``handle_invalid='error'``) with status 4; the
+      file's other rows are scored;
 * T2  the fitted model and fill values are closed over by the batch function;
 * T4  one metrics row per file (batch id, file, rows, status, seconds);
       scored and quarantined rows keep ``source_path``, so files of the same
@@ -41,7 +43,7 @@ from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, St
 
 from selfmend.functions.files import source_file_path
 from selfmend.operators import quality, sinks
-from selfmend.plans.scoring import Fitted, ScoringSpec, score
+from selfmend.plans.scoring import Fitted, ScoringSpec, score, unseen
 from selfmend.sources.delimited import SEP, read_csv_strings
 
 BINARY_FILE_SCHEMA = StructType([
@@ -51,9 +53,10 @@ BINARY_FILE_SCHEMA = StructType([
     StructField("content", BinaryType(), True),
 ])
 
-METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, n_ragged long, "
+METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, n_ragged long, n_unseen long, "
                   "status int, missing string, elapsed_s double")
 RAGGED = 3          # row-level status: wrong number of fields, quarantined
+UNSEEN = 4          # row-level status: a category outside the fitted vocabulary, quarantined
 CORRUPT = "_corrupt_record"
 HEADER_READERS = 32  # concurrent header reads per micro-batch (latency-bound opens)
 
@@ -143,7 +146,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
 def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, persisted) -> None:
     for group, (header, files) in enumerate(sorted(by_header.items())):
         if not header:                      # zero-byte file: nothing to read
-            metrics += [(_file_name(p), p, 0, 0, quality.EMPTY, "", 0.0) for p in files]
+            metrics += [(_file_name(p), p, 0, 0, 0, quality.EMPTY, "", 0.0) for p in files]
             continue
         # one scan per header group, kept for the count and the write (blocks
         # lost with an executor are re-read from the files)
@@ -153,16 +156,23 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
               .persist(StorageLevel.MEMORY_AND_DISK))
         persisted.append(df)
         missing = quality.missing_columns(header, spec.rules)
-        counts = {r["source_path"]: (r["n"], r["r"]) for r in
+        # under 'error', a row the model cannot encode would fail the whole
+        # batch -- and, replayed from the checkpoint, every restart: such rows
+        # are quarantined instead (T5) and the rest of the file is scored
+        bad_code = (unseen(df, spec, fitted) & F.col(CORRUPT).isNull()
+                    if not missing and spec.handle_invalid == "error" else F.lit(False))
+        counts = {r["source_path"]: (r["n"], r["r"], r["u"]) for r in
                   df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n"),
-                                                F.count(CORRUPT).alias("r")).collect()}
-        any_ok = any_ragged = False
+                                                F.count(CORRUPT).alias("r"),
+                                                F.count_if(bad_code).alias("u")).collect()}
+        any_ok = any_ragged = any_unseen = False
         for p in files:
-            n, r = counts.get(p, (0, 0))
+            n, r, u = counts.get(p, (0, 0, 0))
             code = quality.EMPTY if n == 0 else (quality.MISSING_COLUMNS if missing else quality.OK)
             any_ok |= code == quality.OK
             any_ragged |= r > 0
-            metrics.append((_file_name(p), p, int(n), int(r), code, ",".join(missing), 0.0))
+            any_unseen |= u > 0
+            metrics.append((_file_name(p), p, int(n), int(r), int(u), code, ",".join(missing), 0.0))
         with_name = df.withColumn("source_file", F.regexp_extract("source_path", r"([^/]+)$", 1))
         part = f"batch_id={batch_id}/group={group}"
         if missing:
@@ -175,6 +185,11 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
             sinks.write_json(ragged, f"{cfg.quarantine}/{part}/reason=ragged", partition_by="source_file")
         if any_ok:
             good = with_name.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            if any_unseen:
+                flag = unseen(good, spec, fitted)
+                sinks.write_json(good.where(flag).withColumn("status", F.lit(UNSEEN)),
+                                 f"{cfg.quarantine}/{part}/reason=unseen_category", partition_by="source_file")
+                good = good.where(~flag)
             result = score(good, spec, fitted)
             writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(
                 cfg.output_format, sinks.write_json)

@@ -141,3 +141,25 @@ def test_same_file_name_in_two_folders_stays_apart(spark, tmp_dir):
     by_path = {r["source_path"].split("/landing/")[1]: r["n"]
                for r in out.groupBy("source_path").agg(F.count("*").alias("n")).collect()}
     assert by_path == {"day1/a.csv": 44, "day2/a.csv": 44}
+
+
+def test_unseen_category_rows_are_quarantined_not_fatal(spark, tmp_dir):
+    """Under handle_invalid='error' a category the model never saw would fail
+    the batch on every replay; the stream quarantines those rows (status 4)
+    and scores the rest."""
+    from selfmend.functions.rules import OneOf, Range, RuleSet
+    rules = RuleSet((Range("n", 0, 10), OneOf("c", ("a", "b", "z"))))
+    train = spark.createDataFrame([("1", "a", "y"), ("2", "b", "n"), ("3", "a", "y"), ("4", "b", "n")],
+                                  "n string, c string, lab string")
+    spec = scoring.ScoringSpec(rules, "lab", num_trees=3, max_depth=2)
+    fitted = scoring.fit(train, spec)
+    landing = f"{tmp_dir}/landing"
+    write_lines(f"{landing}/a.csv", ["n,c", "5,a", "6,z", "7,b", "8,q"])
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None)
+    serve(spark, spec, fitted, cfg).awaitTermination()
+    m = spark.read.parquet(cfg.metrics).collect()
+    assert [(r["status"], r["n_rows"], r["n_unseen"]) for r in m] == [(0, 4, 1)]
+    assert sorted(r["n"] for r in spark.read.json(cfg.output).collect()) == ["5", "7", "8"]
+    q = spark.read.json(cfg.quarantine).collect()
+    assert [(r["n"], r["c"], r["status"], r["reason"]) for r in q] == [("6", "z", 4, "unseen_category")]
