@@ -114,6 +114,24 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+def unique_names(header) -> tuple[list[str], list[str]]:
+    """Header names made unique (a repeated ``x`` becomes ``x_2``, ``x_3``,
+    ...) and the names that were repeated."""
+    taken, names, repeated = set(header), [], []
+    count: dict[str, int] = defaultdict(int)
+    for h in header:
+        count[h] += 1
+        name, k = h, count[h]
+        if k > 1:
+            repeated.append(h)
+            while f"{h}_{k}" in taken:
+                k += 1
+            name = f"{h}_{k}"
+            taken.add(name)
+        names.append(name)
+    return names, sorted(set(repeated))
+
+
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: ScoringSpec,
                   fitted: Fitted, cfg: ServeConfig) -> None:
     """T1's body for one micro-batch."""
@@ -150,12 +168,16 @@ def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, pers
             continue
         # one scan per header group, kept for the count and the write (blocks
         # lost with an executor are re-read from the files)
-        df = (read_csv_strings(spark, [_literal(p) for p in files], header, corrupt_column=CORRUPT,
+        # a repeated name is renamed; a repeated *required* column is
+        # ambiguous and the file is treated like one missing it (status 2)
+        names, repeated = unique_names(header)
+        df = (read_csv_strings(spark, [_literal(p) for p in files], names, corrupt_column=CORRUPT,
                                encoding=cfg.encoding)
               .withColumn("source_path", source_file_path())
               .persist(StorageLevel.MEMORY_AND_DISK))
         persisted.append(df)
-        missing = quality.missing_columns(header, spec.rules)
+        required = set(spec.rules.numeric + spec.rules.categorical)
+        missing = quality.missing_columns(names, spec.rules) + [c for c in repeated if c in required]
         # under 'error', a row the model cannot encode would fail the whole
         # batch -- and, replayed from the checkpoint, every restart: such rows
         # are quarantined instead (T5) and the rest of the file is scored

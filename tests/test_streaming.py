@@ -163,3 +163,27 @@ def test_unseen_category_rows_are_quarantined_not_fatal(spark, tmp_dir):
     assert sorted(r["n"] for r in spark.read.json(cfg.output).collect()) == ["5", "7", "8"]
     q = spark.read.json(cfg.quarantine).collect()
     assert [(r["n"], r["c"], r["status"], r["reason"]) for r in q] == [("6", "z", 4, "unseen_category")]
+
+
+def test_repeated_header_names(spark, tmp_dir):
+    """A repeated optional column is renamed and the file scored; a repeated
+    required column is ambiguous: status 2, rows quarantined. Neither fails
+    the batch."""
+    from selfmend.functions.rules import OneOf, Range, RuleSet
+    rules = RuleSet((Range("n", 0, 10), OneOf("c", ("a", "b"))))
+    train = spark.createDataFrame([("1", "a", "y"), ("2", "b", "n"), ("3", "a", "y"), ("4", "b", "n")],
+                                  "n string, c string, lab string")
+    spec = scoring.ScoringSpec(rules, "lab", num_trees=3, max_depth=2)
+    fitted = scoring.fit(train, spec)
+    landing = f"{tmp_dir}/landing"
+    write_lines(f"{landing}/opt.csv", ["n,c,note,note", "5,a,x,y", "6,b,,"])
+    write_lines(f"{landing}/req.csv", ["n,c,c", "7,a,b"])
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None)
+    serve(spark, spec, fitted, cfg).awaitTermination()
+    m = {r["source_file"]: (r["status"], r["n_rows"], r["missing"]) for r in spark.read.parquet(cfg.metrics).collect()}
+    assert m == {"opt.csv": (0, 2, ""), "req.csv": (2, 1, "c")}
+    out = spark.read.json(cfg.output)
+    assert sorted((r["n"], r["note"], r["note_2"]) for r in out.collect()) == [("5", "x", "y"), ("6", "", "")]
+    q = spark.read.json(cfg.quarantine).collect()
+    assert [(r["n"], r["status"]) for r in q] == [("7", 2)]
