@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from selfmend.llm import langid, packing, secret_scan
+from selfmend.llm import icws, langid, packing, secret_scan, site_lines
 from selfmend.llm.common import materialised, table
 from selfmend.llm.queries import _tokenizer
 
@@ -18,6 +18,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: lines that stand on too many pages of their source go."""
+    return site_lines.drop_boilerplate(docs, "source")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: one document of each class of near duplicates stays."""
+    return icws.one_of_each(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: secrets are masked in the text; every document stays."""
     return secret_scan.mask_documents(docs)
@@ -30,6 +40,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language),
+    ("line_dedup", lines),
+    ("near_dedup", near_copies),
     ("secret_scan", secrets),
     ("packing", packed),
 ]

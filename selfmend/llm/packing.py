@@ -41,7 +41,7 @@ CACHED_LENGTH = 64
 #: New words encoded in one string.
 WORDS_A_LINE = 1024
 #: Pieces of one length are numbered in groups of about this many.
-RANK_GROUP = 50_000
+RANK_GROUP = 5_000
 _SALTS = 1 << 20
 _PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long, salt int"
 
