@@ -24,6 +24,8 @@ are not read.
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,7 +56,7 @@ def _blocks(vectors: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
     """``dim, <name>, ids, vectors``: about ``rows`` vectors packed to a row."""
     n = max(1, -(-vectors.count() // rows))
 
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: Any, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
         v = np.stack(pdf["v"].to_numpy()).astype(np.int64) if key[0] else np.zeros((len(pdf), 0), np.int64)
         return pd.DataFrame({"dim": [key[0]], name: [key[1]], "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
