@@ -89,8 +89,8 @@ def parsed(messages: DataFrame) -> DataFrame:
     has_quote = F.exists("passages", lambda p: p["level"] > 0)
     clean = F.when(has_quote, F.trim(F.array_join(kept, "\n"), F.lit(" \t\r\n"))).otherwise(F.col("text"))
     return rows.select("conv_id", "turn", "role", "copies", "mid", clean.alias("text"),
-                       F.array_distinct(F.concat(units(F.array_join(kept, "\n")),
-                                                 F.flatten(F.transform(own, units)))).alias("own"),
+                       F.transform(F.array_distinct(F.concat(units(F.array_join(kept, "\n")), F.flatten(F.transform(own, units)))),
+                                   lambda u: F.unhex(F.md5(u.cast("binary")))).alias("own"),
                        F.array_distinct(F.flatten(quoted)).alias("quoted"))
 
 
@@ -99,10 +99,9 @@ def sources(rows: DataFrame) -> DataFrame:
     earlier message that holds most of what is quoted."""
     known = rows.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     block = F.expr(f"floor(turn / {BLOCK_TURNS})")
-    held = known.select("conv_id", F.explode("own").alias("unit"), "turn", "mid", block.alias("block")) \
-        .withColumn("unit", F.md5(F.col("unit").cast("binary")))
+    held = known.select("conv_id", F.explode("own").alias("unit"), "turn", "mid", block.alias("block"))
     asked = known.select("conv_id", F.explode("quoted").alias("q"), "turn", "mid", block.alias("block")) \
-        .select("conv_id", F.md5(F.col("q.unit").cast("binary")).alias("unit"), "turn", "mid", "block", "q.level",
+        .select("conv_id", F.unhex(F.md5(F.col("q.unit").cast("binary"))).alias("unit"), "turn", "mid", "block", "q.level",
                 F.length("q.unit").cast("long").alias("weight"))
     # only units that somebody quotes take part
     wanted = asked.select("conv_id", "unit").distinct()
@@ -156,7 +155,7 @@ def conversations(messages: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("level", "src_turn"))),
                                  lambda x: F.concat_ws(":", x["level"].cast("string"), x["src_turn"].cast("string"))), ",").alias("quotes"))
     parents = materialised(parents.select("mid", "p.src_turn", "p.src_mid", "quotes"), "parents")
-    placed = (rows.drop("own", "quoted").join(parents, "mid", "left").join(threads(parents), "mid", "left")
+    placed = (rows.select("mid", "turn").join(parents, "mid", "left").join(threads(parents), "mid", "left")
               .withColumn("root_turn", F.coalesce("root_turn", "turn")).withColumn("root_mid", F.coalesce("root_mid", "mid"))
               .withColumn("block", F.expr(f"floor(turn / {BLOCK_TURNS})")))
     placed = materialised(placed, "placed")
@@ -166,10 +165,12 @@ def conversations(messages: DataFrame) -> DataFrame:
     inside = Window.partitionBy("root_mid", "block").orderBy("turn", "mid")
     numbered = placed.withColumn("row", F.row_number().over(inside) - 1)
     joined = numbered.join(materialised(counts, "counts"), ["root_mid"]).where(F.col("block").eqNullSafe(F.col("of_block")))
-    return joined.select("conv_id", "turn", "role", "copies", F.col("root_turn").alias("thread_turn"),
-                         (F.col("before") + F.col("row")).alias("position"),
-                         F.coalesce("depth", F.lit(0)).cast("long").alias("reply_depth"),
-                         F.col("src_turn").alias("parent_turn"), F.coalesce("quotes", F.lit("")).alias("quotes"), "text")
+    # the texts join last, once
+    order = joined.select("mid", F.col("root_turn").alias("thread_turn"), (F.col("before") + F.col("row")).alias("position"),
+                          F.coalesce("depth", F.lit(0)).cast("long").alias("reply_depth"),
+                          F.col("src_turn").alias("parent_turn"), F.coalesce("quotes", F.lit("")).alias("quotes"))
+    return rows.join(order, "mid").select("conv_id", "turn", "role", "copies", "thread_turn", "position", "reply_depth",
+                                          "parent_turn", "quotes", "text")
 
 
 ORACLE = rf"""
