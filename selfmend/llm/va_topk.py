@@ -164,7 +164,7 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     def meet(queries: DataFrame, columns: list[str]) -> DataFrame:
         spread = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
         own = file.select("dim", "chunk", F.col("ids").alias("chunk_ids"), *columns)
-        return spread.join(own, ["dim", "chunk"])
+        return spread.join(own.hint("merge"), ["dim", "chunk"])     # never broadcast: both sides grow
 
     def cells_of(r) -> np.ndarray:
         return np.frombuffer(r.cells, np.uint8).reshape(-1, r.dim)
