@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from selfmend.session import scratch_path
 
 #: Texts are handed to numpy in slices of about this many bytes.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +87,7 @@ def runs(inside: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
