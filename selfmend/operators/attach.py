@@ -1,16 +1,15 @@
 """Attaching results to input rows, and the preview limit.
 
-Two semantics:
-
 * ``carry_row`` / ``expand_row`` (J3, the scoring path): the input row rides
   through the transformation as one struct column, so every input row gets
   exactly its own result -- no join, no shuffle, no driver zip.
-* ``join_results`` (J1+J2, attach by id): a left outer join of input rows
-  to results on the id **and the row's own values**, so every input row gets
-  exactly the result computed for it and no input row is lost; blank ids
-  match each other. The reference joined on the id alone, which for an id
-  held by k rows emits all k x k pairs of the id group -- quadratic for a hot
-  id. For unique ids (the reference's data) both give the same rows.
+* ``with_row_ids`` / ``join_by_row_id`` (J1+J2): the input is written once with
+  a unique row id, scored from that copy, and the results joined back on the
+  row id. Ids that repeat or are blank are of no concern, and the key is
+  unique on both sides, so no group is larger than one row.
+* ``join_results`` (J1+J2 for results that hold only the id): one output row
+  per input row. An id with differing results cannot be attached and is an
+  error (the reference emitted every pair of such rows).
 """
 
 from __future__ import annotations
@@ -20,9 +19,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from selfmend.session import scratch_path
+
 RESULT_COLUMNS = ("prediction", "predictedLabel", "probability")
 ROW = "_row"
 KEY = "_match_key"
+ROW_ID = "_row_id"
 
 
 def carry_row(df: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
@@ -35,42 +37,46 @@ def expand_row(df: DataFrame, extra: Sequence[str | Column] = RESULT_COLUMNS) ->
     return df.select(f"{ROW}.*", *extra)
 
 
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """``df`` with a unique ``_row_id``, written to the shared scratch folder
+    and read back, so that every later use sees the same ids."""
+    path = scratch_path(df.sparkSession, "row-ids")
+    keyed = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    keyed.write.parquet(path)
+    return df.sparkSession.read.schema(keyed.schema).parquet(path)
+
+
+def join_by_row_id(left: DataFrame, results: DataFrame,
+                   result_columns: Sequence[str] = RESULT_COLUMNS) -> DataFrame:
+    """J1 + J2: all left columns in their order (without ``_row_id``) plus the
+    result columns, matched on the row id both sides carry. The result side is
+    as large as the input, so the join is pinned to sort-merge."""
+    right = results.select(ROW_ID, *[F.col(c) for c in result_columns]).hint("merge")
+    joined = left.join(right, ROW_ID, "left")
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns if c != ROW_ID], *[F.col(c) for c in result_columns])
+
+
 def join_results(left: DataFrame, results: DataFrame, id_col: str,
-                 result_columns: Sequence[str] = RESULT_COLUMNS,
-                 match: Sequence[str] | None = None) -> DataFrame:
-    """J1 + J2: all left columns in their order plus the result columns.
-
-    Rows are matched on ``id_col`` and on ``match`` -- by default every other
-    column the two sides share, i.e. the input row the result was computed
-    from (``score`` carries it). Keys compare NULL-safe. The result side is
-    reduced to one row per key first: identical input rows have identical
-    results, and the reduction is a partial aggregate, so a key held by a
-    third of all rows is collapsed map-side before any shuffle. A hot key
-    then has one partner row, and AQE's skew-join splits its input-side
-    partition. The result side is as large as the input, so the join is
-    pinned to sort-merge rather than broadcast on a size estimate.
+                 result_columns: Sequence[str] = RESULT_COLUMNS) -> DataFrame:
+    """J1 + J2 on the id alone: all left columns plus the result columns.
+
+    Equal results of one id count once; an id with differing results raises
+    ``ValueError`` before anything is joined. Blank ids match each other, and
+    so do NULL ones. The reduced results are a table in the scratch folder, so
+    both join sides are plain scans and AQE can split the input rows of an id
+    that holds a large part of them.
     """
-    if match is None:
-        match = [c for c in left.columns
-                 if c != id_col and c in results.columns and c not in result_columns]
-    keys = [id_col, *match]
-    types = dict(left.dtypes)
-
-    def key_field(i: int, k: str, cast: bool) -> Column:
-        c = F.col(f"`{k}`").cast(types[k]) if cast else F.col(f"`{k}`")
-        # doubles compare by their exact text: the result carries a copy of
-        # its row's value, and a non-float key keeps the join on the
-        # reduction's partitioning (float keys get re-normalised, re-shuffled)
-        return (c.cast("string") if types[k] in ("double", "float") else c).alias(f"_k{i}")
-
-    # One struct key: struct equality compares NULL fields as equal, and the
-    # reduction's hash partitioning and sort order on it serve the join too.
-    lkey = F.struct(*[key_field(i, k, False) for i, k in enumerate(keys)]).alias(KEY)
-    rkey = F.struct(*[key_field(i, k, True) for i, k in enumerate(keys)]).alias(KEY)
-    right = (results.select(rkey, *[F.col(c) for c in result_columns])
-             .groupBy(KEY).agg(*[F.first(c).alias(c) for c in result_columns])
-             .hint("merge"))
-    joined = left.select(F.col("*"), lkey).join(right, on=KEY, how="left")
+    spark = left.sparkSession
+    path = scratch_path(spark, "results")
+    once = results.select(F.col(f"`{id_col}`").cast(left.schema[id_col].dataType).alias(KEY),
+                          *[F.col(c) for c in result_columns]).distinct()
+    once.write.parquet(path)
+    right = spark.read.schema(once.schema).parquet(path)
+    clash = right.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(5).collect()
+    if clash:
+        raise ValueError(f"{id_col} with differing results, e.g. {[r[KEY] for r in clash]}: "
+                         "attach by row (with_row_ids) instead")
+    joined = left.join(right.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col(KEY)), "left")
     return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(c) for c in result_columns])
 
 

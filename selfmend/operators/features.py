@@ -9,7 +9,7 @@ assembled to ``num_feats`` and scaled to ``num_feats_t``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (MinMaxScaler, OneHotEncoder, StringIndexer, StringIndexerModel,
@@ -18,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from selfmend.operators import stats
+
 NUM_VEC, NUM_SCALED, LABEL, FEATURES = "num_feats", "num_feats_t", "label", "features"
 
 
@@ -133,10 +135,37 @@ def labeled_rows(df: DataFrame) -> DataFrame:
 
 def vector_entries(df: DataFrame, id_col: str, vec_col: str, digits: int = 9,
                    keep: Sequence[str] = ()) -> DataFrame:
-    """Sparse view of a vector column: (id, ``keep``..., slot, value) for
-    non-zero slots, rounded -- the form in which vectors are compared with SQL."""
+    """A vector column as rows: (id, ``keep``..., slot, value), one for every
+    slot, rounded -- the form in which vectors are compared with SQL."""
     pos = F.posexplode(vector_to_array(F.col(vec_col))).alias("slot", "v")
     cols = [F.col(id_col), *[F.col(c) for c in keep]]
-    return (df.select(*cols, pos)
-            .where(F.col("v") != 0)
-            .select(*cols, F.col("slot"), F.round("v", digits).alias("value")))
+    return df.select(*cols, pos).select(*cols, F.col("slot"), F.round("v", digits).alias("value"))
+
+
+def one_hot_entries(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
+    """One-hot vectors as rows: (id, field, slot, value, size) for the slots
+    that are set, with the vector's size; all columns in one pass."""
+    fields = [F.struct(F.lit(c).alias("field"), vector_to_array(F.col(one_hot(c))).alias("v")) for c in columns]
+    each = df.select(F.col(id_col), F.explode(F.array(*fields)).alias("o"))
+    slots = each.select(id_col, "o.field", F.size("o.v").alias("size"), F.posexplode("o.v").alias("slot", "value"))
+    return slots.where(F.col("value") != 0).select(id_col, "field", "slot", "value", "size")
+
+
+def check_vocabulary(sizes: Mapping[str, int], bound: int) -> None:
+    """A vocabulary is collected to the driver and ships to every task, and it
+    grows with the distinct values of its column: over ``bound`` it is refused."""
+    over = {c: n for c, n in sizes.items() if n > bound}
+    if over:
+        raise ValueError(
+            f"categorical columns over max_categories={bound}: {over}; "
+            "validate training rows (validate_training=True bounds each vocabulary by its "
+            "rule's values) or raise the bound")
+
+
+def fit_label_encoder(df: DataFrame, columns: Sequence[str], max_categories: int,
+                      handle_invalid: str = "error") -> StringIndexerModel:
+    """F3/F4 fitted alone: the vocabularies are counted (one partial aggregate)
+    and checked before they are collected."""
+    sizes = stats.value_counts(df, columns).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+    check_vocabulary({r["field"]: r["n"] for r in sizes.collect()}, max_categories)
+    return label_encoder(columns, handle_invalid).fit(df)

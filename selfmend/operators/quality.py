@@ -11,13 +11,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from selfmend.functions.rules import RuleSet
 
-# Batch status codes.
-OK, EMPTY, MISSING_COLUMNS = 0, 1, 2
+# Status codes: of a file or batch, of a row (the wrong number of fields; a
+# category outside the fitted vocabulary), of a file that cannot be read.
+OK, EMPTY, MISSING_COLUMNS, RAGGED, UNSEEN, UNREADABLE = 0, 1, 2, 3, 4, 5
 
 
 def project_required(df: DataFrame, rules: RuleSet) -> DataFrame:
@@ -37,14 +38,6 @@ def missing_columns(columns: Iterable[str], rules: RuleSet) -> list[str]:
     return [c for c in rules.numeric + rules.categorical if c not in have]
 
 
-def missing_columns_frame(spark: SparkSession, columns: Iterable[str], rules: RuleSet) -> DataFrame:
-    """P3 as rows: (column, position in the required list) for each missing one."""
-    required = list(rules.numeric + rules.categorical)
-    miss = missing_columns(columns, rules)
-    return spark.createDataFrame([(c, required.index(c)) for c in miss],
-                                 "missing_column string, required_position int")
-
-
 def batch_status(df: DataFrame, rules: RuleSet) -> DataFrame:
     """P4 (+P3): one row -- rows, columns, missing count, status.
 

@@ -1,34 +1,23 @@
-"""Result sinks. All writers run on the executors (no driver-side frame).
-
-``single_file`` (K5) coalesces to one task and is opt-in only: it serialises
-the write, so it is taken only for frames proven to hold at most
-``SINGLE_FILE_MAX_ROWS`` rows; a larger frame keeps the distributed write
-(several files) with a warning. ``partition_by`` (K6) gives one output
-folder per source file instead of the reference's per-file result path.
+"""Result sinks. All writers run on the executors (no driver-side frame) and
+leave the number of files to the frame's partitions.
+
+``n_files`` (K5) asks for a number of files: the frame is dealt out evenly to
+that many tasks before the write. It is the caller's choice and never depends
+on the data; ``n_files=1`` means one task, so it is for frames that are small
+by construction (a summary). ``partition_by`` (K6) gives one output folder per
+source file instead of the reference's per-file result path.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
-def _prepare(df: DataFrame, single_file: bool, max_rows: int | None = None) -> DataFrame:
-    if not single_file:
-        return df
-    max_rows = SINGLE_FILE_MAX_ROWS if max_rows is None else max_rows
-    # the bound is checked before one task is given everything (the limit
-    # stops the count once it is exceeded)
-    if df.limit(max_rows + 1).count() > max_rows:
-        warnings.warn(f"more than {max_rows} rows: written by every task, not as one file")
-        return df
-    return df.coalesce(1)
+def _prepare(df: DataFrame, n_files: int | None) -> DataFrame:
+    return df if n_files is None else df.repartition(n_files)
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str] | str | None, mode: str):
@@ -46,34 +35,30 @@ def delimited_lines(df: DataFrame, columns: Sequence[str], sep: str = ",") -> Da
 
 
 def write_delimited_text(df: DataFrame, path: str, columns: Sequence[str] | None = None,
-                         sep: str = ",", single_file: bool = False, mode: str = "overwrite",
-                         max_rows: int | None = None) -> None:
+                         sep: str = ",", n_files: int | None = None, mode: str = "overwrite") -> None:
     """K1: headerless delimited text (input columns + ``predictedLabel`` by default)."""
     columns = list(columns) if columns is not None else [c for c in df.columns
                                                          if c not in ("prediction", "probability")]
-    _writer(_prepare(delimited_lines(df, columns, sep), single_file, max_rows), None, mode).text(path)
+    _writer(_prepare(delimited_lines(df, columns, sep), n_files), None, mode).text(path)
 
 
-def write_json(df: DataFrame, path: str, single_file: bool = False,
-               partition_by: Sequence[str] | str | None = None, mode: str = "overwrite",
-               max_rows: int | None = None) -> None:
+def write_json(df: DataFrame, path: str, n_files: int | None = None,
+               partition_by: Sequence[str] | str | None = None, mode: str = "overwrite") -> None:
     """K2: JSON lines."""
-    _writer(_prepare(df, single_file, max_rows), partition_by, mode).json(path)
+    _writer(_prepare(df, n_files), partition_by, mode).json(path)
 
 
-def write_csv_header(df: DataFrame, path: str, single_file: bool = False,
-                     partition_by: Sequence[str] | str | None = None, mode: str = "overwrite",
-                     max_rows: int | None = None) -> None:
+def write_csv_header(df: DataFrame, path: str, n_files: int | None = None,
+                     partition_by: Sequence[str] | str | None = None, mode: str = "overwrite") -> None:
     """K3: UTF-8 CSV with a header; blank stays blank (not ``""``)."""
-    (_writer(_prepare(df, single_file, max_rows), partition_by, mode)
+    (_writer(_prepare(df, n_files), partition_by, mode)
      .option("header", True).option("encoding", "UTF-8").option("emptyValue", "")
      .csv(path))
 
 
-def write_parquet(df: DataFrame, path: str, single_file: bool = False,
-                  partition_by: Sequence[str] | str | None = None, mode: str = "overwrite",
-                  max_rows: int | None = None) -> None:
-    _writer(_prepare(df, single_file, max_rows), partition_by, mode).parquet(path)
+def write_parquet(df: DataFrame, path: str, n_files: int | None = None,
+                  partition_by: Sequence[str] | str | None = None, mode: str = "overwrite") -> None:
+    _writer(_prepare(df, n_files), partition_by, mode).parquet(path)
 
 
 def write_time_cell_parquet(df: DataFrame, path: str, time_col: str, cell_col: str,

@@ -65,21 +65,24 @@ def fill_values_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequen
                       with_sizes: bool = False) -> DataFrame:
     """A5 as rows: (field, num_value, cat_value) -- means of numerics, modes of
     categoricals, computed over the raw (unvalidated) values, NULLs excluded.
-    ``with_sizes`` adds ``n_values`` (distinct values of a categorical)."""
-    parts = []
-    if numeric:
-        parts.append(numeric_means(df, numeric).select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("field"), F.col(c).alias("num_value"),
-                     F.lit(None).cast("string").alias("cat_value"),
-                     F.lit(None).cast("long").alias("n_values")) for c in numeric])).alias("s"))
-            .select("s.*"))
-    if categorical:
-        parts.append(_modes_and_sizes(df, categorical).select(
-            "field", F.lit(None).cast("double").alias("num_value"), F.col("value").alias("cat_value"),
-            "n_values"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    ``with_sizes`` adds ``n_values`` (distinct values of a categorical).
+
+    One scan: all columns are unpivoted together, a numeric with no value text
+    and its number, so it is one key of the same partial aggregate that counts
+    the categories' values."""
+    cells = [F.struct(F.lit(c).alias("field"), F.lit(None).cast("string").alias("value"),
+                      F.col(c).cast("double").alias("x"), F.lit(True).alias("is_number")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"),
+                       F.lit(None).cast("double").alias("x"), F.lit(False).alias("is_number")) for c in categorical]
+    counted = (df.select(F.explode(F.array(*cells)).alias("s")).select("s.*")
+               .where(F.col("is_number") | F.col("value").isNotNull())
+               .groupBy("field", "is_number", "value")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"), F.count("x").alias("n_x")))
+    # a column without any value keeps its row, with nothing to fill
+    best = F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value")))
+    out = counted.groupBy("field", "is_number").agg(
+        (F.sum("total") / F.sum("n_x")).alias("num_value"), best.alias("cat_value"), F.count("value").alias("n_values"))
+    out = out.select("field", "num_value", "cat_value", F.when(~F.col("is_number"), F.col("n_values")).alias("n_values"))
     return out if with_sizes else out.drop("n_values")
 
 

@@ -2,9 +2,9 @@
 
 Each statement recomputes the key's result from the base tables with plain
 SQL: the text fixtures are re-rendered with the same formatting rules, rule
-checks are CASE expressions, model outputs of the exact (single unbagged
-tree) configurations are per-group class shares. Keys whose output depends on
-bagging or on an unordered LIMIT have no oracle (row-count check only).
+checks are CASE expressions, model outputs of the exact (unbagged)
+configurations are per-group class shares. Of bagged forests and of an
+unordered LIMIT the statements give what does not depend on chance.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ ORDERS_TEXT = f"""orders_text AS (
          CASE WHEN o_orderkey % 5 = 0 THEN 'rush' ELSE '' END AS o_note,
          o_orderkey AS k
   FROM orders),
-n_files AS (SELECT greatest(2, CAST(ceil(count(*) / 500000.0) AS BIGINT)) AS nf FROM orders),
-header_rows AS (SELECT unnest(range(nf)) AS i FROM n_files)"""
+header_rows AS (SELECT 1 AS i FROM (SELECT count(*) AS n FROM orders) WHERE n > 0)"""
+BAND = "CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'rest' END"
 ORDERS_LINE = ("o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',' || o_totalprice || ',' || "
                "o_orderdate || ',' || o_orderpriority || ',' || o_note")
 ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_note"
@@ -112,15 +112,15 @@ li_scored AS (
   SELECT li_lab.*, p.prediction, round(p.p1, 9) AS probability, p.predictedLabel
   FROM li_lab JOIN lt_pred p ON li_lab.l_linestatus = p.g)"""
 
-# orders exact flow: train on F/O text rows, categorical priority only.
+# orders exact flow: train on all text rows (finished or not), categorical priority only.
 EXACT_PRIORITY = "('1-URGENT', '4-NOT SPECIFIED')"
 ORDERS_TREE = ORDERS_TEXT + """,
-o_train AS (SELECT o_orderstatus,
+o_train AS (SELECT """ + BAND + """ AS status_band,
                    CASE WHEN o_orderpriority IN """ + EXACT_PRIORITY + """ THEN o_orderpriority END AS pri
-            FROM orders_text WHERE o_orderstatus IN ('F', 'O')),
+            FROM orders_text),
 o_mode AS (SELECT """ + _mode("pri", "o_train") + """ AS m),
-o_train_f AS (SELECT o_orderstatus, coalesce(pri, (SELECT m FROM o_mode)) AS pri FROM o_train),
-""" + _binary_tree("o", "o_train_f", "pri", "o_orderstatus") + """,
+o_train_f AS (SELECT status_band, coalesce(pri, (SELECT m FROM o_mode)) AS pri FROM o_train),
+""" + _binary_tree("o", "o_train_f", "pri", "status_band") + """,
 o_result AS (
   SELECT t.o_orderkey, t.o_custkey, t.o_orderstatus, t.o_totalprice, t.o_orderdate,
          t.o_orderpriority, t.o_note, p.prediction, p.predictedLabel, round(p.p1, 9) AS probability
@@ -130,15 +130,15 @@ o_result AS (
 
 # orders feature pipeline (F8/F9): price filled with the training mean, priority with the mode.
 ORDERS_FEATS = ORDERS_TEXT + f""",
-f_train AS (SELECT o_orderkey, o_orderstatus, {_num('o_totalprice')} AS p,
+f_train AS (SELECT o_orderkey, {BAND} AS status_band, {_num('o_totalprice')} AS p,
                    NULLIF(trim(o_orderpriority), '') AS pri
-            FROM orders_text WHERE o_orderstatus IN ('F', 'O')),
+            FROM orders_text),
 f_fill AS (SELECT avg(p) AS mean_p, {_mode('pri', 'f_train')} AS mode_pri FROM f_train),
-f_filled AS (SELECT o_orderkey, o_orderstatus, coalesce(p, mean_p) AS p, coalesce(pri, mode_pri) AS pri
+f_filled AS (SELECT o_orderkey, status_band, coalesce(p, mean_p) AS p, coalesce(pri, mode_pri) AS pri
              FROM f_train, f_fill),
 f_mm AS (SELECT min(p) AS mn, max(p) AS mx FROM f_filled),
 {_rank('pri', 'f_filled', 'f_pri')},
-{_rank('o_orderstatus', 'f_filled', 'f_lab')}"""
+{_rank('status_band', 'f_filled', 'f_lab')}"""
 
 EVENTS_BAND = ("CASE WHEN value > CASE WHEN event_type IN ('click', 'view') THEN 20 ELSE 80 END "
                "THEN 'high' ELSE 'low' END")
@@ -156,20 +156,26 @@ e_train_f AS (SELECT coalesce(et, (SELECT m FROM e_mode)) AS et, value_band FROM
 """ + _binary_tree("e", "e_train_f", "et", "value_band")
 
 
-def _entries(id_expr: str, value_expr: str, slot: str, source: str, extra: str = "") -> str:
-    return (f"SELECT {id_expr}{extra}, CAST({slot} AS INTEGER) AS slot, round({value_expr}, 9) AS value "
-            f"FROM {source} WHERE {value_expr} <> 0")
+def _entries(id_expr: str, value_expr: str, slot: str, source: str) -> str:
+    return (f"SELECT {id_expr}, CAST({slot} AS INTEGER) AS slot, round({value_expr}, 9) AS value "
+            f"FROM {source}")
+
+
+def _one_hot_slots(columns: str, source: str, index: str, vocabulary: str, first: int) -> str:
+    """A row for every slot of a one-hot block that starts at slot ``first``."""
+    return (f"SELECT {columns}, CAST({first} + v.idx AS INTEGER) AS slot, "
+            f"CAST(CASE WHEN v.idx = {index} THEN 1 ELSE 0 END AS DOUBLE) AS value FROM {source}, {vocabulary} v")
 
 
 SQL: dict[str, str] = {}
 
 # ------------------------------------------------------------------ sources
 SQL["src_text_scan"] = f"""WITH {ORDERS_TEXT}
-SELECT {ORDERS_LINE} AS value FROM orders_text
+SELECT DISTINCT {ORDERS_LINE} AS value FROM orders_text
 UNION ALL SELECT '{ORDERS_HEADER}' AS value FROM header_rows"""
 
 SQL["src_split_fields"] = f"""WITH {ORDERS_TEXT}
-SELECT o_orderkey AS f_first, 7 AS n_fields, o_note AS f_last FROM orders_text
+SELECT DISTINCT o_orderkey AS f_first, 7 AS n_fields, o_note AS f_last FROM orders_text
 UNION ALL SELECT 'o_orderkey', 7, 'o_note' FROM header_rows"""
 
 SQL["src_header_names"] = f"""SELECT CAST(i AS INTEGER) AS position, split('{ORDERS_HEADER}', ',')[i + 1] AS name
@@ -208,8 +214,8 @@ spelled AS (
   FROM orders_text)
 SELECT o_orderkey, text, {_num('text')} AS number FROM spelled"""
 
-SQL["fn_source_file_name"] = """SELECT nf AS n_files, n + nf AS n_lines, 'csv' AS extension
-FROM (SELECT count(*) AS n, greatest(2, CAST(ceil(count(*) / 500000.0) AS BIGINT)) AS nf FROM orders)"""
+SQL["fn_source_file_name"] = """SELECT 'half=' || CAST(o_orderkey % 2 AS VARCHAR) AS folder, 'part' AS prefix,
+       'csv' AS extension, true AS ends_path, count(*) AS n_lines FROM orders GROUP BY 1"""
 
 # -------------------------------------------------------------- projections
 SQL["proj_required_columns"] = f"""WITH {LINEITEM_RAW}
@@ -248,7 +254,7 @@ FROM lineitem_raw, fill"""
 
 SQL["dq_check_and_fill"] = f"""WITH {ORDERS_TEXT},
 tr AS (SELECT {_num('o_totalprice')} AS p, NULLIF(trim(o_orderpriority), '') AS pri
-       FROM orders_text WHERE o_orderstatus IN ('F', 'O')),
+       FROM orders_text),
 fill AS (SELECT avg(p) AS p, {_mode('pri', 'tr')} AS pri FROM tr)
 SELECT o_orderkey,
        round(coalesce(CASE WHEN {_num('o_totalprice')} BETWEEN 10000 AND 400000 THEN {_num('o_totalprice')} END,
@@ -333,20 +339,22 @@ s AS (SELECT o_orderkey, (o_totalprice - p0) * (1.0 / (p1 - p0)) AS a,
 {_entries('o_orderkey', 'a', '0', 's')} UNION ALL {_entries('o_orderkey', 'b', '1', 's')}"""
 
 SQL["feat_one_hot"] = f"""WITH {_rank('o_orderpriority', 'orders', 'r1')}, {_rank('o_orderstatus', 'orders', 'r2')}
-SELECT o_orderkey, 'o_orderpriority' AS field, idx AS slot, CAST(1.0 AS DOUBLE) AS value FROM orders JOIN r1 ON o_orderpriority = v
-UNION ALL SELECT o_orderkey, 'o_orderstatus', idx, CAST(1.0 AS DOUBLE) FROM orders JOIN r2 ON o_orderstatus = v"""
+SELECT o_orderkey, 'o_orderpriority' AS field, idx AS slot, CAST(1.0 AS DOUBLE) AS value,
+       (SELECT CAST(count(*) AS INTEGER) FROM r1) AS size FROM orders JOIN r1 ON o_orderpriority = v
+UNION ALL SELECT o_orderkey, 'o_orderstatus', idx, CAST(1.0 AS DOUBLE), (SELECT CAST(count(*) AS INTEGER) FROM r2)
+FROM orders JOIN r2 ON o_orderstatus = v"""
 
 SQL["feat_assemble_all"] = f"""WITH mm AS (SELECT min(o_totalprice) AS p0, max(o_totalprice) AS p1 FROM orders),
 {_rank('o_orderpriority', 'orders', 'r1')},
 s AS (SELECT o_orderkey, (o_totalprice - p0) * (1.0 / (p1 - p0)) AS a FROM orders, mm)
 {_entries('o_orderkey', 'a', '0', 's')}
-UNION ALL SELECT o_orderkey, CAST(1 + idx AS INTEGER), CAST(1.0 AS DOUBLE) FROM orders JOIN r1 ON o_orderpriority = v"""
+UNION ALL {_one_hot_slots('o_orderkey', '(SELECT * FROM orders JOIN r1 ON o_orderpriority = v) o', 'o.idx', 'r1', 1)}"""
 
 SQL["feat_pipeline_fit"] = f"""WITH {ORDERS_FEATS},
 s AS (SELECT f.o_orderkey, (f.p - mn) * (1.0 / (mx - mn)) AS a, CAST(l.idx AS DOUBLE) AS label, r.idx AS pidx
-      FROM f_filled f, f_mm JOIN f_pri r ON f.pri = r.v JOIN f_lab l ON f.o_orderstatus = l.v)
-SELECT o_orderkey, 0 AS slot, round(a, 9) AS value, label FROM s WHERE a <> 0
-UNION ALL SELECT o_orderkey, CAST(1 + pidx AS INTEGER), CAST(1.0 AS DOUBLE), label FROM s"""
+      FROM f_filled f, f_mm JOIN f_pri r ON f.pri = r.v JOIN f_lab l ON f.status_band = l.v)
+SELECT o_orderkey, label, 0 AS slot, round(a, 9) AS value FROM s
+UNION ALL {_one_hot_slots('o_orderkey, label', 's', 's.pidx', 'f_pri', 1)}"""
 
 SQL["feat_pipeline_apply"] = f"""WITH {ORDERS_FEATS},
 sc AS (SELECT o_orderkey,
@@ -356,17 +364,26 @@ sc AS (SELECT o_orderkey,
        FROM orders_text, f_fill),
 s AS (SELECT sc.o_orderkey, (sc.p - mn) * (1.0 / (mx - mn)) AS a, r.idx AS pidx
       FROM sc, f_mm JOIN f_pri r ON sc.pri = r.v)
-SELECT o_orderkey, 0 AS slot, round(a, 9) AS value FROM s WHERE a <> 0
-UNION ALL SELECT o_orderkey, CAST(1 + pidx AS INTEGER), CAST(1.0 AS DOUBLE) FROM s"""
+SELECT o_orderkey, 0 AS slot, round(a, 9) AS value FROM s
+UNION ALL {_one_hot_slots('o_orderkey', 's', 's.pidx', 'f_pri', 1)}"""
 
 SQL["feat_labeled_rows"] = f"""WITH {LI_LABELLED}, {_rank('size_band', 'li_lab', 'r')}, {_rank('l_linestatus', 'li_lab', 's')}
-SELECT l_orderkey, l_linenumber, CAST(r.idx AS DOUBLE) AS label, s.idx AS slot, CAST(1.0 AS DOUBLE) AS value
-FROM li_lab JOIN r ON size_band = r.v JOIN s ON l_linestatus = s.v"""
+{_one_hot_slots('l_orderkey, l_linenumber, label',
+                '(SELECT l_orderkey, l_linenumber, CAST(r.idx AS DOUBLE) AS label, s.idx FROM li_lab '
+                'JOIN r ON size_band = r.v JOIN s ON l_linestatus = s.v) x', 'x.idx', 's', 0)}"""
 
 # -------------------------------------------------------------------- model
 SQL["ml_forest_train"] = f"""WITH {LI_TREE}
 SELECT g AS l_linestatus, gn AS n, round(p1, 9) AS probability, prediction FROM lt_pred"""
 
+SQL["ml_forest_score"] = f"""WITH {LI_TREE}
+SELECT l_orderkey, l_linenumber, prediction, predictedLabel, probability FROM li_scored"""
+
+SQL["ml_forest_configs"] = """SELECT CAST(seed AS INTEGER) AS seed, 100 AS n_trees, 8 AS max_depth, 'onethird' AS subset,
+       'gini' AS impurity, CAST(2 + count(DISTINCT l_returnflag) + count(DISTINCT l_linestatus) AS INTEGER) AS n_features,
+       2 AS n_classes, true AS within_depth, count(*) AS n_rows, count(*) AS n_consistent
+FROM lineitem, (VALUES (10), (20)) s(seed) GROUP BY seed"""
+
 SQL["ml_probability"] = f"""WITH {LI_TREE}
 SELECT l_orderkey, l_linenumber, probability FROM li_scored"""
 
@@ -386,6 +403,13 @@ SELECT {ORDERS_COLS}, prediction, predictedLabel, probability FROM o_result"""
 
 SQL["join_project_result"] = SQL["flow_score_batch"]
 
+SQL["flow_append_prediction"] = SQL["flow_score_batch"]
+
+SQL["flow_forest_score"] = f"""WITH {ORDERS_TEXT}
+SELECT {ORDERS_COLS}, true AS well_formed FROM orders_text"""
+
+SQL["limit_preview"] = """SELECT least(count(*), 5) AS n_shown, least(count(*), 5) AS n_in_batch FROM orders"""
+
 SQL["join_left_outer_result"] = f"""WITH {LINEITEM_RAW}, {LI_TREE},
 li_res AS (SELECT DISTINCT l.*, p.prediction, p.predictedLabel, round(p.p1, 9) AS probability
            FROM lineitem_raw l JOIN lt_pred p ON l.l_linestatus = p.g)

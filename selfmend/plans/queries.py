@@ -11,11 +11,12 @@ over these row counts never sit on a 7-place rounding tie).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from selfmend.functions.files import source_file_name
+from selfmend.functions.files import source_file_name, source_file_path
 from selfmend.functions.numeric import strict_double
 from selfmend.operators import attach, features, model, quality, sinks, stats
 from selfmend.plans import scoring, standins as S
@@ -24,6 +25,7 @@ from selfmend.sources import delimited as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 MEAN_DIGITS = 7
+MAX_CATEGORIES = 1000    # vocabularies the feature queries fit on their own
 REGISTRY: dict[str, Query] = {}
 
 
@@ -53,14 +55,15 @@ def _orders_text(spark, sf):
 
 @query("src_text_scan")
 def src_text_scan(spark, sf):
-    return src.scan_text(spark, _orders_dir(spark, sf))
+    """S1. Every line once: how many files hold the header line is up to the tasks that wrote them."""
+    return src.scan_text(spark, _orders_dir(spark, sf)).distinct()
 
 
 @query("src_split_fields")
 def src_split_fields(spark, sf):
     f = src.split_fields(src.scan_text(spark, _orders_dir(spark, sf)))
     return f.select(F.col("fields")[0].alias("f_first"), F.size("fields").alias("n_fields"),
-                    F.element_at("fields", -1).alias("f_last"))
+                    F.element_at("fields", -1).alias("f_last")).distinct()
 
 
 @query("src_header_names")
@@ -124,9 +127,15 @@ def fn_strict_numeric(spark, sf):
 
 @query("fn_source_file_name")
 def fn_source_file_name(spark, sf):
-    lines = src.scan_text(spark, _orders_dir(spark, sf)).select(source_file_name().alias("f"))
-    return lines.agg(F.count_distinct("f").alias("n_files"), F.count(F.lit(1)).alias("n_lines"),
-                     F.min(F.regexp_extract("f", r"\.([a-z]+)$", 1)).alias("extension"))
+    """The landed files' names: the parts that do not depend on the tasks that
+    wrote them, the folder, and the data lines under each."""
+    lines = src.scan_text(spark, _orders_dir(spark, sf)).select(
+        "value", source_file_name().alias("f"), source_file_path().alias("path"))
+    names = lines.where(~F.startswith("value", F.lit("o_orderkey,"))).select(
+        F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("folder"), F.regexp_extract("f", "^([a-z]+)-[0-9]+-", 1).alias("prefix"),
+        F.regexp_extract("f", r"\.([a-z]+)$", 1).alias("extension"),
+        F.endswith("path", F.concat(F.lit("/"), F.col("f"))).alias("ends_path"))
+    return names.groupBy("folder", "prefix", "extension", "ends_path").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 # ----------------------------------------------------------- projections ---
@@ -212,8 +221,7 @@ def dq_fill_nulls(spark, sf):
 
 
 def _orders_training(spark, sf):
-    text = _orders_text(spark, sf)
-    return text.where(F.col(S.ORDERS_LABEL).isin(list(S.ORDERS_TRAIN_STATUSES)))
+    return S.orders_training(_orders_text(spark, sf))
 
 
 @query("dq_check_and_fill")
@@ -291,15 +299,14 @@ def _index_frame(spark, idx_model, fields):
 def fit_string_index(spark, sf):
     cols = ["o_orderpriority", "o_orderstatus"]
     text = quality.blanks_to_null(_orders_text(spark, sf), cols)
-    m = features.label_encoder(cols).fit(text)
-    return _index_frame(spark, m, cols)
+    return _index_frame(spark, features.fit_label_encoder(text, cols, MAX_CATEGORIES), cols)
 
 
 @query("feat_label_encode_fit")
 def feat_label_encode_fit(spark, sf):
     cols = ["o_orderpriority", "o_orderstatus"]
     o = _orders(spark, sf)
-    return features.label_encoder(cols).fit(o).transform(o) \
+    return features.fit_label_encoder(o, cols, MAX_CATEGORIES).transform(o) \
         .select("o_orderkey", *[features.indexed(c) for c in cols])
 
 
@@ -307,14 +314,15 @@ def feat_label_encode_fit(spark, sf):
 def feat_label_encode_apply(spark, sf):
     cols = ["o_orderpriority", "o_orderstatus"]
     o = _orders(spark, sf)
-    train = o.where(F.col("o_orderstatus").isin(list(S.ORDERS_TRAIN_STATUSES)))
-    m = features.label_encoder(cols, handle_invalid="keep").fit(train)
+    train = o.where(F.col("o_orderstatus").isin(list(S.ORDERS_KNOWN_STATUSES)))
+    m = features.fit_label_encoder(train, cols, MAX_CATEGORIES, handle_invalid="keep")
     return m.transform(o).select("o_orderkey", *[features.indexed(c) for c in cols])
 
 
 @query("feat_label_index")
 def feat_label_index(spark, sf):
     li = S.lineitem_labelled(spark, sf)
+    features.check_vocabulary({S.LINEITEM_LABEL: li.select(S.LINEITEM_LABEL).distinct().count()}, MAX_CATEGORIES)
     return features.label_indexer(S.LINEITEM_LABEL).fit(li).transform(li) \
         .select("l_orderkey", "l_linenumber", features.LABEL)
 
@@ -336,17 +344,16 @@ def feat_minmax_scale(spark, sf):
 def feat_one_hot(spark, sf):
     cols = ["o_orderpriority", "o_orderstatus"]
     o = _orders(spark, sf)
-    idx = features.label_encoder(cols).fit(o).transform(o)
+    idx = features.fit_label_encoder(o, cols, MAX_CATEGORIES).transform(o)
     oh = features.one_hot_encoder(cols).fit(idx).transform(idx)
-    parts = [features.vector_entries(oh, "o_orderkey", features.one_hot(c))
-             .select("o_orderkey", F.lit(c).alias("field"), "slot", "value") for c in cols]
-    return parts[0].unionByName(parts[1])
+    return features.one_hot_entries(oh, "o_orderkey", cols)
 
 
 @query("feat_assemble_all")
 def feat_assemble_all(spark, sf):
     spec = S.ORDERS_SPEC
     o = _orders(spark, sf)
+    features.fit_label_encoder(o, spec.categorical, spec.vocabulary_bound)     # refuses a vocabulary over the bound
     m = features.fit_features(o, spec.numeric, spec.categorical)
     return features.vector_entries(m.transform(o), "o_orderkey", features.FEATURES)
 
@@ -381,8 +388,10 @@ def feat_pipeline_apply(spark, sf):
 def feat_labeled_rows(spark, sf):
     spec = S.LINEITEM_EXACT_SPEC
     li = S.lineitem_labelled(spark, sf)
+    features.fit_label_encoder(li, [*spec.categorical, spec.label], spec.vocabulary_bound)
     m = features.fit_features(li, spec.numeric, spec.categorical, spec.label)
-    out = m.transform(li).select("l_orderkey", "l_linenumber", *features.labeled_rows(m.transform(li)).columns)
+    encoded = m.transform(li)
+    out = encoded.select("l_orderkey", "l_linenumber", *features.labeled_rows(encoded).columns)
     return features.vector_entries(out, "l_orderkey", features.FEATURES, keep=["l_linenumber", features.LABEL])
 
 
@@ -416,9 +425,36 @@ def ml_forest_train(spark, sf):
 
 @query("ml_forest_score")
 def ml_forest_score(spark, sf):
-    fitted = _fitted(spark, sf, "lineitem-forest", S.LINEITEM_FOREST_SPEC, S.lineitem_labelled)
-    s = scoring.score(S.lineitem_labelled(spark, sf), S.LINEITEM_FOREST_SPEC, fitted)
-    return s.select("l_orderkey", "l_linenumber", "prediction", "predictedLabel", "probability")
+    """M3: a hundred trees voting. Unbagged and over all features they are
+    equal, so their average is known; ``ml_forest_configs`` has bagged ones."""
+    fitted = _fitted(spark, sf, "lineitem-average", S.LINEITEM_AVERAGE_SPEC, S.lineitem_labelled)
+    s = scoring.score(S.lineitem_labelled(spark, sf), S.LINEITEM_AVERAGE_SPEC, fitted)
+    return s.select("l_orderkey", "l_linenumber", "prediction", "predictedLabel",
+                    F.round("probability", 9).alias("probability"))
+
+
+@query("ml_forest_configs")
+def ml_forest_configs(spark, sf):
+    """M1/M2: the two bagged configurations (seeds 10 and 20) trained on every
+    row. What bagging does not change: the settings, the feature and class
+    counts, and that every row's prediction is the class its trees favour."""
+    li = S.lineitem_labelled(spark, sf)
+    out = None
+    for seed in (10, 20):
+        spec = replace(S.LINEITEM_FOREST_SPEC, seed=seed)
+        fitted = _fitted(spark, sf, f"lineitem-forest-{seed}", spec, S.lineitem_labelled)
+        forest = next(m for m in fitted.model.stages if hasattr(m, "trees"))
+        scored = scoring.score(li, spec, fitted)
+        favoured = F.when(F.col("probability") > 0.5, 1.0).when(F.col("probability") < 0.5, 0.0).otherwise(F.col("prediction"))
+        one = scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                         F.count_if(F.col("probability").between(0, 1) & (F.col("prediction") == favoured)).alias("n_consistent"))
+        one = one.select(F.lit(seed).alias("seed"), F.lit(forest.getNumTrees).alias("n_trees"), F.lit(forest.getMaxDepth()).alias("max_depth"),
+                         F.lit(forest.getFeatureSubsetStrategy()).alias("subset"), F.lit(forest.getImpurity()).alias("impurity"),
+                         F.lit(forest.numFeatures).alias("n_features"), F.lit(forest.numClasses).alias("n_classes"),
+                         F.lit(max(t.depth for t in forest.trees) <= forest.getMaxDepth()).alias("within_depth"),
+                         "n_rows", "n_consistent")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("ml_probability")
@@ -463,26 +499,46 @@ def flow_score_batch(spark, sf):
 
 @query("flow_append_prediction")
 def flow_append_prediction(spark, sf):
-    fitted = _fitted(spark, sf, "orders-forest", S.ORDERS_SPEC, _orders_training)
+    """The exact model's results next to the input row they came from."""
     text = _orders_text(spark, sf)
-    return scoring.score(text, S.ORDERS_SPEC, fitted)
+    out = scoring.score(text, S.ORDERS_EXACT_SPEC, _orders_exact(spark, sf))
+    return out.withColumn("probability", F.round("probability", 9))
+
+
+@query("flow_forest_score")
+def flow_forest_score(spark, sf):
+    """M7 with the reference forest (100 bagged trees): every input row, and
+    whether its result is well formed (a known label, the favoured class)."""
+    fitted = _fitted(spark, sf, "orders-forest", S.ORDERS_SPEC, _orders_training)
+    out = scoring.score(_orders_text(spark, sf), S.ORDERS_SPEC, fitted)
+    label = F.element_at(F.array(*[F.lit(x) for x in fitted.labels]), F.col("prediction").cast("int") + 1)
+    p = F.col("probability")
+    fits = ((p > 0.5) & (F.col("prediction") == 1)) | ((p < 0.5) & (F.col("prediction") == 0)) | (p == 0.5)
+    return out.withColumn("well_formed", p.between(0, 1) & fits & (F.col("predictedLabel") == label)) \
+        .drop("prediction", "predictedLabel", "probability")
 
 
 @query("limit_preview")
 def limit_preview(spark, sf):
-    return attach.preview(flow_score_batch(spark, sf), 5)
+    """L1: how many rows the preview shows, and how many of them are rows of
+    the scored batch (which ones it shows is not defined)."""
+    scored = flow_score_batch(spark, sf)
+    shown = attach.preview(scored, 5)
+    real = scored.withColumn("_real", F.lit(1)).distinct()
+    found = shown.join(real.hint("merge"), [shown[c].eqNullSafe(real[c]) for c in shown.columns], "left")
+    return found.agg(F.count(F.lit(1)).alias("n_shown"), F.count("_real").alias("n_in_batch"))
 
 
 # ----------------------------------------------------------------- joins ---
 @query("join_left_outer_result")
 def join_left_outer_result(spark, sf):
     """The lineitem rows (``line_id`` shared by up to 6 rows) get the
-    results scored from them, attached by id and row -- one output row per
-    input row, no pairs within an id."""
-    raw = S.lineitem_raw(spark, sf)
+    results scored from them, attached by row id -- one output row per input
+    row, no pairs within an id."""
+    raw = attach.with_row_ids(S.lineitem_raw(spark, sf))
     res = scoring.score(raw, S.LINEITEM_EXACT_SPEC, _lineitem_exact(spark, sf)) \
         .withColumn("probability", F.round("probability", 9))
-    return attach.join_results(raw, res, "line_id")
+    return attach.join_by_row_id(raw, res)
 
 
 @query("join_project_result")
@@ -529,11 +585,11 @@ def sink_parquet_time_cell(spark, sf):
 
 @query("sink_single_file")
 def sink_single_file(spark, sf):
-    """K5 on a size-bounded frame: the per-type summary (one row per event
-    type) is computed distributed, then written as one file."""
+    """K5 on a frame that is small by construction: the per-type summary (one
+    row per event type) is computed distributed, then written as one file."""
     path = scratch_path(spark, "sink-single")
     summary = stats.value_counts(S.table(spark, sf, "events"), ["event_type"])
-    sinks.write_csv_header(summary, path, single_file=True)
+    sinks.write_csv_header(summary, path, n_files=1)
     back = spark.read.schema("field string, value string, n long").option("header", True).csv(path)
     n_files = back.select(F.col("_metadata.file_name")).distinct().count()
     return back.withColumn("n_files", F.lit(n_files))
@@ -548,19 +604,18 @@ def _events_landing(spark, sf):
 
 @query("sink_per_source_file")
 def sink_per_source_file(spark, sf):
-    """K6 over every landed file: each kind's files are read with their own
-    header -- ``view`` files land without ``event_type``, which reads as
-    blank -- and written with one output folder per source."""
-    landing = _events_landing(spark, sf)
-    full_kinds = [k for k in S.EVENT_KINDS if k != S.SHORT_KIND] + [S.EMPTY_KIND]
-    parts = [src.read_csv_strings(spark, S.kind_glob(landing, kinds), cols)
-             .withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), r"kind=([^/]+)/", 1))
-             for kinds, cols in ((full_kinds, S.EVENTS_COLUMNS), ([S.SHORT_KIND], S.SHORT_COLUMNS))]
-    df = parts[0].unionByName(parts[1], allowMissingColumns=True).na.fill("", ["event_type"])
+    """K6 over every landed file: files are read by their own headers --
+    ``view`` files land without ``event_type``, which reads as blank -- and
+    written with one output folder per source."""
+    df = None
+    for names, files in src.file_groups(spark, _events_landing(spark, sf)):
+        part = src.read_csv_strings(spark, files, names).withColumn("source", _kind(source_file_path()))
+        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+    df = df.na.fill("", ["event_type"])
     path = scratch_path(spark, "sink-per-source")
     sinks.write_json(df, path, partition_by="source")
     return spark.read.schema(_events_schema(("source",))).json(path) \
-        .select("source", "event_id", F.coalesce("event_type", F.lit("")).alias("event_type"))
+        .select(F.nullif("source", F.lit(NO_KIND)).alias("source"), "event_id", F.coalesce("event_type", F.lit("")).alias("event_type"))
 
 
 # ------------------------------------------------------------- streaming ---
@@ -580,19 +635,30 @@ def _stream_run(spark, sf):
     cfg = ServeConfig(landing=landing, output=f"{root}/out", quarantine=f"{root}/quarantine",
                       metrics=f"{root}/metrics", checkpoint=f"{root}/checkpoint",
                       archive_dir=f"{root}/archive", processing_time=None)
-    q = serve(spark, S.EVENTS_EXACT_SPEC, fitted, cfg)
-    q.awaitTermination()
-    run = {"root": root, "landing": landing, "cfg": cfg}
+    serve(spark, S.EVENTS_EXACT_SPEC, fitted, cfg).awaitTermination()
+    run = {"root": root, "landing": landing, "cfg": cfg, "fitted": fitted}
     _RUNS[key] = run
     return run
 
 
-def _kind(col: str = "source_path"):
-    return F.regexp_extract(F.col(col), r"kind=([^/]+)/", 1)
+NO_KIND = "__HIVE_DEFAULT_PARTITION__"      # the folder name of a NULL kind
+
 
+def _kind(col="source_path"):
+    return F.nullif(F.regexp_extract(F.col(col) if isinstance(col, str) else col, r"kind=([^/]+)/", 1), F.lit(NO_KIND))
 
-def _existing(spark, paths):
-    return [p for p in paths if path_exists(spark, p)]
+
+def _archived_run(spark, sf):
+    """The stream run, continued: a file is archived when a later batch starts,
+    so one more (header-only) file lands and is drained; then the archive holds
+    all that landed before it."""
+    from selfmend.streaming import serve
+    run = _stream_run(spark, sf)
+    if "archived" not in run:
+        S.write_closing_file(spark, sf, run["landing"])
+        serve(spark, S.EVENTS_EXACT_SPEC, run["fitted"], run["cfg"]).awaitTermination()
+        run["archived"] = True
+    return run
 
 
 @query("stream_landing_files")
@@ -606,7 +672,7 @@ def stream_landing_files(spark, sf):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     paths = spark.read.parquet(f"{root}/paths")
-    return paths.select(F.regexp_extract("path", r"kind=([^/]+)/", 1).alias("kind")).distinct()
+    return paths.select(_kind("path").alias("kind")).distinct()
 
 
 @query("stream_score_files")
@@ -622,6 +688,7 @@ def stream_score_files(spark, sf):
 @query("stream_batch_metrics")
 def stream_batch_metrics(spark, sf):
     m = spark.read.parquet(_stream_run(spark, sf)["cfg"].metrics)
+    m = m.where(~F.contains("source_path", F.lit(f"kind={S.CLOSING_KIND}/")))
     return m.groupBy(_kind().alias("kind"), "status").agg(F.sum("n_rows").alias("n_rows"))
 
 
@@ -634,10 +701,10 @@ def stream_quarantine(spark, sf):
 
 @query("stream_archive_source")
 def stream_archive_source(spark, sf):
-    """Every landed data row is still somewhere -- landing or archive."""
-    run = _stream_run(spark, sf)
+    """The archive alone holds every data row that landed."""
+    run = _archived_run(spark, sf)
     lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-             .text(_existing(spark, [run["landing"], run["cfg"].archive_dir])))
+             .text(run["cfg"].archive_dir))
     kinds = lines.select(_kind("_metadata.file_path").alias("kind"), "value")
     return kinds.where(~F.col("value").startswith("event_id,")) \
         .groupBy("kind").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from selfmend.functions.numeric import strict_double
 from selfmend.functions.rules import RuleSet
 from selfmend.operators import attach, features, model, quality, stats
-from selfmend.session import spread
 
 
 @dataclass(frozen=True)
@@ -37,7 +36,9 @@ class ScoringSpec:
     bootstrap: bool = True
     handle_invalid: str = "error"     # unseen category: 'error' (reference) or 'keep'
     validate_training: bool = False   # the reference trained on unvalidated rows
-    max_categories: int = 10_000      # vocabulary bound per categorical (the model ships to every task)
+    max_categories: int | None = None  # vocabulary bound per category and for the label; see ``vocabulary_bound``
+    row_key: tuple[str, ...] = ()     # columns that tell training rows apart (default: the rules' id)
+    training_partitions: int = 32     # part of the model: bagging draws per partition
 
     @property
     def numeric(self):
@@ -47,6 +48,14 @@ class ScoringSpec:
     def categorical(self):
         return self.rules.categorical
 
+    @property
+    def vocabulary_bound(self) -> int:
+        """The bound given, else the largest number of values a rule permits."""
+        if self.max_categories is not None:
+            return self.max_categories
+        permitted = [len(self.rules.rule(c).values) for c in self.categorical if hasattr(self.rules.rule(c), "values")]
+        return max([2, *permitted])
+
     def exact(self, max_depth: int = 4) -> "ScoringSpec":
         """One unbagged tree over all features: leaves hold exact group class
         shares, which makes the model checkable against SQL."""
@@ -57,6 +66,7 @@ class ScoringSpec:
 class Fitted:
     model: PipelineModel
     fill: dict = field(default_factory=dict)
+    training_partitions: int | None = None
 
     @property
     def labels(self) -> list[str]:
@@ -65,13 +75,14 @@ class Fitted:
     def save(self, spark: SparkSession, path: str) -> None:
         """M6: model + fill values under one shared path."""
         model.save_model(self.model, f"{path}/model")
-        spark.createDataFrame([(json.dumps(self.fill, ensure_ascii=False),)], "fill string") \
+        state = {"fill": self.fill, "training_partitions": self.training_partitions}
+        spark.createDataFrame([(json.dumps(state, ensure_ascii=False),)], "fill string") \
             .coalesce(1).write.mode("overwrite").text(f"{path}/fill")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Fitted":
-        fill = json.loads(spark.read.text(f"{path}/fill").first()["value"])
-        return Fitted(model.load_model(f"{path}/model"), fill)
+        state = json.loads(spark.read.text(f"{path}/fill").first()["value"])
+        return Fitted(model.load_model(f"{path}/model"), state["fill"], state["training_partitions"])
 
 
 def prepare_training(df: DataFrame, spec: ScoringSpec, keep=()) -> DataFrame:
@@ -89,38 +100,35 @@ def prepare_training(df: DataFrame, spec: ScoringSpec, keep=()) -> DataFrame:
                      F.when(F.trim(label) != "", label).alias(spec.label))
 
 
-def check_vocabulary(sizes: dict, spec: ScoringSpec) -> None:
-    """The fitted pipeline -- vocabularies, one-hot widths, forest -- is sent
-    to every task that scores. The forest is bounded by its configuration;
-    a vocabulary grows with the distinct values of its column, so it is
-    bounded here, before anything is fitted."""
-    over = {c: n for c, n in sizes.items() if n > spec.max_categories}
-    if over:
-        raise ValueError(
-            f"categorical columns over max_categories={spec.max_categories}: {over}; "
-            "validate training rows (validate_training=True bounds each vocabulary by its "
-            "rule's values) or raise the bound")
-
-
 @contextmanager
 def training_rows(train: DataFrame, spec: ScoringSpec, keep=()):
     """The typed training rows, persisted (memory, spilling to disk) for the
     fitting passes, so the source is parsed once; a lost executor's blocks
-    are recomputed from lineage. A training set read into fewer partitions
-    than the cluster's parallelism (small files) is spread first -- at scale
-    the input already has many splits and this is skipped."""
-    typed = spread(prepare_training(train, spec, keep)).persist(StorageLevel.MEMORY_AND_DISK)
+    are recomputed from lineage.
+
+    Bagging draws per partition and row, so rows are dealt to
+    ``spec.training_partitions`` partitions by a hash of the row key and the
+    values, and ordered by it: the forest depends on the rows and the spec,
+    not on the input's files or the cluster's size."""
+    key = [c for c in (spec.row_key or ((spec.rules.id,) if spec.rules.id else ())) if c in train.columns]
+    typed = prepare_training(train, spec, list(dict.fromkeys([*keep, *key])))
+    own = F.xxhash64(*[F.col(c) for c in typed.columns])
+    dealt = (typed.withColumn("_order", own).repartition(spec.training_partitions, "_order")
+             .sortWithinPartitions("_order", *typed.columns).drop("_order"))
+    dealt = dealt.select(*keep, *[c for c in typed.columns if c not in keep and c not in key]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield typed
+        yield dealt
     finally:
-        typed.unpersist()
+        dealt.unpersist()
 
 
 def _filled(typed: DataFrame, spec: ScoringSpec) -> tuple[dict, DataFrame]:
-    """A5 + P8 on typed rows: fill values (vocabulary sizes checked in the same
-    pass), then the filled rows that have a label."""
-    fill, sizes = stats.fill_values_and_sizes(typed, spec.numeric, spec.categorical)
-    check_vocabulary(sizes, spec)
+    """A5 + P8 on typed rows: fill values (vocabulary sizes, the label's too,
+    checked in the same pass), then the filled rows that have a label."""
+    fill, sizes = stats.fill_values_and_sizes(typed, spec.numeric, [*spec.categorical, spec.label])
+    features.check_vocabulary(sizes, spec.vocabulary_bound)
+    fill = {c: v for c, v in fill.items() if c != spec.label}
     return fill, quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
 
 
@@ -137,10 +145,8 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     """F8 + M2: fill values, then one Pipeline fit (vocabularies, min/max,
     label index, forest). Rows without a label are not used for fitting.
 
-    Runs over ``training_rows`` (persisted, spread when narrow). The
-    fill-value pass also counts each category column's distinct values; a
-    vocabulary above ``spec.max_categories`` stops the fit
-    (``check_vocabulary``).
+    Runs over ``training_rows``. The fill-value pass also counts each
+    vocabulary; one above ``spec.vocabulary_bound`` stops the fit.
     """
     with training_rows(train, spec) as typed:
         fill, filled = _filled(typed, spec)
@@ -149,14 +155,14 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
                                    bootstrap=spec.bootstrap))
         fitted = Pipeline(stages=stages).fit(filled)
     decoder = model.label_decoder(features.label_labels(fitted))
-    return Fitted(PipelineModel(stages=list(fitted.stages) + [decoder]), fill)
+    return Fitted(PipelineModel(stages=list(fitted.stages) + [decoder]), fill, spec.training_partitions)
 
 
 def unseen(df: DataFrame, spec: ScoringSpec, fitted: Fitted) -> Column:
     """True for rows that ``score`` cannot encode under ``handle_invalid='error'``:
     a category whose checked and filled value is outside the fitted
     vocabulary (or still NULL). One ``InSet`` lookup per category; the
-    vocabularies are bounded by ``max_categories``."""
+    vocabularies are bounded (``vocabulary_bound``)."""
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     vocab = features.vocabularies(fitted.model)
     out = F.lit(False)

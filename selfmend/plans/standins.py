@@ -6,15 +6,15 @@ exercised on the TPC-H-like tables with a rule set of the same shape
 tables, so they are injected by key (``key % 7 = 0`` etc.) -- every row is
 kept, only some values are blanked.
 
-Landing files are written under the session's shared scratch folder with one
-file per ``ROWS_PER_FILE`` rows (never fewer than two, so that reading the
-folder always meets repeated header lines), the header on the first line of
-every file, no quoting.
+Landing files are written under the session's shared scratch folder, split by
+a fixed rule on the key (orders: even and odd keys) so that reading the folder
+always meets repeated header lines; each task writes its own rows, the header
+on the first line of every file, no quoting.
 """
 
 from __future__ import annotations
 
-import math
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,6 @@ from selfmend.functions.rules import Free, OneOf, Range, RuleSet
 from selfmend.plans.scoring import ScoringSpec
 from selfmend.session import path_exists, scratch_path
 
-ROWS_PER_FILE = 500_000
-MIN_FILES = 2
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -67,12 +64,15 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # lineitem as a labelled set: is the quantity big for its line status?
 # (class shares differ between the F and O groups, so a one-split tree is exact)
 LINEITEM_LABEL = "size_band"
+LINE_KEY = ("l_orderkey", "l_linenumber")
 LINEITEM_EXACT_SPEC = ScoringSpec(RuleSet((OneOf("l_linestatus", ("F", "O")),)),
-                                  LINEITEM_LABEL).exact(max_depth=2)
+                                  LINEITEM_LABEL, row_key=LINE_KEY).exact(max_depth=2)
+# A hundred equal trees: the forest's average is the one tree's share.
+LINEITEM_AVERAGE_SPEC = replace(LINEITEM_EXACT_SPEC, num_trees=100)
 LINEITEM_FOREST_SPEC = ScoringSpec(RuleSet((
     Range("l_discount", 0.0, 0.1), Range("l_tax", 0.0, 0.08),
     OneOf("l_returnflag", ("A", "N", "R")), OneOf("l_linestatus", ("F", "O")),
-)), LINEITEM_LABEL)
+)), LINEITEM_LABEL, row_key=LINE_KEY)
 
 
 def lineitem_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +92,8 @@ ORDERS_RULES = RuleSet((
     OneOf("o_orderpriority", ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")),
     Free("o_orderdate", enforced=False),
 ), id="o_orderkey")
-ORDERS_LABEL = "o_orderstatus"
-ORDERS_SPEC = ScoringSpec(ORDERS_RULES, ORDERS_LABEL)
+ORDERS_LABEL = "status_band"    # F, or any other status
+ORDERS_SPEC = ScoringSpec(ORDERS_RULES, ORDERS_LABEL, max_categories=100)
 # Exactly checkable variant: one binary category (rows outside the pair are
 # invalid and filled with the mode), validated training, one unbagged tree.
 # Spark merges sibling leaves that predict the same class, so with two groups
@@ -102,7 +102,13 @@ ORDERS_SPEC = ScoringSpec(ORDERS_RULES, ORDERS_LABEL)
 ORDERS_EXACT_SPEC = ScoringSpec(
     RuleSet((OneOf("o_orderpriority", ("1-URGENT", "4-NOT SPECIFIED")),), id="o_orderkey"),
     ORDERS_LABEL, validate_training=True).exact(max_depth=2)
-ORDERS_TRAIN_STATUSES = ("F", "O")
+# feat_label_encode_apply fits on these, so that a status is unseen when it applies.
+ORDERS_KNOWN_STATUSES = ("F", "O")
+
+
+def orders_training(text: DataFrame) -> DataFrame:
+    """All orders, labelled: finished or not."""
+    return text.withColumn(ORDERS_LABEL, F.when(F.col("o_orderstatus") == "F", F.lit("F")).otherwise(F.lit("rest")))
 
 
 def orders_text_columns(orders: DataFrame) -> list[Column]:
@@ -122,19 +128,12 @@ def orders_text_columns(orders: DataFrame) -> list[Column]:
     ]
 
 
-def files_for(n_rows: int) -> int:
-    return max(MIN_FILES, math.ceil(n_rows / ROWS_PER_FILE))
-
-
-def write_landing_csv(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Write ``df`` (string columns) as header-first, unquoted CSV files."""
-    n_files = files_for(df.count())
-    w = (df.repartition(n_files).write.mode("overwrite")
-         .option("header", True).option("quote", "").option("escape", "")
-         .option("emptyValue", "").option("nullValue", ""))
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.csv(path)
+def write_landing_csv(df: DataFrame, path: str, partition_by: str) -> str:
+    """Write ``df`` (string columns) as header-first, unquoted CSV files, a
+    sub-folder per value of ``partition_by``."""
+    (df.write.mode("overwrite").partitionBy(partition_by)
+     .option("header", True).option("quote", "").option("escape", "")
+     .option("emptyValue", "").option("nullValue", "").csv(path))
     return path
 
 
@@ -145,8 +144,9 @@ def orders_text_dir(spark: SparkSession, sf_dir: str) -> str:
     """Landing folder with ``orders`` as ticket-like CSV text (cached per run)."""
     key = ("orders", sf_dir, spark.sparkContext.applicationId)
     if key not in _FIXTURES or not path_exists(spark, _FIXTURES[key]):
-        orders = table(spark, sf_dir, "orders").select(*orders_text_columns(table(spark, sf_dir, "orders")))
-        _FIXTURES[key] = write_landing_csv(orders, scratch_path(spark, "orders-text"))
+        orders = table(spark, sf_dir, "orders")
+        text = orders.select(*orders_text_columns(orders), (F.col("o_orderkey") % 2).alias("half"))
+        _FIXTURES[key] = write_landing_csv(text, scratch_path(spark, "orders-text"), "half")
     return _FIXTURES[key]
 
 
@@ -162,16 +162,10 @@ EVENTS_EXACT_SPEC = ScoringSpec(
     EVENTS_LABEL, validate_training=True).exact(max_depth=2)
 SHORT_KIND = "view"      # files of this kind land without the ``event_type`` column
 EMPTY_KIND = "none"      # one header-only file
-# The event types of the driver's ``events`` table.
-EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
+CLOSING_KIND = "closing"  # a header-only file that lands after the others
 SHORT_COLUMNS = tuple(c for c in EVENTS_COLUMNS if c != "event_type")
 
 
-def kind_glob(landing: str, kinds) -> str:
-    """Hadoop glob over the ``kind=`` sub-folders of a landing folder."""
-    return f"{landing}/kind={{{','.join(kinds)}}}"
-
-
 def events_text(events: DataFrame, extra=()) -> DataFrame:
     """Events as landing text; ``kind`` repeats the event type so it can
     also name the landing sub-folder."""
@@ -207,15 +201,19 @@ def write_events_landing(spark: SparkSession, sf_dir: str, landing: str) -> str:
     """Events split into landing files, one sub-folder per kind: full files for
     most kinds, column-short files for ``SHORT_KIND``, one header-only file."""
     text = events_text(table(spark, sf_dir, "events"))
-    is_short = F.col("kind") == SHORT_KIND
-    sizes = {r["s"]: r["n"] for r in text.groupBy(is_short.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    full = text.where(~is_short)
-    short = text.where(is_short).drop("event_type")
-    for part, n_rows in ((full, sizes.get(False, 0)), (short, sizes.get(True, 0))):
-        n_files = files_for(n_rows)
-        (part.repartition(n_files).write.mode("append").partitionBy("kind")
+    is_short = F.coalesce(F.col("kind") == SHORT_KIND, F.lit(False))      # an unknown kind lands in full
+    for part in (text.where(~is_short), text.where(is_short).drop("event_type")):
+        (part.write.mode("append").partitionBy("kind")
          .option("header", True).option("quote", "").option("escape", "").option("emptyValue", "")
-         .csv(landing))
-    (text.where(F.lit(False)).drop("kind").coalesce(1).write.mode("overwrite")
-     .option("header", True).csv(f"{landing}/kind={EMPTY_KIND}"))
+         .option("nullValue", "").csv(landing))
+    _header_only(text, f"{landing}/kind={EMPTY_KIND}")
     return landing
+
+
+def _header_only(text: DataFrame, path: str) -> None:
+    text.where(F.lit(False)).drop("kind").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_closing_file(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """One more header-only file, of its own kind."""
+    _header_only(events_text(table(spark, sf_dir, "events")), f"{landing}/kind={CLOSING_KIND}")

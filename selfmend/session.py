@@ -1,8 +1,8 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the scratch folder is whatever ``spark.checkpoint.dir`` names
-(a shared file system path). Only when the session names none -- unit tests,
-a laptop -- do we create one ourselves.
+(a shared file system path). A session that names none may use a folder of
+this machine only if it runs on this machine alone (master ``local``).
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # landing files may be in any charset the JDK knows (GBK); Spark 4 refuses all but a few otherwise
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 
@@ -48,13 +50,16 @@ def build_session(master: str | None = None, app: str = "selfmend",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch folder: ``spark.checkpoint.dir`` when set.
 
-    Falls back to a fresh local temporary folder only when the session names
-    none (tests), and records it so later calls and ``checkpoint()`` agree.
+    A ``local`` session that names none (tests) gets a fresh temporary folder,
+    recorded so that later calls and ``checkpoint()`` agree; on a cluster the
+    setting is required, since executors share no local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="selfmend-")
         spark.sparkContext.setCheckpointDir(path)
     elif not spark.sparkContext.getCheckpointDir():
@@ -67,15 +72,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/selfmend/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df):
-    """Repartition ``df`` round-robin to the cluster's default parallelism
-    when it has fewer partitions than that (few files / one big row group),
-    so per-row work uses every core. Inputs that already have enough splits
-    -- the normal case at scale -- are returned unchanged (no shuffle)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the cluster file system (any Hadoop scheme)."""
     jvm = spark.sparkContext._jvm

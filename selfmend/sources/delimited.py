@@ -5,8 +5,9 @@ or escaping**: every comma splits, blank and trailing blank fields are kept,
 and the empty string (not NULL) means "missing". Two equivalent read paths:
 
 * text path  -- ``scan_text`` -> ``split_fields`` -> ``drop_repeated_headers``
-  -> ``all_string_table``: tolerant of concatenated files with repeated
-  headers; empty lines are skipped, as the CSV reader skips them;
+  -> ``all_string_table``, per group of files that share a header, columns
+  taken by name: tolerant of concatenated files with repeated headers; empty
+  lines are skipped, as the CSV reader skips them;
 * CSV path   -- ``read_csv_strings``: the CSV reader with quoting off, used by
   the streaming job (one header per file, columns taken by name).
 
@@ -18,19 +19,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from selfmend.functions.files import source_file_name
+from selfmend.functions.files import literal_path, source_file_name, source_file_path
 from selfmend.functions.numeric import strict_double
+from selfmend.operators.quality import OK, RAGGED
 
 SEP = ","
 
 
 def scan_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per line (``value``); a UTF-8 BOM is dropped by the reader."""
-    return spark.read.text(path)
+    """One row per line (``value``) of the files under ``path``, in any
+    sub-folder; a UTF-8 BOM is dropped by the reader."""
+    return spark.read.option("recursiveFileLookup", "true").text(path)
 
 
 def split_fields(lines: DataFrame, sep: str = SEP) -> DataFrame:
@@ -45,7 +48,7 @@ def header_names(spark: SparkSession, path: str | Sequence[str], sep: str = SEP)
     is a file's first line however the files were packed into partitions. One
     line reaches the driver.
     """
-    first = (spark.read.text(path)
+    first = (scan_text(spark, path)
              .where(F.col("_metadata.file_block_start") == 0)
              .limit(1).collect())
     if not first:
@@ -53,6 +56,25 @@ def header_names(spark: SparkSession, path: str | Sequence[str], sep: str = SEP)
     return first[0]["value"].lstrip("﻿").split(sep)
 
 
+def headers_by_file(spark: SparkSession, path: str | Sequence[str],
+                    encoding: str = "UTF-8") -> dict[str, str]:
+    """S3 for every file: its path and first non-empty line, found in one job
+    by a partial aggregate (a file's first split is read by one task, in line
+    order). One line per file reaches the driver, as the paths themselves do
+    when Spark lists the folder. Files without a line are left out."""
+    line = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    lines = (scan_text(spark, path).where((F.col("_metadata.file_block_start") == 0) & (F.col("value") != ""))
+             .select(source_file_path().alias("path"), line.alias("line"), F.monotonically_increasing_id().alias("at")))
+    first = lines.groupBy("path").agg(F.min_by("line", "at").alias("line"))
+    return {r["path"]: r["line"].lstrip("\ufeff") for r in first.collect()}
+
+
+def row_status(n_fields: Column, header: Sequence[str]) -> Column:
+    """Of a split row: ``OK``, or ``RAGGED`` when the header has more or fewer
+    names than the row has fields -- its values cannot be told apart."""
+    return F.when(n_fields == len(header), F.lit(OK)).otherwise(F.lit(RAGGED))
+
+
 def drop_repeated_headers(fields: DataFrame, header: Sequence[str]) -> DataFrame:
     """Drop every line whose first field equals the header's first field
     (so the headers of concatenated files go too)."""
@@ -66,8 +88,8 @@ def drop_repeated_header_lines(lines: DataFrame, header: Sequence[str], sep: str
 
 
 def all_string_table(fields: DataFrame, header: Sequence[str]) -> DataFrame:
-    """Header-named, all-string table. Short rows give ``''`` for the
-    missing trailing fields; extra fields are ignored."""
+    """Header-named, all-string table of well-formed rows. (Of a short row
+    the missing trailing fields would be ``''``; ``row_status`` tells.)"""
     return fields.select(*[F.coalesce(F.get(F.col("fields"), i), F.lit("")).alias(name)
                            for i, name in enumerate(header)])
 
@@ -102,26 +124,64 @@ def contract_schema(id_col: str | None, numeric: Sequence[str],
     return StructType(fields)
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str],
-                   header: Sequence[str] | None = None, sep: str = SEP) -> DataFrame:
-    """S1+S2+S3+S4+S5: the whole text path to an all-string table."""
-    header = list(header) if header is not None else header_names(spark, path, sep)
+def file_groups(spark: SparkSession, path: str | Sequence[str], header: Sequence[str] | None = None,
+                sep: str = SEP) -> list[tuple[list[str], str | list[str]]]:
+    """Headers and the files that have each, or the given header for all."""
+    if header is not None:
+        return [(list(header), path)]
+    by: dict[str, list[str]] = {}
+    for file, line in headers_by_file(spark, path).items():
+        by.setdefault(line, []).append(literal_path(file))
+    return [(line.split(sep), files) for line, files in sorted(by.items())]
+
+
+def _rows(spark: SparkSession, path, header: Sequence[str], sep: str) -> DataFrame:
+    """The split rows of files that share a header, with their status."""
     # an empty line holds no record (the CSV path skips it too)
-    lines = scan_text(spark, path).where(F.col("value") != "")
+    lines = scan_text(spark, path).where(F.col("value") != "").select("value", source_file_path().alias("source_path"))
     lines = drop_repeated_header_lines(lines, header, sep)
-    return all_string_table(split_fields(lines, sep), header)
+    fields = lines.select("value", "source_path", F.split(F.col("value"), sep, -1).alias("fields"))
+    return fields.withColumn("status", row_status(F.size("fields"), header))
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str],
+                   header: Sequence[str] | None = None, sep: str = SEP) -> DataFrame:
+    """S1+S2+S3+S4+S5: the whole text path to an all-string table.
+
+    Every file is read by its own header and columns are matched by name; a
+    column that some files lack is ``''`` there. Rows with too few or too many
+    fields are not in the table: ``read_ragged`` returns them. With ``header``
+    given, all files are taken to have it (no job to read headers)."""
+    out = None
+    for names, files in file_groups(spark, path, header, sep):
+        own = all_string_table(_rows(spark, files, names, sep).where(F.col("status") == OK), names)
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], StructType([]))
+    return out.na.fill("")
+
+
+def read_ragged(spark: SparkSession, path: str | Sequence[str],
+                header: Sequence[str] | None = None, sep: str = SEP) -> DataFrame:
+    """The rows ``read_delimited`` leaves out: ``value`` (the line),
+    ``source_path`` and ``status``."""
+    out = spark.createDataFrame([], "value string, source_path string, status int")
+    for names, files in file_groups(spark, path, header, sep):
+        out = out.unionByName(_rows(spark, files, names, sep).where(F.col("status") != OK).drop("fields"))
+    return out
 
 
 # Charsets Spark's readers accept without the JDK-charset switch.
 STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
 
 
-def allow_charset(spark: SparkSession, encoding: str) -> None:
-    """Readers take only Unicode/Latin-1 charsets by default; a file in GBK
-    (or another JDK charset) needs ``spark.sql.legacy.javaCharsets``, which is
-    switched on only when such an encoding is asked for."""
-    if encoding.lower() not in STANDARD_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+def check_charset(spark: SparkSession, encoding: str) -> None:
+    """Readers take only Unicode/Latin-1 charsets by default; GBK (or another
+    JDK charset) needs a session with ``spark.sql.legacy.javaCharsets``, as
+    ``build_session`` makes it. A read does not change the session."""
+    if encoding.lower() not in STANDARD_CHARSETS and \
+            spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
+        raise ValueError(f"{encoding} needs a session with spark.sql.legacy.javaCharsets=true")
 
 
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
@@ -139,7 +199,7 @@ def read_csv_strings(spark: SparkSession, path: str | Sequence[str],
     if corrupt_column:
         fields.append(StructField(corrupt_column, StringType(), True))
     schema = StructType(fields)
-    allow_charset(spark, encoding)
+    check_charset(spark, encoding)
     df = (spark.read.schema(schema)
           .option("header", True).option("sep", sep).option("encoding", encoding)
           .option("quote", "").option("escape", "")
@@ -155,6 +215,6 @@ def csv_inferred(spark: SparkSession, path: str | Sequence[str],
                  encoding: str = "UTF-8", sep: str = SEP) -> DataFrame:
     """CSV with header and type inference (extra pass over the data;
     prefer an explicit schema in production)."""
-    allow_charset(spark, encoding)
-    return (spark.read.option("header", True).option("inferSchema", True)
+    check_charset(spark, encoding)
+    return (spark.read.option("header", True).option("inferSchema", True).option("recursiveFileLookup", "true")
             .option("encoding", encoding).option("sep", sep).csv(path))

@@ -8,8 +8,9 @@ moved it away. Here:
       progress lives in the checkpoint, so a restarted job resumes where it
       stopped and a lost executor only re-runs its tasks;
 * T1  ``foreachBatch`` gets the new paths (file names only reach the driver),
-      reads each file's header line through the Hadoop file system, groups
-      files that share a header and reads each group with **one** CSV scan;
+      finds all header lines in one job, groups files that share a header and
+      reads each group with **one** CSV scan; a file that cannot be read any
+      more gets status 5 and does not hold up the others;
 * P4/P3 per file: no data rows -> status 1, required column missing ->
       status 2 (its rows are quarantined, T5); a row with too few or too many
       fields is quarantined with status 3, a row with a category outside the
@@ -29,7 +30,6 @@ its own partial output.
 
 from __future__ import annotations
 
-import re
 import time
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
@@ -41,10 +41,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from selfmend.functions.files import source_file_path
+from selfmend.functions.files import literal_path, source_file_path
 from selfmend.operators import quality, sinks
 from selfmend.plans.scoring import Fitted, ScoringSpec, score, unseen
-from selfmend.sources.delimited import SEP, read_csv_strings
+from selfmend.operators.quality import RAGGED, UNREADABLE, UNSEEN
+from selfmend.sources.delimited import SEP, headers_by_file, read_csv_strings
 
 BINARY_FILE_SCHEMA = StructType([
     StructField("path", StringType(), False),
@@ -55,10 +56,8 @@ BINARY_FILE_SCHEMA = StructType([
 
 METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, n_ragged long, n_unseen long, "
                   "status int, missing string, elapsed_s double")
-RAGGED = 3          # row-level status: wrong number of fields, quarantined
-UNSEEN = 4          # row-level status: a category outside the fitted vocabulary, quarantined
 CORRUPT = "_corrupt_record"
-HEADER_READERS = 32  # concurrent header reads per micro-batch (latency-bound opens)
+PROBES = 32         # files opened at a time to find those that cannot be read
 
 
 @dataclass(frozen=True)
@@ -70,50 +69,65 @@ class ServeConfig:
     checkpoint: str
     glob: str = "*.csv"
     archive_dir: str | None = None
-    max_files_per_trigger: int | None = 1000    # bounds one micro-batch
+    max_files_per_trigger: int = 1000            # bounds one micro-batch, and the paths the driver gets
     processing_time: str | None = "10 seconds"   # None -> availableNow (drain and stop)
     output_format: str = "json"
     encoding: str = "UTF-8"                      # landing files' charset (e.g. GBK)
 
+    def __post_init__(self) -> None:
+        if not self.max_files_per_trigger or self.max_files_per_trigger < 1:
+            raise ValueError("max_files_per_trigger must be positive: a batch's paths reach the driver")
+
 
 def landing_stream(spark: SparkSession, landing: str, glob: str = "*.csv",
-                   max_files_per_trigger: int | None = 1000,
+                   max_files_per_trigger: int = 1000,
                    archive_dir: str | None = None) -> DataFrame:
     """New files under ``landing`` (recursive) whose name matches ``glob``."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+              .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(landing).select("path", "length")
 
 
-def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
-    """The first line of a file, read through the Hadoop file system (one
-    line, on the driver) -- works for any scheme the cluster can read."""
+def _can_open(spark: SparkSession, path: str) -> bool:
+    """Whether a file can be opened and its first byte read."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return (line or "").lstrip("﻿")
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+        try:
+            stream.read()
+        finally:
+            stream.close()
+        return True
+    except Exception:  # noqa: BLE001  whatever the file system reports, the file is unreadable
+        return False
+
+
+def read_headers(spark: SparkSession, paths: list[str], encoding: str) -> tuple[dict[str, str], list[str]]:
+    """The header line of each file ('' if it has none), and the files that
+    cannot be read. One job; only when it fails are the files tried one by one."""
+    def headers(files):
+        found = headers_by_file(spark, [literal_path(p) for p in files], encoding) if files else {}
+        return {p: found.get(p, "") for p in files}
+
+    try:
+        return headers(paths), []
+    except Exception:  # noqa: BLE001  one bad file fails the whole job
+        with ThreadPoolExecutor(max_workers=min(PROBES, len(paths))) as pool:
+            readable = list(pool.map(lambda p: _can_open(spark, p), paths))
+        if all(readable):
+            raise
+        return (headers([p for p, ok in zip(paths, readable) if ok]),
+                [p for p, ok in zip(paths, readable) if not ok])
 
 
 def _file_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def _literal(path: str) -> str:
-    """A path passed to a reader as itself: glob characters escaped, so a
-    file named ``a[1].csv`` or ``b{2}.csv`` is read, not pattern-matched."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def unique_names(header) -> tuple[list[str], list[str]]:
     """Header names made unique (a repeated ``x`` becomes ``x_2``, ``x_3``,
     ...) and the names that were repeated."""
@@ -139,21 +153,14 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
     paths = [r["path"] for r in batch.select("path").collect()]
     if not paths:
         return
-    # one line per file; opens on shared storage are latency-bound, so up to
-    # HEADER_READERS run at once (a micro-batch holds at most
-    # ``max_files_per_trigger`` paths)
-    with ThreadPoolExecutor(max_workers=min(HEADER_READERS, len(paths))) as pool:
-        lines = list(pool.map(lambda p: first_line(spark, p, cfg.encoding), paths))
+    headers, unreadable = read_headers(spark, paths, cfg.encoding)
     by_header: dict[tuple, list[str]] = defaultdict(list)
-    for p, line in zip(paths, lines):
+    for p, line in headers.items():
         by_header[tuple(line.split(SEP)) if line else ()].append(p)
 
-    metrics, persisted = [], []
-    try:
-        _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, persisted)
-    finally:
-        for df in persisted:
-            df.unpersist()
+    metrics = [(_file_name(p), p, 0, 0, 0, UNREADABLE, "", 0.0) for p in unreadable]
+    for group, (header, files) in enumerate(sorted(by_header.items())):
+        metrics += _process_group(spark, group, header, files, batch_id, spec, fitted, cfg)
 
     elapsed = time.time() - started
     rows = [m[:-1] + (elapsed,) for m in metrics]
@@ -161,61 +168,67 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: Sc
      .write.mode("overwrite").parquet(f"{cfg.metrics}/batch_id={batch_id}"))
 
 
-def _process_groups(spark, by_header, batch_id, spec, fitted, cfg, metrics, persisted) -> None:
-    for group, (header, files) in enumerate(sorted(by_header.items())):
-        if not header:                      # zero-byte file: nothing to read
-            metrics += [(_file_name(p), p, 0, 0, 0, quality.EMPTY, "", 0.0) for p in files]
-            continue
-        # one scan per header group, kept for the count and the write (blocks
-        # lost with an executor are re-read from the files)
-        # a repeated name is renamed; a repeated *required* column is
-        # ambiguous and the file is treated like one missing it (status 2)
-        names, repeated = unique_names(header)
-        df = (read_csv_strings(spark, [_literal(p) for p in files], names, corrupt_column=CORRUPT,
-                               encoding=cfg.encoding)
-              .withColumn("source_path", source_file_path())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-        persisted.append(df)
-        required = set(spec.rules.numeric + spec.rules.categorical)
-        missing = quality.missing_columns(names, spec.rules) + [c for c in repeated if c in required]
-        # under 'error', a row the model cannot encode would fail the whole
-        # batch -- and, replayed from the checkpoint, every restart: such rows
-        # are quarantined instead (T5) and the rest of the file is scored
-        bad_code = (unseen(df, spec, fitted) & F.col(CORRUPT).isNull()
-                    if not missing and spec.handle_invalid == "error" else F.lit(False))
-        counts = {r["source_path"]: (r["n"], r["r"], r["u"]) for r in
-                  df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n"),
-                                                F.count(CORRUPT).alias("r"),
-                                                F.count_if(bad_code).alias("u")).collect()}
-        any_ok = any_ragged = any_unseen = False
-        for p in files:
-            n, r, u = counts.get(p, (0, 0, 0))
-            code = quality.EMPTY if n == 0 else (quality.MISSING_COLUMNS if missing else quality.OK)
-            any_ok |= code == quality.OK
-            any_ragged |= r > 0
-            any_unseen |= u > 0
-            metrics.append((_file_name(p), p, int(n), int(r), int(u), code, ",".join(missing), 0.0))
-        with_name = df.withColumn("source_file", F.regexp_extract("source_path", r"([^/]+)$", 1))
-        part = f"batch_id={batch_id}/group={group}"
-        if missing:
-            bad = with_name.drop(CORRUPT).withColumn("status", F.lit(quality.MISSING_COLUMNS))
-            sinks.write_json(bad, f"{cfg.quarantine}/{part}/reason=missing_columns", partition_by="source_file")
-            continue
-        if any_ragged:
-            ragged = (with_name.where(F.col(CORRUPT).isNotNull())
-                      .withColumn("status", F.lit(RAGGED)))
-            sinks.write_json(ragged, f"{cfg.quarantine}/{part}/reason=ragged", partition_by="source_file")
-        if any_ok:
-            good = with_name.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-            if any_unseen:
-                flag = unseen(good, spec, fitted)
-                sinks.write_json(good.where(flag).withColumn("status", F.lit(UNSEEN)),
-                                 f"{cfg.quarantine}/{part}/reason=unseen_category", partition_by="source_file")
-                good = good.where(~flag)
-            result = score(good, spec, fitted)
-            writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(
-                cfg.output_format, sinks.write_json)
-            writer(result, f"{cfg.output}/{part}", partition_by="source_file")
+def _process_group(spark, group, header, files, batch_id, spec, fitted, cfg) -> list[tuple]:
+    """Check, score and write the files that share a header; their metrics rows."""
+    if not header:                      # no line: nothing to read
+        return [(_file_name(p), p, 0, 0, 0, quality.EMPTY, "", 0.0) for p in files]
+    # one scan per header group, kept for the count and the write (blocks
+    # lost with an executor are re-read from the files)
+    # a repeated name is renamed; a repeated *required* column is
+    # ambiguous and the file is treated like one missing it (status 2)
+    names, repeated = unique_names(header)
+    df = (read_csv_strings(spark, [literal_path(p) for p in files], names, corrupt_column=CORRUPT,
+                           encoding=cfg.encoding)
+          .withColumn("source_path", source_file_path())
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return _checked_and_scored(df, group, names, repeated, files, batch_id, spec, fitted, cfg)
+    finally:
+        df.unpersist()
+
+
+def _checked_and_scored(df, group, names, repeated, files, batch_id, spec, fitted, cfg) -> list[tuple]:
+    metrics = []
+    required = set(spec.rules.numeric + spec.rules.categorical)
+    missing = quality.missing_columns(names, spec.rules) + [c for c in repeated if c in required]
+    # under 'error', a row the model cannot encode would fail the whole
+    # batch -- and, replayed from the checkpoint, every restart: such rows
+    # are quarantined instead (T5) and the rest of the file is scored
+    bad_code = (unseen(df, spec, fitted) & F.col(CORRUPT).isNull()
+                if not missing and spec.handle_invalid == "error" else F.lit(False))
+    counts = {r["source_path"]: (r["n"], r["r"], r["u"]) for r in
+              df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n"),
+                                            F.count(CORRUPT).alias("r"),
+                                            F.count_if(bad_code).alias("u")).collect()}
+    any_ok = any_ragged = any_unseen = False
+    for p in files:
+        n, r, u = counts.get(p, (0, 0, 0))
+        code = quality.EMPTY if n == 0 else (quality.MISSING_COLUMNS if missing else quality.OK)
+        any_ok |= code == quality.OK
+        any_ragged |= r > 0
+        any_unseen |= u > 0
+        metrics.append((_file_name(p), p, int(n), int(r), int(u), code, ",".join(missing), 0.0))
+    with_name = df.withColumn("source_file", F.regexp_extract("source_path", r"([^/]+)$", 1))
+    part = f"batch_id={batch_id}/group={group}"
+    if missing:
+        bad = with_name.drop(CORRUPT).withColumn("status", F.lit(quality.MISSING_COLUMNS))
+        sinks.write_json(bad, f"{cfg.quarantine}/{part}/reason=missing_columns", partition_by="source_file")
+        return metrics
+    if any_ragged:
+        ragged = with_name.where(F.col(CORRUPT).isNotNull()).withColumn("status", F.lit(RAGGED))
+        sinks.write_json(ragged, f"{cfg.quarantine}/{part}/reason=ragged", partition_by="source_file")
+    if any_ok:
+        good = with_name.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        if any_unseen:
+            flag = unseen(good, spec, fitted)
+            sinks.write_json(good.where(flag).withColumn("status", F.lit(UNSEEN)),
+                             f"{cfg.quarantine}/{part}/reason=unseen_category", partition_by="source_file")
+            good = good.where(~flag)
+        result = score(good, spec, fitted)
+        writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(
+            cfg.output_format, sinks.write_json)
+        writer(result, f"{cfg.output}/{part}", partition_by="source_file")
+    return metrics
 
 
 def serve(spark: SparkSession, spec: ScoringSpec, fitted: Fitted, cfg: ServeConfig):

@@ -102,7 +102,27 @@ def test_text_path_repeated_headers_trailing_blanks_short_rows(spark, tmp_dir):
     lines = ["a,b,c", "1,x,", "", "a,b,c", "2,,", "3", "4,y,z,extra", ""]
     path = write_lines(f"{tmp_dir}/t.csv", lines)
     df = src.read_delimited(spark, path)
-    assert [tuple(r) for r in df.collect()] == [("1", "x", ""), ("2", "", ""), ("3", "", ""), ("4", "y", "z")]
+    assert [tuple(r) for r in df.collect()] == [("1", "x", ""), ("2", "", "")]
+    ragged = src.read_ragged(spark, path)
+    assert sorted((r["value"], r["status"]) for r in ragged.collect()) == [
+        ("3", quality.RAGGED), ("4,y,z,extra", quality.RAGGED)]
+    fields = src.drop_repeated_headers(src.split_fields(src.scan_text(spark, path)), ["a", "b", "c"])
+    table = src.all_string_table(fields.where(F.col("fields")[0] != ""), ["a", "b", "c"])
+    assert [tuple(r) for r in table.collect()] == [("1", "x", ""), ("2", "", ""), ("3", "", ""), ("4", "y", "z")]
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp_dir):
+    """Moved columns, another first column, a missing one: matched by name."""
+    write_lines(f"{tmp_dir}/in/a.csv", ["id,x,y", "1,10,20", "id,x,y", "2,11,21"])
+    write_lines(f"{tmp_dir}/in/b.csv", ["id,y,x", "3,22,12"])
+    write_lines(f"{tmp_dir}/in/sub/c.csv", ["y,id,x", "23,4,13", "24,5"])
+    write_lines(f"{tmp_dir}/in/d [1].csv", ["id,x", "6,14"])
+    write_lines(f"{tmp_dir}/in/e.csv", ["id,x,y"])
+    out = src.read_delimited(spark, f"{tmp_dir}/in")
+    assert sorted((r["id"], r["x"], r["y"]) for r in out.collect()) == [
+        ("1", "10", "20"), ("2", "11", "21"), ("3", "12", "22"), ("4", "13", "23"), ("6", "14", "")]
+    ragged = src.read_ragged(spark, f"{tmp_dir}/in").collect()
+    assert [(r["value"], r["status"], r["source_path"].endswith("/sub/c.csv")) for r in ragged] == [("24,5", quality.RAGGED, True)]
 
 
 def test_header_names_strip_bom(spark, tmp_dir):

@@ -126,50 +126,94 @@ def test_model_roundtrip(spark, fitted, tickets, tmp_dir):
     assert sorted(a) == sorted(b)
 
 
-def test_join_attaches_each_row_its_own_result(spark):
-    """Duplicated and blank ids: one output row per input row, each with the
-    result computed from it; a row without a result keeps NULLs."""
-    left = spark.createDataFrame([("1", "x"), ("1", "y"), ("", "b1"), ("", "b2"), ("3", "z"), ("1", "x")],
-                                 "id string, v string")
-    res = spark.createDataFrame([("1", "x", 1.0, "A", 0.9), ("1", "y", 0.0, "B", 0.1), ("", "b1", 1.0, "A", 0.7),
-                                 ("", "b2", 1.0, "A", 0.8), ("1", "x", 1.0, "A", 0.9)],
-                                "id string, v string, prediction double, predictedLabel string, probability double")
-    out = attach.join_results(left, res, "id")
+def _results(rows):
+    return rows, "id string, prediction double, predictedLabel string, probability double"
+
+
+def test_join_by_row_id_attaches_each_row_its_own_result(spark):
+    """Duplicated and blank ids, equal rows: one output row per input row,
+    each with the result computed from it."""
+    left = attach.with_row_ids(spark.createDataFrame(
+        [("1", "x"), ("1", "y"), ("", "b1"), ("", "b2"), ("3", "z"), ("1", "x"), (None, None)], "id string, v string"))
+    res = left.where("v <> 'z' OR v IS NULL").select(
+        attach.ROW_ID, "id", F.lit(1.0).alias("prediction"), F.lit("A").alias("predictedLabel"),
+        (F.length(F.coalesce("v", F.lit("")))).cast("double").alias("probability"))
+    out = attach.join_by_row_id(left, res)
     assert out.columns == ["id", "v", "prediction", "predictedLabel", "probability"]
-    rows = sorted(out.collect(), key=lambda r: (r["id"], r["v"]))
-    assert [(r["id"], r["v"], r["probability"]) for r in rows] == [
-        ("", "b1", 0.7), ("", "b2", 0.8), ("1", "x", 0.9), ("1", "x", 0.9), ("1", "y", 0.1), ("3", "z", None)]
+    assert sorted([(r["id"], r["v"], r["probability"]) for r in out.collect()], key=repr) == sorted([
+        ("", "b1", 2.0), ("", "b2", 2.0), ("1", "x", 1.0), ("1", "x", 1.0), ("1", "y", 1.0), ("3", "z", None),
+        (None, None, 0.0)], key=repr)
 
 
-def test_join_matches_null_key_fields(spark):
-    left = spark.createDataFrame([("1", None, 2.0), ("2", "x", None), (None, None, None)],
-                                 "id string, v string, d double")
-    res = left.select("*", F.lit(1.0).alias("prediction"), F.lit("A").alias("predictedLabel"),
-                      F.lit(0.5).alias("probability"))
-    out = attach.join_results(left, res, "id").collect()
-    assert len(out) == 3 and all(r["probability"] == 0.5 for r in out)
-
-
-def test_join_hot_id_stays_linear(spark):
-    """An id held by a third of all rows does not multiply."""
-    left = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
-        F.col("id").cast("string").alias("v"))
-    res = left.select("k", "v", (F.col("v").cast("double") / 3000).alias("prediction"),
-                      F.lit("L").alias("predictedLabel"), F.lit(0.5).alias("probability"))
-    out = attach.join_results(left, res, "k")
-    assert out.count() == 3000
-    assert out.where(F.col("prediction") != F.col("v").cast("double") / 3000).count() == 0
+def test_join_on_id_refuses_differing_results(spark):
+    left = spark.createDataFrame([("7", "x"), ("7", "y"), ("", "b"), (None, "n"), ("8", "z")], "id string, v string")
+    same = spark.createDataFrame(*_results([("7", 1.0, "A", 0.9), ("7", 1.0, "A", 0.9), ("", 0.0, "B", 0.2), (None, 0.0, "B", 0.1)]))
+    out = attach.join_results(left, same, "id")
+    assert out.columns == ["id", "v", "prediction", "predictedLabel", "probability"]
+    assert sorted([(r["id"], r["v"], r["probability"]) for r in out.collect()], key=repr) == sorted([
+        ("7", "x", 0.9), ("7", "y", 0.9), ("", "b", 0.2), (None, "n", 0.1), ("8", "z", None)], key=repr)
+    differing = spark.createDataFrame(*_results([("7", 1.0, "A", 0.9), ("7", 0.0, "B", 0.1)]))
+    with pytest.raises(ValueError, match="differing results"):
+        attach.join_results(left, differing, "id")
 
 
-def test_single_file_only_under_its_bound(spark, tmp_dir):
+def test_number_of_files_is_the_callers_choice(spark, tmp_dir):
     df = spark.range(0, 40, 1, 4).select(F.col("id").cast("string").alias("v"))
-    sinks.write_csv_header(df, f"{tmp_dir}/small", single_file=True, max_rows=40)
-    assert len(spark.read.option("header", True).csv(f"{tmp_dir}/small").inputFiles()) == 1
-    with pytest.warns(UserWarning, match="more than 39 rows"):
-        sinks.write_csv_header(df, f"{tmp_dir}/big", single_file=True, max_rows=39)
-    big = spark.read.option("header", True).csv(f"{tmp_dir}/big")
-    assert big.count() == 40 and len(big.inputFiles()) > 1
+    for n in (1, 3):
+        sinks.write_csv_header(df, f"{tmp_dir}/n{n}", n_files=n)
+        back = spark.read.option("header", True).csv(f"{tmp_dir}/n{n}")
+        assert len(back.inputFiles()) == n and back.count() == 40
+    sinks.write_csv_header(df, f"{tmp_dir}/all")
+    assert len(spark.read.option("header", True).csv(f"{tmp_dir}/all").inputFiles()) == 4
+
+
+def test_forest_does_not_depend_on_input_partitions(spark):
+    """The same rows in other partitions and another order: the same forest."""
+    rows = spark.range(0, 2000).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 97).cast("double").alias("n"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("c"),
+        F.when((F.col("id") * 7919) % 13 < 6, F.lit("y")).otherwise(F.lit("n")).alias("lab"))
+    spec = scoring.ScoringSpec(RuleSet((Range("n", 0, 100), OneOf("c", ("a", "b", "c"))), id="id"), "lab",
+                               num_trees=15, max_depth=6, training_partitions=5)
+    got = []
+    for df in (rows.coalesce(1), rows.repartition(11), rows.orderBy(F.desc("n")).coalesce(3)):
+        fitted = scoring.fit(df, spec)
+        assert fitted.training_partitions == 5
+        got.append(sorted((r["id"], r["probability"]) for r in scoring.score(rows.drop("lab"), spec, fitted).collect()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_forest_is_the_same_on_four_and_sixteen_cores(tmp_dir):
+    """Two sessions of different size train on the same file: equal predictions."""
+    import subprocess
+    import sys
+    from conftest import ROOT
+    code = """
+import sys; sys.path.insert(0, %r)
+from dataclasses import replace
+from selfmend.plans import scoring, standins as S
+from selfmend.session import build_session
+from pyspark.sql import functions as F
+spark = build_session(sys.argv[1], shuffle_partitions=int(sys.argv[2]))
+spec = replace(S.ORDERS_SPEC, num_trees=10)
+orders = S.table(spark, "/root/testdata/sf0.001", "orders")
+text = orders.select(*S.orders_text_columns(orders))
+out = scoring.score(text, spec, scoring.fit(S.orders_training(text), spec))
+print("RESULT", out.agg(F.count("*"), F.sum(F.xxhash64("o_orderkey", "prediction", "probability") %% 1000003)).first())
+""" % ROOT
+    got = [next(x for x in subprocess.run([sys.executable, "-c", code, master, n], capture_output=True, text=True,
+                                          timeout=300, check=True).stdout.splitlines() if x.startswith("RESULT"))
+           for master, n in (("local[4]", "4"), ("local[16]", "16"))]
+    assert got[0] == got[1]
+
+
+def test_label_vocabulary_is_bounded(spark):
+    train = spark.createDataFrame([("a", f"l{i}") for i in range(5)], "c string, lab string")
+    spec = scoring.ScoringSpec(RuleSet((OneOf("c", ("a", "b")),)), "lab").exact(max_depth=1)
+    with pytest.raises(ValueError, match="lab"):
+        scoring.fit(train, spec)
+    with pytest.raises(ValueError, match="max_categories=3"):
+        features.fit_label_encoder(train, ["lab"], 3)
 
 
 def test_carry_row_is_one_to_one(spark):
@@ -183,7 +227,7 @@ def test_sinks_roundtrip(spark, fitted, tickets, tmp_dir):
     sinks.write_delimited_text(out, f"{tmp_dir}/txt", columns=TF.HEADER + ["predictedLabel"])
     lines = [r["value"] for r in spark.read.text(f"{tmp_dir}/txt").collect()]
     assert len(lines) == TF.N and all(line.count(",") == len(TF.HEADER) for line in lines)
-    sinks.write_csv_header(out, f"{tmp_dir}/csv", single_file=True)
+    sinks.write_csv_header(out, f"{tmp_dir}/csv", n_files=1)
     back = spark.read.option("header", True).csv(f"{tmp_dir}/csv")
     assert back.count() == TF.N and back.columns == out.columns
     assert len(back.inputFiles()) == 1

@@ -187,3 +187,71 @@ def test_repeated_header_names(spark, tmp_dir):
     assert sorted((r["n"], r["note"], r["note_2"]) for r in out.collect()) == [("5", "x", "y"), ("6", "", "")]
     q = spark.read.json(cfg.quarantine).collect()
     assert [(r["n"], r["status"]) for r in q] == [("7", 2)]
+
+
+def test_an_unreadable_file_does_not_hold_up_the_batch(spark, tmp_dir):
+    """A file that is gone when its batch runs gets status 5; the rest is scored."""
+    from selfmend.operators import quality
+    from selfmend.streaming.serve import process_batch
+    landing = f"{tmp_dir}/landing"
+    write_lines(f"{landing}/a.csv", TF.ticket_lines())
+    fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q",
+                      metrics=f"{tmp_dir}/m", checkpoint=f"{tmp_dir}/ck", processing_time=None)
+    batch = spark.createDataFrame([(f"file:{landing}/a.csv",), (f"file:{landing}/gone.csv",)], "path string")
+    process_batch(spark, batch, 0, T.SPEC, fitted, cfg)
+    assert {r["source_file"]: (r["status"], r["n_rows"]) for r in spark.read.parquet(cfg.metrics).collect()} \
+        == {"a.csv": (0, 44), "gone.csv": (quality.UNREADABLE, 0)}
+    assert spark.read.json(cfg.output).count() == 44
+
+
+def test_batches_are_bounded():
+    import pytest
+    with pytest.raises(ValueError):
+        ServeConfig(landing="l", output="o", quarantine="q", metrics="m", checkpoint="c", max_files_per_trigger=None)
+
+
+def test_archive_holds_what_earlier_batches_read(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    for i in range(3):
+        write_lines(f"{landing}/f{i}.csv", TF.ticket_lines())
+    fitted = scoring.fit(spark.createDataFrame(TF.training_rows()), T.SPEC)
+    cfg = ServeConfig(landing=landing, output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q", metrics=f"{tmp_dir}/m",
+                      checkpoint=f"{tmp_dir}/ck", archive_dir=f"{tmp_dir}/archive", processing_time=None, max_files_per_trigger=1)
+    serve(spark, T.SPEC, fitted, cfg).awaitTermination()
+    archived = [f for _, _, files in os.walk(cfg.archive_dir) for f in files if f.endswith(".csv")]
+    assert len(archived) == 2
+
+
+def test_train_and_serve_job(spark, tmp_dir):
+    """The runnable job over ticket files: train from files whose columns
+    moved, set a ragged row aside, then drain a landing folder."""
+    from selfmend import job
+    rows = [r.asDict() if hasattr(r, "asDict") else r for r in spark.createDataFrame(TF.training_rows()).collect()]
+    header = list(rows[0])
+    lines = [",".join("" if r[c] is None else str(r[c]) for c in header) for r in rows]
+    half = len(lines) // 2
+    write_lines(f"{tmp_dir}/train/a.csv", [",".join(header), *lines[:half]])
+    write_lines(f"{tmp_dir}/train/b.csv", _permuted([",".join(header), *lines[half:]]) + ["short,row"])
+    import pytest
+    with pytest.raises(ValueError, match="wrong number of fields"):
+        job.train(spark, f"{tmp_dir}/train", f"{tmp_dir}/model")
+    job.train(spark, f"{tmp_dir}/train", f"{tmp_dir}/model", f"{tmp_dir}/ragged")
+    assert spark.read.json(f"{tmp_dir}/ragged").count() == 1
+    write_lines(f"{tmp_dir}/landing/t.csv", TF.ticket_lines())
+    job.main(["serve", "--model", f"{tmp_dir}/model", "--landing", f"{tmp_dir}/landing", "--output", f"{tmp_dir}/out",
+              "--metrics", f"{tmp_dir}/m", "--quarantine", f"{tmp_dir}/q", "--checkpoint", f"{tmp_dir}/ck", "--once"])
+    assert spark.read.json(f"{tmp_dir}/out").count() == TF.N
+
+
+def test_landing_keeps_unknown_and_new_kinds(spark, tmp_dir):
+    """Events of a NULL or new kind land and reach the per-source sink."""
+    from selfmend.plans import queries as Q
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    k = F.col("event_id") % 5
+    changed = events.withColumn("event_type", F.when(k == 0, None).when(k == 1, F.lit("refund")).otherwise(F.col("event_type")))
+    changed.coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    out = Q.REGISTRY["sink_per_source_file"](spark, tmp_dir)
+    want = {r["event_type"]: r["n"] for r in changed.groupBy("event_type").agg(F.count("*").alias("n")).collect()}
+    assert {r["source"]: r["n"] for r in out.groupBy("source").agg(F.count("*").alias("n")).collect()} == want
+    assert out.count() == events.count()
