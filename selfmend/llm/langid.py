@@ -31,7 +31,7 @@ BUCKET_BITS = 15
 ORDERS = (2, 3)
 SMOOTHING = 0.5
 #: The matrix is broadcast: more languages than this is refused.
-MAX_LANGUAGES = 1000
+MAX_LANGUAGES = 200
 #: Fixed-point unit of the log-probabilities.
 UNIT = 2.0 ** -16
 #: A longer text is scored in segments; the segments' sums are added.
@@ -141,11 +141,10 @@ def fit(train: DataFrame) -> Model:
     counted = (train.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
                .mapInArrow(count, "lang string, bucket int, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    names = sorted(r[0] for r in train.where("lang IS NOT NULL AND text IS NOT NULL")
-                   .select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
+    if train.where("lang IS NOT NULL").select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    rows = counted.toPandas() if names else None    # at most languages x (buckets + 1) rows
+    rows = counted.toPandas()                       # at most languages x (buckets + 1) rows
+    names = sorted(rows["lang"].unique())
     index = {x: i for i, x in enumerate(names)}
     counts = np.zeros((len(names), 1 << BUCKET_BITS))
     prior = np.zeros(len(names))

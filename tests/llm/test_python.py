@@ -415,3 +415,13 @@ def test_scan_documents(spark):
     assert cut.where(F.contains("text", F.lit("hunter22x"))).count() == 0
     assert cut.where(F.col("n_chars") != F.length("text")).count() == 0
     assert secret_scan.scan_documents(X.frame(spark, [])).count() == 0
+
+
+def test_near_duplicates_of_the_small_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    want = brute_classes(rows, icws.inverse_frequencies(docs))
+    got = defaultdict(list)
+    for r in icws.near_duplicates(docs).collect():
+        got[r["class_id"]].append(r["doc_id"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
