@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import io
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,36 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application:
+    they need not have it on their path, or start in its folder."""
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if context.applicationId in _shipped or not os.path.isdir(root):
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="selfmend-code-"), "selfmend.zip")
+    with open(path, "wb") as f:
+        f.write(data.getvalue())
+    context.addPyFile(path)             # Spark's file server hands it to the executors
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of the Arrow batches with about ``limit`` bytes of text each

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from selfmend.llm.common import text_slices
+from selfmend.llm.common import map_arrow, text_slices
 
 UNDETERMINED = "und"
 BUCKET_BITS = 15
@@ -138,9 +138,8 @@ def fit(train: DataFrame) -> Model:
                  "bucket": pa.array(np.append(at, -1), pa.int32()),
                  "n": pa.array(np.append(c[at], n_docs[lang]), pa.int64())})
 
-    counted = (train.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
-               .mapInArrow(count, "lang string, bucket int, n long")
-               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    counted = (map_arrow(train.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL"), count,
+                         "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     if train.where("lang IS NOT NULL").select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     rows = counted.toPandas()                       # at most languages x (buckets + 1) rows
@@ -205,7 +204,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(best, pa.string()), pa.array(p, pa.float64())],
                                              names=[*keep, "__lang_pred", "__score"])
 
-    return docs.select(*columns, "text").mapInArrow(score, f"{fields}, __lang_pred string, __score double")
+    return map_arrow(docs.select(*columns, "text"), score, f"{fields}, __lang_pred string, __score double")
 
 
 def train_rows(docs: DataFrame) -> DataFrame:

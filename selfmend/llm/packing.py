@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from selfmend.llm.common import materialised, run_hashes, runs, text_slices, utf8
+from selfmend.llm.common import map_arrow, materialised, run_hashes, runs, text_slices, utf8
 
 CAPACITY = 2048
 END_ID = 0
@@ -184,7 +184,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                  pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(salt, pa.int32())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, _PIECES.format(id=id_type.simpleString()))
+    return map_arrow(docs.select("doc_id", "text"), cut, _PIECES.format(id=id_type.simpleString()))
 
 
 @dataclass(frozen=True)

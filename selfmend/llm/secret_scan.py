@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from selfmend.llm.common import text_slices, with_text
+from selfmend.llm.common import map_arrow, text_slices, with_text
 
 #: Spans are listed by start, then in this order of kinds.
 KINDS = ("assign", "access", "hex", "entropy")
@@ -158,8 +158,8 @@ def scan_documents(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return map_arrow(
+        docs.select("doc_id", "text"), run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def masked(text: str | None, mask: str = "<SECRET>") -> str | None:
@@ -185,5 +185,5 @@ def mask_documents(docs: DataFrame) -> DataFrame:
             texts = pa.array([masked(x) for x in part.column("text").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([texts if n == "text" else part.column(n) for n in names], names=names)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = map_arrow(docs, run, docs.schema)
     return with_text(out, out["text"]).select(*names)

@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from selfmend.llm.common import text_slices
+from selfmend.llm.common import map_arrow, text_slices
 
 #: Pre-tokens kept with their ids per Python worker; the memory is emptied when full.
 CACHED_TOKENS = 800_000
@@ -155,7 +155,7 @@ def encode_column(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                  pa.array([own.decode(x) for x in ids], pa.binary())], names=["doc_id", "ids", "decoded"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -175,5 +175,5 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(
+        docs.select("doc_id", "text"), run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from selfmend.llm.common import materialised
+from selfmend.llm.common import materialised, ship_package
 
 BITS = 6
 CHUNK_ROWS = 1024
@@ -156,6 +156,7 @@ def _visit(q: np.ndarray, query_id: int, ids: np.ndarray, upper: np.ndarray, exa
 def search(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` highest scores of each
     row for which ``is_query`` (an expression over ``vec_id``) holds."""
+    ship_package(embeddings.sparkSession)
     vectors = materialised(integer_vectors(embeddings), "vectors")
     file, n_chunks = approximation_file(vectors)
     blocks, _ = _blocks(vectors.where(is_query), QUERY_ROWS, "block")
