@@ -3,10 +3,12 @@
 Per host, the number of pages that contain a line is divided by the host's
 pages; lines on more than ``max_ratio`` of them (and on at least
 ``min_pages``) are boilerplate and dropped from every page of the host.
-Lines are compared in lower case with white space collapsed.
+Lines are compared in lower case with white space collapsed. Copies of a text
+are one page of their host in both counts, else a page that is copied often
+enough would lose its whole text as boilerplate.
 
-Counting is a partial aggregate over (host, line digest): a line is listed
-once per page before the shuffle. The boilerplate lines of one host are at
+Counting is two partial aggregates over digests: (host, page, line), a line
+listed once per row before the shuffle, then (host, line). The boilerplate lines of one host are at
 most the mean lines of its pages divided by ``max_ratio``, whatever its number
 of pages, so they fit into one row per host; the pages take them by a join on
 the host that Spark broadcasts if the written table is small and splits by
@@ -14,8 +16,9 @@ skew otherwise.
 
 Defined cases: a NULL text stays NULL and is no page; a NULL host is a host
 of its own; lines of white space alone are neither counted nor dropped; a
-page whose lines are all dropped stays with an empty text; repeated rows are
-pages of their own. Extra columns pass through.
+page whose lines are all dropped stays with an empty text; repeated rows and
+copies count as one page and are cut alike, each in its row. Extra columns
+pass through.
 """
 
 from __future__ import annotations
@@ -43,11 +46,12 @@ def _filled(line: Column) -> Column:
 
 def boilerplate(pages: DataFrame, host: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``__host, __drop``: of each host with boilerplate the digests of its lines."""
-    own = pages.where(F.col("text").isNotNull()).select(F.col(host).alias("__host"), "text")
+    own = pages.where(F.col("text").isNotNull()).select(
+        F.col(host).alias("__host"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("page"), "text")
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _filled), _digest))
-    counted = (own.select("__host", F.explode(lines).alias("line")).groupBy("__host", "line")
+    counted = (own.select("__host", "page", F.explode(lines).alias("line")).distinct().groupBy("__host", "line")
                .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
-    total = own.groupBy("__host").agg(F.count("*").alias("total")) \
+    total = own.select("__host", "page").distinct().groupBy("__host").agg(F.count("*").alias("total")) \
         .select(F.col("__host").alias("__of"), "total")
     often = materialised(counted, "line-counts").join(total, F.col("__host").eqNullSafe(F.col("__of")))
     return materialised(often.where(F.col("n") > max_ratio * F.col("total")).groupBy("__host")
@@ -90,8 +94,8 @@ WITH l AS (SELECT rowid_, doc_id, source, text, u.i AS i, u.line AS line,
              LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS line,
                              generate_subscripts(string_split(d.text, chr(10)), 1) AS i) u
            WHERE d.text IS NOT NULL),
-n AS (SELECT source, k, count(DISTINCT rowid_) AS n FROM l WHERE k <> '' GROUP BY source, k),
-t AS (SELECT source, count(*) AS total FROM documents WHERE text IS NOT NULL GROUP BY source),
+n AS (SELECT source, k, count(DISTINCT text) AS n FROM l WHERE k <> '' GROUP BY source, k),
+t AS (SELECT source, count(DISTINCT text) AS total FROM documents WHERE text IS NOT NULL GROUP BY source),
 b AS (SELECT n.source, n.k FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source
       WHERE n.n >= {MIN_PAGES} AND n.n > CAST({MAX_RATIO} AS DOUBLE) * t.total),
 m AS (SELECT l.*, b.k IS NOT NULL AS dropped FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND l.k = b.k),

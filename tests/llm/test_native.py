@@ -35,6 +35,14 @@ def test_site_lines(spark, docs_dir):
     assert kept.where("text IS NULL").count() == 2
 
 
+def test_copies_of_a_page_are_not_boilerplate(spark):
+    page = "first line of the copied page\nsecond line of it"
+    rows = [(i, page, "h") for i in range(40)] + [(100 + i, f"own line {i}\nfooter of the site", "h") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in site_lines.drop_boilerplate(docs, "source").collect()}
+    assert kept == {i: page if i < 100 else f"own line {i - 100}" for i, _, _ in rows}
+
+
 def test_line_quality(spark, docs_dir):
     docs = spark.read.parquet(f"{docs_dir}/documents.parquet")
     out = line_quality.assess(docs, "source")

@@ -37,15 +37,15 @@ def test_pipeline_matches_brute_force(spark):
     model = langid.fit(langid.train_rows(docs))
     best, score = langid.score_texts([r["text"] for r in rows.values()], model)
     kept = {i: r for (i, r), b, s in zip(rows.items(), best, score) if b != "und" and s >= 0.5}
-    # 2: lines on more than a tenth of a source's pages
+    # 2: lines on more than a tenth of a source's pages, copies being one page
     norm = lambda x: " ".join(x.replace("\t", " ").split(" ")).strip(" ").lower() if x.strip(" ") else ""
     norm = lambda x, f=norm: " ".join([w for w in f(x).split(" ") if w])
     pages, total = {}, {}
     for i, r in kept.items():
-        total[r["source"]] = total.get(r["source"], 0) + 1
+        total.setdefault(r["source"], set()).add(r["text"])
         for line in {norm(x) for x in r["text"].split("\n")} - {""}:
-            pages.setdefault((r["source"], line), set()).add(i)
-    often = {k for k, v in pages.items() if len(v) >= site_lines.MIN_PAGES and len(v) > site_lines.MAX_RATIO * total[k[0]]}
+            pages.setdefault((r["source"], line), set()).add(r["text"])
+    often = {k for k, v in pages.items() if len(v) >= site_lines.MIN_PAGES and len(v) > site_lines.MAX_RATIO * len(total[k[0]])}
     texts = {i: "\n".join(x for x in r["text"].split("\n") if (r["source"], norm(x)) not in often) for i, r in kept.items()}
     # 7: one of each class
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
