@@ -62,8 +62,8 @@ ALLOWED = (
     r".*(?i:example|placeholder|dummy|changeme|your[-_]?).*",
     r"(?:sha(?:1|256|384|512)|md5)[-=].*",                 # integrity digests
 )
-#: Text right before a candidate that makes it part of an address.
-_ADDRESS = re.compile(r"(?:https?://|www\.|@)\S*$")
+#: A candidate behind one of these, with no white space between, is part of an address.
+_ADDRESS = re.compile(r"https?://|www\.|@")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -104,11 +104,15 @@ def entropy_spans(text: str, base: list[tuple[str, int, int]], classes=CLASSES,
     """The added spans. Overlapping spans of different classes are joined."""
     allowed = _ALLOWED if allowed is None else allowed
     out: list[tuple[int, int]] = []
+    at, address = 0, False              # how far the text is read, and whether an address goes on there
     for m in _CANDIDATE.finditer(text):
-        word = m[0]
+        word, before = m[0], text[at:m.start()]
+        tail = "" if not before or before[-1].isspace() else before.rsplit(None, 1)[-1]
+        address = (address and len(tail) == len(before)) or _ADDRESS.search(tail) is not None
+        at = m.start()
         if word.isalpha() or not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
             continue
-        if allowed.fullmatch(word) or _ADDRESS.search(text, max(0, m.start() - 200), m.start()):
+        if address or allowed.fullmatch(word):
             continue
         for cls in classes:
             for run in _RUNS[cls.name].finditer(word):
