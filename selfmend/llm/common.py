@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -18,6 +17,8 @@ from selfmend.session import scratch_path
 
 #: Texts are handed to numpy in slices of about this many bytes.
 SLICE_BYTES = 1_500_000
+#: And at most this many rows, whatever the session's batch size: users number the rows of a slice in 16 bits.
+SLICE_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +38,9 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once per application:
-    they need not have it on their path, or start in its folder."""
+    """Send this package's code to the Python workers, once per application,
+    by way of the shared scratch folder: they need not have it on their path,
+    or start in its folder."""
     context = spark.sparkContext
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if context.applicationId in _shipped or not os.path.isdir(root):
@@ -50,10 +52,12 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.relpath(path, os.path.dirname(root)))
-    path = os.path.join(tempfile.mkdtemp(prefix="selfmend-code-"), "selfmend.zip")
-    with open(path, "wb") as f:
-        f.write(data.getvalue())
-    context.addPyFile(path)             # Spark's file server hands it to the executors
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'code')}/selfmend.zip")
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    context.addPyFile(files.makeQualified(path).toString())
     _shipped.add(context.applicationId)
 
 
@@ -66,13 +70,14 @@ def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices of the Arrow batches with about ``limit`` bytes of text each
-    (at least one row, so one very long text is a slice of its own)."""
+    (at least one row, so one very long text is a slice of its own) and at
+    most ``SLICE_ROWS`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         before = np.cumsum(sizes, dtype=np.int64) - sizes
-        cuts = np.flatnonzero(np.diff(before // limit)) + 1
+        cuts = np.flatnonzero(np.diff(before // limit) | np.diff(np.arange(batch.num_rows) // SLICE_ROWS)) + 1
         edges = [0, *cuts.tolist(), batch.num_rows]
         for a, b in zip(edges[:-1], edges[1:]):
             yield batch.slice(a, b - a)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import fixtures as X  # noqa: E402
-from selfmend.llm import icws, langid, packing, secret_scan, sp_bpe, va_topk  # noqa: E402
+from selfmend.llm import common, icws, langid, packing, secret_scan, sp_bpe, va_topk  # noqa: E402
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -394,6 +394,10 @@ def test_added_spans_and_allow_list():
     for quiet in (f"{key}EXAMPLE", f"https://h.example/{key}", "123e4567-e89b-12d3-a456-426614174000", "2024-01-01_2024-12-31",
                   "averyveryverylongordinaryword", "internationalisation-and-localisation", "z" * 40 + "1", f"sha256={key}"):
         assert secret_scan.scan(f"x {quiet} y")[1] == []
+    # an address is one however long it is, and ends at white space
+    far = "https://h.example/" + "part.of-path/" * 60 + key + "/b.c/" + key
+    assert secret_scan.scan(f"x {far} y")[1] == []
+    assert [k for k, _, _ in secret_scan.scan(f"x {far} {key} {key}.{key}")[1]] == ["entropy"] * 3
     base, spans = secret_scan.scan(f"token={key}")
     assert spans == base and secret_scan.masked(f"a token={key} é") == "a <SECRET> é"
 
@@ -417,6 +421,15 @@ def test_scan_documents(spark):
     assert secret_scan.scan_documents(X.frame(spark, [])).count() == 0
 
 
+def test_slices_are_bounded_in_bytes_and_rows(monkeypatch):
+    texts = ["a"] * 70 + ["b" * 50, None, "c" * 120, "", "d"]
+    monkeypatch.setattr(common, "SLICE_ROWS", 32)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    parts = [p.column("text").to_pylist() for p in common.text_slices([batch], limit=60)]
+    assert sum(parts, []) == texts
+    assert max(map(len, parts)) <= 32 and max(sum(len(x or "") for x in p[:-1]) for p in parts) <= 60
+
+
 def test_near_duplicates_of_the_small_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
