@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -62,8 +63,9 @@ ALLOWED = (
     r".*(?i:example|placeholder|dummy|changeme|your[-_]?).*",
     r"(?:sha(?:1|256|384|512)|md5)[-=].*",                 # integrity digests
 )
-#: A candidate behind one of these, with no white space between, is part of an address.
-_ADDRESS = re.compile(r"https?://|www\.|@")
+#: Addresses. A URL ends at the first character that does not stand in one unquoted (white space, quotes, commas, semicolons,
+#: brackets, a backslash and the like), an e-mail address with the host behind the '@'.
+_ADDRESS = re.compile(r"(?:https?://|www\.)[A-Za-z0-9_.~:/?#@!$&*+=%-]*|@[A-Za-z0-9.-]*")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -100,25 +102,33 @@ def random_windows(run: str, window: int, threshold: float) -> list[tuple[int, i
     return out
 
 
+def _mixed(word: str) -> bool:
+    return not word.isalpha() and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
 def entropy_spans(text: str, base: list[tuple[str, int, int]], classes=CLASSES, allowed=None) -> list[tuple[str, int, int]]:
     """The added spans. Overlapping spans of different classes are joined."""
     allowed = _ALLOWED if allowed is None else allowed
     out: list[tuple[int, int]] = []
-    at, address = 0, False              # how far the text is read, and whether an address goes on there
+    ends, begins = None, None           # of the addresses, looked for with the first candidate that needs them
     for m in _CANDIDATE.finditer(text):
-        word, before = m[0], text[at:m.start()]
-        tail = "" if not before or before[-1].isspace() else before.rsplit(None, 1)[-1]
-        address = (address and len(tail) == len(before)) or _ADDRESS.search(tail) is not None
-        at = m.start()
-        if word.isalpha() or not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
+        start, word = m.start(), m[0]
+        if not _mixed(word):
             continue
-        if address or allowed.fullmatch(word):
+        if ends is None:
+            begins, ends = zip(*[a.span() for a in _ADDRESS.finditer(text)] or [(0, 0)])
+        last = bisect_right(begins, start) - 1
+        if last >= 0 and ends[last] > start:            # only what lies behind the address is looked at
+            start, word = ends[last], text[ends[last]:m.end()]
+            if len(word) < CANDIDATE_LENGTH or not _mixed(word):
+                continue
+        if allowed.fullmatch(word):
             continue
         for cls in classes:
             for run in _RUNS[cls.name].finditer(word):
                 if not any(c.isdigit() for c in run[0]):
                     continue
-                at = m.start() + run.start()
+                at = start + run.start()
                 out += [(at + a, at + b) for a, b in random_windows(run[0], cls.window, cls.threshold)]
     joined: list[tuple[int, int]] = []
     for a, b in sorted(out):

@@ -402,6 +402,19 @@ def test_added_spans_and_allow_list():
     assert spans == base and secret_scan.masked(f"a token={key} é") == "a <SECRET> é"
 
 
+def test_secrets_behind_an_address():
+    key = "q9Zx7Lm2Kp4Rt8Vw1Yb3Nc6"
+    for text in (f'{{"docs":"https://x.io/a","key":"{key}"}}', f"ann@x.org,{key}", f"https://x.io/a,{key}", f"www.x.io;{key}",
+                 f"[a](https://x.io/a){key}", f"<https://x.io>{key}", f"https://x.io\\t{key}", f"see 'https://x.io/a':'{key}'",
+                 f"ann@x.org:{key}", f"ann@mail.x.org/{key}"):
+        spans = secret_scan.scan(text)[1]
+        assert [k for k, _, _ in spans] == ["entropy"] and key in text[spans[0][1]:spans[0][2]], text
+        assert key not in secret_scan.masked(text)
+    rows = ",".join(f'{{"u":"https://x.io/{key}","m":"ann@{key}.org","k":"{key}"}}' for _ in range(50))
+    assert [rows[a - 5:b] for _, a, b in secret_scan.scan(rows)[1]] == [f'"k":"{key}'] * 50
+    assert secret_scan.scan(f"https://x.io/?a=1&b={key}#c ann@{key}.example")[1] == []
+
+
 def test_scan_documents(spark):
     docs = X.frame(spark)
     rows = [tuple(r) for r in secret_scan.scan_documents(docs).collect()]
