@@ -19,8 +19,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: lines that stand on too many pages of their source go."""
-    return site_lines.drop_boilerplate(docs, "source")
+    """Operator 2: lines that stand on too many pages of their source go.
+    Pages that would lose most of their words do not count: they are near
+    copies, which the next stage settles."""
+    return site_lines.drop_boilerplate(docs, "source", max_share=0.5)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,13 @@ Lines are compared in lower case with white space collapsed. Copies of a text
 are one page of their host in both counts, else a page that is copied often
 enough would lose its whole text as boilerplate.
 
+Near copies are different texts. With ``max_share`` a page of which more than
+this share of the words would go is taken for one of a group of them: such
+pages are left out of both counts, and what is boilerplate without them is
+dropped from all pages, these too. A text that is copied with small changes,
+however often, thus stays for near dedup to settle. A host on which all pages
+are mostly boilerplate keeps it.
+
 Counting is two partial aggregates over digests: (host, page, line), a line
 listed once per row before the shuffle, then (host, line). The boilerplate lines of one host are at
 most the mean lines of its pages divided by ``max_ratio``, whatever its number
@@ -44,20 +51,65 @@ def _filled(line: Column) -> Column:
     return normalised(line) != ""
 
 
-def boilerplate(pages: DataFrame, host: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``__host, __drop``: of each host with boilerplate the digests of its lines."""
-    own = pages.where(F.col("text").isNotNull()).select(
-        F.col(host).alias("__host"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("page"), "text")
+def _page_lines(own: DataFrame) -> DataFrame:
+    """``__host, page, line``: each line of each distinct page once."""
     lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _filled), _digest))
-    counted = (own.select("__host", "page", F.explode(lines).alias("line")).distinct().groupBy("__host", "line")
-               .agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
-    total = own.select("__host", "page").distinct().groupBy("__host").agg(F.count("*").alias("total")) \
-        .select(F.col("__host").alias("__of"), "total")
-    often = materialised(counted, "line-counts").join(total, F.col("__host").eqNullSafe(F.col("__of")))
+    return own.select("__host", "page", F.explode(lines).alias("line")).distinct()
+
+
+def _n_pages(own: DataFrame, name: str) -> DataFrame:
+    return own.select("__host", "page").distinct().groupBy("__host").agg(F.count("*").alias(name)) \
+        .select(F.col("__host").alias("__of"), name)
+
+
+def _lines_above(counted: DataFrame, total: DataFrame, max_ratio: float) -> DataFrame:
+    often = counted.join(total, F.col("__host").eqNullSafe(F.col("__of")))
     return materialised(often.where(F.col("n") > max_ratio * F.col("total")).groupBy("__host")
                         .agg(F.collect_set("line").alias("__drop")), "boilerplate")
 
 
+def _share() -> Column:
+    """The share of a page's words that stands in lines of ``__drop``."""
+    def step(a: Column, x: Column) -> Column:
+        n = F.when(_filled(x), F.size(F.split(normalised(x), " "))).otherwise(0)
+        gone = F.when(F.array_contains(F.col("__drop"), _digest(x)), n).otherwise(0)
+        return F.struct((a["n"] + n).alias("n"), (a["gone"] + gone).alias("gone"))
+
+    words = F.aggregate(F.split("text", "\n"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("gone")), step,
+                        lambda a: F.when(a["n"] > 0, a["gone"] / a["n"]))
+    return F.when(F.col("__drop").isNotNull(), words)
+
+
+def boilerplate(pages: DataFrame, host: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+                max_share: float | None = None) -> DataFrame:
+    """``__host, __drop``: of each host with boilerplate the digests of its
+    lines. With ``max_share``, pages that would lose more than this share of
+    their words are taken as near copies of each other and left out of both
+    counts."""
+    own = pages.where(F.col("text").isNotNull()).select(
+        F.col(host).alias("__host"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("page"), "text")
+    counted = materialised(_page_lines(own).groupBy("__host", "line").agg(F.count("*").alias("n"))
+                           .where(F.col("n") >= min_pages), "line-counts")
+    total = _n_pages(own, "total")
+    drop = _lines_above(counted, total, max_ratio)
+    if max_share is None:
+        return drop
+    copies = own.join(drop.withColumnRenamed("__host", "__at"), F.col("__host").eqNullSafe(F.col("__at"))) \
+        .where(_share() > max_share).select("__host", "page", "text")
+    copies = materialised(copies, "copied-pages")
+    if copies.isEmpty():
+        return drop
+    # pages are counted once each, so what the copies added can be taken off again
+    less = materialised(_page_lines(copies).groupBy(F.col("__host").alias("__at"), F.col("line").alias("__line"))
+                        .agg(F.count("*").alias("less")), "copied-lines")
+    counted = counted.join(less.hint("merge"), F.col("__host").eqNullSafe(F.col("__at")) & (F.col("line") == F.col("__line")), "left") \
+        .select("__host", "line", (F.col("n") - F.coalesce("less", F.lit(0))).alias("n")).where(F.col("n") >= min_pages)
+    fewer = _n_pages(copies, "less").withColumnRenamed("__of", "__at")
+    total = total.join(fewer, F.col("__of").eqNullSafe(F.col("__at")), "left") \
+        .select("__of", (F.col("total") - F.coalesce("less", F.lit(0))).alias("total"))
+    return _lines_above(counted, total, max_ratio)
+
+
 def _joined(pages: DataFrame, host: str, **limits) -> DataFrame:
     drop = boilerplate(pages, host, **limits)
     return pages.join(drop, F.col(host).eqNullSafe(F.col("__host")), "left").drop("__host")

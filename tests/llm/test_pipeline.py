@@ -59,6 +59,21 @@ def test_pipeline_matches_brute_force(spark):
     assert 0 < len(texts) < len(rows)
 
 
+def test_a_drifting_copy_group_leaves_one_whole_text(spark):
+    """A third of a source are near copies of one text; all pages end in one line."""
+    footer = "\nAll rights to the footer are ours"
+    first = P.X.prose(7, 240)
+    copies = [P.X.edited(first, i, i % 4) for i in range(40)]
+    rows = [(i, t + footer, "en", "s", len(t + footer)) for i, t in enumerate(copies + [P.X.prose(1000 + i, 150) for i in range(80)])]
+    docs = P.X.frame(spark, rows, extra=False)
+    cut = {r["doc_id"]: r["text"] for r in site_lines.drop_boilerplate(docs, "source", max_share=0.5).collect()}
+    assert cut == {r[0]: r[1][:-len(footer)] for r in rows}
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, SMALL)
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert left == {i: t for i, t in cut.items() if i == 0 or i >= 40}
+
+
 def test_stages_keep_columns(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
