@@ -195,6 +195,43 @@ def test_near_duplicates_match_brute_force(spark):
     assert max(len(v) for v in want.values()) > 15
 
 
+def exact_idf(texts):
+    """Document frequencies counted one shingle at a time."""
+    s = icws.shingles(pa.array([t for t in texts if t is not None]))
+    df = Counter(s.ids.tolist())                           # a text lists a shingle once
+    n = int((np.diff(s.edges) > 0).sum())
+    return n, df, {i: 1 + math.log((n + 1) / (c + 1)) / math.log(n + 1) for i, c in df.items()}
+
+
+@pytest.mark.parametrize("share", [icws.MIN_SHARE, 0.1])
+def test_document_frequencies_are_counted_per_shingle(spark, monkeypatch, share):
+    monkeypatch.setattr(icws, "MIN_SHARE", share)
+    monkeypatch.setattr(icws, "COUNT_BITS", 10)            # buckets that hold many shingles
+    monkeypatch.setattr(icws, "HELD_SHINGLES", 500)
+    rows = near_rows()
+    n, df, want = exact_idf([t for _, t in rows])
+    idf = icws.inverse_frequencies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    ids = np.array(sorted(df), dtype=np.uint64)
+    least = max(2, math.ceil(share * n))
+    one = 1 + math.log((n + 1) / 2) / math.log(n + 1)
+    assert np.allclose(idf.of(ids), [want[i] if df[i] >= least else one for i in ids.tolist()])
+    assert sorted(idf.ids.tolist()) == [i for i in sorted(df) if df[i] >= least] and len(idf.ids) > 10
+
+
+def test_near_duplicates_with_frequencies_of_their_own(spark):
+    rows = near_rows()
+    *_, want = exact_idf([t for _, t in rows])
+    ids = np.array(sorted(want), dtype=np.uint64)
+    classes = brute_classes(rows, icws.Idf(ids, np.array([want[i] for i in ids.tolist()]), 0.0))
+    got = defaultdict(list)
+    for r in icws.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["class_id"]].append(r["doc_id"])
+    nulls = got.pop(None, [])
+    known = [[i for i in c if i is not None] for c in classes.values()]
+    assert sorted(sorted(i for i in c if i is not None) for c in got.values()) == sorted(sorted(c) for c in known if c)
+    assert all(i is None for i in nulls)
+
+
 def test_one_of_each(spark):
     docs = X.frame(spark)
     out = icws.one_of_each(docs)
