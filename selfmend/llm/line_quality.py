@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from selfmend.llm.common import materialised
+from selfmend.llm.common import materialised, with_text
 
 MAX_RATIO = 0.1
 MIN_DOCUMENTS = 10
@@ -98,29 +98,47 @@ def frequent_lines(docs: DataFrame, host: str, max_ratio: float = MAX_RATIO,
                         .agg(F.collect_set("line").alias("__often")), "frequent-lines")
 
 
-def assess(docs: DataFrame, host: str, min_left: float = MIN_LEFT, **limits) -> DataFrame:
-    """Per row: ``doc_id``, the base counts, ``base_failed``, the words in
-    frequent lines and the verdict ``kept``."""
+def _judged(docs: DataFrame, host: str, min_left: float, carried: Column, **limits) -> DataFrame:
+    """``carried``, the base counts, ``base_failed``, ``kept`` and, as
+    ``__left``, the text without the frequent lines."""
     often = frequent_lines(docs, host, **limits)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(host).alias("__source"))
+    name = "__carried"
+    rows = docs.select(carried.alias(name), F.coalesce("text", F.lit("")).alias("text"), F.col(host).alias("__source"))
     rows = rows.join(often, F.col("__source").eqNullSafe(F.col("__host")), "left")
-    lines = F.filter(F.split("text", "\n"), lambda x: F.array_contains(F.col("__often"), _digest(x)))
+    is_often = lambda x: F.array_contains(F.col("__often"), _digest(x))
+    lines = F.filter(F.split("text", "\n"), is_often)
     removed = F.aggregate(lines, F.lit(0), lambda a, x: a + F.size(words(x)))
+    left_text = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~is_often(x)), "\n")
     blanks = " \t\n\x0b\f\r"
     counts = rows.select(
-        "doc_id",
+        name,
         _let(words(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("repeated"))).alias("w"),
         F.length(F.translate("text", blanks, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         repeated_lines(F.col("text")).cast("long").alias("n_dup_lines"),
-        F.when(F.col("__often").isNull(), F.lit(0)).otherwise(removed).cast("long").alias("n_removed_words"))
-    counts = counts.select("doc_id", F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
-                           "n_dup_lines", F.col("w.repeated").cast("long").alias("n_repeat_words"), "n_removed_words")
+        F.when(F.col("__often").isNull(), F.lit(0)).otherwise(removed).cast("long").alias("n_removed_words"),
+        F.when(F.col("__often").isNull(), F.col("text")).otherwise(left_text).alias("__left"))
+    counts = counts.select(name, F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
+                           "n_dup_lines", F.col("w.repeated").cast("long").alias("n_repeat_words"), "n_removed_words", "__left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words")
     return counts.withColumn("base_failed", failed).withColumn("kept", ~failed & (left >= min_left * F.col("n_words")))
 
 
+def assess(docs: DataFrame, host: str, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """Per row: ``doc_id``, the base counts, ``base_failed``, the words in
+    frequent lines and the verdict ``kept``."""
+    return _judged(docs, host, min_left, F.col("doc_id"), **limits).drop("__left").withColumnRenamed("__carried", "doc_id")
+
+
+def cleaned(docs: DataFrame, host: str, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """The rows of ``docs`` that ``assess`` keeps, without their frequent
+    lines; columns unchanged."""
+    names = docs.columns
+    out = _judged(docs, host, min_left, F.struct(*[F.col(n) for n in names]), **limits).where("kept")
+    return with_text(out.select("__carried.*", "__left"), F.col("__left")).select(*names)
+
+
 ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text IS NULL AS none, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, regexp_extract_all(text, '{WORD}') AS w FROM d),

@@ -75,6 +75,28 @@ def test_depleted_documents_go_and_clean_ones_stay(spark):
     assert not any(got[i] for i in (100, 101, 102))
 
 
+def test_cleaned_documents_lack_the_frequent_lines(spark):
+    footer = " ".join(["footer"] * 20)
+    rows = [(i, X.prose(i, 80) + f"\n{footer}", "en", "h", 0) for i in range(30)]
+    rows += [(100 + i, X.prose(300 + i, 60) + "\n" + "\n".join([footer] * 4), "en", "h", 0) for i in range(3)]
+    rows += [(200, "too short", "en", "h", 0), (201, None, "en", "h", None), (202, X.prose(400, 90), "en", None, 0)]
+    docs = X.frame(spark, rows)
+    for limits in ({}, {"min_left": 0.0}, {"min_documents": 99}):
+        out = line_quality.cleaned(docs, "source", **limits)
+        assert out.columns == docs.columns and not any(p in plan(out) for p in PYTHON)
+        kept = {r["doc_id"]: r["kept"] for r in line_quality.assess(docs, "source", **limits).collect()}
+        got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+        assert set(got) == {i for i, k in kept.items() if k}
+        strip = "min_documents" not in limits
+        for i, text, *_ in rows:
+            if i in got:
+                want = "\n".join(x for x in text.split("\n") if x != footer or not strip)
+                assert got[i] == (want, len(want))
+        if not limits:
+            assert set(got) == {r[0] for r in rows} - {100, 101, 102, 200, 201}
+    assert line_quality.cleaned(X.frame(spark, []), "source").count() == 0
+
+
 def test_licences(spark, tmp_dir):
     mit = licences.TEXTS[0][2]
     rows = [(0, "The MIT Licence\n\n" + mit, "en", "s", 0), (1, "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + mit.upper(), "en", "s", 0),
