@@ -160,8 +160,9 @@ def _encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids_crc32, salt``."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32, salt``
+    and, ``with_ids``, its token ``ids``."""
     id_type = docs.schema["doc_id"].dataType
 
     def cut(batches):
@@ -170,6 +171,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         for part in text_slices(batches):
             rows: list[tuple] = []
             at: list[int] = []
+            held: list[np.ndarray] = []
             all_ids, edges = encoder.encode(part.column("text"))
             for i in range(part.num_rows):
                 ids = all_ids[edges[i]:edges[i + 1]].tobytes() + end
@@ -177,14 +179,18 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                     own = ids[k:k + 4 * capacity]
                     rows.append((k // (4 * capacity), k // 4, len(own) // 4, zlib.crc32(own), count % _SALTS))
                     at.append(i)
+                    if with_ids:
+                        held.append(np.frombuffer(own, dtype="<u4").astype(np.int32))
                     count += 1
             piece, start, length, crc, salt = zip(*rows)
+            ids = [pa.array(held, pa.list_(pa.int32()))] if with_ids else []
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").take(pa.array(at)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(salt, pa.int32())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"])
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(salt, pa.int32()), *ids],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"] + ["ids"] * with_ids)
 
-    return map_arrow(docs.select("doc_id", "text"), cut, _PIECES.format(id=id_type.simpleString()))
+    return map_arrow(docs.select("doc_id", "text"), cut,
+                     _PIECES.format(id=id_type.simpleString()) + ", ids array<int>" * with_ids)
 
 
 @dataclass(frozen=True)
@@ -239,7 +245,8 @@ _RUN = T.StructType([T.StructField(n, T.LongType(), False) for n in
 
 
 def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``cut`` (materialised pieces) with ``sequence_id`` and ``offset``."""
+    """``cut`` (materialised pieces) with ``sequence_id`` and ``offset``;
+    ``ids`` go along if it has them."""
     spark = cut.sparkSession
     histogram = {r["length"]: r["n"] for r in                       # at most ``capacity`` rows
                  cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -261,9 +268,18 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     within = F.col("__rank") - F.col("first_rank")
     return taken.select("doc_id", "piece", "start", "length", "ids_crc32",
                         (F.col("first_sequence") + F.expr("(__rank - first_rank) div per_bin")).alias("sequence_id"),
-                        (F.col("base") + F.pmod(within, F.col("per_bin")) * F.col("length")).alias("offset"))
+                        (F.col("base") + F.pmod(within, F.col("per_bin")) * F.col("length")).alias("offset"),
+                        *[n for n in ("ids",) if n in cut.columns])
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     return place(materialised(pieces(docs, tokenizer, capacity), "pieces"), capacity)
+
+
+def sequences(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+    """The filled sequences: ``sequence_id`` and the token ``ids`` of its
+    pieces, in order of their offsets (``capacity`` at most)."""
+    placed = place(materialised(pieces(docs, tokenizer, capacity, with_ids=True), "pieces"), capacity)
+    own = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    return placed.groupBy("sequence_id").agg(F.flatten(F.transform(own, lambda x: x["ids"])).alias("ids"))

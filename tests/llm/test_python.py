@@ -296,6 +296,19 @@ def test_packing(spark, capacity):
     assert n == brute_best_fit(histogram, capacity)
 
 
+def test_sequences_hold_the_ids(spark):
+    rows = X.documents()[:60] + [(9000 + i, t, None, None, None) for i, t in enumerate(ODD)]
+    docs = X.frame(spark, rows)
+    got = {r["sequence_id"]: r["ids"] for r in packing.sequences(docs, WORD, 64).collect()}
+    placed = packing.pack(docs, WORD, 64).collect()
+    assert set(got) == {r["sequence_id"] for r in placed} and max(map(len, got.values())) <= 64
+    assert sum(map(len, got.values())) == sum(r["length"] for r in placed)
+    cut = Counter(zlib.crc32(np.array(got[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]], "<u4").tobytes()) for r in placed)
+    assert cut == Counter(r["ids_crc32"] for r in placed)
+    assert Counter(x for ids in got.values() for x in ids) == Counter(x for r in rows for x in plain_ids(r[1]))
+    assert packing.sequences(X.frame(spark, []), WORD).count() == 0
+
+
 def test_packing_hot_length(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANK_GROUP", 10)
     rows = [(i % 7, "the same words" if i % 3 else X.prose(i, 5 + i % 11), None, None, None) for i in range(300)]
