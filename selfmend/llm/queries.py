@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from selfmend.llm import (icws, langid, licences, line_quality, packing, quotes, secret_scan, site_lines, sp_bpe,
-                          va_topk)
+from selfmend.llm import (hard_negatives, icws, langid, licences, line_quality, packing, quotes, secret_scan, site_lines,
+                          sp_bpe, va_topk)
 from selfmend.llm.common import table
 
 
@@ -62,6 +62,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotation_linking": op1_quotation_linking,
     "op2_site_line_dedup": op2_site_line_dedup,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -81,4 +88,5 @@ ORACLE: dict[str, str] = {
     "op3_va_file_topk": va_topk.ORACLE,
     "op4_license_digests": licences.ORACLE,
     "op6_line_frequency_quality": line_quality.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
