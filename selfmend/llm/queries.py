@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from selfmend.llm import (hard_negatives, icws, langid, licences, line_quality, packing, quotes, secret_scan, site_lines,
-                          sp_bpe, va_topk)
+from selfmend.llm import (conversation_trie, hard_negatives, icws, langid, licences, line_quality, packing, quotes,
+                          secret_scan, site_lines, sp_bpe, va_topk)
 from selfmend.llm.common import table
 
 
@@ -62,6 +62,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return conversation_trie.prefix_trie(conversation_trie.with_shared_heads(own, 100, head, 5))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_language_id": op9_language_id,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_hard_negatives": op12_hard_negatives,
 }
 
@@ -88,5 +95,6 @@ ORACLE: dict[str, str] = {
     "op3_va_file_topk": va_topk.ORACLE,
     "op4_license_digests": licences.ORACLE,
     "op6_line_frequency_quality": line_quality.ORACLE,
+    "op11_conversation_trie": conversation_trie.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }
