@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from selfmend.llm import (conversation_trie, hard_negatives, icws, langid, licences, line_quality, packing, quotes,
-                          secret_scan, site_lines, sp_bpe, va_topk)
+from selfmend.llm import (context_mixing, conversation_trie, hard_negatives, icws, langid, licences, line_quality,
+                          packing, quotes, secret_scan, site_lines, sp_bpe, va_topk)
 from selfmend.llm.common import table
 
 
@@ -74,6 +74,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotation_linking": op1_quotation_linking,
     "op2_site_line_dedup": op2_site_line_dedup,
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_context_mixing": op13_context_mixing,
 }
 
 ORACLE: dict[str, str] = {
