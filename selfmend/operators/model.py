@@ -34,6 +34,13 @@ def forest(num_trees: int = 100, max_depth: int = 8, subset: str = "onethird",
                                   cacheNodeIds=True, checkpointInterval=10)
 
 
+def without_summary(stage):
+    """A fitted stage as it is after save and load: a forest fresh from its
+    fit holds its training summary, and with it the session and the training
+    frame, which would go to every task that scores."""
+    return stage.copy() if getattr(stage, "hasSummary", False) else stage
+
+
 def probability_of(index: int = 1, col: str = "probability") -> Column:
     """M4: P(class ``index``) as a plain double."""
     return vector_to_array(F.col(col))[index]

@@ -61,11 +61,15 @@ def _modes_and_sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .select("field", "b.value", "b.n", "n_values"))
 
 
+_ROW = "__row"
+
+
 def fill_values_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                       with_sizes: bool = False) -> DataFrame:
     """A5 as rows: (field, num_value, cat_value) -- means of numerics, modes of
     categoricals, computed over the raw (unvalidated) values, NULLs excluded.
-    ``with_sizes`` adds ``n_values`` (distinct values of a categorical).
+    ``with_sizes`` adds ``n_values`` (distinct values of a categorical) and
+    ``n_cells`` (rows, of a categorical those with a value).
 
     One scan: all columns are unpivoted together, a numeric with no value text
     and its number, so it is one key of the same partial aggregate that counts
@@ -81,9 +85,10 @@ def fill_values_frame(df: DataFrame, numeric: Sequence[str], categorical: Sequen
     # a column without any value keeps its row, with nothing to fill
     best = F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value")))
     out = counted.groupBy("field", "is_number").agg(
-        (F.sum("total") / F.sum("n_x")).alias("num_value"), best.alias("cat_value"), F.count("value").alias("n_values"))
-    out = out.select("field", "num_value", "cat_value", F.when(~F.col("is_number"), F.col("n_values")).alias("n_values"))
-    return out if with_sizes else out.drop("n_values")
+        (F.sum("total") / F.sum("n_x")).alias("num_value"), best.alias("cat_value"), F.count("value").alias("n_values"),
+        F.sum("n").alias("n_cells"))
+    out = out.select("field", "num_value", "cat_value", F.when(~F.col("is_number"), F.col("n_values")).alias("n_values"), "n_cells")
+    return out if with_sizes else out.drop("n_values", "n_cells")
 
 
 def fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> dict:
@@ -94,12 +99,23 @@ def fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
 def fill_values_and_sizes(df: DataFrame, numeric: Sequence[str],
                           categorical: Sequence[str]) -> tuple[dict, dict]:
     """A5 plus {categorical column: number of distinct values}, one job."""
-    fill, sizes = {}, {}
-    for r in fill_values_frame(df, numeric, categorical, with_sizes=True).collect():
+    return fill_values_sizes_rows(df, numeric, categorical)[:2]
+
+
+def fill_values_sizes_rows(df: DataFrame, numeric: Sequence[str],
+                           categorical: Sequence[str]) -> tuple[dict, dict, int]:
+    """A5, {categorical column: number of distinct values} and the number of
+    rows, one job: each row is one cell of a further column."""
+    fill, sizes, n_rows = {}, {}, 0
+    counted = df.withColumn(_ROW, F.lit(1.0))
+    for r in fill_values_frame(counted, [*numeric, _ROW], categorical, with_sizes=True).collect():
+        if r["field"] == _ROW:
+            n_rows = int(r["n_cells"])
+            continue
         fill[r["field"]] = r["num_value"] if r["num_value"] is not None else r["cat_value"]
         if r["n_values"] is not None:
             sizes[r["field"]] = r["n_values"]
-    return fill, sizes
+    return fill, sizes, n_rows
 
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:

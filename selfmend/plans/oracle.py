@@ -394,6 +394,29 @@ SQL["eval_confusion_matrix"] = f"""WITH {LI_TREE}
 SELECT CAST(l.idx AS DOUBLE) AS label, s.prediction, count(*) AS n
 FROM li_scored s JOIN lt_lab l ON s.size_band = l.v GROUP BY 1, 2"""
 
+# A9 on held-out rows: the tree is fitted on the others.
+LI_HELD_OUT = LI_LABELLED + """,
+li_split AS (SELECT *, CAST('0x' || md5(CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR))[1:8] AS BIGINT) % 1000 < 200 AS held
+             FROM li_lab),
+li_learnt AS (SELECT * FROM li_split WHERE NOT held),
+""" + _binary_tree("ho", "li_learnt", "l_linestatus", "size_band") + """,
+ho_scored AS (SELECT l.idx AS label, CAST(p.prediction AS INTEGER) AS prediction, p.p1
+              FROM li_split s JOIN ho_pred p ON s.l_linestatus = p.g JOIN ho_lab l ON s.size_band = l.v WHERE s.held)"""
+SQL["eval_ranking"] = f"""WITH {LI_HELD_OUT},
+b AS (SELECT least(floor(p1 * 10000), 9999) AS bin, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg FROM ho_scored GROUP BY 1),
+c AS (SELECT *, sum(pos) OVER (ORDER BY bin DESC) AS tp, sum(neg) OVER (ORDER BY bin DESC) AS fp FROM b)
+SELECT CAST(sum(pos) AS BIGINT) AS n_positive, CAST(sum(neg) AS BIGINT) AS n_negative,
+       round(sum(neg * (tp - pos / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 9) AS roc_auc,
+       round(sum(CAST(pos AS DOUBLE) * tp / (tp + fp)) / sum(pos), 9) AS average_precision FROM c"""
+SQL["eval_per_class"] = f"""WITH {LI_HELD_OUT},
+k AS (SELECT DISTINCT label AS class FROM ho_scored UNION SELECT DISTINCT prediction FROM ho_scored),
+c AS (SELECT class, count(*) FILTER (label = class) AS n_rows, count(*) FILTER (prediction = class) AS n_predicted,
+             count(*) FILTER (label = class AND prediction = class) AS n_right FROM k, ho_scored GROUP BY class)
+SELECT CAST(class AS DOUBLE) AS class, n_rows, n_predicted, n_right,
+       round(CASE WHEN n_predicted > 0 THEN CAST(n_right AS DOUBLE) / n_predicted END, 9) AS "precision",
+       round(CASE WHEN n_rows > 0 THEN CAST(n_right AS DOUBLE) / n_rows END, 9) AS recall,
+       round(2.0 * n_right / (n_rows + n_predicted), 9) AS f1 FROM c"""
+
 SQL["ml_model_roundtrip"] = f"""WITH {LI_TREE}
 SELECT l_orderkey, l_linenumber, prediction, probability FROM li_scored"""
 
@@ -441,6 +464,11 @@ SQL["sink_csv_header"] = SQL["sink_json"]
 SQL["sink_parquet_time_cell"] = f"""WITH {EVENTS_TEXT}
 SELECT ts, user_id, value_band FROM events_text"""
 
+SQL["sink_time_cell_judgement"] = f"""WITH {EVENTS_TEXT}
+SELECT ts[1:13] AS hour, event_type,
+       CASE WHEN count(*) FILTER (value_band = 'low') > 0 THEN 'low' ELSE 'high' END AS value_band
+FROM events_text GROUP BY ts[1:13], event_type"""
+
 SQL["sink_single_file"] = """SELECT 'event_type' AS field, event_type AS value, count(*) AS n, 1 AS n_files
 FROM events WHERE event_type IS NOT NULL GROUP BY event_type"""
 
@@ -458,6 +486,10 @@ JOIN e_pred p ON p.g = coalesce(CASE WHEN t.event_type IN {EXACT_TYPES} THEN t.e
                                 (SELECT m FROM e_mode))
 WHERE t.event_type <> 'view'"""
 
+SQL["stream_repeated_headers"] = """SELECT event_type AS kind, CAST(count(*) AS BIGINT) AS n_counted,
+       CAST(count(*) AS BIGINT) AS n_handed_on FROM events GROUP BY event_type
+UNION ALL SELECT 'none', CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
+
 SQL["stream_batch_metrics"] = """SELECT event_type AS kind, CASE WHEN event_type = 'view' THEN 2 ELSE 0 END AS status,
        CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY event_type
 UNION ALL SELECT 'none', 1, CAST(0 AS BIGINT)"""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from selfmend.functions.files import source_file_name, source_file_path
 from selfmend.functions.numeric import strict_double
-from selfmend.operators import attach, features, model, quality, sinks, stats
+from selfmend.operators import attach, evaluation, features, model, quality, sinks, stats
 from selfmend.plans import scoring, standins as S
 from selfmend.session import path_exists, scratch_path
 from selfmend.sources import delimited as src
@@ -476,6 +476,28 @@ def eval_confusion_matrix(spark, sf):
     return model.confusion_matrix(fitted.model.transform(train))
 
 
+def _held_out_lineitem(spark, sf):
+    """The exact model trained on four fifths of the rows, and the others scored."""
+    spec, held = S.LINEITEM_EXACT_SPEC, evaluation.held_out(["l_orderkey", "l_linenumber"], 0.2)
+    fitted = _fitted(spark, sf, "lineitem-held-out", spec, lambda *a: S.lineitem_labelled(*a).where(~held))
+    rows = quality.fill_nulls(scoring.prepare_training(S.lineitem_labelled(spark, sf).where(held), spec), fitted.fill)
+    return fitted.model.transform(rows).select(features.LABEL, "prediction", model.probability_of(1).alias("probability"))
+
+
+@query("eval_ranking")
+def eval_ranking(spark, sf):
+    """A9 on held-out rows: areas under the ROC and precision-recall curves."""
+    out = evaluation.ranking(evaluation.score_histogram(_held_out_lineitem(spark, sf)))
+    return out.select("n_positive", "n_negative", *[F.round(c, 9).alias(c) for c in ("roc_auc", "average_precision")])
+
+
+@query("eval_per_class")
+def eval_per_class(spark, sf):
+    """A9 on held-out rows: precision, recall and F1 of each class."""
+    out = evaluation.per_class(model.confusion_matrix(_held_out_lineitem(spark, sf)))
+    return out.select("class", "n_rows", "n_predicted", "n_right", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
+
+
 @query("ml_model_roundtrip")
 def ml_model_roundtrip(spark, sf):
     path = scratch_path(spark, "model")
@@ -583,6 +605,16 @@ def sink_parquet_time_cell(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("sink_time_cell_judgement")
+def sink_time_cell_judgement(spark, sf):
+    """K4 on keys that repeat (hour, event type): one judgement each, ``low``
+    before ``high``."""
+    path = scratch_path(spark, "sink-judgement")
+    ev = S.events_frame(spark, sf).withColumn("hour", F.substring("ts", 1, 13))
+    sinks.write_time_cell_parquet(ev, path, "hour", "event_type", S.EVENTS_LABEL, precedence=("low", "high"))
+    return spark.read.parquet(path)
+
+
 @query("sink_single_file")
 def sink_single_file(spark, sf):
     """K5 on a frame that is small by construction: the per-type summary (one
@@ -607,11 +639,8 @@ def sink_per_source_file(spark, sf):
     """K6 over every landed file: files are read by their own headers --
     ``view`` files land without ``event_type``, which reads as blank -- and
     written with one output folder per source."""
-    df = None
-    for names, files in src.file_groups(spark, _events_landing(spark, sf)):
-        part = src.read_csv_strings(spark, files, names).withColumn("source", _kind(source_file_path()))
-        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
-    df = df.na.fill("", ["event_type"])
+    rows, columns = src.landed_rows(spark, _events_landing(spark, sf))
+    df = rows.select(_kind(src.SOURCE).alias("source"), *[F.coalesce(c, F.lit("")).alias(name) for name, c in columns.items()])
     path = scratch_path(spark, "sink-per-source")
     sinks.write_json(df, path, partition_by="source")
     return spark.read.schema(_events_schema(("source",))).json(path) \
@@ -685,6 +714,26 @@ def stream_score_files(spark, sf):
                       F.round("probability", 9).alias("probability"))
 
 
+@query("stream_repeated_headers")
+def stream_repeated_headers(spark, sf):
+    """S4 in T1: landed files with header lines inside. Per kind the rows
+    counted and the rows scored or set aside: header lines are neither."""
+    from selfmend.streaming import ServeConfig, serve
+    root = scratch_path(spark, "stream-headers")
+    landing = S.write_events_landing(spark, sf, f"{root}/landing", repeated_headers=True)
+    fitted = _fitted(spark, sf, "events-exact", S.EVENTS_EXACT_SPEC, S.events_training)
+    cfg = ServeConfig(landing=landing, output=f"{root}/out", quarantine=f"{root}/quarantine",
+                      metrics=f"{root}/metrics", checkpoint=f"{root}/checkpoint", processing_time=None)
+    serve(spark, S.EVENTS_EXACT_SPEC, fitted, cfg).awaitTermination()
+    schema = "event_id string, source_path string"
+    out = spark.read.schema(schema).json(cfg.output).select("source_path") \
+        .unionByName(spark.read.schema(schema).json(cfg.quarantine).select("source_path"))
+    counted = spark.read.parquet(cfg.metrics).select(_kind().alias("kind"), F.col("n_rows").alias("n_counted"))
+    handed_on = out.select(_kind().alias("kind"), F.lit(0).cast("long").alias("n_counted"), F.lit(1).alias("n"))
+    both = counted.withColumn("n", F.lit(0)).unionByName(handed_on)
+    return both.groupBy("kind").agg(F.sum("n_counted").alias("n_counted"), F.sum("n").alias("n_handed_on"))
+
+
 @query("stream_batch_metrics")
 def stream_batch_metrics(spark, sf):
     m = spark.read.parquet(_stream_run(spark, sf)["cfg"].metrics)

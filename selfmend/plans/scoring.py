@@ -12,6 +12,8 @@
 from __future__ import annotations
 
 import json
+import math
+from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
@@ -38,7 +40,7 @@ class ScoringSpec:
     validate_training: bool = False   # the reference trained on unvalidated rows
     max_categories: int | None = None  # vocabulary bound per category and for the label; see ``vocabulary_bound``
     row_key: tuple[str, ...] = ()     # columns that tell training rows apart (default: the rules' id)
-    training_partitions: int = 32     # part of the model: bagging draws per partition
+    training_partitions: int | None = None    # default: by the number of rows; see ``partitions_for``
 
     @property
     def numeric(self):
@@ -101,42 +103,60 @@ def prepare_training(df: DataFrame, spec: ScoringSpec, keep=()) -> DataFrame:
 
 
 @contextmanager
-def training_rows(train: DataFrame, spec: ScoringSpec, keep=()):
-    """The typed training rows, persisted (memory, spilling to disk) for the
-    fitting passes, so the source is parsed once; a lost executor's blocks
-    are recomputed from lineage.
-
-    Bagging draws per partition and row, so rows are dealt to
-    ``spec.training_partitions`` partitions by a hash of the row key and the
-    values, and ordered by it: the forest depends on the rows and the spec,
-    not on the input's files or the cluster's size."""
-    key = [c for c in (spec.row_key or ((spec.rules.id,) if spec.rules.id else ())) if c in train.columns]
-    typed = prepare_training(train, spec, list(dict.fromkeys([*keep, *key])))
-    own = F.xxhash64(*[F.col(c) for c in typed.columns])
-    dealt = (typed.withColumn("_order", own).repartition(spec.training_partitions, "_order")
-             .sortWithinPartitions("_order", *typed.columns).drop("_order"))
-    dealt = dealt.select(*keep, *[c for c in typed.columns if c not in keep and c not in key]) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+def persisted(df: DataFrame):
+    """``df`` kept (memory, spilling to disk) for several passes; a lost
+    executor's blocks are recomputed from lineage."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield dealt
+        yield kept
     finally:
-        dealt.unpersist()
+        kept.unpersist()
+
+
+#: Training rows of a partition, the least number of partitions, and copies of
+#: one row that are dealt together.
+ROWS_PER_PARTITION, LEAST_PARTITIONS, COPIES = 100_000, 8, 1024
+
+
+def partitions_for(n_rows: int) -> int:
+    """Training is as wide as its data, whatever the cluster: the number of
+    partitions is part of the model, as bagging draws per partition."""
+    return max(LEAST_PARTITIONS, math.ceil(n_rows / ROWS_PER_PARTITION))
 
 
-def _filled(typed: DataFrame, spec: ScoringSpec) -> tuple[dict, DataFrame]:
+def dealt(typed: DataFrame, partitions: int) -> DataFrame:
+    """The rows in ``partitions`` partitions and an order that depend on the
+    rows alone, not on the input's files or the cluster's size.
+
+    Equal rows are counted first (a partial aggregate), cut into lots of
+    ``COPIES``, and dealt by a hash of the values and the lot: rows that are
+    alike are spread over all partitions, and shuffled as counts."""
+    columns = typed.columns
+    lots = (typed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES)))))
+    order = F.xxhash64(*[F.col(c) for c in columns], F.col("_lot"))
+    placed = (lots.withColumn("_order", order).repartition(partitions, "_order")
+              .sortWithinPartitions("_order", *columns, "_lot"))
+    copies = F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES), F.col("_n") - F.col("_lot") * COPIES))
+    return placed.withColumn("_copy", F.explode(copies)).select(*columns)
+
+
+def _filled(typed: DataFrame, spec: ScoringSpec) -> tuple[dict, DataFrame, int]:
     """A5 + P8 on typed rows: fill values (vocabulary sizes, the label's too,
-    checked in the same pass), then the filled rows that have a label."""
-    fill, sizes = stats.fill_values_and_sizes(typed, spec.numeric, [*spec.categorical, spec.label])
+    checked, and the rows counted, in the same pass), then the filled rows that
+    have a label, and how many rows there are."""
+    fill, sizes, n_rows = stats.fill_values_sizes_rows(typed, spec.numeric, [*spec.categorical, spec.label])
     features.check_vocabulary(sizes, spec.vocabulary_bound)
     fill = {c: v for c, v in fill.items() if c != spec.label}
-    return fill, quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull())
+    return fill, quality.fill_nulls(typed, fill).where(F.col(spec.label).isNotNull()), n_rows
 
 
 def fit_features(train: DataFrame, spec: ScoringSpec, keep=()) -> tuple[dict, PipelineModel]:
     """F8 alone: fill values and the fitted feature pipeline (F1-F7 with the
-    label index), over the persisted training rows."""
-    with training_rows(train, spec, keep) as typed:
-        fill, filled = _filled(typed, spec)
+    label index), over the persisted training rows. Counts, minima and maxima
+    do not depend on where rows are, so nothing is dealt."""
+    with persisted(prepare_training(train, spec, keep)) as typed:
+        fill, filled, _ = _filled(typed, spec)
         return fill, features.fit_features(filled, spec.numeric, spec.categorical, spec.label,
                                            spec.handle_invalid)
 
@@ -145,29 +165,34 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
     """F8 + M2: fill values, then one Pipeline fit (vocabularies, min/max,
     label index, forest). Rows without a label are not used for fitting.
 
-    Runs over ``training_rows``. The fill-value pass also counts each
-    vocabulary; one above ``spec.vocabulary_bound`` stops the fit.
+    The source is parsed once. The fill-value pass also counts each vocabulary
+    -- one above ``spec.vocabulary_bound`` stops the fit -- and the rows, from
+    which ``partitions_for`` says over how many partitions they are ``dealt``;
+    the row key tells rows apart there.
     """
-    with training_rows(train, spec) as typed:
-        fill, filled = _filled(typed, spec)
+    key = [c for c in (spec.row_key or ((spec.rules.id,) if spec.rules.id else ())) if c in train.columns]
+    with persisted(prepare_training(train, spec, key)) as typed:
+        fill, filled, n_rows = _filled(typed, spec)
+        partitions = spec.training_partitions or partitions_for(n_rows)
         stages = features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)
         stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,
                                    bootstrap=spec.bootstrap))
-        fitted = Pipeline(stages=stages).fit(filled)
+        with persisted(dealt(filled, partitions).drop(*key)) as rows:
+            fitted = Pipeline(stages=stages).fit(rows)
     decoder = model.label_decoder(features.label_labels(fitted))
-    return Fitted(PipelineModel(stages=list(fitted.stages) + [decoder]), fill, spec.training_partitions)
+    kept = [model.without_summary(s) for s in fitted.stages]
+    return Fitted(PipelineModel(stages=[*kept, decoder]), fill, partitions)
 
 
-def unseen(df: DataFrame, spec: ScoringSpec, fitted: Fitted) -> Column:
+def unseen(columns: Mapping[str, Column], spec: ScoringSpec, fitted: Fitted) -> Column:
     """True for rows that ``score`` cannot encode under ``handle_invalid='error'``:
-    a category whose checked and filled value is outside the fitted
-    vocabulary (or still NULL). One ``InSet`` lookup per category; the
-    vocabularies are bounded (``vocabulary_bound``)."""
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    a category (of the text ``columns``) whose checked and filled value is
+    outside the fitted vocabulary (or still NULL). One ``InSet`` lookup per
+    category; the vocabularies are bounded (``vocabulary_bound``)."""
     vocab = features.vocabularies(fitted.model)
     out = F.lit(False)
     for c in spec.categorical:
-        v = spec.rules.rule(c).checked(types[c])
+        v = spec.rules.rule(c).checked(source=columns[c])
         if fitted.fill.get(c) is not None:
             v = F.coalesce(v, F.lit(fitted.fill[c]))
         out = out | v.isNull() | ~v.isin(vocab[c])

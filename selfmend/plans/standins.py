@@ -197,10 +197,16 @@ def events_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", "event_type", "value", value_band())
 
 
-def write_events_landing(spark: SparkSession, sf_dir: str, landing: str) -> str:
+def write_events_landing(spark: SparkSession, sf_dir: str, landing: str, repeated_headers: bool = False) -> str:
     """Events split into landing files, one sub-folder per kind: full files for
-    most kinds, column-short files for ``SHORT_KIND``, one header-only file."""
+    most kinds, column-short files for ``SHORT_KIND``, one header-only file.
+    With ``repeated_headers`` every seventh event is preceded or followed by a
+    further header line, as in files put together from others."""
     text = events_text(table(spark, sf_dir, "events"))
+    if repeated_headers:
+        headers = text.where(F.col("event_id").cast("long") % 7 == 0).select(
+            *[F.col(c) if c == "kind" else F.lit(c).alias(c) for c in text.columns])
+        text = text.unionByName(headers).withColumn("_at", F.rand(7)).sortWithinPartitions("_at").drop("_at")
     is_short = F.coalesce(F.col("kind") == SHORT_KIND, F.lit(False))      # an unknown kind lands in full
     for part in (text.where(~is_short), text.where(is_short).drop("event_type")):
         (part.write.mode("append").partitionBy("kind")

@@ -4,12 +4,12 @@ Ticket files are UTF-8, comma separated, with a header line and **no quoting
 or escaping**: every comma splits, blank and trailing blank fields are kept,
 and the empty string (not NULL) means "missing". Two equivalent read paths:
 
-* text path  -- ``scan_text`` -> ``split_fields`` -> ``drop_repeated_headers``
-  -> ``all_string_table``, per group of files that share a header, columns
-  taken by name: tolerant of concatenated files with repeated headers; empty
-  lines are skipped, as the CSV reader skips them;
-* CSV path   -- ``read_csv_strings``: the CSV reader with quoting off, used by
-  the streaming job (one header per file, columns taken by name).
+* text path  -- ``scan_lines`` -> header lines dropped -> split -> columns
+  taken by name, by the layout of the row's file (``layouts``): tolerant of
+  concatenated files with repeated headers; empty lines are skipped, as the
+  CSV reader skips them. Batch reads and the streaming job use it;
+* CSV path   -- ``read_csv_strings``: the CSV reader with quoting off, for
+  files that share a header and do not repeat it.
 
 Both keep the header-only file (no rows) and return all-string columns with
 blanks as ``''``.
@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from selfmend.functions.files import literal_path, source_file_name, source_file_path
+from selfmend.functions.files import source_file_name, source_file_path
 from selfmend.functions.numeric import strict_double
 from selfmend.operators.quality import OK, RAGGED
+from selfmend.sources.layouts import LAYOUT, LINE, SOURCE, STATUS, Layout, columns_of, distinct_layouts, rows_of
 
 SEP = ","
 
@@ -36,6 +37,19 @@ def scan_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(path)
 
 
+def scan_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """``value, source_path``: the lines of the files in any charset the
+    session takes. Other charsets than UTF-8 go through the CSV reader, which
+    decodes line by line; no line holds its separator."""
+    if encoding.upper() == "UTF-8":
+        lines = scan_text(spark, path)
+    else:
+        check_charset(spark, encoding)
+        lines = (spark.read.schema("value string").option("recursiveFileLookup", "true").option("encoding", encoding)
+                 .option("sep", "\u0001").option("quote", "").option("escape", "").csv(path))
+    return lines.select("value", source_file_path().alias("source_path"))
+
+
 def split_fields(lines: DataFrame, sep: str = SEP) -> DataFrame:
     """``fields`` = the line split on every ``sep``; trailing blanks kept."""
     return lines.select(F.split(F.col("value"), sep, -1).alias("fields"))
@@ -56,23 +70,21 @@ def header_names(spark: SparkSession, path: str | Sequence[str], sep: str = SEP)
     return first[0]["value"].lstrip("﻿").split(sep)
 
 
-def headers_by_file(spark: SparkSession, path: str | Sequence[str],
-                    encoding: str = "UTF-8") -> dict[str, str]:
-    """S3 for every file: its path and first non-empty line, found in one job
-    by a partial aggregate (a file's first split is read by one task, in line
-    order). One line per file reaches the driver, as the paths themselves do
-    when Spark lists the folder. Files without a line are left out."""
+def file_headers(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    """S3 for every file, ``path, line``: its first non-empty line, by a
+    partial aggregate (a file's first split is read by one task, in line
+    order). The table stays distributed. Files without a line are left out."""
     line = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
     lines = (scan_text(spark, path).where((F.col("_metadata.file_block_start") == 0) & (F.col("value") != ""))
              .select(source_file_path().alias("path"), line.alias("line"), F.monotonically_increasing_id().alias("at")))
     first = lines.groupBy("path").agg(F.min_by("line", "at").alias("line"))
-    return {r["path"]: r["line"].lstrip("\ufeff") for r in first.collect()}
+    return first.select("path", F.ltrim("line", F.lit("\ufeff")).alias("line"))
 
 
-def row_status(n_fields: Column, header: Sequence[str]) -> Column:
-    """Of a split row: ``OK``, or ``RAGGED`` when the header has more or fewer
-    names than the row has fields -- its values cannot be told apart."""
-    return F.when(n_fields == len(header), F.lit(OK)).otherwise(F.lit(RAGGED))
+def headers_by_file(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """``file_headers`` on the driver, for callers that hold the paths there
+    anyway (a micro-batch, whose number of files is bounded)."""
+    return {r["path"]: r["line"] for r in file_headers(spark, path, encoding).collect()}
 
 
 def drop_repeated_headers(fields: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -81,15 +93,9 @@ def drop_repeated_headers(fields: DataFrame, header: Sequence[str]) -> DataFrame
     return fields.where(F.col("fields")[0] != F.lit(header[0]))
 
 
-def drop_repeated_header_lines(lines: DataFrame, header: Sequence[str], sep: str = SEP) -> DataFrame:
-    """S4 on whole lines, before splitting: the first field is the text up to
-    the first ``sep``, so each kept line is split only once, afterwards."""
-    return lines.where(F.substring_index(F.col("value"), sep, 1) != F.lit(header[0]))
-
-
 def all_string_table(fields: DataFrame, header: Sequence[str]) -> DataFrame:
     """Header-named, all-string table of well-formed rows. (Of a short row
-    the missing trailing fields would be ``''``; ``row_status`` tells.)"""
+    the missing trailing fields would be ``''``.)"""
     return fields.select(*[F.coalesce(F.get(F.col("fields"), i), F.lit("")).alias(name)
                            for i, name in enumerate(header)])
 
@@ -124,24 +130,29 @@ def contract_schema(id_col: str | None, numeric: Sequence[str],
     return StructType(fields)
 
 
-def file_groups(spark: SparkSession, path: str | Sequence[str], header: Sequence[str] | None = None,
-                sep: str = SEP) -> list[tuple[list[str], str | list[str]]]:
-    """Headers and the files that have each, or the given header for all."""
-    if header is not None:
-        return [(list(header), path)]
-    by: dict[str, list[str]] = {}
-    for file, line in headers_by_file(spark, path).items():
-        by.setdefault(line, []).append(literal_path(file))
-    return [(line.split(sep), files) for line, files in sorted(by.items())]
-
+def landed_rows(spark: SparkSession, path: str | Sequence[str], header: Sequence[str] | None = None,
+                sep: str = SEP, encoding: str = "UTF-8") -> tuple[DataFrame, dict[str, Column]] | None:
+    """Every line of the files under ``path`` as a row of its file's layout
+    (``layouts.rows_of``), and all columns of all layouts over those rows. One
+    scan; None if no file has a line.
 
-def _rows(spark: SparkSession, path, header: Sequence[str], sep: str) -> DataFrame:
-    """The split rows of files that share a header, with their status."""
-    # an empty line holds no record (the CSV path skips it too)
-    lines = scan_text(spark, path).where(F.col("value") != "").select("value", source_file_path().alias("source_path"))
-    lines = drop_repeated_header_lines(lines, header, sep)
-    fields = lines.select("value", "source_path", F.split(F.col("value"), sep, -1).alias("fields"))
-    return fields.withColumn("status", row_status(F.size("fields"), header))
+    Only distinct headers reach the driver. If all files share one, nothing is
+    looked up per file; else the table of files and layouts, which stays
+    distributed, is joined to the lines by path."""
+    if header is not None:
+        layouts, headers = [Layout(sep.join(header), sep)], None
+    else:
+        headers = file_headers(spark, path, encoding)
+        layouts = distinct_layouts(headers, sep)
+    if not layouts:
+        return None
+    lines = scan_lines(spark, path, encoding).select(F.col("value").alias(LINE), F.col("source_path").alias(SOURCE))
+    if len(layouts) == 1:
+        lines = lines.withColumn(LAYOUT, F.lit(0))
+    else:
+        number = F.array_position(F.array(*[F.lit(x.line) for x in layouts]), F.col("line")) - 1
+        lines = lines.join(headers.select(F.col("path").alias(SOURCE), number.cast("int").alias(LAYOUT)), SOURCE)
+    return rows_of(lines, layouts), columns_of(layouts)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str],
@@ -149,26 +160,26 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str],
     """S1+S2+S3+S4+S5: the whole text path to an all-string table.
 
     Every file is read by its own header and columns are matched by name; a
-    column that some files lack is ``''`` there. Rows with too few or too many
-    fields are not in the table: ``read_ragged`` returns them. With ``header``
-    given, all files are taken to have it (no job to read headers)."""
-    out = None
-    for names, files in file_groups(spark, path, header, sep):
-        own = all_string_table(_rows(spark, files, names, sep).where(F.col("status") == OK), names)
-        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
-    if out is None:
+    column that some files lack is ``''`` there, a name that a header repeats
+    becomes ``x_2``. Rows with too few or too many fields are not in the
+    table: ``read_ragged`` returns them. With ``header`` given, all files are
+    taken to have it (no job to read headers)."""
+    landed = landed_rows(spark, path, header, sep)
+    if landed is None:
         return spark.createDataFrame([], StructType([]))
-    return out.na.fill("")
+    rows, columns = landed
+    return rows.where(F.col(STATUS) == OK).select(*[F.coalesce(c, F.lit("")).alias(name) for name, c in columns.items()])
 
 
 def read_ragged(spark: SparkSession, path: str | Sequence[str],
                 header: Sequence[str] | None = None, sep: str = SEP) -> DataFrame:
     """The rows ``read_delimited`` leaves out: ``value`` (the line),
     ``source_path`` and ``status``."""
-    out = spark.createDataFrame([], "value string, source_path string, status int")
-    for names, files in file_groups(spark, path, header, sep):
-        out = out.unionByName(_rows(spark, files, names, sep).where(F.col("status") != OK).drop("fields"))
-    return out
+    landed = landed_rows(spark, path, header, sep)
+    if landed is None:
+        return spark.createDataFrame([], "value string, source_path string, status int")
+    return landed[0].where(F.col(STATUS) != OK).select(
+        F.col(LINE).alias("value"), F.col(SOURCE).alias("source_path"), F.col(STATUS).alias("status"))
 
 
 # Charsets Spark's readers accept without the JDK-charset switch.

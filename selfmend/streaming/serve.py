@@ -8,44 +8,54 @@ moved it away. Here:
       progress lives in the checkpoint, so a restarted job resumes where it
       stopped and a lost executor only re-runs its tasks;
 * T1  ``foreachBatch`` gets the new paths (file names only reach the driver),
-      finds all header lines in one job, groups files that share a header and
-      reads each group with **one** CSV scan; a file that cannot be read any
-      more gets status 5 and does not hold up the others;
+      finds all header lines in one job and reads all files with **one** scan,
+      whatever their layouts: each row is projected by the layout of its file
+      (``sources.layouts``). Header lines inside a file are no rows (S4). One
+      write takes the scored rows, and only if there are any others a second
+      one takes those; nothing is cached. A file that cannot be read any more
+      gets status 5 and does not hold up the others;
 * P4/P3 per file: no data rows -> status 1, required column missing ->
       status 2 (its rows are quarantined, T5); a row with too few or too many
       fields is quarantined with status 3, a row with a category outside the
       fitted vocabulary (``handle_invalid='error'``) with status 4; the
       file's other rows are scored;
-* T2  the fitted model and fill values are closed over by the batch function;
-* T4  one metrics row per file (batch id, file, rows, status, seconds);
-      scored and quarantined rows keep ``source_path``, so files of the same
-      name in different sub-folders stay apart;
+* T2  the fitted model and fill values are closed over by the batch function,
+      or taken from a folder of versions, the newest for each new batch;
+* T4  one metrics row per file (batch id, file, rows, status, seconds), from
+      what the write itself observed (A1); scored and quarantined rows keep
+      ``source_path``, so files of the same name in different sub-folders stay
+      apart;
 * T3  ``cleanSource=archive`` moves processed files to an archive folder;
       input is never deleted.
 
-The batch function is idempotent per batch id: outputs are written into
-``batch_id=N/group=G`` sub-folders with overwrite, so a retried batch replaces
-its own partial output.
+A batch becomes visible at once: its outputs are written to hidden staging
+folders, moved to ``batch_id=N`` when all are complete, and listed by a commit
+(``commits``). A batch that is run again replaces what it left before, and
+keeps the model version that it was first given.
 """
 
 from __future__ import annotations
 
 import time
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from selfmend.functions.files import literal_path, source_file_path
+from selfmend.functions.files import literal_path
 from selfmend.operators import quality, sinks
+from selfmend.operators.quality import MISSING_COLUMNS, OK, RAGGED, UNREADABLE, UNSEEN
 from selfmend.plans.scoring import Fitted, ScoringSpec, score, unseen
-from selfmend.operators.quality import RAGGED, UNREADABLE, UNSEEN
-from selfmend.sources.delimited import SEP, headers_by_file, read_csv_strings
+from selfmend.sources.delimited import headers_by_file, scan_lines
+from selfmend.sources.layouts import LAYOUT, LINE, SOURCE, STATUS, Layout, by_path, columns_of, rows_of, unique_names
+from selfmend.streaming import commits, versions
+
+__all__ = ["ServeConfig", "landing_stream", "process_batch", "serve", "unique_names"]
 
 BINARY_FILE_SCHEMA = StructType([
     StructField("path", StringType(), False),
@@ -56,8 +66,11 @@ BINARY_FILE_SCHEMA = StructType([
 
 METRICS_SCHEMA = ("source_file string, source_path string, n_rows long, n_ragged long, n_unseen long, "
                   "status int, missing string, elapsed_s double")
-CORRUPT = "_corrupt_record"
+LANDED_LINE = "landed_line"        # of a ragged row, as it stood in the file
 PROBES = 32         # files opened at a time to find those that cannot be read
+REASONS = {MISSING_COLUMNS: "missing_columns", RAGGED: "ragged", UNSEEN: "unseen_category"}
+#: What is observed of a row: its file and one of so many codes, a status or this one.
+CODES, RAGGED_AND_MISSING = 8, 6
 
 
 @dataclass(frozen=True)
@@ -73,6 +86,7 @@ class ServeConfig:
     processing_time: str | None = "10 seconds"   # None -> availableNow (drain and stop)
     output_format: str = "json"
     encoding: str = "UTF-8"                      # landing files' charset (e.g. GBK)
+    models: str | None = None                    # folder of model versions, looked at per micro-batch
 
     def __post_init__(self) -> None:
         if not self.max_files_per_trigger or self.max_files_per_trigger < 1:
@@ -128,114 +142,140 @@ def _file_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def unique_names(header) -> tuple[list[str], list[str]]:
-    """Header names made unique (a repeated ``x`` becomes ``x_2``, ``x_3``,
-    ...) and the names that were repeated."""
-    taken, names, repeated = set(header), [], []
-    count: dict[str, int] = defaultdict(int)
-    for h in header:
-        count[h] += 1
-        name, k = h, count[h]
-        if k > 1:
-            repeated.append(h)
-            while f"{h}_{k}" in taken:
-                k += 1
-            name = f"{h}_{k}"
-            taken.add(name)
-        names.append(name)
-    return names, sorted(set(repeated))
+@dataclass(frozen=True)
+class Landed:
+    """The files of a micro-batch that have a line, by layout."""
+    layouts: list[Layout]
+    missing: list[list[str]]        # of each layout: required columns it lacks, or has twice
+    files: dict[str, int]           # each file's layout
+
+    @staticmethod
+    def of(headers: dict[str, str], spec: ScoringSpec) -> Landed:
+        lines = sorted({line for line in headers.values() if line})
+        layouts = [Layout(line) for line in lines]
+        required = set(spec.rules.numeric + spec.rules.categorical)
+        missing = [quality.missing_columns(x.names, spec.rules) + [c for c in x.repeated if c in required] for x in layouts]
+        return Landed(layouts, missing, {p: lines.index(line) for p, line in headers.items() if line})
+
+    def rows(self, spark: SparkSession, spec: ScoringSpec, fitted: Fitted, encoding: str) -> DataFrame:
+        """Their rows, from one scan, with the status that decides where each goes."""
+        files = defaultdict(list)
+        for p, layout in self.files.items():
+            files[layout].append(p)
+        lines = scan_lines(spark, [literal_path(p) for p in self.files], encoding)
+        lines = lines.select(F.col("value").alias(LINE), F.col("source_path").alias(SOURCE)) \
+            .withColumn(LAYOUT, by_path(F.col(SOURCE), files))
+        rows = rows_of(lines, self.layouts)
+        columns = columns_of(self.layouts)
+        short = F.lit(False)
+        if any(self.missing):
+            short = F.col(LAYOUT).isin([i for i, m in enumerate(self.missing) if m])
+        new = F.lit(False)
+        if self.complete and spec.handle_invalid == "error":
+            new = unseen(columns, spec, fitted)
+        ragged = F.col(STATUS) == RAGGED
+        status = (F.when(short, F.when(ragged, F.lit(RAGGED_AND_MISSING)).otherwise(F.lit(MISSING_COLUMNS)))
+                  .when(ragged, F.lit(RAGGED)).when(new, F.lit(UNSEEN)).otherwise(F.lit(OK)))
+        return rows.withColumn(STATUS, status)
+
+    @property
+    def complete(self) -> bool:
+        """Whether any layout has all that scoring needs."""
+        return not all(self.missing)
+
+
+class FileCounts:
+    """Rows per file and status, observed while the rows are written. A file is
+    named by a 32-bit checksum of its path, salted until all differ; the counts
+    are those of a histogram with a bin for every (file, status), hence exact
+    (its bins' places are averages, off by rounding)."""
+
+    def __init__(self, paths: list[str]) -> None:
+        self.paths, self.salt = paths, 0
+        while len(set(self._names().values())) < len(paths):
+            self.salt += 1
+        self.observation = Observation()
+
+    def _names(self) -> dict[str, int]:
+        return {p: zlib.crc32(f"{self.salt}{p}".encode()) for p in self.paths}
+
+    def observe(self, rows: DataFrame) -> DataFrame:
+        name = F.crc32(F.concat(F.lit(str(self.salt)), F.col(SOURCE)).cast("binary"))
+        code = (name * CODES + F.col(STATUS)).cast("double")
+        return rows.observe(self.observation, F.histogram_numeric(code, F.lit(CODES * len(self.paths))).alias("n"))
+
+    def get(self) -> dict[str, Counter]:
+        by_name: dict[int, Counter] = defaultdict(Counter)
+        for r in self.observation.get["n"] or []:
+            name, status = divmod(round(r["x"]), CODES)
+            by_name[name][status] += round(r["y"])
+        return {p: by_name[name] for p, name in self._names().items()}
+
+
+def _named(rows: DataFrame, layouts: list[Layout], *more: Column) -> DataFrame:
+    """The files' columns, with the file's path and name."""
+    return rows.select(*[c.alias(name) for name, c in columns_of(layouts).items()], F.col(SOURCE).alias("source_path"),
+                       F.regexp_extract(SOURCE, r"([^/]+)$", 1).alias("source_file"), *more)
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, spec: ScoringSpec,
-                  fitted: Fitted, cfg: ServeConfig) -> None:
+                  fitted: Fitted | None, cfg: ServeConfig) -> None:
     """T1's body for one micro-batch."""
     started = time.time()
     paths = [r["path"] for r in batch.select("path").collect()]
     if not paths:
         return
+    version = None
+    if cfg.models:
+        version, fitted = versions.of_batch(spark, cfg.models, cfg.checkpoint, batch_id)
     headers, unreadable = read_headers(spark, paths, cfg.encoding)
-    by_header: dict[tuple, list[str]] = defaultdict(list)
-    for p, line in headers.items():
-        by_header[tuple(line.split(SEP)) if line else ()].append(p)
-
-    metrics = [(_file_name(p), p, 0, 0, 0, UNREADABLE, "", 0.0) for p in unreadable]
-    for group, (header, files) in enumerate(sorted(by_header.items())):
-        metrics += _process_group(spark, group, header, files, batch_id, spec, fitted, cfg)
-
-    elapsed = time.time() - started
-    rows = [m[:-1] + (elapsed,) for m in metrics]
-    (spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1)
-     .write.mode("overwrite").parquet(f"{cfg.metrics}/batch_id={batch_id}"))
-
-
-def _process_group(spark, group, header, files, batch_id, spec, fitted, cfg) -> list[tuple]:
-    """Check, score and write the files that share a header; their metrics rows."""
-    if not header:                      # no line: nothing to read
-        return [(_file_name(p), p, 0, 0, 0, quality.EMPTY, "", 0.0) for p in files]
-    # one scan per header group, kept for the count and the write (blocks
-    # lost with an executor are re-read from the files)
-    # a repeated name is renamed; a repeated *required* column is
-    # ambiguous and the file is treated like one missing it (status 2)
-    names, repeated = unique_names(header)
-    df = (read_csv_strings(spark, [literal_path(p) for p in files], names, corrupt_column=CORRUPT,
-                           encoding=cfg.encoding)
-          .withColumn("source_path", source_file_path())
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        return _checked_and_scored(df, group, names, repeated, files, batch_id, spec, fitted, cfg)
-    finally:
-        df.unpersist()
-
-
-def _checked_and_scored(df, group, names, repeated, files, batch_id, spec, fitted, cfg) -> list[tuple]:
-    metrics = []
-    required = set(spec.rules.numeric + spec.rules.categorical)
-    missing = quality.missing_columns(names, spec.rules) + [c for c in repeated if c in required]
-    # under 'error', a row the model cannot encode would fail the whole
-    # batch -- and, replayed from the checkpoint, every restart: such rows
-    # are quarantined instead (T5) and the rest of the file is scored
-    bad_code = (unseen(df, spec, fitted) & F.col(CORRUPT).isNull()
-                if not missing and spec.handle_invalid == "error" else F.lit(False))
-    counts = {r["source_path"]: (r["n"], r["r"], r["u"]) for r in
-              df.groupBy("source_path").agg(F.count(F.lit(1)).alias("n"),
-                                            F.count(CORRUPT).alias("r"),
-                                            F.count_if(bad_code).alias("u")).collect()}
-    any_ok = any_ragged = any_unseen = False
-    for p in files:
-        n, r, u = counts.get(p, (0, 0, 0))
-        code = quality.EMPTY if n == 0 else (quality.MISSING_COLUMNS if missing else quality.OK)
-        any_ok |= code == quality.OK
-        any_ragged |= r > 0
-        any_unseen |= u > 0
-        metrics.append((_file_name(p), p, int(n), int(r), int(u), code, ",".join(missing), 0.0))
-    with_name = df.withColumn("source_file", F.regexp_extract("source_path", r"([^/]+)$", 1))
-    part = f"batch_id={batch_id}/group={group}"
-    if missing:
-        bad = with_name.drop(CORRUPT).withColumn("status", F.lit(quality.MISSING_COLUMNS))
-        sinks.write_json(bad, f"{cfg.quarantine}/{part}/reason=missing_columns", partition_by="source_file")
-        return metrics
-    if any_ragged:
-        ragged = with_name.where(F.col(CORRUPT).isNotNull()).withColumn("status", F.lit(RAGGED))
-        sinks.write_json(ragged, f"{cfg.quarantine}/{part}/reason=ragged", partition_by="source_file")
-    if any_ok:
-        good = with_name.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        if any_unseen:
-            flag = unseen(good, spec, fitted)
-            sinks.write_json(good.where(flag).withColumn("status", F.lit(UNSEEN)),
-                             f"{cfg.quarantine}/{part}/reason=unseen_category", partition_by="source_file")
-            good = good.where(~flag)
-        result = score(good, spec, fitted)
-        writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(
-            cfg.output_format, sinks.write_json)
-        writer(result, f"{cfg.output}/{part}", partition_by="source_file")
-    return metrics
-
-
-def serve(spark: SparkSession, spec: ScoringSpec, fitted: Fitted, cfg: ServeConfig):
+    landed = Landed.of(headers, spec)
+    with commits.Batch(spark, batch_id, cfg.output) as out:
+        counts = _write(spark, landed, spec, fitted, version, cfg, out) if landed.files else {}
+        metrics = [(_file_name(p), p, 0, 0, 0, UNREADABLE, "", 0.0) for p in unreadable]
+        for p in headers:
+            n = counts.get(p, Counter())
+            missing = landed.missing[landed.files[p]] if p in landed.files else []
+            rows = sum(n.values())
+            status = quality.EMPTY if not rows else (MISSING_COLUMNS if missing else OK)
+            metrics.append((_file_name(p), p, rows, n[RAGGED] + n[RAGGED_AND_MISSING], n[UNSEEN], status, ",".join(missing), 0.0))
+        elapsed = time.time() - started
+        table = spark.createDataFrame([m[:-1] + (elapsed,) for m in metrics], METRICS_SCHEMA).coalesce(1)
+        table.write.mode("overwrite").parquet(out.staged(cfg.metrics))
+        out.commit({"model_version": version, "n_files": len(paths)})
+
+
+def _write(spark, landed: Landed, spec, fitted, version, cfg, out) -> dict[str, Counter]:
+    """Score and write the rows that can be, set the others aside; the counts per file."""
+    counts = FileCounts(list(landed.files))
+    rows = landed.rows(spark, spec, fitted, cfg.encoding)
+    observed = counts.observe(rows)
+    if landed.complete:
+        result = score(_named(observed.where(F.col(STATUS) == OK), landed.layouts), spec, fitted)
+        if version is not None:
+            result = result.withColumn("model_version", F.lit(version))
+        writer = {"csv": sinks.write_csv_header, "parquet": sinks.write_parquet}.get(cfg.output_format, sinks.write_json)
+        writer(result, out.staged(cfg.output), partition_by="source_file")
+        if not sum(n[OK] for n in counts.get().values()):
+            out.forget(cfg.output)
+    if not landed.complete or any(n[s] for n in counts.get().values() for s in (*REASONS, RAGGED_AND_MISSING)):
+        aside = (rows if landed.complete else observed).where(F.col(STATUS) != OK)
+        status = F.when(F.col(STATUS) == RAGGED_AND_MISSING, F.lit(MISSING_COLUMNS)).otherwise(F.col(STATUS))
+        reason = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])[status]
+        aside = _named(aside, landed.layouts, status.alias("status"), F.when(status == RAGGED, F.col(LINE)).alias(LANDED_LINE),
+                       reason.alias("reason"))
+        sinks.write_json(aside, out.staged(cfg.quarantine), partition_by=["reason", "source_file"])
+        if not sum(sum(n.values()) for n in counts.get().values()):
+            out.forget(cfg.quarantine)
+    return counts.get()
+
+
+def serve(spark: SparkSession, spec: ScoringSpec, fitted: Fitted | None, cfg: ServeConfig):
     """Start the streaming job; returns the ``StreamingQuery``.
 
     ``processing_time=None`` drains what has landed and stops
     (``availableNow``), else it polls on that interval like the reference.
+    With ``cfg.models`` the model comes from that folder and ``fitted`` is not used.
     """
     stream = landing_stream(spark, cfg.landing, cfg.glob, cfg.max_files_per_trigger, cfg.archive_dir)
     writer = (stream.writeStream.option("checkpointLocation", cfg.checkpoint)

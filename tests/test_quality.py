@@ -98,6 +98,34 @@ def test_batch_status_codes(spark, tickets):
     assert quality.missing_columns(tickets.drop("地市").columns, T.RULES) == ["地市"]
 
 
+def test_headers_of_many_files_stay_distributed(spark, tmp_dir):
+    """Files of three layouts, one of them hot: distinct headers reach the
+    driver, files and layouts are joined there where the lines are."""
+    want = set()
+    for i in range(90):
+        header = [["a", "b"], ["b", "a"], ["a", "b", "b"]][i % 3]
+        rows = [(f"{i}-{j}", str(j)) for j in range(200 if i == 4 else 2)]
+        lines = [",".join(header)] + [",".join({"a": a, "b": b}[h] for h in header) for a, b in rows]
+        write_lines(f"{tmp_dir}/d{i % 7}/f{i}.csv", lines + [",".join(header)])
+        want |= {(a, b, b if len(header) == 3 else "") for a, b in rows}
+    import unittest.mock as mock
+    collected = []
+    own = type(spark.range(0)).collect
+    with mock.patch.object(type(spark.range(0)), "collect", lambda self: (collected.append(own(self)), collected[-1])[1]):
+        table = src.read_delimited(spark, tmp_dir)
+    assert [len(x) for x in collected] == [3]
+    assert table.columns == ["a", "b", "b_2"] and {tuple(r) for r in table.collect()} == want
+    assert src.read_ragged(spark, tmp_dir).count() == 0
+
+
+def test_one_layout_needs_no_join(spark, tmp_dir):
+    for i in range(3):
+        write_lines(f"{tmp_dir}/f{i}.csv", ["a,b", f"{i},x", "a,b"])
+    table = src.read_delimited(spark, tmp_dir)
+    assert table.count() == 3
+    assert "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
+
+
 def test_text_path_repeated_headers_trailing_blanks_short_rows(spark, tmp_dir):
     lines = ["a,b,c", "1,x,", "", "a,b,c", "2,,", "3", "4,y,z,extra", ""]
     path = write_lines(f"{tmp_dir}/t.csv", lines)

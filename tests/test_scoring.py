@@ -207,6 +207,71 @@ print("RESULT", out.agg(F.count("*"), F.sum(F.xxhash64("o_orderkey", "prediction
     assert got[0] == got[1]
 
 
+def test_training_is_as_wide_as_its_data(spark):
+    assert [scoring.partitions_for(n) for n in (0, 100, 800_001, 10_000_000)] == [8, 8, 9, 100]
+    wide = spark.range(0, 10_000_000).select((F.col("id") % 1000).cast("double").alias("n"))
+    plan = scoring.dealt(wide, scoring.partitions_for(10_000_000))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 100)" in plan and "partial_count" in plan
+    train = spark.createDataFrame([("1", "a", "y"), ("2", "b", "n")], "n string, c string, lab string")
+    spec = scoring.ScoringSpec(RuleSet((Range("n", 0, 10), OneOf("c", ("a", "b")))), "lab", num_trees=2, max_depth=2)
+    assert scoring.fit(train, spec).training_partitions == 8
+
+
+def test_alike_training_rows_are_spread(spark):
+    """Two thirds of the rows are one row: it is dealt in lots over all
+    partitions, and the order does not depend on the input's."""
+    rows = spark.range(0, 60_000, 1, 5).select(
+        F.when(F.col("id") % 3 < 2, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), F.lit(1.0).alias("n"))
+    got = []
+    for df in (rows, rows.repartition(3)):
+        out = scoring.dealt(df, 10).select("k", F.spark_partition_id().alias("p")).collect()
+        sizes = [sum(r["p"] == p for r in out) for p in range(10)]
+        assert len(out) == 60_000 and sum(r["k"] is None for r in out) == 40_000 and max(sizes) < 12_000
+        got.append([(r["p"], r["k"]) for r in out])
+    assert got[0] == got[1]
+
+
+def test_a_fitted_model_does_not_carry_its_training_frame(spark, fitted):
+    forest = [s for s in fitted.model.stages if type(s).__name__ == "RandomForestClassificationModel"][0]
+    assert not forest.hasSummary
+
+
+def test_one_judgement_per_time_and_cell(spark):
+    rows = [("t1", "c1", "y"), ("t1", "c1", "n"), ("t1", "c1", "y"), ("t1", "c2", "y"), ("t1", "c2", None), ("t2", "c1", None),
+            ("", None, "b"), ("", None, "a"), (None, None, "z")]
+    df = spark.createDataFrame(rows, "`time` string, `cgi(x)` string, predictedLabel string").withColumn("n", F.lit(1))
+    got = {tuple(r) for r in sinks.judgements(df, "time", "cgi(x)", precedence=("n", "y")).collect()}
+    assert got == {("t1", "c1", "n"), ("t1", "c2", "y"), ("t2", "c1", None), ("", None, "a"), (None, None, "z")}
+    plan = sinks.judgements(df, "time", "cgi(x)")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and plan.count("Exchange") == 1
+
+
+def test_evaluation_against_brute_force(spark):
+    import random
+    from selfmend.operators import evaluation, model
+    rng = random.Random(4)
+    rows = [(float(rng.random() < 0.3), round(rng.random(), 2), float(rng.choice((0, 1, 2)))) for _ in range(400)]
+    rows += [(None, 0.5, 0.0), (1.0, None, 1.0), (0.0, float("nan"), 0.0), (1.0, 1.0, 1.0), (0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "label double, probability double, prediction double")
+    r = evaluation.ranking(evaluation.score_histogram(df, bins=1000)).first()
+    known = [(y, p) for y, p, _ in rows if y is not None and p is not None and p == p]
+    pos, neg = [p for y, p in known if y == 1.0], [p for y, p in known if y != 1.0]
+    auc = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
+    ap = sum(sum(x >= p for x in pos) / sum(x >= p for _, x in known) for p in pos) / len(pos)
+    assert (r["n_positive"], r["n_negative"]) == (len(pos), len(neg))
+    assert abs(r["roc_auc"] - auc) < 1e-9 and abs(r["average_precision"] - ap) < 1e-9
+    got = {x["class"]: x for x in evaluation.per_class(model.confusion_matrix(df.where("label IS NOT NULL"))).collect()}
+    for c in (0.0, 1.0, 2.0):
+        tp = sum(y == c == z for y, _, z in rows)
+        n, m = sum(y == c for y, _, _ in rows), sum(z == c and y is not None for y, _, z in rows)
+        assert (got[c]["n_right"], got[c]["n_rows"], got[c]["n_predicted"]) == (tp, n, m)
+        assert got[c]["recall"] == (tp / n if n else None) and got[c]["precision"] == (tp / m if m else None)
+    empty = evaluation.ranking(evaluation.score_histogram(df.where("false"))).first()
+    assert tuple(empty) == (0, 0, None, None)
+    held = spark.range(0, 5000).select(evaluation.held_out(["id"], 0.2).alias("h")).where("h").count()
+    assert 850 < held < 1150
+
+
 def test_label_vocabulary_is_bounded(spark):
     train = spark.createDataFrame([("a", f"l{i}") for i in range(5)], "c string, lab string")
     spec = scoring.ScoringSpec(RuleSet((OneOf("c", ("a", "b")),)), "lab").exact(max_depth=1)

@@ -223,6 +223,172 @@ def test_archive_holds_what_earlier_batches_read(spark, tmp_dir):
     assert len(archived) == 2
 
 
+def _small_spec():
+    from selfmend.functions.rules import OneOf, Range, RuleSet
+    return scoring.ScoringSpec(RuleSet((Range("n", 0, 10), OneOf("c", ("a", "b", "z")))), "lab", num_trees=3, max_depth=2)
+
+
+def _small_model(spark, flipped=False):
+    rows = [("1", "a", "y"), ("2", "b", "n"), ("3", "a", "y"), ("4", "b", "n")]
+    if flipped:
+        rows = [(n, c, {"y": "n", "n": "y"}[x]) for n, c, x in rows]
+    return scoring.fit(spark.createDataFrame(rows, "n string, c string, lab string"), _small_spec())
+
+
+def _config(tmp_dir, **more):
+    return ServeConfig(landing=f"{tmp_dir}/landing", output=f"{tmp_dir}/out", quarantine=f"{tmp_dir}/q", metrics=f"{tmp_dir}/m",
+                       checkpoint=f"{tmp_dir}/ck", processing_time=None, **more)
+
+
+def _batch(spark, tmp_dir, *names):
+    return spark.createDataFrame([(f"file:{tmp_dir}/landing/{n}",) for n in names], "path string")
+
+
+def test_header_lines_inside_a_file_are_no_rows(spark, tmp_dir):
+    """A file put together from two: both read paths give the same two rows."""
+    from selfmend.sources import delimited as src
+    write_lines(f"{tmp_dir}/landing/two.csv", ["id,n,c", "1,5,a", "id,n,c", "2,6,b", "id,n,c", "3,6", "id,n,c"])
+    cfg = _config(tmp_dir)
+    serve(spark, _small_spec(), _small_model(spark), cfg).awaitTermination()
+    assert [(r["n_rows"], r["n_ragged"], r["status"]) for r in spark.read.parquet(cfg.metrics).collect()] == [(3, 1, 0)]
+    out = spark.read.json(cfg.output)
+    assert sorted((r["id"], r["n"], r["c"], r["predictedLabel"]) for r in out.collect()) == [("1", "5", "a", "y"), ("2", "6", "b", "n")]
+    batch = src.read_delimited(spark, cfg.landing)
+    assert sorted(map(tuple, batch.collect())) == sorted((r["id"], r["n"], r["c"]) for r in out.collect())
+    assert [r["value"] for r in src.read_ragged(spark, cfg.landing).collect()] == ["3,6"]
+    q = spark.read.json(cfg.quarantine).collect()
+    assert [(r["landed_line"], r["reason"]) for r in q] == [("3,6", "ragged")]
+
+
+def test_gbk_header_lines_inside_a_file(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/landing")
+    with open(f"{tmp_dir}/landing/g.csv", "wb") as f:
+        f.write("编号,n,c\n一,5,a\n编号,n,c\n二,6,b\n".encode("gbk"))
+    cfg = _config(tmp_dir, encoding="GBK")
+    serve(spark, _small_spec(), _small_model(spark), cfg).awaitTermination()
+    assert sorted(r["编号"] for r in spark.read.json(cfg.output).collect()) == ["一", "二"]
+
+
+def test_fifty_layouts_take_one_scan_and_one_write(spark, monkeypatch, tmp_dir):
+    """Files whose columns are permuted and named differently: one frame is
+    scored and written, it reads the files once, and every row is right."""
+    import itertools
+    import sys
+    from selfmend.operators import sinks
+    from selfmend.streaming.serve import process_batch
+    module = sys.modules["selfmend.streaming.serve"]
+    names, want = [], set()
+    for i, columns in enumerate(itertools.islice(itertools.product(itertools.permutations(("id", "n", "c")), range(9)), 50)):
+        header = [*columns[0], *[f"extra{k}" for k in range(columns[1])]]
+        rows = [{"id": f"{i}-{j}", "n": str(j), "c": "ab"[j % 2], **{h: f"{h}-{i}" for h in header[3:]}} for j in range(3)]
+        write_lines(f"{tmp_dir}/landing/f{i}.csv", [",".join(header), *[",".join(r[h] for h in header) for r in rows]])
+        names.append(f"f{i}.csv")
+        want |= {(r["id"], r["n"], r["c"], len(header) - 3, "yn"[j % 2]) for j, r in enumerate(rows)}
+    cfg, writes, scored, own = _config(tmp_dir), [], [], module.score
+    writer = sinks._writer
+    monkeypatch.setattr(sinks, "_writer", lambda df, *a: (writes.append(df), writer(df, *a))[1])
+    monkeypatch.setattr(module, "score", lambda *a: (scored.append(a[0]), own(*a))[1])
+    process_batch(spark, _batch(spark, tmp_dir, *names), 0, _small_spec(), _small_model(spark), cfg)
+    assert len(writes) == len(scored) == 1
+    plan = writes[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and not any(x in plan for x in ("Exchange", "InMemoryTableScan", "Join"))
+    out = spark.read.json(cfg.output).collect()
+    assert {(r["id"], r["n"], r["c"], sum(r[f"extra{k}"] is not None for k in range(8)), r["predictedLabel"]) for r in out} == want
+    assert len(out) == 150
+    m = spark.read.parquet(cfg.metrics).collect()
+    assert {(r["n_rows"], r["status"]) for r in m} == {(3, 0)} and len(m) == 50
+
+
+def test_counts_come_from_the_write(spark, monkeypatch, tmp_dir):
+    """Observed counts equal the files', over many files and splits, with
+    nothing cached; a colliding checksum is salted away."""
+    import sys
+    module = sys.modules["selfmend.streaming.serve"]
+    want = {}
+    for i in range(120):
+        good, short, new = i % 5, i % 3, i % 2
+        header, lines = "n,c", ["5,a"] * good + ["1"] * short + ["1,z"] * new
+        if i % 10 == 7:
+            header, lines = "n,x", ["5,a"] * good + ["1"] * short
+        write_lines(f"{tmp_dir}/landing/f{i}.csv", [header, *lines])
+        missing = i % 10 == 7
+        want[f"f{i}.csv"] = (len(lines), short, 0 if missing else new, (1 if not lines else 2 if missing else 0))
+    cfg, fitted = _config(tmp_dir), _small_model(spark)
+    for method in ("persist", "cache"):
+        monkeypatch.setattr(type(spark.range(0)), method, lambda *a, **k: (_ for _ in ()).throw(AssertionError("cached")))
+    checksum = module.zlib.crc32
+    monkeypatch.setattr(module.zlib, "crc32", lambda b: checksum(b) if b[:1] != b"0" else 1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        module.process_batch(spark, _batch(spark, tmp_dir, *want), 0, _small_spec(), fitted, cfg)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    m = {r["source_file"]: (r["n_rows"], r["n_ragged"], r["n_unseen"], r["status"]) for r in spark.read.parquet(cfg.metrics).collect()}
+    assert m == want
+    assert spark.read.json(cfg.output).count() + spark.read.json(cfg.quarantine).count() == sum(x[0] for x in want.values())
+
+
+def test_a_batch_becomes_visible_at_once(spark, monkeypatch, tmp_dir):
+    """A run killed while it writes leaves nothing visible; the next run of the
+    batch replaces everything; readers by commit see committed batches only."""
+    import pytest
+    from selfmend.streaming import commits, committed, committed_batches
+    from selfmend.streaming.serve import process_batch
+    write_lines(f"{tmp_dir}/landing/a.csv", ["n,c", "5,a", "6,b", "7"])
+    write_lines(f"{tmp_dir}/landing/b.csv", ["n,c", "8,a"])
+    cfg, fitted, spec = _config(tmp_dir), _small_model(spark), _small_spec()
+    process_batch(spark, _batch(spark, tmp_dir, "a.csv"), 3, spec, fitted, cfg)
+    own = commits.Batch.commit
+    monkeypatch.setattr(commits.Batch, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        process_batch(spark, _batch(spark, tmp_dir, "b.csv"), 4, spec, fitted, cfg)
+    monkeypatch.setattr(commits.Batch, "commit", own)
+    assert spark.read.json(cfg.output).count() == 2
+    # moved, but not committed: readers by commit do not see it
+    monkeypatch.setattr(commits, "write_small", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        process_batch(spark, _batch(spark, tmp_dir, "b.csv"), 4, spec, fitted, cfg)
+    monkeypatch.undo()
+    assert committed(spark, cfg.output, spark.read.json(cfg.output)).count() == 2
+    process_batch(spark, _batch(spark, tmp_dir, "b.csv"), 4, spec, fitted, cfg)
+    assert committed(spark, cfg.output, spark.read.json(cfg.output)).count() == 3
+    # run again with another outcome: the rows set aside before are gone
+    write_lines(f"{tmp_dir}/landing/a.csv", ["n,c", "5,a"])
+    process_batch(spark, _batch(spark, tmp_dir, "a.csv"), 3, spec, fitted, cfg)
+    assert spark.read.json(cfg.output).count() == 2 and spark.read.parquet(cfg.metrics).count() == 2
+    assert not os.path.exists(f"{cfg.quarantine}/batch_id=3")
+    assert sorted((r["batch_id"], r["n_files"], len(r["outputs"])) for r in committed_batches(spark, cfg.output).collect()) == [(3, 1, 2), (4, 1, 2)]
+    assert os.listdir(f"{cfg.output}/_staging") == []
+
+
+def test_model_versions_are_taken_up_while_serving(spark, tmp_dir):
+    """Each new micro-batch is scored by the newest version; a batch that is
+    run again keeps its own; a half-written version is not seen."""
+    import pytest
+    from selfmend.streaming import publish
+    from selfmend.streaming.serve import process_batch
+    models = f"{tmp_dir}/models"
+    cfg, spec = _config(tmp_dir, models=models), _small_spec()
+    write_lines(f"{tmp_dir}/landing/a.csv", ["n,c", "5,a"])
+    with pytest.raises(Exception, match="no model version"):
+        process_batch(spark, _batch(spark, tmp_dir, "a.csv"), 0, spec, None, cfg)
+    publish(spark, _small_model(spark), models, "9")
+    serve(spark, spec, None, cfg).awaitTermination()
+    publish(spark, _small_model(spark, flipped=True), models, "10")
+    os.makedirs(f"{models}/_staging/11/model")
+    write_lines(f"{tmp_dir}/landing/b.csv", ["n,c", "5,a"])
+    serve(spark, spec, None, cfg).awaitTermination()
+    read = lambda: sorted((r["source_file"], r["model_version"], r["predictedLabel"]) for r in
+                          spark.read.schema("source_file string, model_version string, predictedLabel string").json(cfg.output).collect())
+    want = [("a.csv", "9", "y"), ("b.csv", "10", "n")]
+    assert read() == want
+    process_batch(spark, _batch(spark, tmp_dir, "a.csv"), 0, spec, None, cfg)      # as after a restart
+    assert read() == want
+    with pytest.raises(ValueError, match="there already"):
+        publish(spark, _small_model(spark), models, "10")
+
+
 def test_train_and_serve_job(spark, tmp_dir):
     """The runnable job over ticket files: train from files whose columns
     moved, set a ragged row aside, then drain a landing folder."""
