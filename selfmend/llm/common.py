@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
@@ -10,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selfmend.session import scratch_path
@@ -61,10 +62,45 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def release_memory() -> None:
+    """Hand what this process has freed back to the system. Python workers are
+    used again by later stages, which otherwise start with what earlier ones
+    left allocated."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library: nothing to do
+        pass
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
+    """``df.mapInArrow`` with this package at hand in the workers, which give
+    their memory back at the end of each task."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def text_column(spark: SparkSession, function: Callable[[pa.RecordBatch], pa.Array], kind: str, *text: Column) -> Column:
+    """A column computed from a text column, in slices of bounded size (given
+    to ``function`` as a batch with the column ``text``). Only the text goes to
+    the Python workers and only the result comes back; the other columns of
+    the rows stay where they are."""
+    ship_package(spark)
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            batch = pa.RecordBatch.from_arrays([column], names=["text"])
+            found = [function(part) for part in text_slices(iter([batch]))]
+            yield pa.concat_arrays(found) if found else function(batch)
+        release_memory()
+
+    return run(*text)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from selfmend.llm.common import map_arrow, text_slices
+from selfmend.llm.common import map_arrow, text_column, text_slices
 
 UNDETERMINED = "und"
 BUCKET_BITS = 15
@@ -224,5 +224,10 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is determined with a posterior of
     ``min_score`` or more; all columns unchanged."""
     names = docs.columns
-    out = predict(docs, fit(train_rows(docs)), names)
-    return out.where((F.col("__lang_pred") != UNDETERMINED) & (F.col("__score") >= min_score)).select(*names)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(train_rows(docs)))
+
+    def kept(part):
+        best, score = score_texts(part.column("text").to_pylist(), shared.value)
+        return pa.array((np.array(best) != UNDETERMINED) & (score >= min_score))
+
+    return docs.where(text_column(docs.sparkSession, kept, "boolean", F.col("text"))).select(*names)

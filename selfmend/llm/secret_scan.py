@@ -24,8 +24,9 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from selfmend.llm.common import map_arrow, text_slices, with_text
+from selfmend.llm.common import map_arrow, text_column, text_slices, with_text
 
 #: Spans are listed by start, then in this order of kinds.
 KINDS = ("assign", "access", "hex", "entropy")
@@ -192,12 +193,7 @@ def masked(text: str | None, mask: str = "<SECRET>") -> str | None:
 def mask_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with the secrets in ``text`` masked and ``n_chars`` brought up
     to date; all rows and columns stay."""
-    names = docs.columns
+    def run(part):
+        return pa.array([masked(x) for x in part.column("text").to_pylist()], pa.string())
 
-    def run(batches):
-        for part in text_slices(batches):
-            texts = pa.array([masked(x) for x in part.column("text").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([texts if n == "text" else part.column(n) for n in names], names=names)
-
-    out = map_arrow(docs, run, docs.schema)
-    return with_text(out, out["text"]).select(*names)
+    return with_text(docs, text_column(docs.sparkSession, run, "string", F.col("text"))).select(*docs.columns)
