@@ -1,19 +1,24 @@
 """Exact top-k search with a vector-approximation file.
 
 Vectors become integers, ``floor(256 * x)``; the score is their inner product,
-the higher the nearer. The file holds, per chunk of vectors, the ids, the
+the higher the nearer. The file holds, per chunk of vectors, the ids and the
 quantised cells (``2 ** BITS`` cells of equal width between the least and the
-greatest value of each dimension, counted over all vectors) and, in a column
-of its own, the exact vectors. A search takes two scans over it:
-
-1. the cells alone give a lower and an upper bound of every score; the k-th
-   highest lower bound over all chunks is a threshold no result lies below;
-2. candidates whose upper bound reaches the threshold are visited in the order
-   of that bound (nearest first), reading exact vectors a few at a time, until
-   the k-th exact score found is above every bound that is left.
+greatest value of each dimension, counted over all vectors). Of equal vectors
+only the ``k + 1`` smallest ids stand in it: no result holds more of them. A
+search goes
+
+1. over the cells: they give a lower and an upper bound of every score; the
+   k-th highest lower bound over all chunks is a threshold no result lies below;
+2. over the cells again: rows whose upper bound reaches the threshold are the
+   candidates;
+3. to the exact vectors of the candidates alone, by a join on the id. They are
+   dealt by query and sorted by falling bound, behind the query's own vector;
+   one iterator computes scores a few at a time until the k-th is above every
+   bound that is left.
 
 Queries come in blocks and meet chunks by an equi-join on the chunk, so a task
-holds one block and one chunk at a time. Equal scores go to smaller ids.
+holds one block and one chunk of cells at a time; exact vectors move once per
+candidate. Equal scores go to smaller ids.
 
 Defined cases: vectors that are NULL, or hold a NULL or non-finite component,
 and rows without an id take no part; a repeated id counts once (of different
@@ -28,16 +33,17 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from selfmend.llm.common import materialised, ship_package
+from selfmend.llm.common import map_arrow, materialised, ship_package
 
-BITS = 6
+BITS = 8
 CHUNK_ROWS = 1024
 QUERY_ROWS = 256
-#: Exact vectors read at a time in step 2.
+#: Exact vectors looked at a time in step 3.
 STEP = 16
 #: Partial results held by a task before they are handed on.
 HELD = 500_000
@@ -75,7 +81,7 @@ def _cell_edges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def approximation_file(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """``dim, chunk, ids, cells, marks, vectors`` per chunk, and how many chunks."""
+    """``dim, chunk, ids, cells, marks`` per chunk, and how many chunks."""
     marks = (vectors.select("dim", F.posexplode("v").alias("at", "x")).groupBy("dim", "at")
              .agg(F.min("x").alias("low"), F.max("x").alias("high")).groupBy("dim")
              .agg(F.sort_array(F.collect_list(F.struct("at", "low", "high"))).alias("m"))
@@ -90,12 +96,11 @@ def approximation_file(vectors: DataFrame) -> tuple[DataFrame, int]:
                 v = np.frombuffer(r.vectors, np.int64).reshape(-1, r.dim)
                 cells.append((((v - low) << BITS) // (high - low + 1)).astype(np.uint8).tobytes())
                 edges.append(np.stack([low, high]).tobytes())
-            yield pd.DataFrame({"dim": pdf["dim"], "chunk": pdf["chunk"], "ids": pdf["ids"], "cells": cells,
-                                "marks": edges, "vectors": pdf["vectors"]})
+            yield pd.DataFrame({"dim": pdf["dim"], "chunk": pdf["chunk"], "ids": pdf["ids"], "cells": cells, "marks": edges})
 
     joined = chunks.where("dim > 0").join(materialised(marks, "marks"), "dim")
     return materialised(joined.mapInPandas(
-        quantise, "dim int, chunk int, ids binary, cells binary, marks binary, vectors binary"), "va-file"), n
+        quantise, "dim int, chunk int, ids binary, cells binary, marks binary"), "va-file"), n
 
 
 def _bounds(q: np.ndarray, cells: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,33 +139,75 @@ class _Best:
         return out
 
 
-def _visit(q: np.ndarray, query_id: int, ids: np.ndarray, upper: np.ndarray, exact: np.ndarray,
-           threshold: float, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The k best exact scores of one query in one chunk, their ids, and how
-    many exact vectors were read."""
-    near = np.flatnonzero((upper >= threshold) & (ids != query_id))
-    near = near[np.lexsort((ids[near], -upper[near]))]
-    scores, found, read = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-    for at in range(0, len(near), STEP):
-        if len(scores) >= k and scores[k - 1] > upper[near[at]]:
-            break                                       # no bound that is left reaches the k-th score
-        some = near[at:at + STEP]
-        read += len(some)
-        scores = np.concatenate([scores, exact[some] @ q])
-        found = np.concatenate([found, ids[some]])
-        order = np.lexsort((found, -scores))[:k]
-        scores, found = scores[order], found[order]
-    return scores, found, read
-
-
-def search(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
+class Visit:
+    """One query's walk over its candidates, nearest bound first."""
+
+    def __init__(self, query_id: int, q: np.ndarray, k: int) -> None:
+        self.query_id, self.q, self.k = query_id, q, k
+        self.scores, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.read, self.certain = 0, False
+
+    def take(self, ids: np.ndarray, upper: np.ndarray, exact: np.ndarray) -> None:
+        """Further candidates, bounds falling."""
+        for at in range(0, len(ids), STEP):
+            if self.certain or len(self.scores) >= self.k and self.scores[self.k - 1] > upper[at]:
+                self.certain = True                     # no bound that is left reaches the k-th score
+                return
+            some = slice(at, at + STEP)
+            self.read += len(ids[some])
+            scores, found = np.concatenate([self.scores, exact[some] @ self.q]), np.concatenate([self.ids, ids[some]])
+            order = np.lexsort((found, -scores))[:self.k]
+            self.scores, self.ids = scores[order], found[order]
+
+
+def _walk(k: int):
+    def walk(batches):
+        """Rows ``query_id, bound, vec_id, v`` sorted by query and falling
+        bound; a query's own vector, without a bound, comes first."""
+        visit, done = None, []
+
+        def framed():
+            n = [len(x.ids) for x in done]
+            return pa.RecordBatch.from_pydict({
+                "query_id": pa.array(np.repeat(np.array([x.query_id for x in done], np.int64), n)),
+                "rank": pa.array(np.concatenate([np.arange(1, m + 1) for m in n] or [np.zeros(0)]), pa.int32()),
+                "vec_id": pa.array(np.concatenate([x.ids for x in done] or [np.zeros(0)]), pa.int64()),
+                "score": pa.array(np.concatenate([x.scores for x in done] or [np.zeros(0)]), pa.int64()),
+                "n_read": pa.array(np.repeat(np.array([x.read for x in done], np.int64), n))})
+
+        for b in batches:
+            query = b.column("query_id").to_numpy()
+            ids, v = b.column("vec_id").to_numpy(), b.column("v")
+            bound = b.column("bound").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]]) if len(query) else [])
+            for first, last in zip(edges, np.append(edges[1:], len(query))):
+                if visit is None or query[first] != visit.query_id:
+                    done += [visit] if visit else []
+                    visit = Visit(int(query[first]), np.array(v[int(first)].values, np.int64), k)
+                    first += 1
+                if last > first and not visit.certain:
+                    own = v.slice(first, last - first)
+                    visit.take(ids[first:last], bound[first:last], own.flatten().to_numpy().reshape(last - first, -1))
+            yield framed()
+            done = []
+        if visit:
+            done = [visit]
+            yield framed()
+    return walk
+
+
+def search(embeddings: DataFrame, is_query: Column, k: int = 5, with_read: bool = False) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` highest scores of each
-    row for which ``is_query`` (an expression over ``vec_id``) holds."""
+    row for which ``is_query`` (an expression over ``vec_id``) holds;
+    ``with_read`` adds ``n_read``, how many exact vectors that query took."""
     ship_package(embeddings.sparkSession)
-    vectors = materialised(integer_vectors(embeddings), "vectors")
-    file, n_chunks = approximation_file(vectors)
-    blocks, _ = _blocks(vectors.where(is_query), QUERY_ROWS, "block")
-    blocks = materialised(blocks.where("dim > 0"), "queries")
+    vectors = materialised(integer_vectors(embeddings).where("dim > 0"), "vectors")
+    among_equal = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    searched = materialised(vectors.withColumn("n", among_equal).where(F.col("n") <= k + 1).drop("n"), "searched")
+    file, n_chunks = approximation_file(searched)
+    queries = vectors.where(is_query)
+    blocks, _ = _blocks(queries, QUERY_ROWS, "block")
+    blocks = materialised(blocks, "queries")
 
     def meet(queries: DataFrame, columns: list[str]) -> DataFrame:
         spread = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
@@ -194,36 +241,31 @@ def search(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     threshold = ranked.where(F.col("n") <= k).groupBy("query_id").agg(
         F.when(F.count("*") == k, F.min("bound")).alias("threshold"))
     # a block's thresholds go with it: as many as it has queries
-    with_block = vectors.where(is_query).select("vec_id", "dim").join(threshold, F.col("vec_id") == F.col("query_id"))
-    n_blocks = max(1, -(-vectors.where(is_query).count() // QUERY_ROWS))
+    with_block = queries.select("vec_id", "dim").join(threshold, F.col("vec_id") == F.col("query_id"))
+    n_blocks = max(1, -(-queries.count() // QUERY_ROWS))
     limits = with_block.groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int").alias("block")) \
         .agg(F.collect_list(F.struct("query_id", "threshold")).alias("limits"))
     blocks = materialised(blocks.join(limits, ["dim", "block"], "left"), "queries")
 
-    def visit(frames):
-        best = _Best(k)
+    def reach(frames):
         for pdf in frames:
             for r in pdf.itertuples():
                 q_ids, q = np.frombuffer(r.ids, np.int64), np.frombuffer(r.vectors, np.int64).reshape(-1, r.dim)
                 ids = np.frombuffer(r.chunk_ids, np.int64)
-                exact = np.frombuffer(r.chunk_vectors, np.int64).reshape(-1, r.dim)
                 _, upper = _bounds(q, cells_of(r), np.frombuffer(r.marks, np.int64).reshape(2, -1))
                 limit = {x["query_id"]: x["threshold"] for x in (r.limits if r.limits is not None else [])}
-                for i, query in enumerate(q_ids.tolist()):
-                    least = limit.get(query)
-                    scores, found, _ = _visit(q[i], query, ids, upper[i], exact,
-                                              -np.inf if least is None or least != least else least, k)
-                    if len(found):
-                        best.add(query, scores, found)
-                if len(best.held) * k > HELD:
-                    yield best.frame("score")
-        if best.held:
-            yield best.frame("score")
-
-    scored = meet(blocks, ["cells", "marks", F.col("vectors").alias("chunk_vectors")]) \
-        .mapInPandas(visit, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                least = np.array([limit.get(x) for x in q_ids.tolist()], dtype=float)       # None: fewer than k rows, all are
+                near = (upper >= np.where(np.isnan(least), -np.inf, least)[:, None]) & (q_ids[:, None] != ids[None, :])
+                i, j = np.nonzero(near)
+                yield pd.DataFrame({"query_id": q_ids[i], "vec_id": ids[j], "bound": upper[i, j]})
+
+    candidates = meet(blocks, ["cells", "marks"]).mapInPandas(reach, "query_id long, vec_id long, bound double")
+    exact = candidates.join(searched.select("vec_id", "v").hint("merge"), "vec_id").select("query_id", "bound", "vec_id", "v")
+    own = queries.select(F.col("vec_id").alias("query_id"), F.lit(None).cast("double").alias("bound"), "vec_id", "v")
+    dealt = own.unionByName(exact).repartition("query_id") \
+        .sortWithinPartitions("query_id", F.desc_nulls_first("bound"), "vec_id")
+    out = map_arrow(dealt, _walk(k), "query_id long, rank int, vec_id long, score long, n_read long")
+    return out if with_read else out.drop("n_read")
 
 
 #: The same result in SQL: every query against every row.

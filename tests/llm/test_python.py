@@ -67,8 +67,26 @@ def test_topk_reads_few_exact_vectors():
     lower, upper = va_topk._bounds(v[:20], cells, np.stack([low, high]))
     exact = v[:20] @ v.T
     assert ((lower <= exact) & (exact <= upper)).all()
-    _, _, read = va_topk._visit(v[0], 0, np.arange(1000), upper[0], v, -np.inf, 5)
-    assert read < 300
+    # with the 5th highest lower bound as threshold, few exact vectors are left to read, and fewer are read
+    threshold = np.sort(np.delete(lower[0], 0))[-5]
+    near = np.flatnonzero((upper[0] >= threshold) & (np.arange(1000) != 0))
+    near = near[np.argsort(-upper[0, near], kind="stable")]
+    visit = va_topk.Visit(0, v[0], 5)
+    visit.take(near, upper[0, near], v[near])
+    assert visit.read <= len(near) < 60
+    assert visit.scores.tolist() == sorted(np.delete(exact[0], 0).tolist(), reverse=True)[:5]
+
+
+def test_topk_moves_exact_vectors_of_candidates_only(spark):
+    """Half of the rows are one vector: of it k + 1 rows are searched, and a
+    query reads few of the others."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 0.125, 32).astype(np.float32).tolist()) for i in range(1500)]
+    rows += [(2000 + i, rows[7][1]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = va_topk.search(df, F.col("vec_id") % 50 == 0, k=5, with_read=True).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out} == brute_topk(rows, 5)
+    assert sum({r["query_id"]: r["n_read"] for r in out}.values()) < 60 * len({r["query_id"] for r in out})
 
 
 def test_topk_empty(spark):
