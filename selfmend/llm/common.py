@@ -128,6 +128,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def with_text(docs: DataFrame, text) -> DataFrame:
     """``docs`` with its text replaced and, where it has one, ``n_chars`` too."""
     out = docs.withColumn("text", text)

@@ -2,7 +2,11 @@
 
 Per host, the number of pages that contain a line is divided by the host's
 pages; lines on more than ``max_ratio`` of them (and on at least
-``min_pages``) are boilerplate and dropped from every page of the host.
+``min_pages``) are boilerplate and dropped from every page of the host. One
+page in a hundred: lines of a page's own content do not recur on that many
+others of its host, while menus, notices and calls to subscribe that a site
+puts on some of its pages do; five pages, so that on a host of less than 500
+pages two or three quoting each other do not make a line boilerplate.
 Lines are compared in lower case with white space collapsed. Copies of a text
 are one page of their host in both counts, else a page that is copied often
 enough would lose its whole text as boilerplate.
@@ -19,7 +23,8 @@ listed once per row before the shuffle, then (host, line). The boilerplate lines
 most the mean lines of its pages divided by ``max_ratio``, whatever its number
 of pages, so they fit into one row per host; the pages take them by a join on
 the host that Spark broadcasts if the written table is small and splits by
-skew otherwise.
+skew otherwise. A page meets its host's list once, in a hashed intersection
+with its own lines; each line is then looked up among the few found.
 
 Defined cases: a NULL text stays NULL and is no page; a NULL host is a host
 of its own; lines of white space alone are neither counted nor dropped; a
@@ -33,9 +38,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from selfmend.llm.common import materialised, with_text
+from selfmend.llm.common import let, materialised, with_text
 
-MAX_RATIO = 0.1
+MAX_RATIO = 0.01
 MIN_PAGES = 5
 
 
@@ -43,18 +48,21 @@ def normalised(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, r"[ \t\f\r]+", " ")))
 
 
-def _digest(line: Column) -> Column:
-    return F.unhex(F.md5(normalised(line).cast("binary")))
-
-
-def _filled(line: Column) -> Column:
-    return normalised(line) != ""
+def _marked() -> Column:
+    """The lines of ``text`` in order: ``line``, its digest ``d`` (NULL for a
+    blank line) and its words ``n``."""
+    def mark(x: Column) -> Column:
+        return let(normalised(x), lambda k: F.struct(
+            x.alias("line"), F.when(k != "", F.md5(k.cast("binary"))).alias("d"),
+            F.when(k != "", F.size(F.split(k, " "))).otherwise(0).alias("n")))
+    return F.transform(F.split("text", "\n"), mark)
 
 
 def _page_lines(own: DataFrame) -> DataFrame:
     """``__host, page, line``: each line of each distinct page once."""
-    lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _filled), _digest))
-    return own.select("__host", "page", F.explode(lines).alias("line")).distinct()
+    digests = F.array_compact(F.array_distinct(F.transform(_marked(), lambda m: m["d"])))
+    return own.select("__host", "page", F.explode(digests).alias("line")) \
+        .select("__host", "page", F.unhex("line").alias("line")).distinct()
 
 
 def _n_pages(own: DataFrame, name: str) -> DataFrame:
@@ -65,19 +73,25 @@ def _n_pages(own: DataFrame, name: str) -> DataFrame:
 def _lines_above(counted: DataFrame, total: DataFrame, max_ratio: float) -> DataFrame:
     often = counted.join(total, F.col("__host").eqNullSafe(F.col("__of")))
     return materialised(often.where(F.col("n") > max_ratio * F.col("total")).groupBy("__host")
-                        .agg(F.collect_set("line").alias("__drop")), "boilerplate")
+                        .agg(F.collect_set(F.lower(F.hex("line"))).alias("__drop")), "boilerplate")
+
+
+def _cut(use) -> Column:
+    """``use(lines, gone)`` of the marked lines and, as a function of one of
+    them, whether it is in ``__drop``."""
+    def split(lines: Column) -> Column:
+        found = F.array_intersect(F.transform(lines, lambda m: m["d"]), F.col("__drop"))
+        return let(found, lambda hit: use(lines, lambda m: m["d"].isNotNull() & F.array_contains(hit, m["d"])))
+    return let(_marked(), split)
 
 
 def _share() -> Column:
     """The share of a page's words that stands in lines of ``__drop``."""
-    def step(a: Column, x: Column) -> Column:
-        n = F.when(_filled(x), F.size(F.split(normalised(x), " "))).otherwise(0)
-        gone = F.when(F.array_contains(F.col("__drop"), _digest(x)), n).otherwise(0)
-        return F.struct((a["n"] + n).alias("n"), (a["gone"] + gone).alias("gone"))
-
-    words = F.aggregate(F.split("text", "\n"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("gone")), step,
-                        lambda a: F.when(a["n"] > 0, a["gone"] / a["n"]))
-    return F.when(F.col("__drop").isNotNull(), words)
+    def words(lines: Column, gone) -> Column:
+        step = lambda a, m: F.struct((a["n"] + m["n"]).alias("n"), (a["gone"] + F.when(gone(m), m["n"]).otherwise(0)).alias("gone"))
+        return F.aggregate(lines, F.struct(F.lit(0).alias("n"), F.lit(0).alias("gone")), step,
+                           lambda a: F.when(a["n"] > 0, a["gone"] / a["n"]))
+    return F.when(F.col("__drop").isNotNull(), _cut(words))
 
 
 def boilerplate(pages: DataFrame, host: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
@@ -116,7 +130,7 @@ def _joined(pages: DataFrame, host: str, **limits) -> DataFrame:
 
 
 def _kept_lines() -> Column:
-    return F.filter(F.split("text", "\n"), lambda x: ~(_filled(x) & F.array_contains(F.col("__drop"), _digest(x))))
+    return _cut(lambda lines, gone: F.transform(F.filter(lines, lambda m: ~gone(m)), lambda m: m["line"]))
 
 
 def drop_boilerplate(pages: DataFrame, host: str, **limits) -> DataFrame:
@@ -130,13 +144,15 @@ def report(pages: DataFrame, host: str, **limits) -> DataFrame:
     """Per row: ``doc_id``, its lines, how many were dropped, and the digest
     of the text that is left (NULL for a NULL text)."""
     cut = _joined(pages.select("doc_id", "text", host), host, **limits)
-    before = F.size(F.split("text", "\n"))
-    after = F.when(F.col("__drop").isNull(), before).otherwise(F.size(_kept_lines()))
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(_kept_lines(), "\n"))
+    lines = F.split("text", "\n")
+    kept = F.when(F.col("__drop").isNull(), lines).otherwise(_kept_lines())
+    counted = let(kept, lambda k: F.struct(F.size(lines).alias("before"), F.size(k).alias("after"),
+                                           F.sha2(F.array_join(k, "\n").cast("binary"), 256).alias("sha")))
     null = F.col("text").isNull()
-    return cut.select("doc_id", F.when(null, 0).otherwise(before).cast("long").alias("n_lines"),
-                      F.when(null, 0).otherwise(before - after).cast("long").alias("n_dropped"),
-                      F.sha2(text.cast("binary"), 256).alias("text_sha256"))
+    return cut.select("doc_id", null.alias("null"), counted.alias("c")).select(
+        "doc_id", F.when(F.col("null"), 0).otherwise(F.col("c.before")).cast("long").alias("n_lines"),
+        F.when(F.col("null"), 0).otherwise(F.col("c.before") - F.col("c.after")).cast("long").alias("n_dropped"),
+        F.when(~F.col("null"), F.col("c.sha")).alias("text_sha256"))
 
 
 ORACLE = rf"""

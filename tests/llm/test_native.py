@@ -50,6 +50,24 @@ def test_line_quality(spark, docs_dir):
     assert len(rows) == docs.count() and not any(p in plan(out) for p in PYTHON)
 
 
+def test_the_method_rejects_documents(spark):
+    """The verdict is not the base rule's alone: documents whose length is
+    boilerplate, in words or in share, go, others lose the lines and stay."""
+    footer = "subscribe to our letter and read all of this week on the site today"          # 14 words
+    letters = lambda n: "".join("abcdefghij"[int(x)] for x in str(n))
+    prose = lambda i, n: " ".join(f"word{letters(i)}x{letters(j)}" for j in range(n))
+    rows = [(i, prose(i, 60) + "\n" + footer, "h") for i in range(20)]
+    rows += [(100 + i, prose(100 + i, 45) + "\n" + footer, "h") for i in range(5)]            # 45 words of their own
+    rows += [(200 + i, prose(200 + i, 55) + "\n" + "\n".join([footer] * 5), "h") for i in range(5)]      # less than half
+    rows += [(300 + i, prose(300 + i, 51), "other") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r for r in line_quality.assess(docs, "source").collect()}
+    assert all(not r["base_failed"] for i, r in out.items() if i < 200 or i >= 300)
+    assert {i for i, r in out.items() if r["kept"]} == {r[0] for r in rows if r[0] < 100 or r[0] >= 300}
+    kept = {r["doc_id"]: r["text"] for r in line_quality.cleaned(docs, "source").collect()}
+    assert kept == {i: t.split("\n")[0] for i, t, _ in rows if i < 100 or i >= 300}
+
+
 def test_repeated_words_brute_force(spark):
     import random
     rng = random.Random(5)
