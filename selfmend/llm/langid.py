@@ -11,6 +11,13 @@ Defined cases: a NULL text, a text without a letter, or a model without any
 language gives ``und`` with score 0. A NULL language is not learnt from.
 Equal posteriors go to the alphabetically first language. Repeated rows are
 scored (and learnt from) once per row; other columns are never read.
+
+A posterior says which language is likeliest, not whether any is likely: over
+a line of text it is near 1 for whatever it is. ``keep_identified`` therefore
+also asks how well the text fits its language: the mean log-probability of its
+n-grams must reach what the language's own n-grams have on average (by the
+counts of the training rows), less ``MARGIN`` and less ``SPREAD`` standard
+deviations of a mean of so many.
 """
 
 from __future__ import annotations
@@ -34,6 +41,8 @@ SMOOTHING = 0.5
 MAX_LANGUAGES = 200
 #: Fixed-point unit of the log-probabilities.
 UNIT = 2.0 ** -16
+#: Of the mean log-probability of a text in its language: how far it may lie below the language's own.
+MARGIN, SPREAD = 2.0, 4.0
 #: A longer text is scored in segments; the segments' sums are added.
 SEGMENT_CHARS = 1_000_000
 _LETTER = regex.compile(r"\p{L}")
@@ -45,6 +54,7 @@ class Model:
     languages: list[str]
     log_prior: np.ndarray      # float64, per language
     log_prob: np.ndarray       # int32 fixed point, languages x buckets
+    typical: np.ndarray        # per language: mean and standard deviation of an n-gram's log-probability
 
 
 def held_out(doc_id: Column) -> Column:
@@ -155,20 +165,19 @@ def fit(train: DataFrame) -> Model:
         prior[lang[~own]] = n[~own]
     smooth = counts + SMOOTHING
     log_prob = np.log(smooth) - np.log(smooth.sum(axis=1, keepdims=True))
+    share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    mean = (share * log_prob).sum(axis=1)
+    spread = np.sqrt(np.maximum((share * log_prob ** 2).sum(axis=1) - mean ** 2, 0))
     return Model(names, np.log(np.maximum(prior, 1) / max(prior.sum(), 1)),
-                 np.rint(log_prob / UNIT).astype(np.int32))
+                 np.rint(log_prob / UNIT).astype(np.int32), np.stack([mean, spread]))
 
 
-def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
-    """Predicted language and posterior of each text."""
-    own = [i for i, x in enumerate(texts) if x is not None and model.languages and _LETTER.search(x)]
-    best = [UNDETERMINED] * len(texts)
-    score = np.zeros(len(texts))
-    if not own:
-        return best, score
-    segments, owner = _prepare([texts[i] for i in own])
+def _sums(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The summed log-probabilities of the texts' n-grams, languages x texts,
+    in fixed point, and how many n-grams each text has."""
+    segments, owner = _prepare(texts)
     codes, edges = _codes(segments)
-    sums = np.zeros((len(model.languages), len(own)), dtype=np.int64)
+    sums, n_grams = np.zeros((len(model.languages), len(texts)), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
     for order in ORDERS:
         if len(codes) < order:
             continue
@@ -181,6 +190,33 @@ def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.nd
             value = np.append(model.log_prob[k][buckets], np.int32(0))
             part = np.add.reduceat(value, bounds, dtype=np.int64)[::2]
             np.add.at(sums[k], owner[full], part)
+        np.add.at(n_grams, owner[full], bounds[1::2] - bounds[::2])
+    return sums, n_grams
+
+
+def _lettered(texts: list[str | None], model: Model) -> list[int]:
+    return [i for i, x in enumerate(texts) if x is not None and model.languages and _LETTER.search(x)]
+
+
+def fits(texts: list[str | None], model: Model) -> np.ndarray:
+    """Whether each text is as probable as texts of its likeliest language are."""
+    own, out = _lettered(texts, model), np.zeros(len(texts), dtype=bool)
+    if own:
+        sums, n = _sums([texts[i] for i in own], model)
+        top = (sums * UNIT + model.log_prior[:, None]).argmax(axis=0)
+        mean = sums[top, np.arange(len(own))] * UNIT / np.maximum(n, 1)
+        out[own] = mean >= model.typical[0, top] - MARGIN - SPREAD * model.typical[1, top] / np.sqrt(np.maximum(n, 1))
+    return out
+
+
+def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
+    """Predicted language and posterior of each text."""
+    own = _lettered(texts, model)
+    best = [UNDETERMINED] * len(texts)
+    score = np.zeros(len(texts))
+    if not own:
+        return best, score
+    sums, _ = _sums([texts[i] for i in own], model)
     log_joint = sums * UNIT + model.log_prior[:, None]
     top = log_joint.argmax(axis=0)
     posterior = 1.0 / np.exp(log_joint - log_joint.max(axis=0)).sum(axis=0)
@@ -222,12 +258,13 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is determined with a posterior of
-    ``min_score`` or more; all columns unchanged."""
+    ``min_score`` or more and which fit it; all columns unchanged."""
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(fit(train_rows(docs)))
 
     def kept(part):
-        best, score = score_texts(part.column("text").to_pylist(), shared.value)
-        return pa.array((np.array(best) != UNDETERMINED) & (score >= min_score))
+        texts = part.column("text").to_pylist()
+        best, score = score_texts(texts, shared.value)
+        return pa.array((np.array(best) != UNDETERMINED) & (score >= min_score) & fits(texts, shared.value))
 
     return docs.where(text_column(docs.sparkSession, kept, "boolean", F.col("text"))).select(*names)

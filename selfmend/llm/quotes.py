@@ -164,7 +164,8 @@ def conversations(messages: DataFrame) -> DataFrame:
     counts = counts.select("root_mid", F.col("block").alias("of_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("root_mid", "block").orderBy("turn", "mid")
     numbered = placed.withColumn("row", F.row_number().over(inside) - 1)
-    joined = numbered.join(materialised(counts, "counts"), ["root_mid"]).where(F.col("block").eqNullSafe(F.col("of_block")))
+    counts = materialised(counts.withColumnRenamed("root_mid", "of_root"), "counts")
+    joined = numbered.join(counts, (F.col("root_mid") == F.col("of_root")) & F.col("block").eqNullSafe(F.col("of_block")))
     # the texts join last, once
     order = joined.select("mid", F.col("root_turn").alias("thread_turn"), (F.col("before") + F.col("row")).alias("position"),
                           F.coalesce("depth", F.lit(0)).cast("long").alias("reply_depth"),

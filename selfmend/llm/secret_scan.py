@@ -61,12 +61,19 @@ ALLOWED = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",     # UUID
     r"(?:[A-Za-z]+[-_/])+[A-Za-z]+\d{0,4}",                # words joined by marks, paths
     r"[\d/_=+-]+",                                         # dates, numbers, rules
-    r".*(?i:example|placeholder|dummy|changeme|your[-_]?).*",
-    r"(?:sha(?:1|256|384|512)|md5)[-=].*",                 # integrity digests
 )
-#: Addresses. A URL ends at the first character that does not stand in one unquoted (white space, quotes, commas, semicolons,
+#: An integrity digest, as long as its kind is, or the token after its name. What follows it is looked at.
+DIGEST = (r"(?:md5[-=](?:[0-9a-fA-F]{32}|[A-Za-z0-9+/]{22}==)|sha1[-=](?:[0-9a-fA-F]{40}|[A-Za-z0-9+/]{27}=)"
+          r"|sha256[-=](?:[0-9a-fA-F]{64}|[A-Za-z0-9+/]{43}=)|sha384[-=](?:[0-9a-fA-F]{96}|[A-Za-z0-9+/]{64})"
+          r"|sha512[-=](?:[0-9a-fA-F]{128}|[A-Za-z0-9+/]{86}==)|(?:sha(?:1|256|384|512)|md5)[-=][A-Za-z0-9+_-]*=*)")
+#: Words that say that the token they stand in is none; a token ends at a slash or an equals sign.
+_NO_SECRET = re.compile(r"(?i)example|placeholder|dummy|changeme|your[-_]?")
+_TOKEN = re.compile(r"[A-Za-z0-9+_-]*")
+_KEY_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+_-")
+#: Addresses. What stands in a URL is looked at by its parts, an e-mail address not at all. A URL ends at the first character that does not stand in one unquoted (white space, quotes, commas, semicolons,
 #: brackets, a backslash and the like), an e-mail address with the host behind the '@'.
 _ADDRESS = re.compile(r"(?:https?://|www\.)[A-Za-z0-9_.~:/?#@!$&*+=%-]*|@[A-Za-z0-9.-]*")
+_PART = re.compile(r"[A-Za-z0-9+_-]{20,}")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -107,39 +114,72 @@ def _mixed(word: str) -> bool:
     return not word.isalpha() and any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
 
 
+def _pieces(text: str, start: int, end: int, addresses: list[tuple[int, int]], begins: list[int]):
+    """What is looked at of the candidate ``text[start:end]``: its stretches
+    outside addresses, and of those in a URL the parts between slashes and
+    equals signs."""
+    last = bisect_right(begins, start) - 1
+    if last >= 0 and addresses[last][1] <= start:
+        last += 1
+    last = max(last, 0)
+    while start < end:
+        a, b = addresses[last] if last < len(addresses) else (end, end)
+        if a > start:
+            yield start, min(a, end)
+        elif text[a] != "@":
+            for m in _PART.finditer(text, start, min(b, end)):
+                yield m.span()
+        start = a if a > start else b
+        last += a <= start and b <= start
+
+
 def entropy_spans(text: str, base: list[tuple[str, int, int]], classes=CLASSES, allowed=None) -> list[tuple[str, int, int]]:
     """The added spans. Overlapping spans of different classes are joined."""
     allowed = _ALLOWED if allowed is None else allowed
     out: list[tuple[int, int]] = []
-    ends, begins = None, None           # of the addresses, looked for with the first candidate that needs them
+    addresses = begins = None           # looked for with the first candidate that needs them
     for m in _CANDIDATE.finditer(text):
-        start, word = m.start(), m[0]
-        if not _mixed(word):
+        if not _mixed(m[0]):
             continue
-        if ends is None:
-            begins, ends = zip(*[a.span() for a in _ADDRESS.finditer(text)] or [(0, 0)])
-        last = bisect_right(begins, start) - 1
-        if last >= 0 and ends[last] > start:            # only what lies behind the address is looked at
-            start, word = ends[last], text[ends[last]:m.end()]
-            if len(word) < CANDIDATE_LENGTH or not _mixed(word):
+        if addresses is None:
+            addresses = [a.span() for a in _ADDRESS.finditer(text)]
+            begins = [a for a, _ in addresses]
+        for start, end in _pieces(text, m.start(), m.end(), addresses, begins):
+            word = text[start:end]
+            if len(word) < CANDIDATE_LENGTH or not _mixed(word) or allowed.fullmatch(word):
                 continue
-        if allowed.fullmatch(word):
-            continue
-        for cls in classes:
-            for run in _RUNS[cls.name].finditer(word):
-                if not any(c.isdigit() for c in run[0]):
-                    continue
-                at = start + run.start()
-                out += [(at + a, at + b) for a, b in random_windows(run[0], cls.window, cls.threshold)]
+            digest = _DIGEST.match(word)
+            if digest:
+                start, word = start + digest.end(), word[digest.end():]
+            for cls in classes:
+                for run in _RUNS[cls.name].finditer(word):
+                    if any(c.isdigit() for c in run[0]):
+                        at = start + run.start()
+                        out += [(at + a, at + b) for a, b in random_windows(run[0], cls.window, cls.threshold)]
     joined: list[tuple[int, int]] = []
     for a, b in sorted(out):
         if joined and a <= joined[-1][1]:
             joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
         else:
             joined.append((a, b))
-    return [("entropy", a, b) for a, b in joined if not any(x <= a and b <= y for _, x, y in base)]
+    left = [x for a, b in joined for x in _without_placeholders(text, a, b)]
+    return [("entropy", a, b) for a, b in left if not any(x <= a and b <= y for _, x, y in base)]
+
+
+def _without_placeholders(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The span, or, if some of its tokens say that they are no secrets, the
+    others of them that are long enough for one."""
+    first = a
+    while first and text[first - 1] in _KEY_CHARS:
+        first -= 1
+    end = _TOKEN.match(text, b).end()
+    if not _NO_SECRET.search(text, first, end):
+        return [(a, b)]
+    tokens = [m.span() for m in _TOKEN.finditer(text, first, end) if m[0] and not _NO_SECRET.search(m[0])]
+    return [(max(x, a), min(y, b)) for x, y in tokens if min(y, b) - max(x, a) >= CANDIDATE_LENGTH]
 
 
+_DIGEST = re.compile(DIGEST)
 _ALLOWED = re.compile("|".join(f"(?:{x})" for x in ALLOWED), re.S)
 
 

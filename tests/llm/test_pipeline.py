@@ -36,7 +36,8 @@ def test_pipeline_matches_brute_force(spark):
     # 9: documents with a language
     model = langid.fit(langid.train_rows(docs))
     best, score = langid.score_texts([r["text"] for r in rows.values()], model)
-    kept = {i: r for (i, r), b, s in zip(rows.items(), best, score) if b != "und" and s >= 0.5}
+    fits = langid.fits([r["text"] for r in rows.values()], model)
+    kept = {i: r for (i, r), b, s, f in zip(rows.items(), best, score, fits) if b != "und" and s >= 0.5 and f}
     # 2: lines on more than a tenth of a source's pages, copies being one page
     norm = lambda x: " ".join(x.replace("\t", " ").split(" ")).strip(" ").lower() if x.strip(" ") else ""
     norm = lambda x, f=norm: " ".join([w for w in f(x).split(" ") if w])
