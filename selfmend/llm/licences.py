@@ -5,8 +5,11 @@ equivalent spellings made one, everything but letters and digits a blank) and
 its SHA-256 is looked up in the digests of known licences: entire texts by a
 hash join with the catalogue, each line (a notice such as "Licensed under the
 Apache License, Version 2.0.") by a map of notice digests. The catalogue is a
-constant of this module, so its size does not depend on the data. The same
-expression makes the canonical form of the catalogue and of the documents.
+constant of this module -- short licences as texts, long ones (GNU, Apache,
+Mozilla, Artistic, CC0) as the digests of their canonical form, whole and
+without their appendix -- so its size does not depend on the data. A table of
+further licence texts can be given. The same expression makes the canonical
+form of the catalogue and of the documents.
 
 Defined cases: a NULL text has no digest, licence or notice; a text without
 letters or digits has a digest but no licence; repeated rows get a row each;
@@ -128,6 +131,47 @@ NOTICES = (
     ("CC0-1.0", "This work is licensed under CC0 1.0 Universal."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    *((f"CC-{kind.replace(' ', '-')}-{v}", f"{lead} CC {kind} {v}.") for lead in ("Licensed under", "This work is licensed under")
+      for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+)
+#: Words that may follow "copyright" in a sentence: it is no holder's line then.
+_IN_SENTENCES = ("notice", "holder", "owner", "law", "licen", "protect", "disclaimer", "interest", "and ", "or ", "in ", "of ", "on ", "is ",
+                 "to ", "treat", "statement", "permission", "right", "grant", "for ", "under ", "as ", "act", "claim", "term", "work")
+_PROTECTED = tuple((f"copyright {w}", f"copyright_{w}") for w in _IN_SENTENCES)
+#: fixed values: licence and canonical digest of long texts
+DIGESTS = (
+    ("Apache-2.0", "75acde0fb516a7ba4597dfc23680cf78281f7fae7f3b74a78e06ef83c1c375c6"),
+    ("Apache-2.0", "f9138026e58bdb767e6c6e974637ff9aacbaedf2695e30fef144e5d7d84448ff"),
+    ("Apache-2.0", "6fb8411669deea22294b6190fad00b8e39899d0b7b6c5cf97a3b15b47e129c38"),
+    ("Artistic-1.0-Perl", "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b"),
+    ("GFDL-1.2", "1dbd72b6f124a1058e786b52a9d4afe44543b834a3aa44faf6c18b747c9de8e2"),
+    ("GFDL-1.3", "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d"),
+    ("GFDL-1.3", "911b9e1b02471fa9b19ec482d019380acd7e0fef00ffbd4395e8813b06533fe7"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-1.0", "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-2.0", "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("GPL-3.0", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.0", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.0", "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-2.1", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
 )
 #: Spellings made one, in lower case; each is replaced wherever it occurs.
 SPELLINGS = (
@@ -139,13 +183,14 @@ SPELLINGS = (
 )
 #: A line that names a copyright holder, or reserves all rights.
 COPYRIGHT_LINE = (r"^[ \t*#/;-]*(?:(?:copyright[ \t]*(?:\(c\)|©|[0-9<\[{])|\(c\)[ \t]*[0-9<\[{]|©)[^\n]*"
-                  r"|all rights reserved[.]?[ \t]*)$")
+                  r"|copyright[ \t]+[^ \t\n][^\n]{1,80}|all rights reserved[.]?[ \t]*)$")
 _OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
-    text = F.regexp_replace(F.lower(text), "(?md)" + COPYRIGHT_LINE, "")
+    text = reduce(lambda t, s: F.replace(t, F.lit(s[0]), F.lit(s[1])), _PROTECTED, F.lower(text))
+    text = F.regexp_replace(text, "(?md)" + COPYRIGHT_LINE, "")
     text = reduce(lambda t, s: F.replace(t, F.lit(s[0]), F.lit(s[1])), SPELLINGS, text)
     return F.trim(F.regexp_replace(text, _OTHER, " "))
 
@@ -156,7 +201,8 @@ def digest(text: Column) -> Column:
 
 def canonical_text(text: str) -> str:
     """The canonical form in plain Python, for the catalogue."""
-    text = re.sub(COPYRIGHT_LINE, "", text.lower(), flags=re.M)
+    text = reduce(lambda t, s: t.replace(*s), _PROTECTED, text.lower())
+    text = re.sub(COPYRIGHT_LINE, "", text, flags=re.M)
     for a, b in SPELLINGS:
         text = text.replace(a, b)
     return re.sub(r"[\W_]+", " ", text).strip(" ")
@@ -172,17 +218,20 @@ def _digests(entries) -> dict[str, str]:
 
 
 def text_digests() -> dict[str, str]:
-    """Digest to licence, for the catalogue's texts with and without title."""
-    return _digests([(n, t) for n, _, t in TEXTS] + [(n, f"{title}\n\n{t}") for n, title, t in TEXTS if title])
+    """Digest to licence, for the catalogue's texts with and without title, and the long ones."""
+    short = _digests([(n, t) for n, _, t in TEXTS] + [(n, f"{title}\n\n{t}") for n, title, t in TEXTS if title])
+    return short | {k: n for n, k in DIGESTS}
 
 
 def notice_digests() -> dict[str, str]:
     return _digests(NOTICES)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, further: DataFrame | None = None) -> DataFrame:
     """Per row: ``doc_id``, the canonical ``digest``, the ``licence`` whose
-    entire text it is (NULL if none) and the licences of its ``notices``."""
+    entire text it is (NULL if none) and the licences of its ``notices``.
+    ``further`` licences (``licence, text``) are looked up too; of several with
+    one digest the least name counts, the catalogue's own before them."""
     known = docs.sparkSession.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("known"), F.lit(v).alias("licence")) for k, v in text_digests().items()])).alias("c")) \
         .select("c.known", "c.licence")
@@ -192,8 +241,12 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", digest(F.col("text")).alias("digest"),
                        F.coalesce(F.array_join(F.sort_array(F.array_distinct(lines)), ","), F.lit("")).alias("notices"))
     # the catalogue is a constant, so broadcasting it is bounded
-    return rows.join(F.broadcast(known), F.col("digest") == F.col("known"), "left") \
-        .select("doc_id", "digest", "licence", "notices")
+    rows = rows.join(F.broadcast(known), F.col("digest") == F.col("known"), "left")
+    if further is not None:     # Spark broadcasts a small table and splits a hot digest otherwise
+        more = further.where("licence IS NOT NULL AND text IS NOT NULL").groupBy(digest(F.col("text")).alias("also")) \
+            .agg(F.min("licence").alias("further"))
+        rows = rows.join(more, F.col("digest") == F.col("also"), "left").withColumn("licence", F.coalesce("licence", "further"))
+    return rows.select("doc_id", "digest", "licence", "notices")
 
 
 def _quoted(text: str) -> str:
@@ -201,7 +254,10 @@ def _quoted(text: str) -> str:
 
 
 def _sql(text: str) -> str:
-    out = f"regexp_replace(lower({text}), {_quoted('(?m)' + COPYRIGHT_LINE)}, '', 'g')"
+    out = f"lower({text})"
+    for a, b in _PROTECTED:
+        out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
+    out = f"regexp_replace({out}, {_quoted('(?m)' + COPYRIGHT_LINE)}, '', 'g')"
     for a, b in SPELLINGS:
         out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
     return f"sha256(trim(regexp_replace({out}, {_quoted(_OTHER)}, ' ', 'g')))"
@@ -214,7 +270,8 @@ def _values(entries) -> str:
 ORACLE = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 t AS (SELECT DISTINCT licence, {_sql('t')} AS k FROM (VALUES {_values(
-    [(n, t) for n, _, t in TEXTS] + [(n, f'{title} {t}') for n, title, t in TEXTS if title])}) v(licence, t)),
+    [(n, t) for n, _, t in TEXTS] + [(n, f'{title} {t}') for n, title, t in TEXTS if title])}) v(licence, t)
+      UNION ALL SELECT licence, k FROM (VALUES {_values(DIGESTS)}) v(licence, k)),
 n AS (SELECT DISTINCT licence, {_sql('t')} AS k FROM (VALUES {_values(NOTICES)}) v(licence, t)),
 l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
 f AS (SELECT r, string_agg(DISTINCT n.licence, ',' ORDER BY n.licence) AS notices FROM l JOIN n ON n.k = {_sql('l.line')} GROUP BY r),

@@ -132,6 +132,29 @@ def test_licences(spark, tmp_dir):
     assert not any(p in plan(out) for p in PYTHON)
 
 
+def test_holder_lines_long_texts_and_further_licences(spark, tmp_dir):
+    mit = licences.TEXTS[0][2]
+    holders = ["Copyright Some Name", "  * Copyright The Foo Project Authors", "copyright (c) 2020 X", "© X", "Copyright\t2001-2004, A, B"]
+    rows = [(i, f"MIT License\n\n{h}\n\n{mit}", "en", "s", 0) for i, h in enumerate(holders)]
+    rows += [(10, f"Copyright notices matter\n{mit}", "en", "s", 0), (11, mit.replace("The above copyright", "The above\ncopyright"), "en", "s", 0),
+             (12, "Licensed under CC BY-NC 4.0.\nlicensed under cc by-nc-sa 3.0", "en", "s", 0), (13, "own terms, all of them", "en", "s", 0)]
+    folder, long = "/usr/share/common-licenses", []
+    if os.path.isdir(folder):
+        for i, name in enumerate(("Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0", "CC0-1.0")):
+            if os.path.exists(f"{folder}/{name}"):
+                long.append((100 + i, name))
+                rows.append((100 + i, open(f"{folder}/{name}", encoding="utf-8").read().upper(), "en", "s", 0))
+    where = X.written(spark, tmp_dir, documents=X.frame(spark, rows))
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    X.same_as_sql(licences.scan(docs), where, licences.ORACLE, "documents")
+    further = spark.createDataFrame([("Own", "OWN terms; all of them!"), ("Also-own", "own terms all of them"), (None, "x"), ("X", None), ("No-MIT", mit)],
+                                    "licence string, text string")
+    got = {r["doc_id"]: (r["licence"], r["notices"]) for r in licences.scan(docs, further).collect()}
+    assert [got[i][0] for i in range(5)] == ["MIT"] * 5 and got[10][0] is None and got[11][0] == "MIT"
+    assert got[12] == (None, "CC-BY-NC-4.0,CC-BY-NC-SA-3.0") and got[13][0] == "Also-own"
+    assert all(got[i][0].startswith(name) for i, name in long)
+
+
 def test_licence_catalogue_is_canonical_alike(spark):
     texts = [t for _, _, t in licences.TEXTS] + [t for _, t in licences.NOTICES]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(licences.canonical(F.col("t")).alias("c"))
