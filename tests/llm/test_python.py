@@ -641,6 +641,22 @@ def test_slices_are_bounded_in_bytes_and_rows(monkeypatch):
     assert max(map(len, parts)) <= 32 and max(sum(len(x or "") for x in p[:-1]) for p in parts) <= 60
 
 
+def test_words_are_unicode_words():
+    import regex
+    texts = ["“quoted” words—and dashes… naïve ÉCOLE x2", "你好，世界。今天 test", "नमस्ते दुनिया", "ไทย ok", "a\u00a0b\u3000c", "🙂🙂 ok🙂ok", "", "½ ² ⅻ", "e\u0301t"]
+    rng = random.Random(9)
+    texts += ["".join(chr(rng.choice([rng.randint(32, 126), rng.randint(0xA0, 0x2FF), rng.randint(0x2000, 0x30FF), rng.randint(0x4E00, 0x4E80),
+                                      rng.randint(0x1F600, 0x1F640), 32])) for _ in range(60)) for _ in range(50)]
+    texts = [t.lower() for t in texts]
+    buf, edges = common.utf8(pa.array(texts, pa.string()))
+    starts, ends = icws.word_spans(buf, edges)
+    got = [[bytes(buf[a:b]).decode() for a, b in zip(starts, ends) if x <= a < y] for x, y in zip(edges[:-1], edges[1:])]
+    unspaced = "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in icws._UNSPACED) + "]"
+    word = regex.compile(rf"(?:(?!{unspaced})[\p{{L}}\p{{N}}\p{{M}}])+|(?={unspaced})[\p{{L}}\p{{N}}\p{{M}}]")
+    assert got == [word.findall(t) for t in texts]
+    assert got[1] == ["你", "好", "世", "界", "今", "天", "test"]
+
+
 def test_near_duplicates_of_the_small_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
