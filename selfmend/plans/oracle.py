@@ -318,6 +318,12 @@ SQL["feat_label_encode_fit"] = f"""WITH {_rank('o_orderpriority', 'orders', 'r1'
 SELECT o_orderkey, CAST(r1.idx AS DOUBLE) AS o_orderpriority_t, CAST(r2.idx AS DOUBLE) AS o_orderstatus_t
 FROM orders JOIN r1 ON o_orderpriority = r1.v JOIN r2 ON o_orderstatus = r2.v"""
 
+SQL["feat_large_vocabulary"] = f"""WITH tr AS (SELECT CAST(l_partkey AS VARCHAR) AS p, CAST(l_orderkey AS VARCHAR) AS o FROM lineitem WHERE l_orderkey % 2 = 0),
+{_rank('p', 'tr', 'r1')}, {_rank('o', 'tr', 'r2')}
+SELECT l_partkey, l_orderkey, l_linenumber, CAST(coalesce(r1.idx, (SELECT count(*) FROM r1)) AS DOUBLE) AS l_partkey_t,
+       CAST(coalesce(r2.idx, (SELECT count(*) FROM r2)) AS DOUBLE) AS l_orderkey_t
+FROM lineitem LEFT JOIN r1 ON CAST(l_partkey AS VARCHAR) = r1.v LEFT JOIN r2 ON CAST(l_orderkey AS VARCHAR) = r2.v"""
+
 SQL["feat_label_encode_apply"] = f"""WITH tr AS (SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')),
 {_rank('o_orderpriority', 'tr', 'r1')}, {_rank('o_orderstatus', 'tr', 'r2')}
 SELECT o_orderkey,

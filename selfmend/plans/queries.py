@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from selfmend.functions.files import source_file_name, source_file_path
 from selfmend.functions.numeric import strict_double
-from selfmend.operators import attach, evaluation, features, model, quality, sinks, stats
+from selfmend.operators import attach, evaluation, features, model, quality, sinks, stats, vocabulary
 from selfmend.plans import scoring, standins as S
 from selfmend.session import path_exists, scratch_path
 from selfmend.sources import delimited as src
@@ -310,6 +310,17 @@ def feat_label_encode_fit(spark, sf):
         .select("o_orderkey", *[features.indexed(c) for c in cols])
 
 
+@query("feat_large_vocabulary")
+def feat_large_vocabulary(spark, sf):
+    """A7 + F3/F4 with the vocabulary as a table: the parts and orders of the
+    line items, far more values than a model may carry; learnt from half of
+    the rows."""
+    cols = ["l_partkey", "l_orderkey"]
+    li = S.table(spark, sf, "lineitem").select(*cols, "l_linenumber")
+    vocab = vocabulary.vocabulary_table(li.where(F.col("l_orderkey") % 2 == 0), cols)
+    return vocabulary.index_by_join(li, vocab, cols, handle_invalid="keep")
+
+
 @query("feat_label_encode_apply")
 def feat_label_encode_apply(spark, sf):
     cols = ["o_orderpriority", "o_orderstatus"]

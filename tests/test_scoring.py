@@ -272,6 +272,36 @@ def test_evaluation_against_brute_force(spark):
     assert 850 < held < 1150
 
 
+def test_large_vocabularies_are_numbered_as_small_ones(spark, monkeypatch):
+    """Many partitions, ties, a hot value, NULLs: the indexer's own order."""
+    from selfmend.operators import vocabulary
+    monkeypatch.setattr(vocabulary, "PART_VALUES", 50)
+    rows = spark.range(0, 6000, 1, 5).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), F.pmod(F.xxhash64("id"), F.lit(700)).cast("string"))).alias("a"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") % 40).cast("string")).alias("b"), "id")
+    table = vocabulary.vocabulary_table(rows, ["a", "b"])
+    got = {c: [r["value"] for r in table.where(F.col("field") == c).orderBy("idx").collect()] for c in ("a", "b")}
+    small = features.label_encoder(["a", "b"]).fit(rows.na.drop())
+    full = features.label_encoder(["a"]).fit(rows)
+    assert got["a"] == list(full.labelsArray[0]) and sorted(got["b"]) == sorted(small.labelsArray[1])
+    assert sorted(r["idx"] for r in table.where("field = 'a'").collect()) == list(range(len(got["a"])))
+    out = vocabulary.index_by_join(rows, table, ["a", "b"], "keep")
+    want = {r["id"]: r["a_t"] for r in full.transform(rows).collect()}
+    assert {r["id"]: r["a_t"] for r in out.collect()} == want and out.where("b IS NULL AND b_t = 40").count() == rows.where("b IS NULL").count()
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        vocabulary.index_by_join(rows, table, ["b"]).collect()
+
+
+def test_a_million_values_are_numbered(spark):
+    from selfmend.operators import vocabulary
+    rows = spark.range(0, 1_000_000, 1, 8).select(F.col("id").cast("string").alias("v"))
+    table = vocabulary.vocabulary_table(rows, ["v"])
+    r = table.agg(F.count("*").alias("n"), F.min("idx").alias("low"), F.max("idx").alias("high"), F.count_distinct("idx").alias("d")).first()
+    assert tuple(r) == (1_000_000, 0, 999_999, 1_000_000)
+    first = [x["value"] for x in table.where("idx < 4").orderBy("idx").collect()]
+    assert first == ["0", "1", "10", "100"]
+
+
 def test_label_vocabulary_is_bounded(spark):
     train = spark.createDataFrame([("a", f"l{i}") for i in range(5)], "c string, lab string")
     spec = scoring.ScoringSpec(RuleSet((OneOf("c", ("a", "b")),)), "lab").exact(max_depth=1)
