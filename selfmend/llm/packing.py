@@ -13,6 +13,9 @@ still numbered in many tasks.
 
 Defined cases: a NULL or empty text is one piece that holds the end token
 only; repeated rows are packed once per row; other columns are never read.
+A limit: words are told apart by a 64-bit hash and their length, not by their
+bytes, so of two words that collide (one chance in 10**19 a pair) the second
+would get the ids of the first.
 """
 
 from __future__ import annotations
