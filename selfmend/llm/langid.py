@@ -14,10 +14,12 @@ scored (and learnt from) once per row; other columns are never read.
 
 A posterior says which language is likeliest, not whether any is likely: over
 a line of text it is near 1 for whatever it is. ``keep_identified`` therefore
-also asks how well the text fits its language: the mean log-probability of its
-n-grams must reach what the language's own n-grams have on average (by the
-counts of the training rows), less ``MARGIN`` and less ``SPREAD`` standard
-deviations of a mean of so many.
+also asks how well the text's words fit its language (runs of letters; what
+holds a digit is left out, so that keys and numbers do not count against a
+text): the mean log-probability of their n-grams must reach what the language's
+own n-grams have on average (by the counts of the training rows), less
+``MARGIN`` and less ``SPREAD`` standard deviations of a mean of so many. A text
+without such words is not judged by it.
 """
 
 from __future__ import annotations
@@ -46,6 +48,7 @@ MARGIN, SPREAD = 2.0, 4.0
 #: A longer text is scored in segments; the segments' sums are added.
 SEGMENT_CHARS = 1_000_000
 _LETTER = regex.compile(r"\p{L}")
+_NO_WORDS = regex.compile(r"\S*\d\S*|[^\p{L}\p{M}]+")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
 
 
@@ -199,10 +202,11 @@ def _lettered(texts: list[str | None], model: Model) -> list[int]:
 
 
 def fits(texts: list[str | None], model: Model) -> np.ndarray:
-    """Whether each text is as probable as texts of its likeliest language are."""
-    own, out = _lettered(texts, model), np.zeros(len(texts), dtype=bool)
+    """Whether the words of each text are as probable as those of its likeliest language are."""
+    words = [None if x is None else _NO_WORDS.sub(" ", x) for x in texts]
+    own, out = _lettered(words, model), np.ones(len(texts), dtype=bool)
     if own:
-        sums, n = _sums([texts[i] for i in own], model)
+        sums, n = _sums([words[i] for i in own], model)
         top = (sums * UNIT + model.log_prior[:, None]).argmax(axis=0)
         mean = sums[top, np.arange(len(own))] * UNIT / np.maximum(n, 1)
         out[own] = mean >= model.typical[0, top] - MARGIN - SPREAD * model.typical[1, top] / np.sqrt(np.maximum(n, 1))
