@@ -36,9 +36,9 @@ from selfmend.llm.common import map_arrow, materialised, run_hashes, runs, text_
 CAPACITY = 2048
 END_ID = 0
 #: Places of the worker's memory of words (a power of two); a new word takes the place of an old one.
-PLACES = 1 << 21
+PLACES = 1 << 20
 #: Token ids held by that memory at most; beyond it the memory is emptied.
-HELD_IDS = 6_000_000
+HELD_IDS = 3_000_000
 #: Longer words are encoded anew each time.
 CACHED_LENGTH = 64
 #: New words encoded in one string.
