@@ -39,7 +39,6 @@ class ScoringSpec:
     handle_invalid: str = "error"     # unseen category: 'error' (reference) or 'keep'
     validate_training: bool = False   # the reference trained on unvalidated rows
     max_categories: int | None = None  # vocabulary bound per category and for the label; see ``vocabulary_bound``
-    row_key: tuple[str, ...] = ()     # columns that tell training rows apart (default: the rules' id)
     training_partitions: int | None = None    # default: by the number of rows; see ``partitions_for``
 
     @property
@@ -116,6 +115,7 @@ def persisted(df: DataFrame):
 #: Training rows of a partition, the least number of partitions, and copies of
 #: one row that are dealt together.
 ROWS_PER_PARTITION, LEAST_PARTITIONS, COPIES = 100_000, 8, 1024
+WEIGHT = "_weight"
 
 
 def partitions_for(n_rows: int) -> int:
@@ -124,6 +124,16 @@ def partitions_for(n_rows: int) -> int:
     return max(LEAST_PARTITIONS, math.ceil(n_rows / ROWS_PER_PARTITION))
 
 
+def _placed(df: DataFrame, columns: list[str], partitions: int) -> DataFrame:
+    return (df.withColumn("_order", F.xxhash64(*columns)).repartition(partitions, "_order")
+            .sortWithinPartitions("_order", *columns))
+
+
+def weighed(typed: DataFrame) -> DataFrame:
+    """Each distinct row once, with its number as ``_weight``."""
+    return typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+
+
 def dealt(typed: DataFrame, partitions: int) -> DataFrame:
     """The rows in ``partitions`` partitions and an order that depend on the
     rows alone, not on the input's files or the cluster's size.
@@ -134,9 +144,7 @@ def dealt(typed: DataFrame, partitions: int) -> DataFrame:
     columns = typed.columns
     lots = (typed.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
             .withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES)))))
-    order = F.xxhash64(*[F.col(c) for c in columns], F.col("_lot"))
-    placed = (lots.withColumn("_order", order).repartition(partitions, "_order")
-              .sortWithinPartitions("_order", *columns, "_lot"))
+    placed = _placed(lots, [*columns, "_lot"], partitions)
     copies = F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES), F.col("_n") - F.col("_lot") * COPIES))
     return placed.withColumn("_copy", F.explode(copies)).select(*columns)
 
@@ -167,18 +175,26 @@ def fit(train: DataFrame, spec: ScoringSpec) -> Fitted:
 
     The source is parsed once. The fill-value pass also counts each vocabulary
     -- one above ``spec.vocabulary_bound`` stops the fit -- and the rows, from
-    which ``partitions_for`` says over how many partitions they are ``dealt``;
-    the row key tells rows apart there.
+    which ``partitions_for`` says over how many partitions they are ``dealt``.
+    Only the columns that are learnt from are kept: rows alike in them are
+    interchangeable. Unbagged trees count rows and nothing else, so they learn
+    from the distinct rows, ``weighed``; bagging draws for each row.
     """
-    key = [c for c in (spec.row_key or ((spec.rules.id,) if spec.rules.id else ())) if c in train.columns]
-    with persisted(prepare_training(train, spec, key)) as typed:
+    with persisted(prepare_training(train, spec)) as typed:
         fill, filled, n_rows = _filled(typed, spec)
-        partitions = spec.training_partitions or partitions_for(n_rows)
-        stages = features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)
-        stages.append(model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed,
-                                   bootstrap=spec.bootstrap))
-        with persisted(dealt(filled, partitions).drop(*key)) as rows:
-            fitted = Pipeline(stages=stages).fit(rows)
+        encoders = Pipeline(stages=features.feature_stages(spec.numeric, spec.categorical, spec.label, spec.handle_invalid)).fit(filled)
+        learner = model.forest(spec.num_trees, spec.max_depth, spec.subset, spec.seed, bootstrap=spec.bootstrap)
+        if spec.bootstrap:
+            partitions = spec.training_partitions or partitions_for(n_rows)
+            rows = dealt(filled, partitions)
+        else:
+            learner.setWeightCol(WEIGHT)
+            groups = weighed(filled)
+            partitions = spec.training_partitions or partitions_for(groups.count())
+            rows = _placed(groups, filled.columns, partitions).drop("_order")
+        with persisted(rows):
+            forest = learner.fit(encoders.transform(rows))
+    fitted = PipelineModel(stages=[*encoders.stages, forest])
     decoder = model.label_decoder(features.label_labels(fitted))
     kept = [model.without_summary(s) for s in fitted.stages]
     return Fitted(PipelineModel(stages=[*kept, decoder]), fill, partitions)

@@ -64,15 +64,14 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 # lineitem as a labelled set: is the quantity big for its line status?
 # (class shares differ between the F and O groups, so a one-split tree is exact)
 LINEITEM_LABEL = "size_band"
-LINE_KEY = ("l_orderkey", "l_linenumber")
 LINEITEM_EXACT_SPEC = ScoringSpec(RuleSet((OneOf("l_linestatus", ("F", "O")),)),
-                                  LINEITEM_LABEL, row_key=LINE_KEY).exact(max_depth=2)
+                                  LINEITEM_LABEL).exact(max_depth=2)
 # A hundred equal trees: the forest's average is the one tree's share.
 LINEITEM_AVERAGE_SPEC = replace(LINEITEM_EXACT_SPEC, num_trees=100)
 LINEITEM_FOREST_SPEC = ScoringSpec(RuleSet((
     Range("l_discount", 0.0, 0.1), Range("l_tax", 0.0, 0.08),
     OneOf("l_returnflag", ("A", "N", "R")), OneOf("l_linestatus", ("F", "O")),
-)), LINEITEM_LABEL, row_key=LINE_KEY)
+)), LINEITEM_LABEL)
 
 
 def lineitem_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
