@@ -2,13 +2,13 @@
 
 A text is a sequence of tokens, its words lower-cased (A-Z) and one end. Each
 token becomes binary decisions: the path of a Huffman code over the endings
-(last two bytes) of the frequent tokens, the end and an escape. Which of the
-frequent tokens with that ending it is has a single predictor, their counts; an
+(last two bytes) of the frequent tokens, the end and an escape, and from an
+ending on the path of a code over the frequent tokens that have it; an
 escaped token is spelled, byte by byte, each byte a path of the code of the
 byte before. A decision has ``K`` predictors, the zeros and ones counted over
 all training texts in
 
-* the ending code: the decision alone (known from the tokens' counts); it after
+* the token code: the decision alone (known from the tokens' counts); it after
   the ending of the token before; it after the last of the ``LEADS`` most
   frequent tokens;
 * a spelling: the decision alone; it after that token and two bytes; it after
@@ -161,7 +161,7 @@ def huffman(counts: list[int], family: int) -> Code:
         nodes += [x for x, _ in reversed(path)]
         bits += [x for _, x in reversed(path)]
     nodes, size = np.array(nodes, np.int64), np.array(size, np.int64)
-    hashed = mix64(nodes.astype(np.uint64) * np.uint64(1024) + np.uint64(family + 2)) >> np.uint64(32)
+    hashed = mix64(nodes.astype(np.uint64) * np.uint64(1 << 20) + np.uint64(family + 2)) >> np.uint64(32)
     return Code((np.cumsum(size) - size).astype(np.int32), size.astype(np.int32), np.array(bits, np.float32),
                 hashed.astype(np.uint32), np.array(alone, np.float32)[nodes])
 
@@ -173,15 +173,28 @@ def joined(codes: list[Code]) -> Code:
                 *[np.concatenate([getattr(c, x) for c in codes]) for x in ("size", "bit", "node", "alone")])
 
 
+def chained(first: Code, then: Code, before: np.ndarray) -> Code:
+    """Of each symbol of ``then`` the path of ``before`` in ``first``, followed by its own."""
+    lead = first.size[before].astype(np.int64)
+    size = lead + then.size
+    at = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(size)), size)
+    inside = np.arange(len(owner)) - at[owner]
+    place = np.where(inside < lead[owner], first.at[before][owner] + inside,
+                     len(first.bit) + then.at[owner] + inside - lead[owner])
+    return Code(at.astype(np.int32), size.astype(np.int32),
+                *[np.concatenate([getattr(first, x), getattr(then, x)])[place] for x in ("bit", "node", "alone")])
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """What tasks share of the token counts."""
     hashes: np.ndarray      # of the frequent tokens, ascending
     counts: np.ndarray
     leading: np.ndarray     # which of them are the most frequent
-    symbol: np.ndarray      # their endings' symbols in the code
-    within: np.ndarray      # bits that tell them from others of their ending
-    code: Code              # of the endings, then the end, then the escape
+    symbol: np.ndarray      # their symbols in the code
+    within: np.ndarray      # bits of theirs that no decision carries: none
+    code: Code              # of the tokens, by their endings and each ending's tokens, then the end, then the escape
     spelling: Code          # of the bytes after each byte: symbol 256 * before + byte
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,11 +216,16 @@ def vocabulary(hashes: np.ndarray, counts: np.ndarray, total: int, pairs: np.nda
     leading[np.lexsort((hashes, -words))[:LEADS]] = True
     endings, own = np.unique(hashes[~is_end] & _ENDING, return_inverse=True)
     sums = np.bincount(own, words[~is_end], minlength=len(endings)).astype(np.int64)
-    symbol, within = np.full(len(hashes), len(endings)), np.zeros(len(hashes))
-    symbol[~is_end], within[~is_end] = own, np.log2(sums[own] / words[~is_end])
-    code = huffman([*sums.tolist(), ends + 1, rest + 1], 0)
+    n_words, n = len(own), len(endings)
+    by = np.argsort(own, kind="stable")                 # ending after ending
+    of_ending = np.split(words[~is_end][by], np.cumsum(np.bincount(own, minlength=n))[:-1])
+    choices = joined([*[huffman(x.tolist(), i + 257) for i, x in enumerate(of_ending) if len(x)], huffman([1], 0), huffman([1], 0)])
+    symbol, rank = np.full(len(hashes), n_words), np.empty(n_words, dtype=np.int64)
+    rank[by] = np.arange(n_words)
+    symbol[~is_end] = rank
+    code = chained(huffman([*sums.tolist(), ends + 1, rest + 1], 0), choices, np.append(own[by], [n, n + 1]))
     spelling = joined([huffman((x + 1).tolist(), i + 1) for i, x in enumerate(pairs.reshape(256, 256))])
-    return Vocabulary(hashes, counts, leading & ~is_end, symbol, within, code, spelling)
+    return Vocabulary(hashes, counts, leading & ~is_end, symbol, np.zeros(len(hashes)), code, spelling)
 
 
 # -------------------------------------------------------------------- decisions
@@ -251,19 +269,19 @@ def _slots(context: np.ndarray, owner: np.ndarray, node: np.ndarray, k: int) ->
 
 
 def decisions(t: Tokens, voc: Vocabulary, found: Found, which: np.ndarray) -> tuple[Decisions, Decisions]:
-    """The decisions of the tokens ``which`` in the ending code, and in spellings."""
+    """The decisions of the tokens ``which`` in the token code, and in spellings."""
     buf = t.buf if len(t.buf) else np.zeros(1, np.uint8)
-    n_endings = len(voc.code.size) - 2
+    n_frequent = len(voc.code.size) - 2
     is_end = t.start[which] == t.end[which]
     own = voc.symbol[found.at[which]] if len(voc.symbol) else found.at[which]
-    symbol = np.where(is_end, n_endings, np.where(found.there[which], own, n_endings + 1))
+    symbol = np.where(is_end, n_frequent, np.where(found.there[which], own, n_frequent + 1))
     before = np.where(which == t.edges[t.doc[which]], _START, t.hash[which - 1] & _ENDING)
     owner, path = _paths(voc.code, symbol)
     node = voc.code.node[path]
     coded = Decisions(owner, voc.code.bit[path], [_slots(x, owner, node, k) for k, x in ((1, before), (2, found.lead[which]))],
                       voc.code.alone[path])
 
-    spelt = np.flatnonzero(symbol == n_endings + 1)
+    spelt = np.flatnonzero(symbol == n_frequent + 1)
     length = t.end[which[spelt]] - t.start[which[spelt]] + 1
     word = np.repeat(np.arange(len(spelt)), length)
     inside = np.arange(len(word)) - np.repeat(np.cumsum(length) - length, length)
@@ -341,8 +359,6 @@ def bits_of(t: Tokens, voc: Vocabulary, table: np.ndarray, found: Found) -> np.n
     rank[np.argsort(-size, kind="stable")] = np.arange(n_docs)
     mixers = [Mixer(n_docs, x) for x in WEIGHTS]
     bits = np.zeros(n_docs)
-    if len(voc.within):
-        bits += np.bincount(rank[t.doc[found.there]], voc.within[found.at[found.there]], minlength=n_docs)
     text, place = rank[t.doc], np.arange(len(t.doc)) - t.edges[t.doc]
     for begin in range(0, int(size.max(initial=0)), SEGMENT):
         which = np.flatnonzero((place >= begin) & (place < begin + SEGMENT))

@@ -294,6 +294,19 @@ def test_codes_are_complete_and_probabilities_add_up():
     assert math.isclose(total + float(np.prod(np.where(d.bit > 0, p, 1 - p))), 1.0, rel_tol=1e-5)
 
 
+def test_the_choice_among_tokens_of_an_ending_is_mixed_from_contexts():
+    """``xaa`` and ``yaa`` share their ending and their frequency; which of them
+    follows is told by the token before, so it costs far less than a bit."""
+    texts = ["po xaa qu yaa"] * 200
+    voc, table = _model(texts, share=0.0)
+    t = M.tokens(pa.array(["po xaa qu yaa", "po yaa qu xaa"]))
+    right, wrong = M.bits_of(t, voc, table, M.find(t, voc))
+    assert wrong - right > 4
+    d, _ = M.decisions(t, voc, M.find(t, voc), np.array([1]))
+    assert len({(int(s), int(b)) for s, b in zip(d.slots[0], d.bit)}) == voc.code.size[voc.symbol[M.find(t, voc).at[1]]]
+    assert not voc.within.any()
+
+
 def test_byte_pairs_brute_force():
     for seed in range(60):
         rng = random.Random(seed)
