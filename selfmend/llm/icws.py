@@ -10,7 +10,8 @@ documents or more and ``MIN_SHARE`` of them; all others weigh as much as one
 that stands in a single document. The table that tasks share thus has at most
 ``1 / MIN_SHARE`` times the mean number of a text's shingles as entries,
 however large the corpus; where texts are so long that these are more than
-``MAX_SHARED``, the share is doubled until they are not. Each text gets ``BANDS * ROWS`` samples;
+``MAX_SHARED``, only the most frequent ones are shared, and the others' weights
+meet the texts by a join on the shingle. Each text gets ``BANDS * ROWS`` samples;
 two texts share one with a probability equal to their weighted Jaccard
 similarity, and become a candidate pair if all samples of a band agree.
 
@@ -56,7 +57,7 @@ BANDS, ROWS = 11, 4             # 1 - (1 - 0.8 ** 4) ** 11 = 0.997 of the pairs
 SAMPLES = BANDS * ROWS
 #: Shingles in fewer documents than this share weigh like those in one.
 MIN_SHARE = 0.0005
-#: At most so many shingles have a weight of their own (16 bytes each in the table that tasks share).
+#: At most so many shingles are in the table that tasks share (16 bytes each); the weights of others are joined to the texts.
 MAX_SHARED = 1 << 22
 #: Sums over hash buckets tell which shingles need no count.
 COUNT_BITS = 20
@@ -70,6 +71,8 @@ BLOCK = 256
 STRETCH = 1 << 17
 #: Shingles counted at a time, and counts handed on in a batch.
 HELD_SHINGLES, HELD_ROWS = 1 << 21, 1 << 16
+#: Column of the texts' weights that are not shared, where there are any.
+JOINED = "__weights"
 _MULTIPLIERS = mix64(np.arange(101, 101 + WORDS, dtype=np.uint64)) | np.uint64(1)
 _SEEDS = mix64(np.arange(501, 501 + SAMPLES + FINE, dtype=np.uint64)) | np.uint64(1)
 _WORD_BYTE = np.zeros(256, dtype=bool)
@@ -190,15 +193,33 @@ def _buckets(ids: np.ndarray, bits: int) -> np.ndarray:
     return (ids & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def weights(s: Shingles, idf: Idf | np.ndarray) -> np.ndarray:
-    """``tf * idf``; an array holds the idf by the shingle's last ``IDF_BITS`` bits."""
-    return s.count * (idf.of(s.ids) if isinstance(idf, Idf) else idf[_buckets(s.ids, IDF_BITS)])
+def weights(s: Shingles, idf: Idf | np.ndarray, joined: pa.ListArray | None = None) -> np.ndarray:
+    """``tf * idf``; an array holds the idf by the shingle's last ``IDF_BITS``
+    bits. ``joined`` lists for each text shingles of it and their idf, which go first."""
+    value = idf.of(s.ids) if isinstance(idf, Idf) else idf[_buckets(s.ids, IDF_BITS)]
+    if joined is not None:
+        def keys(ids, size):
+            return np.repeat(np.arange(len(size), dtype=np.uint64), size) << np.uint64(48) | ids
+
+        ids, own = (joined.flatten().field(x).to_numpy(zero_copy_only=False) for x in (0, 1))
+        value[np.searchsorted(keys(s.ids, np.diff(s.edges)), keys(ids.astype(np.uint64), pc.list_value_length(joined).to_numpy()))] = own
+    return s.count * value
+
+
+def _joined(part: pa.RecordBatch, name: str = JOINED) -> pa.ListArray | None:
+    return part.column(name) if name in part.schema.names else None
 
 
 def inverse_frequencies(docs: DataFrame) -> Idf:
+    """The idf of the shingles that tasks share."""
+    return _frequencies(docs)[0]
+
+
+def _frequencies(docs: DataFrame) -> tuple[Idf, DataFrame | None]:
     """The idf of shingles, from counts over all documents: first of hash
     buckets, then of each shingle of the buckets that reach the least count.
-    A bucket's sum is never below the frequency of a shingle in it."""
+    A bucket's sum is never below the frequency of a shingle in it. What the
+    shared table does not hold of them is a table ``id, idf``."""
     texts = docs.select("text").where("text IS NOT NULL")
     size = 1 << COUNT_BITS
 
@@ -247,9 +268,29 @@ def inverse_frequencies(docs: DataFrame) -> Idf:
         least *= 2
     found = counts.where(F.col("n") >= least).toPandas().sort_values("id")
     scale = max(math.log(n + 1), 1e-9)
+    rest = counts.where(F.col("n") < least).select("id", (1 + F.log((n + 1) / (F.col("n") + 1)) / scale).alias("idf"))
     return Idf(found["id"].to_numpy().astype(np.uint64),
                1.0 + np.log((n + 1) / (found["n"].to_numpy().astype(np.float64) + 1)) / scale,
-               1.0 + math.log((n + 1) / 2) / scale if n else 1.0)
+               1.0 + math.log((n + 1) / 2) / scale if n else 1.0), None if rest.isEmpty() else rest
+
+
+def _with_weights(keyed: DataFrame, idf, rest: DataFrame | None) -> DataFrame:
+    """``keyed`` with the idf of its texts' shingles that are in ``rest``."""
+    if rest is None:
+        return keyed
+
+    def unshared(batches):
+        for part in text_slices(batches):
+            s = shingles(part.column("text"))
+            own = ~np.isin(s.ids, idf.value.ids)
+            owner = np.repeat(np.arange(part.num_rows), np.diff(s.edges))[own]
+            yield pa.RecordBatch.from_arrays([part.column("__k").take(pa.array(owner)), pa.array(s.ids[own].astype(np.int64))],
+                                             names=["__k", "id"])
+
+    ids = map_arrow(keyed.select("__k", "text"), unshared, "__k binary, id long").distinct()
+    found = ids.join(rest.hint("merge"), "id").groupBy("__k").agg(F.collect_list(F.struct("id", "idf")).alias(JOINED))
+    out = keyed.join(materialised(found, "joined-weights").hint("merge"), "__k", "left")
+    return out.withColumn(JOINED, F.coalesce(JOINED, F.array().cast("array<struct<id:bigint,idf:double>>")))
 
 
 def samples(s: Shingles, weight: np.ndarray, which: range = range(SAMPLES)) -> np.ndarray:
@@ -315,19 +356,23 @@ def _lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * m, pa.int32()), pa.array(values.ravel()))
 
 
+def _extra(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == JOINED]
+
+
 def _signatures(rows: DataFrame, idf) -> DataFrame:
     """``__k, doc_id, bands`` of each row whose text has a word."""
     def sign(batches):
         for part in text_slices(batches):
             s = shingles(part.column("text"))
             full = np.diff(s.edges) > 0
-            bands = band_hashes(samples(s, weights(s, idf.value)))[full]
+            bands = band_hashes(samples(s, weights(s, idf.value, _joined(part))))[full]
             own = pa.array(full)
             yield pa.RecordBatch.from_arrays([part.column("__k").filter(own), part.column("doc_id").filter(own), _lists(bands)],
                                              names=["__k", "doc_id", "bands"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return map_arrow(rows.select("__k", "doc_id", "text"), sign, f"__k binary, doc_id {kind}, bands array<bigint>")
+    return map_arrow(rows.select("__k", "doc_id", "text", *_extra(rows)), sign, f"__k binary, doc_id {kind}, bands array<bigint>")
 
 
 def _fine_samples(texts: DataFrame, idf) -> DataFrame:
@@ -335,11 +380,11 @@ def _fine_samples(texts: DataFrame, idf) -> DataFrame:
     def sign(batches):
         for part in text_slices(batches):
             s = shingles(part.column("text"))
-            pick = samples(s, weights(s, idf.value), range(SAMPLES, SAMPLES + FINE))
+            pick = samples(s, weights(s, idf.value, _joined(part)), range(SAMPLES, SAMPLES + FINE))
             yield pa.RecordBatch.from_arrays([part.column("__k"), _lists((pick >> np.uint64(32)).astype(np.uint32).view(np.int32))],
                                              names=["__k", "sample"])
 
-    return map_arrow(texts.select("__k", "text"), sign, "__k binary, sample array<int>")
+    return map_arrow(texts.select("__k", "text", *_extra(texts)), sign, "__k binary, sample array<int>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
@@ -349,18 +394,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 sets = []
-                for name in ("text_a", "text_b"):
-                    column = part.column(name).dictionary_encode()      # a star's centre is read once
+                for x in ("a", "b"):
+                    column = part.column(f"text_{x}").dictionary_encode()       # a star's centre is read once
                     s = shingles(column.dictionary)
-                    w = weights(s, idf.value)
+                    joined = _joined(part, JOINED + x)
+                    first = pa.array(np.unique(column.indices.to_numpy(), return_index=True)[1])
+                    w = weights(s, idf.value, None if joined is None else joined.take(first))
                     own = [(s.ids[x:y], w[x:y]) for x, y in zip(s.edges[:-1], s.edges[1:])]
                     sets.append([own[j] for j in column.indices.to_pylist()])
                 alike = [weighted_jaccard(x, y) >= THRESHOLD - 1e-12 for x, y in zip(*sets)]
                 yield part.select(["a", "b"]).filter(pa.array(alike))
 
-    own = lambda x: texts.select(F.col("__k").alias(x), F.col("text").alias(f"text_{x}"))
+    own = lambda x: texts.select(F.col("__k").alias(x), F.col("text").alias(f"text_{x}"),
+                                 *[F.col(c).alias(c + x) for c in _extra(texts)])
     joined = pairs.hint("merge").join(own("b"), "b").hint("merge").join(own("a"), "a")
-    found = map_arrow(joined.select("a", "b", "text_a", "text_b"), compare, "a binary, b binary")
+    found = map_arrow(joined, compare, "a binary, b binary")
     return materialised(found, "links")
 
 
@@ -378,20 +426,22 @@ class Classes:
 def classes(docs: DataFrame) -> Classes:
     """The classes of near duplicates among the texts of ``docs``."""
     keyed = _keyed(docs.select("doc_id", "text"))
-    idf = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(docs))
+    shared, rest = _frequencies(docs)
+    idf = docs.sparkSession.sparkContext.broadcast(shared)
     rows = materialised(keyed.select("__k", "doc_id"), "rows")
     first = materialised(rows.groupBy("__k").agg(F.min("doc_id").alias("doc_id")), "nodes")
 
     # buckets with more than one text
-    signed = materialised(_signatures(keyed, idf), "signatures")
+    weighed = _with_weights(keyed, idf, rest)
+    signed = materialised(_signatures(weighed, idf), "signatures")
     member = signed.select("__k", F.explode("bands").alias("h"), F.xxhash64("__k").alias("o"))
     buckets = materialised(member.groupBy("h").agg(F.min("o").alias("least"), F.max("o").alias("most"))
                            .where("least != most"), "buckets")
     shared = materialised(member.join(buckets.select("h").hint("merge"), "h").select("h", "__k").distinct(), "shared")
     needed = materialised(shared.select("__k").distinct().join(first.hint("merge"), "__k"), "needed")
     own = (keyed["__k"] == needed["__k"]) & keyed["doc_id"].eqNullSafe(needed["doc_id"])
-    texts = materialised(keyed.join(needed.hint("merge"), own, "left_semi").select("__k", "text")
-                         .dropDuplicates(["__k"]), "texts")
+    texts = keyed.join(needed.hint("merge"), own, "left_semi").select("__k", "text").dropDuplicates(["__k"])
+    texts = materialised(_with_weights(texts, idf, rest), "texts")
 
     # 1: a star in every bucket
     sized = materialised(shared.groupBy("h").agg(F.count("*").alias("n")), "sizes")

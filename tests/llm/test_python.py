@@ -250,6 +250,24 @@ def test_near_duplicates_with_frequencies_of_their_own(spark):
     assert all(i is None for i in nulls)
 
 
+def test_weights_that_are_not_shared_are_joined(spark, monkeypatch):
+    """With room for a few shingles in the shared table, samples and
+    similarities still come from the exact weights of all."""
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(icws, "MIN_SHARE", 0.01)
+    whole = icws.inverse_frequencies(docs)
+    want = {r["doc_id"]: r["bands"] for r in icws._signatures(icws._keyed(docs), spark.sparkContext.broadcast(whole)).collect()}
+    expected = sorted([(r["doc_id"], r["class_id"]) for r in icws.near_duplicates(docs).collect()], key=repr)
+    monkeypatch.setattr(icws, "MAX_SHARED", 50)
+    shared, rest = icws._frequencies(docs)
+    assert len(shared.ids) <= 50 < len(whole.ids) and len(shared.ids) + rest.count() == len(whole.ids)
+    idf = spark.sparkContext.broadcast(shared)
+    got = {r["doc_id"]: r["bands"] for r in icws._signatures(icws._with_weights(icws._keyed(docs), idf, rest), idf).collect()}
+    assert got == want
+    assert sorted([(r["doc_id"], r["class_id"]) for r in icws.near_duplicates(docs).collect()], key=repr) == expected
+
+
 def test_one_of_each(spark):
     docs = X.frame(spark)
     out = icws.one_of_each(docs)
