@@ -217,6 +217,30 @@ def test_training_is_as_wide_as_its_data(spark):
     assert scoring.fit(train, spec).training_partitions == 8
 
 
+def test_unbagged_trees_learn_from_distinct_rows_bagged_ones_from_all(spark, monkeypatch):
+    """Rows are told apart by what is learnt from, not by their ids; the
+    leaves' shares are those of all rows; node ids are not kept per row."""
+    from pyspark.ml.classification import RandomForestClassifier
+    met, fit = [], RandomForestClassifier.fit
+
+    def fit_and_note(self, df, *a):
+        met.append((df.count(), self.getOrDefault("cacheNodeIds"), "id" in df.columns))
+        return fit(self, df, *a)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit_and_note)
+    train = spark.createDataFrame([(i, "a" if i % 3 else "b", "y" if i % 3 and i % 5 else "n") for i in range(3000)], "id long, c string, l string")
+    spec = scoring.ScoringSpec(RuleSet((OneOf("c", ("a", "b")),), id="id"), "l", num_trees=3, max_depth=2)
+    fitted = scoring.fit(train, spec.exact(2))
+    assert met.pop() == (3, False, False)                       # (a, y), (a, n), (b, n)
+    got = {r["c"]: r["probability"] for r in scoring.score(train, spec.exact(2), fitted).select("c", "probability").distinct().collect()}
+    first = fitted.labels[1] == "y"
+    want = {c: sum(l == "y" for k, l in rows if k == c) / sum(k == c for k, _ in rows)
+            for rows in [[(r["c"], r["l"]) for r in train.collect()]] for c in "ab"}
+    assert all(abs(got[c] - (want[c] if first else 1 - want[c])) < 1e-12 for c in "ab")
+    scoring.fit(train, spec)
+    assert met.pop() == (3000, False, False)
+
+
 def test_alike_training_rows_are_spread(spark):
     """Two thirds of the rows are one row: it is dealt in lots over all
     partitions, and the order does not depend on the input's."""
