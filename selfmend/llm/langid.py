@@ -57,7 +57,7 @@ class Model:
     languages: list[str]
     log_prior: np.ndarray      # float64, per language
     log_prob: np.ndarray       # int32 fixed point, languages x buckets
-    typical: np.ndarray        # per language: mean and standard deviation of an n-gram's log-probability
+    typical: np.ndarray | None = None  # per language: mean and standard deviation of an n-gram's log-probability; for ``fits`` only
 
 
 def held_out(doc_id: Column) -> Column:
