@@ -57,6 +57,8 @@ from selfmend.llm.common import map_arrow, materialised, mix64, run_hashes, runs
 SLICE = 800_000
 #: Tokens of a text that are worked on at a time, and after which weights move.
 SEGMENT, BLOCK = 1 << 15, 64
+#: Tokens whose decisions are looked up together, or a block of each text.
+TOGETHER = 1 << 13
 FREQUENT_SHARE = 2.0 ** -20
 K = 3
 #: The most frequent tokens, whose last one before a token is a context.
@@ -78,12 +80,12 @@ RATE = 0.02
 BUCKETS = 33
 MAP_RATE = 0.02
 FLOOR = 1.0 / 65536
+_MOST, _TWO = np.array([-16, 16], np.float32), np.float32(2)
+_BUCKET, _SURE = np.array([-(BUCKETS // 2), BUCKETS // 2], np.float32), np.array([FLOOR, 1 - FLOOR], np.float32)
 END = np.uint64(0)
 _START = np.uint64(1)
 _ENDING = np.uint64(0xFFFF)
 _WORD_END = 0x20
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[0x41:0x5B] += 0x20
 _WORD = np.ones(256, dtype=bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 _ODD = mix64(np.arange(9001, 9001 + 4 * K, dtype=np.uint64)) | np.uint64(1)
@@ -109,20 +111,19 @@ class Tokens:
 
 def tokens(column: pa.Array) -> Tokens:
     raw, edges = utf8(column)
-    buf = _LOWER[raw]
-    starts, ends = runs(_WORD[buf], edges)
+    buf = raw + (raw - np.uint8(0x41) < np.uint8(26)) * np.uint8(0x20)
+    starts, ends = runs((buf != np.uint8(0x20)) & (buf - np.uint8(0x09) > np.uint8(4)), edges)
     bounds = np.searchsorted(starts, edges)
     n_docs = len(edges) - 1
     n_words = np.diff(bounds)
     doc = np.repeat(np.arange(n_docs), n_words + 1)
     out_edges = np.concatenate([[0], np.cumsum(n_words + 1)])
-    is_end = np.zeros(len(doc), dtype=bool)
-    is_end[out_edges[1:] - 1] = True
+    word = np.arange(len(starts)) + np.repeat(np.arange(n_docs), n_words)       # an end after each text before
     hashes = np.zeros(len(doc), dtype=np.uint64)
     start, end = np.zeros(len(doc), dtype=np.int64), np.zeros(len(doc), dtype=np.int64)
     ending = buf[ends - 1].astype(np.uint64) | np.where(ends - starts > 1, buf[ends - 2], 0).astype(np.uint64) << np.uint64(8)
-    hashes[~is_end] = run_hashes(buf, starts, ends) & ~_ENDING | ending
-    start[~is_end], end[~is_end] = starts, ends
+    hashes[word] = run_hashes(buf, starts, ends) & ~_ENDING | ending
+    start[word], end[word] = starts, ends
     return Tokens(buf, start, end, hashes, doc, out_edges)
 
 
@@ -190,8 +191,10 @@ def chained(first: Code, then: Code, before: np.ndarray) -> Code:
 class Vocabulary:
     """What tasks share of the token counts."""
     hashes: np.ndarray      # of the frequent tokens, ascending
+    first: np.ndarray       # the position of the first one with each beginning
     counts: np.ndarray
     leading: np.ndarray     # which of them are the most frequent
+    leads: np.ndarray       # their hashes, behind that of no token
     symbol: np.ndarray      # their symbols in the code
     within: np.ndarray      # bits of theirs that no decision carries: none
     code: Code              # of the tokens, by their endings and each ending's tokens, then the end, then the escape
@@ -201,8 +204,11 @@ class Vocabulary:
         """The position of each hash, and whether it is there."""
         if not len(self.hashes):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return at, self.hashes[at] == hashes
+        last = len(self.hashes) - 1
+        at = self.first.take((hashes >> np.uint64(65 - len(self.first).bit_length())).astype(np.int64)).astype(np.int64)
+        late = np.flatnonzero(self.hashes.take(at) < hashes)
+        at[late] = np.minimum(np.searchsorted(self.hashes, hashes[late]), last)
+        return at, self.hashes.take(at) == hashes
 
 
 def vocabulary(hashes: np.ndarray, counts: np.ndarray, total: int, pairs: np.ndarray) -> Vocabulary:
@@ -225,14 +231,18 @@ def vocabulary(hashes: np.ndarray, counts: np.ndarray, total: int, pairs: np.nda
     symbol[~is_end] = rank
     code = chained(huffman([*sums.tolist(), ends + 1, rest + 1], 0), choices, np.append(own[by], [n, n + 1]))
     spelling = joined([huffman((x + 1).tolist(), i + 1) for i, x in enumerate(pairs.reshape(256, 256))])
-    return Vocabulary(hashes, counts, leading & ~is_end, symbol, np.zeros(len(hashes)), code, spelling)
+    leading &= ~is_end
+    bits = len(hashes).bit_length() + 1
+    first = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    first = np.minimum(first, max(len(hashes) - 1, 0)).astype(np.int32)
+    return Vocabulary(hashes, first, counts, leading, np.append(_START, hashes[leading]), symbol, np.zeros(len(hashes)), code, spelling)
 
 
 # -------------------------------------------------------------------- decisions
 @dataclass(frozen=True)
 class Found:
-    """The tokens' places in the vocabulary, and for each token the hash of the
-    last leading one before it in its text."""
+    """The tokens' places in the vocabulary, and for each token the last
+    leading one before it in its text, as its place in ``leads``."""
     at: np.ndarray
     there: np.ndarray
     lead: np.ndarray
@@ -240,46 +250,31 @@ class Found:
 
 def find(t: Tokens, voc: Vocabulary) -> Found:
     at, there = voc.find(t.hash)
-    here = np.where(there & voc.leading[at] if len(voc.hashes) else there, np.arange(len(t.hash)), -1)
+    if not len(voc.hashes):
+        return Found(at, there, np.zeros(len(at), np.int64))
+    here = np.where(there & voc.leading[at], np.arange(len(t.hash)), -1)
     last = np.concatenate([[-1], np.maximum.accumulate(here)[:-1]])
-    return Found(at, there, np.where(last >= t.edges[t.doc], t.hash[last], _START))
+    return Found(at, there, np.where(last >= t.edges[t.doc], np.cumsum(voc.leading)[at[last]], 0))
 
 
 @dataclass(frozen=True)
-class Decisions:
-    """Of one kind, in the order of their tokens."""
-    owner: np.ndarray       # the position of the token in those asked for
-    bit: np.ndarray
-    slots: list[np.ndarray]
-    alone: np.ndarray
-
-
-def _paths(code: Code, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each decision of the symbols' paths: whose it is, and its place in the code."""
-    size = code.size[symbols]
-    owner = np.repeat(np.arange(len(symbols), dtype=np.int32), size)
-    path = np.arange(len(owner), dtype=np.int32)
-    path += np.repeat(code.at[symbols] - (np.cumsum(size, dtype=np.int32) - size), size)
-    return owner, path
-
-
-def _slots(context: np.ndarray, owner: np.ndarray, node: np.ndarray, k: int) -> np.ndarray:
-    mixed = (mix64(context * _ODD[k] + _ODD[k + K]) >> np.uint64(32)).astype(np.uint32)
-    return (mixed[owner] + node) * _ODD32[k] >> np.uint32(32 - SLOT_BITS)
+class Steps:
+    """Symbols of one code in the order of their tokens, and the contexts they
+    are told from, as numbers below ``2 ** 32``."""
+    owner: np.ndarray | None        # the position of the token in those asked for; None: each has one symbol
+    symbol: np.ndarray
+    contexts: list[np.ndarray]
 
 
-def decisions(t: Tokens, voc: Vocabulary, found: Found, which: np.ndarray) -> tuple[Decisions, Decisions]:
-    """The decisions of the tokens ``which`` in the token code, and in spellings."""
+def steps(t: Tokens, voc: Vocabulary, found: Found, which: np.ndarray) -> tuple[Steps, Steps]:
+    """Of the tokens ``which``: each one's symbol, and the bytes of the spelled ones."""
     buf = t.buf if len(t.buf) else np.zeros(1, np.uint8)
     n_frequent = len(voc.code.size) - 2
     is_end = t.start[which] == t.end[which]
     own = voc.symbol[found.at[which]] if len(voc.symbol) else found.at[which]
     symbol = np.where(is_end, n_frequent, np.where(found.there[which], own, n_frequent + 1))
-    before = np.where(which == t.edges[t.doc[which]], _START, t.hash[which - 1] & _ENDING)
-    owner, path = _paths(voc.code, symbol)
-    node = voc.code.node[path]
-    coded = Decisions(owner, voc.code.bit[path], [_slots(x, owner, node, k) for k, x in ((1, before), (2, found.lead[which]))],
-                      voc.code.alone[path])
+    before = np.where(which == t.edges[t.doc[which]], _START, t.hash[which - 1] & _ENDING).astype(np.int64)
+    lead = found.lead[which]
 
     spelt = np.flatnonzero(symbol == n_frequent + 1)
     length = t.end[which[spelt]] - t.start[which[spelt]] + 1
@@ -287,18 +282,101 @@ def decisions(t: Tokens, voc: Vocabulary, found: Found, which: np.ndarray) -> tu
     inside = np.arange(len(word)) - np.repeat(np.cumsum(length) - length, length)
     place = t.start[which[spelt]][word] + inside
     value = np.where(inside < length[word] - 1, buf[np.minimum(place, len(buf) - 1)], _WORD_END)
+
     def back(j):
-        return np.where(inside >= j, buf[place - j], _WORD_END).astype(np.uint64)
+        return np.where(inside >= j, buf[place - j], _WORD_END).astype(np.int64)
 
     one = back(1)
-    two = one + np.uint64(256) * back(2)
-    four = two + np.uint64(65536) * (back(3) + np.uint64(256) * back(4))
-    owner, path = _paths(voc.spelling, one.astype(np.int64) * 256 + value)
-    node = voc.spelling.node[path]
-    spelling = Decisions(spelt[word].astype(np.int32)[owner], voc.spelling.bit[path],
-                         [_slots(x, owner, node, k) for k, x in ((1, two * _ODD[0] + found.lead[which[spelt]][word]), (2, four))],
-                         voc.spelling.alone[path])
-    return coded, spelling
+    two = one + 256 * back(2)
+    four = two + 65536 * (back(3) + 256 * back(4))
+    return (Steps(None, symbol, [before, lead]),
+            Steps(spelt[word], one * 256 + value, [two + 65536 * lead[spelt][word], four]))
+
+
+def _mixed(voc: Vocabulary, kind: int, k: int, context: np.ndarray) -> np.ndarray:
+    """The hashes of ``contexts[k]`` in the token code (kind 0) or in spellings."""
+    if kind == 0:
+        hashed = voc.leads[context] if k else context.astype(np.uint64)
+    else:
+        hashed = context.astype(np.uint64) if k else (context & 0xFFFF).astype(np.uint64) * _ODD[0] + voc.leads[context >> 16]
+    return (mix64(hashed * _ODD[k + 1] + _ODD[k + 1 + K]) >> np.uint64(32)).astype(np.uint32)
+
+
+def _paths(code: Code, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each decision of the symbols' paths: whose it is, and its place in the code."""
+    size = code.size[symbols].astype(np.int64)
+    owner = np.repeat(np.arange(len(symbols)), size)
+    path = np.repeat(code.at[symbols] - (np.cumsum(size) - size), size)
+    path += np.arange(len(owner))
+    return owner, path
+
+
+def _slots(mixed: np.ndarray, node: np.ndarray, k: int) -> np.ndarray:
+    """From the hashes of their contexts and their own."""
+    mixed += node
+    mixed *= _ODD32[k + 1]
+    mixed >>= np.uint32(32 - SLOT_BITS)
+    return mixed.astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Decisions:
+    """Of one kind, in the order of their tokens."""
+    owner: np.ndarray       # the position of the token in those asked for
+    bit: np.ndarray
+    slots: list[np.ndarray]
+    alone: np.ndarray
+
+
+def decisions(t: Tokens, voc: Vocabulary, found: Found, which: np.ndarray) -> tuple[Decisions, Decisions]:
+    """The decisions of the tokens ``which`` in the token code, and in spellings."""
+    out = []
+    for kind, (code, own) in enumerate(zip((voc.code, voc.spelling), steps(t, voc, found, which))):
+        owner, path = _paths(code, own.symbol)
+        node = code.node.take(path)
+        slots = [_slots(_mixed(voc, kind, k, x).take(owner), node, k) for k, x in enumerate(own.contexts)]
+        out.append(Decisions(owner if own.owner is None else own.owner.take(owner), code.bit.take(path), slots, code.alone.take(path)))
+    return out[0], out[1]
+
+
+class SlotCounts:
+    """The zeros and ones of each slot. A symbol that follows the same context
+    again takes the same decisions in the same slots: such pairs are counted
+    first, ``HELD`` symbols at a time, and the decisions of the different ones
+    are added as often as they occurred."""
+
+    def __init__(self, voc: Vocabulary) -> None:
+        self.voc, self.counts = voc, np.zeros(2 << SLOT_BITS, dtype=np.int32)
+        self.held: list[list[list[np.ndarray]]] = [[[] for _ in range(1, K)] for _ in range(2)]
+        self.n_held = 0
+
+    def add(self, t: Tokens) -> None:
+        found = find(t, self.voc)
+        for begin in range(0, len(t.doc), SEGMENT):
+            which = np.arange(begin, min(begin + SEGMENT, len(t.doc)))
+            for held, own in zip(self.held, steps(t, self.voc, found, which)):
+                for keys, context in zip(held, own.contexts):
+                    keys.append(own.symbol << 32 | context)
+                self.n_held += len(own.symbol)
+            if self.n_held >= HELD:
+                self.settle()
+
+    def settle(self) -> np.ndarray:
+        """The counts so far, zeros and ones by turns."""
+        self.n_held = 0
+        for kind, (code, held) in enumerate(zip((self.voc.code, self.voc.spelling), self.held)):
+            for k, keys in enumerate(held):
+                if not keys:
+                    continue
+                own, n = np.unique(np.concatenate(keys), return_counts=True)
+                keys.clear()
+                for i in range(0, len(own), SEGMENT):
+                    part = own[i:i + SEGMENT]
+                    owner, path = _paths(code, part >> 32)
+                    at = _slots(_mixed(self.voc, kind, k, part & 0xFFFFFFFF).take(owner), code.node.take(path), k) * 2
+                    at += code.bit.take(path) > 0
+                    np.add.at(self.counts, at, n[i:i + SEGMENT].astype(np.int32).take(owner))
+        return self.counts
 
 
 # ----------------------------------------------------------------------- mixing
@@ -317,35 +395,54 @@ class Mixer:
         centre = (np.arange(BUCKETS, dtype=np.float32) - BUCKETS // 2) / 2
         self.map = np.tile(1 / (1 + np.exp(-centre)), texts * GATES).astype(np.float32)
 
-    def bits(self, x: list[np.ndarray], seen: np.ndarray, text: np.ndarray, bit: np.ndarray, n: int) -> np.ndarray:
-        """The bits of a block of decisions by text (``n`` of them); then a step."""
-        cell = text * GATES + seen
+    def bits(self, x: list[np.ndarray], cell: np.ndarray, bit: np.ndarray, new: np.ndarray, texts: np.ndarray,
+             first: np.ndarray) -> np.ndarray:
+        """The bits of a block of decisions by text, those of ``texts`` (ascending)
+        beginning at ``first``; then a step. ``cell`` is a decision's gate,
+        ``GATES`` to a text; ``new`` are the decisions not of a text's last gate."""
+        n = int(texts[-1] + 1) * GATES
         dot = x[0] * self.weights[0].take(cell)
         for k in range(1, K):
             dot += x[k] * self.weights[k].take(cell)
-        np.clip(dot, -16, 16, out=dot)
+        np.minimum(np.maximum(dot, _MOST[0], out=dot), _MOST[1], out=dot)
+        bucket = dot * _TWO
+        np.minimum(np.maximum(np.rint(bucket, out=bucket), _BUCKET[0], out=bucket), _BUCKET[1], out=bucket)
+        bucket += _BUCKET[1]
         place = cell * BUCKETS
-        place += np.rint(dot * 2).clip(-(BUCKETS // 2), BUCKETS // 2).astype(np.int64)
-        place += BUCKETS // 2
+        place += bucket.astype(np.int64)
         np.negative(dot, out=dot)
-        p = 1 / (1 + np.exp(dot, out=dot))
-        refined = self.map.take(place)
-        final = np.clip((p + refined) * np.float32(0.5), FLOOR, 1 - FLOOR)
-        out = np.bincount(text, -np.log2(1 - np.abs(bit - final)), minlength=n)
-        error = bit - p
-        times = np.bincount(place, minlength=n * GATES * BUCKETS)
-        off = np.bincount(place, bit - refined, minlength=len(times))
-        self.map[:len(times)] += MAP_RATE * off / (1 + MAP_RATE * times)
+        p = np.exp(dot, out=dot)
+        p += 1
+        np.reciprocal(p, out=p)
+        final = self.map.take(place)
+        final += p
+        final *= np.float32(0.5)
+        np.minimum(np.maximum(final, _SURE[0], out=final), _SURE[1], out=final)
+        final -= bit
+        np.abs(final, out=final)
+        np.log2(np.subtract(1, final, out=final), out=final)
+        out = np.add.reduceat(final, first, dtype=np.float64)
+        # the map: ones and zeros of each of its places
+        place *= 2
+        place += bit.astype(np.int64)
+        zeros, ones = np.bincount(place, minlength=n * BUCKETS * 2).reshape(-1, 2).T
+        times, own = zeros + ones, self.map[:n * BUCKETS]
+        own += MAP_RATE * (ones - times * own) / (1 + MAP_RATE * times)
         rate = RATE / np.sqrt(np.maximum(times.reshape(-1, BUCKETS).sum(axis=1), 1))
+        error = np.subtract(bit, p, out=p)
+        rest = cell.take(new)
         for k in range(K):
-            self.weights[k, :n * GATES] += rate * np.bincount(cell, error * x[k], minlength=n * GATES)
-        return out
+            moves = error * x[k]
+            off = np.bincount(rest, moves.take(new), minlength=n).astype(np.float64).reshape(-1, GATES)      # whole numbers if empty
+            off[texts, -1] = np.add.reduceat(moves, first, dtype=np.float64) - off[texts, :-1].sum(axis=1)
+            self.weights[k, :n] += rate * off.ravel()
+        return -out
 
 
 def _inputs(d: Decisions, table: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """The decisions' stretched predictions, and how many hashed contexts were seen."""
     found = [table.take(slots) for slots in d.slots]
-    seen = np.zeros(len(d.owner), dtype=np.int64)
+    seen = np.zeros(len(d.owner), dtype=np.int8)
     for value in found:
         seen += value != 0
     return [d.alone, *[value * np.float32(UNIT) for value in found]], seen
@@ -353,25 +450,42 @@ def _inputs(d: Decisions, table: np.ndarray) -> tuple[list[np.ndarray], np.ndarr
 
 def bits_of(t: Tokens, voc: Vocabulary, table: np.ndarray, found: Found) -> np.ndarray:
     """The bits of each text of ``t`` under the model."""
-    n_docs = len(t.edges) - 1
     size = np.diff(t.edges)
-    rank = np.empty(n_docs, dtype=np.int64)         # longest first: the texts still at work are the first ones
-    rank[np.argsort(-size, kind="stable")] = np.arange(n_docs)
-    mixers = [Mixer(n_docs, x) for x in WEIGHTS]
-    bits = np.zeros(n_docs)
-    text, place = rank[t.doc], np.arange(len(t.doc)) - t.edges[t.doc]
+    texts = np.argsort(-size, kind="stable")            # longest first: the texts still at work are the first ones
+    size = size[texts]
+    mixers = [Mixer(len(texts), x) for x in WEIGHTS]
+    bits = np.zeros(len(texts))
     for begin in range(0, int(size.max(initial=0)), SEGMENT):
-        which = np.flatnonzero((place >= begin) & (place < begin + SEGMENT))
-        which = which[np.lexsort((text[which], place[which] // BLOCK))]
-        block = (place[which] - begin) // BLOCK
-        first = np.searchsorted(block, np.arange(int(block[-1]) + 2))
-        for mixer, d in zip(mixers, decisions(t, voc, found, which)):
-            (x, seen), own, edges = _inputs(d, table), text[which][d.owner], np.searchsorted(d.owner, first)
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if b > a:
-                    n = int(own[b - 1]) + 1
-                    bits[:n] += mixer.bits([v[a:b] for v in x], seen[a:b], own[a:b], d.bit[a:b], n)
-    return bits[rank]
+        here = np.clip(size - begin, 0, SEGMENT)
+        text = np.repeat(np.arange(len(texts)), here)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(here) - here, here)
+        order = np.argsort(place // BLOCK, kind="stable")
+        text, place = text[order], place[order]
+        which = t.edges[texts][text] + begin + place
+        block = place // BLOCK
+        ends = np.searchsorted(block, np.arange(int(block[-1]) + 2))
+        heads = np.flatnonzero(place % BLOCK == 0)      # the first token of each text's share of a block
+        for part in np.split(np.arange(len(ends) - 1), np.flatnonzero(np.diff(ends[:-1] // TOGETHER)) + 1):
+            a, b = ends[part[0]], ends[part[-1] + 1]
+            own_heads = heads[np.searchsorted(heads, a):np.searchsorted(heads, b)]
+            for mixer, d in zip(mixers, decisions(t, voc, found, which[a:b])):
+                x, seen = _inputs(d, table)
+                new = np.flatnonzero(seen != GATES - 1)
+                cell = (text[a:b] * GATES).take(d.owner)
+                cell += seen
+                first = np.searchsorted(d.owner, own_heads - a)     # and its first decision, where it has one
+                some = np.diff(first, append=len(d.owner)) > 0
+                first, own, of = first[some], text[own_heads[some]], block[own_heads[some]]
+                edges = np.searchsorted(of, np.append(part, part[-1] + 1))
+                cuts = np.append(first, len(d.owner))[edges]
+                news = np.searchsorted(new, cuts).tolist()
+                for i, (p, q, u, v) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), cuts[:-1].tolist(), cuts[1:].tolist())):
+                    if q > p:
+                        bits[own[p:q]] += mixer.bits([z[u:v] for z in x], cell[u:v], d.bit[u:v], new[news[i]:news[i + 1]] - u,
+                                                     own[p:q], first[p:q] - u)
+    out = np.zeros(len(texts))
+    out[texts] = bits
+    return out
 
 
 # ------------------------------------------------------------------------ Spark
@@ -437,16 +551,10 @@ def _token_counts(texts: DataFrame) -> DataFrame:
 def _slot_counts(texts: DataFrame, vocabulary) -> DataFrame:
     """``part, at, zeros, ones``: per task and part of the slots, what occurred."""
     def count(batches):
-        voc, counts = vocabulary.value, np.zeros(2 << SLOT_BITS, dtype=np.int32)
+        slots = SlotCounts(vocabulary.value)
         for part in text_slices(batches, limit=SLICE):
-            t = tokens(part.column("text"))
-            found = find(t, voc)
-            for begin in range(0, len(t.doc), SEGMENT):
-                for d in decisions(t, voc, found, np.arange(begin, min(begin + SEGMENT, len(t.doc)))):
-                    bit = d.bit.astype(np.uint32)
-                    for slots in d.slots:
-                        np.add.at(counts, slots * np.uint32(2) + bit, np.int32(1))
-        counts = counts.reshape(-1, 2)
+            slots.add(tokens(part.column("text")))
+        counts = slots.settle().reshape(-1, 2)
         for i in range(0, len(counts), 1 << PART_BITS):
             own = counts[i:i + (1 << PART_BITS)]
             at = np.flatnonzero(own.any(axis=1))

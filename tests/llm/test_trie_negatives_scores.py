@@ -307,6 +307,49 @@ def test_the_choice_among_tokens_of_an_ending_is_mixed_from_contexts():
     assert not voc.within.any()
 
 
+def test_slots_are_counted_once_per_different_pair(monkeypatch):
+    """Each symbol's decisions in a context are looked up once however often
+    the two occur, and counted as often."""
+    texts = ["po xaa qu yaa unknown", "po yaa qu xaa other", None, "PO xaa"] * 50
+    t = M.tokens(pa.array(texts, pa.string()))
+    voc, _ = _model(texts, share=0.1)
+    want = np.zeros((1 << M.SLOT_BITS, 2), dtype=np.int64)
+    for d in M.decisions(t, voc, M.find(t, voc), np.arange(len(t.doc))):
+        for s in d.slots:
+            np.add.at(want, (s.astype(np.int64), d.bit.astype(np.int64)), 1)
+    looked, slots = [], M._slots
+    monkeypatch.setattr(M, "_slots", lambda mixed, node, k: looked.append(len(node)) or slots(mixed, node, k))
+    for held in (M.HELD, 100):                                   # in one go, and in many
+        monkeypatch.setattr(M, "HELD", held)
+        monkeypatch.setattr(M, "SEGMENT", min(M.SEGMENT, held))
+        looked.clear()
+        counted = M.SlotCounts(voc)
+        counted.add(t)
+        assert (counted.settle().reshape(-1, 2) == want).all() and (counted.settle().reshape(-1, 2) == want).all()
+        if held > 100:
+            assert 0 < sum(looked) < want.sum() / 10
+
+
+def test_bits_where_every_context_was_seen():
+    """No decision is left to the other gates, in a short text and a long one."""
+    texts = ["po xaa qu yaa qu qu", "po xaa qu", "po xaa po qu yaa qu po"] * 20
+    voc, table = _model(texts, share=0.0)
+    table = np.where(table == 0, 50, table)
+    t = M.tokens(pa.array(["po xaa qu yaa qu " * 300, "po xaa qu"], pa.string()))
+    assert np.allclose(M.bits_of(t, voc, table, M.find(t, voc)), _slow_bits(t, voc, table), rtol=1e-5)
+
+
+def test_frequent_tokens_are_found_by_their_beginnings():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 700):
+        all_ = np.unique(np.concatenate([rng.integers(0, 1 << 64, 2 * n, dtype=np.uint64),
+                                         np.array([0, 1, (1 << 64) - 1], np.uint64), rng.integers(0, 99, n, dtype=np.uint64)]))
+        own = all_[np.sort(rng.permutation(len(all_))[:n])]
+        voc = M.vocabulary(own, np.full(len(own), 2), 3 * n, np.zeros(1 << 16, np.int64))
+        at, there = voc.find(all_)
+        assert (there == np.isin(all_, own)).all() and (not n or (own[at[there]] == all_[there]).all())
+
+
 def test_byte_pairs_brute_force():
     for seed in range(60):
         rng = random.Random(seed)
