@@ -27,8 +27,9 @@ Corpus work, all of it over all training texts:
 1. counts of tokens and bytes: partial sums per task, added up by key. At most
    ``1 / FREQUENT_SHARE`` tokens reach ``FREQUENT_SHARE`` of the tokens; only
    they (and the code) are collected and shared with tasks;
-2. counts per slot: each task adds up its slots and hands on those that
-   occurred; they are added up slot block by slot block. The table that tasks
+2. counts per slot: each task counts equal pairs of context and symbol, ``HELD``
+   symbols at a time, adds up the slots of the different ones and hands on those
+   that occurred; they are added up slot block by slot block. The table that tasks
    share has ``2 ** SLOT_BITS`` predictions of 2 bytes, whatever the corpus;
 3. one scan scores the texts. Exact counts of the other tokens, which grow
    with the corpus, meet the texts by a join on the token.
@@ -66,7 +67,7 @@ LEADS = 64
 SLOT_BITS = 22
 #: Slots whose counts travel together.
 PART_BITS = 14
-#: Tokens counted at a time.
+#: Tokens, or symbols, counted at a time.
 HELD = 1 << 21
 #: Added to the counts of zeros and ones.
 PRIOR = 0.4
@@ -427,7 +428,7 @@ class Mixer:
         place += bit.astype(np.int64)
         zeros, ones = np.bincount(place, minlength=n * BUCKETS * 2).reshape(-1, 2).T
         times, own = zeros + ones, self.map[:n * BUCKETS]
-        own += MAP_RATE * (ones - times * own) / (1 + MAP_RATE * times)
+        own += MAP_RATE * (ones * (1 - own) - zeros * own) / (1 + MAP_RATE * times)
         rate = RATE / np.sqrt(np.maximum(times.reshape(-1, BUCKETS).sum(axis=1), 1))
         error = np.subtract(bit, p, out=p)
         rest = cell.take(new)
