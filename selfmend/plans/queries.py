@@ -417,6 +417,13 @@ def _fitted(spark, sf, name, spec, train_fn) -> scoring.Fitted:
     return _FITS[key]
 
 
+def _fitted_seeds(spark, sf, name, spec, train_fn, seeds) -> list[scoring.Fitted]:
+    keys = [(f"{name}-{seed}", sf, spark.sparkContext.applicationId) for seed in seeds]
+    if not all(key in _FITS for key in keys):
+        _FITS.update(zip(keys, scoring.fit_seeds(train_fn(spark, sf), spec, seeds)))
+    return [_FITS[key] for key in keys]
+
+
 def _lineitem_exact(spark, sf):
     return _fitted(spark, sf, "lineitem-exact", S.LINEITEM_EXACT_SPEC, S.lineitem_labelled)
 
@@ -450,10 +457,9 @@ def ml_forest_configs(spark, sf):
     row. What bagging does not change: the settings, the feature and class
     counts, and that every row's prediction is the class its trees favour."""
     li = S.lineitem_labelled(spark, sf)
-    out = None
-    for seed in (10, 20):
+    out, seeds = None, (10, 20)
+    for seed, fitted in zip(seeds, _fitted_seeds(spark, sf, "lineitem-forest", S.LINEITEM_FOREST_SPEC, S.lineitem_labelled, seeds)):
         spec = replace(S.LINEITEM_FOREST_SPEC, seed=seed)
-        fitted = _fitted(spark, sf, f"lineitem-forest-{seed}", spec, S.lineitem_labelled)
         forest = next(m for m in fitted.model.stages if hasattr(m, "trees"))
         scored = scoring.score(li, spec, fitted)
         favoured = F.when(F.col("probability") > 0.5, 1.0).when(F.col("probability") < 0.5, 0.0).otherwise(F.col("prediction"))

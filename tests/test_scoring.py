@@ -241,6 +241,99 @@ def test_unbagged_trees_learn_from_distinct_rows_bagged_ones_from_all(spark, mon
     assert met.pop() == (3000, False, False)
 
 
+def _many_rows(spark, n=20_000):
+    """Two numerics (one of few values, one of many, and a heavy one), a category, a label that hangs on all."""
+    draw = [F.pmod(F.xxhash64(F.col("id"), F.lit(k)), F.lit(1000)) / 1000 for k in range(4)]
+    x = F.when(F.col("id") % 4 == 0, F.lit(3.0)).otherwise(draw[0] * draw[0] * 50)
+    c = F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (draw[1] * 3 + 1).cast("int"))
+    df = spark.range(0, n, 1, 4).select(F.floor(draw[2] * 7).cast("double").alias("few"), x.alias("many"), c.alias("c"), draw[3].alias("u"))
+    p = F.lit(0.15) + 0.1 * (F.col("few") / 7) + F.when(F.col("many") > 5, 0.3).otherwise(0.0) + F.when(F.col("c") == "b", 0.3).otherwise(0.0)
+    return df.withColumn("lab", F.when(F.col("u") < p, "y").otherwise("n")).drop("u")
+
+
+MANY_SPEC = scoring.ScoringSpec(RuleSet((Range("few", 0, 10), Range("many", 0, 100), OneOf("c", ("a", "b", "c")))), "lab", num_trees=20, max_depth=5)
+
+
+def test_many_rows_are_bagged_by_points(spark, monkeypatch, tmp_dir):
+    """Beyond ``BY_ROW`` rows no tree meets every row, every row is drawn
+    nevertheless, and the forest is one as MLlib grows by row."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from selfmend.operators import points
+    rows = _many_rows(spark).localCheckpoint()
+    by_row = scoring.fit(rows, MANY_SPEC)
+    met, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, *a: met.append(df.count()) or fit(self, df, *a))
+    monkeypatch.setattr(scoring, "BY_ROW", 1000)
+    learnt, learn = [], points.learn
+    monkeypatch.setattr(points, "learn", lambda learner, counted, *a: learnt.append(counted.agg(F.sum("n"), F.count("*")).first()) or learn(learner, counted, *a))
+    fits = scoring.fit_seeds(rows, MANY_SPEC, (10, 20))
+    assert met == [] and [n for n, _ in learnt] == [20_000, 20_000] and learnt[0][1] <= 7 * 32 * 3 * 2
+    got = scoring.score(rows, MANY_SPEC, fits[0]).select("few", "many", "c", F.col("probability").alias("p"))
+    want = scoring.score(rows, MANY_SPEC, by_row).select("few", "many", "c", F.col("probability").alias("q"))
+    both = got.distinct().join(want.distinct(), ["few", "many", "c"]).agg(F.avg(F.abs(F.col("p") - F.col("q"))), F.corr("p", "q")).first()
+    assert both[0] < 0.05 and both[1] > 0.95                          # forests by row of two seeds: up to 0.029, 0.978
+    forest, other, plain = [next(m for m in f.model.stages if hasattr(m, "trees")) for f in (*fits, by_row)]
+    for f in (forest, other):
+        assert (f.getNumTrees, f.getMaxDepth(), f.getFeatureSubsetStrategy(), f.getImpurity(), f.numFeatures, f.numClasses, f.getLabelCol()) == \
+            (plain.getNumTrees, plain.getMaxDepth(), plain.getFeatureSubsetStrategy(), plain.getImpurity(), plain.numFeatures, plain.numClasses, plain.getLabelCol())
+        assert max(t.depth for t in f.trees) <= 5 and not f.hasSummary
+    drawn = [t._call_java("rootNode").impurityStats().count() for t in forest.trees]
+    assert len(set(drawn)) > 10 and abs(sum(drawn) / 20 - 20_000) < 5 * (20_000 / 20) ** 0.5        # Poisson(20,000) each
+    assert (forest.getSeed(), other.getSeed()) == (10, 20) and forest.toDebugString.split("\n")[1:] != other.toDebugString.split("\n")[1:]
+    again = scoring.fit(rows.orderBy(F.desc("many")).repartition(7), MANY_SPEC)       # other files, another order
+    assert again.model.stages[-2].toDebugString.split("\n")[1:] == forest.toDebugString.split("\n")[1:]
+    fits[0].save(spark, f"{tmp_dir}/m")
+    back = scoring.score(rows, MANY_SPEC, scoring.Fitted.load(spark, f"{tmp_dir}/m"))
+    assert back.select("few", "many", "c", "probability").exceptAll(got.withColumnRenamed("p", "probability")).count() == 0
+    monkeypatch.setattr(scoring, "MOST_BINS", 100)                    # too many points: by row, as before
+    slow = scoring.fit(rows, MANY_SPEC)
+    assert met == [20_000] and slow.model.stages[-2].toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+
+
+def test_a_tree_over_points_is_the_learners(spark):
+    """Unbagged, over all features and with the same bins: MLlib's own tree."""
+    import numpy as np
+    from selfmend.operators import model, points
+    rows = _many_rows(spark).withColumn("many", F.floor(F.col("many") / 5) * 1.5).localCheckpoint()
+    encoders = features.fit_features(rows, ["few", "many"], ["c"], "lab")
+    counted = encoders.transform(scoring.weighed(rows))
+    cuts = points.thresholds(counted, scoring.WEIGHT, [0, 1], 32)
+    assert points.numeric_slots(counted, 5) == [0, 1] and [len(cuts[i]) for i in (0, 1)] == [6, 10 - 1]
+    learner = model.forest(3, 6, "all", 10, bootstrap=False)
+    want = model.without_summary(learner.fit(encoders.transform(rows)))
+    table = points.points(counted, scoring.WEIGHT, cuts, 5).collect()
+    bins = np.array([r["bins"] for r in table], dtype=np.int8).T
+    labels, n = np.array([int(r["label"]) for r in table]), np.array([r["n"] for r in table])
+    nodes = points.saved(points.grow(bins, labels, n, [7, 10, 2, 2, 2], 2, 6, 5, np.random.default_rng(1)), cuts)
+    got = points._loaded(spark, learner, spark.createDataFrame([(i, x) for i in range(3) for x in nodes], points.NODES), 5, 2)
+    encoded = encoders.transform(rows.dropDuplicates(["few", "many", "c"]))
+    p, q = ({(r["few"], r["many"], r["c"]): (round(r["p"], 9), r["prediction"])
+             for r in f.transform(encoded).select("few", "many", "c", "prediction", model.probability_of(1).alias("p")).collect()}
+            for f in (got, want))
+    assert p == q and len(p) > 100
+    assert got.totalNumNodes == want.totalNumNodes
+    assert abs(got.featureImportances.toArray() - want.featureImportances.toArray()).max() < 1e-9
+
+
+def test_bins_of_many_values_are_their_quantiles(spark, monkeypatch):
+    """Exact over several partitions, whatever the order; a value that holds many rows is one bin."""
+    from selfmend.operators import points
+    monkeypatch.setattr(points, "PART_VALUES", 60)
+    df = spark.range(0, 5000, 1, 3).select(F.lit(3).alias("slot"), F.when(F.col("id") < 500, F.lit(0.25)).otherwise((F.col("id") % 900) / 900).alias("value"))
+    counts = df.groupBy("slot", "value").agg(F.count("*").alias("n"))
+    values = sorted(r["value"] for r in df.collect())
+    rank = {v: i + 1 for i, v in enumerate(values)}                     # rows up to the value
+    ends = [v for v, w in zip(sorted(rank), [None, *sorted(rank)]) if rank[v] * 32 // 5000 > (rank[w] if w is not None else 0) * 32 // 5000 and rank[v] < 5000]
+    for c in (counts, counts.orderBy(F.desc("value")).coalesce(1)):
+        got = points.quantile_values(c, 32, 900).collect()
+        assert sorted(r["value"] for r in got if r["ends"]) == ends and [r["value"] for r in got if r["heavy"]] == [0.25]
+    assert 25 <= len(ends) < 31 and 0.25 in ends
+    last = points.quantile_values(spark.createDataFrame([(0, i / 100, 1) for i in range(50)] + [(0, 0.9, 50)], "slot int, value double, n long"), 10, 51).collect()
+    assert sorted(tuple(r) for r in last) == [(0, v, True, False) for v in (0.09, 0.19, 0.29, 0.39, 0.49)] + [(0, 0.9, False, True)]
+    assert [points.features_per_node(s, 7, 100) for s in ("onethird", "all", "sqrt", "log2", "auto", "2", "0.5")] == [3, 7, 3, 3, 3, 2, 4]
+    assert points._between(0.1, 0.2) > 0.1 and points._between(1.0, 1.0000000000000002) == 1.0
+
+
 def test_alike_training_rows_are_spread(spark):
     """Two thirds of the rows are one row: it is dealt in lots over all
     partitions, and the order does not depend on the input's."""
